@@ -1,0 +1,38 @@
+"""Run a query in Spark and its SQL in DuckDB and compare columns and rows."""
+
+from __future__ import annotations
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+    return con
+
+
+def _sorted_rows(columns, rows):
+    order = sorted(range(len(columns)), key=columns.__getitem__)
+    return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
+
+
+def mismatch(df, con, sql: str) -> str | None:
+    """None when both sides agree, else what differs first."""
+    found = con.execute(sql)
+    names = [d[0] for d in found.description]
+    if sorted(df.columns) != sorted(names):
+        return f"columns {sorted(df.columns)} != {sorted(names)}"
+    ours = _sorted_rows(df.columns, map(tuple, df.collect()))
+    theirs = _sorted_rows(names, found.fetchall())
+    if len(ours) != len(theirs):
+        return f"{len(ours)} rows != {len(theirs)}"
+    for a, b in zip(ours, theirs):
+        if repr(a) != repr(b):
+            return f"{sorted(names)}\n{a}\n{b}"
+    return None
