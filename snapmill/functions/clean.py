@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 def strip_underscores(text: Column) -> Column:
     """Delete every underscore, wherever it stands."""
-    return F.translate(text, "_", "")
+    return F.replace(text, F.lit("_"), F.lit(""))
 
 
 def null_if_placeholder(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmill import fixed_values as V
+from snapmill.functions.casts import WIDE, as_type
 
 _CALENDAR_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
@@ -86,7 +87,8 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] = V.DESCRIBED_FINANCI
     """Count, mean, spread and range of the numeric readings, and how many values have none."""
 
     def measures(name: str) -> list[Column]:
-        number = F.col(name).try_cast("double")
+        is_text = isinstance(df.schema[name].dataType, T.StringType)
+        number = as_type(F.col(name), WIDE, is_text)
         return [
             F.count(number).alias("count"),
             F.avg(number).alias("mean"),

@@ -19,7 +19,7 @@ from snapmill.schemas import ATTRIBUTES, CLICKSTREAM, FINANCIALS, LOANS
 
 def age_group(age: Column) -> Column:
     """Null and unreadable ages fall through to the last band, like ages of 60 and more."""
-    return derive.band_below(casts.as_type(age, casts.COUNT), V.AGE_BANDS, V.AGE_BAND_ELSE)
+    return derive.band_below(casts.parse(age, casts.COUNT), V.AGE_BANDS, V.AGE_BAND_ELSE)
 
 
 def occupation_category(occupation: Column) -> Column:

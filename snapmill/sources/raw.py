@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmill import fixed_values as V
+from snapmill.functions.casts import DATE, parse
 from snapmill.schemas import SnapshotTable
 
 
@@ -29,7 +30,7 @@ def read_raw(spark: SparkSession, table: SnapshotTable, path: str) -> DataFrame:
 
 def dated(raw: DataFrame) -> DataFrame:
     """Raw rows with the snapshot as a date, the column they will be partitioned by."""
-    return raw.withColumn(V.SNAPSHOT, F.col(V.SNAPSHOT).try_cast("date"))
+    return raw.withColumn(V.SNAPSHOT, parse(F.col(V.SNAPSHOT), DATE))
 
 
 def write_raw(df: DataFrame, path: str) -> None:
