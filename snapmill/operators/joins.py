@@ -17,7 +17,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
-from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +29,8 @@ TRACKED = 16_384
 MAX_HEAVY = 4_000
 # Below this many rows a key is no burden for a task, whatever its share.
 HEAVY_ROWS = 2_000_000
+# Slicing is exact for any number of slices; more than this would only add copies.
+MAX_SLICES = 4 * MAX_HEAVY
 _MERGERS = 256
 
 _KEY, _ROW, _LEFT, _RIGHT, _HIT = "__key", "__row", "__left_slice", "__right_slice", "__hit"
@@ -47,11 +48,14 @@ class HeavyKeys:
         return bool(self.rows) or self.null_rows > 0
 
     def slices(self, key: str) -> int:
-        return max(1, ceil(self.rows.get(key, 1) / self.slice_rows))
+        return self._slices(self.rows.get(key, 1))
 
     @property
     def null_slices(self) -> int:
-        return max(1, ceil(self.null_rows / self.slice_rows))
+        return self._slices(self.null_rows)
+
+    def _slices(self, rows: int) -> int:
+        return min(MAX_SLICES, max(1, -(-rows // self.slice_rows)))
 
 
 def key_text(keys: Sequence[str]) -> Column:

@@ -32,8 +32,10 @@ def month_spine(spark: SparkSession, start: DateLike, end: DateLike) -> DataFram
 
 def spine_between(bounds: DataFrame) -> DataFrame:
     """Month spine of a one-row ``first, last`` frame, as when the range is read from data."""
-    grid = F.sequence(F.trunc("first", "month"), F.col("last"), F.expr("interval 1 month"))
-    return bounds.where("first <= last").select(F.explode(grid).alias(V.SNAPSHOT))
+    first, last = F.trunc("first", "month"), F.col("last")
+    # a sequence must not run backwards, not even in a row that is filtered out
+    grid = F.sequence(first, F.greatest(first, last), F.expr("interval 1 month"))
+    return bounds.where(first <= last).select(F.explode(grid).alias(V.SNAPSHOT))
 
 
 def spine_of(df: DataFrame, column: str = V.SNAPSHOT) -> DataFrame:

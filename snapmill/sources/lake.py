@@ -60,6 +60,8 @@ class Lake:
         one; that is done by adaptive execution and without it rows stay where they are.
         """
         months = month_list(start, end)
+        if not months:
+            raise ValueError(f"no month starts between {start} and {end}")
         target = self.path(layer, table)
         schema = T.StructType([f for f in df.schema if f.name != V.SNAPSHOT] + [df.schema[V.SNAPSHOT]])
         out = df.select(*schema.names)

@@ -1,0 +1,277 @@
+"""One test per cleaning and derivation rule, on literal rows."""
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from snapmill.functions import clean, derive
+from snapmill.operators import refine
+from snapmill.schemas import ATTRIBUTES, CLICKSTREAM, FINANCIALS, LOANS, TABLES
+from tests.helpers import column, one, raw
+
+SNAP = {"Customer_ID": "CUS_1", "snapshot_date": "2023-03-31"}
+
+
+def attributes(spark, **values):
+    return one(refine.refine_attributes(raw(spark, "attributes", {**SNAP, **values})))
+
+
+def financials(spark, **values):
+    return one(refine.refine_financials(raw(spark, "financials", {**SNAP, **values})))
+
+
+def clicks(spark, **values):
+    base = {f"fe_{i}": "1" for i in range(1, 21)}
+    return one(refine.refine_clickstream(raw(spark, "clickstream", {**base, **SNAP, **values})))
+
+
+def loan(spark, **values):
+    return one(refine.refine_loans(raw(spark, "loan_daily", {**SNAP, **values})))
+
+
+@pytest.mark.parametrize("name", TABLES)
+def test_output_contract(spark, name):
+    out = refine.REFINERS[name](raw(spark, name, SNAP))
+    assert [(f.name, f.dataType) for f in out.schema] == [
+        (f.name, f.dataType) for f in TABLES[name].silver_schema
+    ]
+
+
+def test_contract_widths():
+    widths = [len(t.silver_columns) for t in (ATTRIBUTES, CLICKSTREAM, FINANCIALS, LOANS)]
+    assert widths == [10, 25, 25, 15]
+
+
+# ---------------------------------------------------------------- attributes
+@pytest.mark.parametrize(
+    "raw_age, age, group",
+    [
+        ("41_", "41", "mature_40_60"),
+        ("_1_8_", "18", "young"),
+        ("-500", None, "seniors"),
+        ("3843_", None, "seniors"),
+        ("15", None, "seniors"),
+        ("16", "16", "young"),
+        ("24", "24", "young"),
+        ("25", "25", "middle_25_40"),
+        ("39", "39", "middle_25_40"),
+        ("40", "40", "mature_40_60"),
+        ("60", "60", "seniors"),
+        ("100", "100", "seniors"),
+        ("101", None, "seniors"),
+        ("41.5", None, "seniors"),
+        ("abc", None, "seniors"),
+        ("", None, "seniors"),
+        (None, None, "seniors"),
+    ],
+)
+def test_age_is_text_and_unusable_ages_are_seniors(either_mode, raw_age, age, group):
+    row = attributes(either_mode, Age=raw_age)
+    assert (row["Age"], row["age_group"]) == (age, group)
+
+
+@pytest.mark.parametrize(
+    "occupation, kept, category",
+    [
+        ("Doctor", "Doctor", "professional"),
+        ("Journalist", "Journalist", "education_media"),
+        ("Entrepreneur", "Entrepreneur", "business"),
+        ("Accountant", "Accountant", "technical"),
+        ("Writer", "Writer", "other"),
+        ("_______", "_______", "other"),  # the underscore pattern is taken literally
+        ("^_+$", None, "None"),
+        ("-", None, "None"),
+        ("", None, "None"),
+        (None, None, "None"),
+    ],
+)
+def test_occupation(spark, occupation, kept, category):
+    row = attributes(spark, Occupation=occupation)
+    assert (row["Occupation"], row["occupation_category"]) == (kept, category)
+
+
+def test_placeholder_pattern_on_request(spark):
+    df = raw(spark, "attributes", {"Occupation": "_______"}, {"Occupation": "A_B"})
+    got = df.select(
+        clean.null_if_placeholder(F.col("Occupation"), ("",), placeholder_regex="^_+$").alias("o")
+    )
+    assert column(got, "o") == [None, "A_B"]
+
+
+@pytest.mark.parametrize(
+    "ssn, valid, kept",
+    [
+        ("000-00-0000", True, "000-00-0000"),
+        ("#F%$D@*&8", False, None),
+        ("000-00-00001", False, None),
+        (None, None, None),
+    ],
+)
+def test_ssn(spark, ssn, valid, kept):
+    row = attributes(spark, SSN=ssn)
+    assert (row["SSN_is_valid"], row["SSN_clean"], row["SSN"]) == (valid, kept, ssn)
+
+
+# ---------------------------------------------------------------- clickstream
+def test_activity_sums(spark):
+    row = clicks(spark, fe_1="-5", fe_2="0", fe_3="3.7", fe_4="-3.7")
+    assert row["fe_3"] == 3 and row["fe_4"] == -3
+    assert (row["total_activity"], row["activity_intensity"]) == (-5 + 0 + 3 - 3 + 16, 5 + 3 + 3 + 16)
+    assert row["active_features_count"] == 19
+
+
+@pytest.mark.parametrize("missing", [None, "n/a", ""])
+def test_one_null_nulls_the_sums_but_not_the_count(either_mode, missing):
+    row = clicks(either_mode, fe_7=missing)
+    assert (row["total_activity"], row["activity_intensity"]) == (None, None)
+    assert row["active_features_count"] == 19
+
+
+def test_sums_out_of_range_are_null(either_mode):
+    row = clicks(either_mode, fe_1="2147483647", fe_2="2147483647")
+    assert row["total_activity"] is None
+    back_in_range = clicks(either_mode, fe_1="2147483647", fe_2="100", fe_3="-200")
+    assert back_in_range["total_activity"] == 2147483647 - 100 + 17
+    assert clicks(either_mode, fe_1="-2147483648")["activity_intensity"] is None
+
+
+# ---------------------------------------------------------------- financials
+def test_underscores_go_everywhere(spark):
+    row = financials(spark, Annual_Income="100.5_", Outstanding_Debt="__10_0_")
+    assert (row["Annual_Income"], row["Outstanding_Debt"]) == (100.5, 100.0)
+
+
+@pytest.mark.parametrize(
+    "name, low, high",
+    [
+        ("Num_Bank_Accounts", 0, 10),
+        ("Num_Credit_Card", 0, 15),
+        ("Interest_Rate", 0, 50),
+        ("Num_Credit_Inquiries", 0, 50),
+        ("Total_EMI_per_month", 0, 10000),
+    ],
+)
+def test_bounds_are_inclusive(spark, name, low, high):
+    values = [low - 1, low, high, high + 1]
+    df = refine.refine_financials(raw(spark, "financials", *[{**SNAP, name: str(v)} for v in values]))
+    assert column(df, name) == [None, low, high, None]
+
+
+def test_half_over_a_bound_is_out(spark):
+    assert financials(spark, Total_EMI_per_month="10000.5")["Total_EMI_per_month"] is None
+
+
+def test_what_may_be_negative(spark):
+    names = ["Delay_from_due_date", "Changed_Credit_Limit", "Monthly_Balance"]
+    row = financials(spark, **dict.fromkeys(names, "-3"))
+    assert [row[n] for n in names] == [-3, -3.0, -3.0]
+
+
+def test_what_may_not_be_negative(spark):
+    names = [r.name for r in FINANCIALS.rules if r.non_negative]
+    assert len(names) == 11
+    below, at = (financials(spark, **dict.fromkeys(names, v)) for v in ("-1", "0"))
+    assert [below[n] for n in names] == [None] * 11
+    assert [at[n] for n in names] == [0] * 11
+
+
+def test_stripped_ints_take_whole_digits_only(either_mode):
+    row = financials(either_mode, Num_Bank_Accounts="3.0", Num_of_Loan="3_", Num_of_Delayed_Payment="8_")
+    assert (row["Num_Bank_Accounts"], row["Num_of_Loan"], row["Num_of_Delayed_Payment"]) == (None, 3, 8)
+
+
+def test_text_placeholders_and_whitelist(spark):
+    for name, bad in {
+        "Credit_Mix": ["_", ""],
+        "Type_of_Loan": ["", "_", "Not Specified"],
+        "Payment_Behaviour": ["!@9#%8", "", None],
+    }.items():
+        assert [financials(spark, **{name: b})[name] for b in bad] == [None] * len(bad)
+    row = financials(
+        spark, Credit_Mix="Good", Type_of_Loan="Auto Loan", Payment_Behaviour="Low_spent_Small_value_payments"
+    )
+    assert (row["Credit_Mix"], row["Type_of_Loan"]) == ("Good", "Auto Loan")
+    assert row["Payment_Behaviour"] == "Low_spent_Small_value_payments"
+
+
+@pytest.mark.parametrize(
+    "text, months",
+    [
+        ("10 Years and 9 Months", 129),
+        ("0 Years and 0 Months", 0),
+        ("10 Years", None),
+        ("9 Months", None),
+        ("NA", None),
+        ("", None),
+        (None, None),
+        ("999999999 Years and 1 Months", None),
+        ("99999999999999999999 Years and 1 Months", None),
+    ],
+)
+def test_history_needs_years_and_months(either_mode, text, months):
+    assert financials(either_mode, Credit_History_Age=text)["Credit_history_total_months"] == months
+
+
+@pytest.mark.parametrize(
+    "debt, income, ratio",
+    [("50", "100", 0.5), ("50", "0", None), ("50", "-1", None), ("50", None, None), (None, "100", None)],
+)
+def test_debt_to_income(either_mode, debt, income, ratio):
+    row = financials(either_mode, Outstanding_Debt=debt, Annual_Income=income)
+    assert row["Debt_to_income_ratio"] == ratio
+
+
+@pytest.mark.parametrize(
+    "use, level",
+    [
+        ("90.5", "critical"), ("90", "very_high"), ("70", "high"), ("50", "moderate"), ("30", "low"),
+        ("10", "very_low"), (None, "very_low"), ("-1", "very_low"),
+    ],
+)
+def test_utilisation_bands_are_open_below(spark, use, level):
+    assert financials(spark, Credit_Utilization_Ratio=use)["credit_risk_level"] == level
+
+
+# ---------------------------------------------------------------- loans
+@pytest.mark.parametrize(
+    "due, overdue, snapshot, missed, first, dpd",
+    [
+        ("100", "100", "2023-03-31", 1, date(2023, 2, 28), 31),
+        ("100", "250", "2023-03-31", 3, date(2022, 12, 31), 90),
+        ("0", "50", "2023-03-31", 0, None, None),
+        ("100", "0", "2023-03-31", 0, None, 0),
+        ("100", None, "2023-03-31", 0, None, 0),
+        ("100", "-150", "2023-03-31", -1, None, 0),
+        ("100", "150", None, 2, None, None),
+        ("0.1", "0.3", "2023-03-31", 4, date(2022, 11, 30), 121),  # amounts are 32-bit
+        ("abc", "50", "2023-03-31", 0, None, None),
+    ],
+)
+def test_days_past_due(either_mode, due, overdue, snapshot, missed, first, dpd):
+    row = loan(either_mode, due_amt=due, overdue_amt=overdue, snapshot_date=snapshot)
+    assert (row["installments_missed"], row["first_missed_date"], row["dpd"]) == (missed, first, dpd)
+
+
+def test_zero_fill_hits_numbers_only(spark):
+    row = loan(spark, due_amt="100", overdue_amt="NaN", balance=None, installment_num=None)
+    filled = ["tenure", "installment_num", "loan_amt", "paid_amt", "overdue_amt", "balance", "mob"]
+    assert [row[n] for n in filled] == [0] * 7
+    assert row["loan_id"] is None and row["loan_start_date"] is None
+
+
+def test_loan_counters_truncate(spark):
+    row = loan(spark, tenure="10.0", installment_num="3.7")
+    assert (row["tenure"], row["installment_num"], row["mob"]) == (10, 3, 3)
+
+
+def test_absurd_arrears_do_not_fail(either_mode):
+    row = loan(either_mode, due_amt="0.000001", overdue_amt="1900")
+    assert row["installments_missed"] > 10**9
+    assert (row["first_missed_date"], row["dpd"]) == (None, None)
+
+
+def test_share_present(spark):
+    df = spark.createDataFrame([(1, None, None, 2), (None, None, None, None)], "a int, b int, c int, d int")
+    got = df.select(derive.share_present(["a", "b", "c", "d"]).alias("s"))
+    assert column(got, "s") == [0.5, 0.0]
