@@ -9,12 +9,9 @@ from pyspark.sql import functions as F
 
 from snapmill import fixed_values as V
 from snapmill.functions import derive
-from snapmill.operators.joins import HeavyKeys, joined, left_join
+from snapmill.operators.joins import HeavyKeys, left_joins
 from snapmill.schemas import ATTRIBUTES, CLICKSTREAM, FINANCIALS
 
-_NO_HEAVY = HeavyKeys()
-_PERSON_ROW, _CLICK_ROW, _MONEY_ROW = "__person_row", "__click_row", "__money_row"
-
 
 def health_score(debt_ratio: Column, utilisation: Column) -> Column:
     """1 to 5; null inputs score like the worst band."""
@@ -42,37 +39,12 @@ def join_features(
 ) -> DataFrame:
     """Left joins on customer and snapshot, private columns dropped before the shuffle.
 
-    With no heavy keys both joins share the shuffle of the attributes: three exchanges for
-    two joins. ``heavy`` comes from ``find_heavy_keys`` and is keyed by table name.
+    Both joins share the shuffle of the attributes: three exchanges for two joins. ``heavy``
+    comes from ``find_heavy_keys`` and is keyed by table name.
     """
-    heavy = heavy or {}
-    of_people, of_clicks, of_money = (
-        heavy.get(t.name, _NO_HEAVY) for t in (ATTRIBUTES, CLICKSTREAM, FINANCIALS)
-    )
+    found = [(heavy or {}).get(t.name, HeavyKeys()) for t in (ATTRIBUTES, CLICKSTREAM, FINANCIALS)]
     people = attributes.drop(*V.PRIVATE_COLUMNS)
-    if not (of_people or of_clicks or of_money):
-        with_clicks = left_join(people, clickstream)
-        return left_join(with_clicks, financials)
-
-    # number rows at the scans: row numbers taken after a shuffle could change on a re-run
-    scan_row = F.monotonically_increasing_id()
-    with_clicks = left_join(
-        people.withColumn(_PERSON_ROW, scan_row),
-        clickstream.withColumn(_CLICK_ROW, scan_row),
-        left_heavy=of_people,
-        right_heavy=of_clicks,
-        left_row=F.col(_PERSON_ROW),
-        right_row=F.col(_CLICK_ROW),
-    )
-    with_money = left_join(
-        with_clicks,
-        financials.withColumn(_MONEY_ROW, scan_row),
-        left_heavy=joined(of_people, of_clicks),
-        right_heavy=of_money,
-        left_row=F.xxhash64(_PERSON_ROW, _CLICK_ROW),
-        right_row=F.col(_MONEY_ROW),
-    )
-    return with_money.drop(_PERSON_ROW, _CLICK_ROW, _MONEY_ROW)
+    return left_joins(people, [clickstream, financials], heavy=found)
 
 
 def build_features(

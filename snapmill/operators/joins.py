@@ -4,12 +4,14 @@ A left join sends all rows of a key to one task, and adaptive execution cannot s
 task when two joins share one shuffle or when the heavy side is the right one. So the heavy
 keys are looked up first: a frequent-items sketch over the key columns, merged in two steps,
 names every key above a share of the rows. Usually there are none and the joins stay plain.
-Otherwise only the rows of those keys are spread over numbered slices, exactly:
-
-- a row of a side on which the key is heavy goes to one slice of that side;
-- a row of the other side is copied to every one of those slices;
-- a left row copied to right-hand slices finds its matches in some of them and none in the
-  rest. A key that is heavy on the right is there, so its unmatched copies are all surplus.
+Otherwise each left row takes one of three ways, and the results are put together:
+
+- rows with other keys go through the plain joins, which keep sharing one shuffle;
+- rows without a complete key match nothing and need no join at all;
+- rows of heavy keys are joined in numbered slices. A row of a side on which its key is heavy
+  goes to one slice, and the rows of the other side are copied to all of these slices. A left
+  row that was copied finds matches in some slices and none in others; as a key that is heavy
+  on the right is there, its unmatched copies are surplus and dropped.
 """
 
 from __future__ import annotations
@@ -33,7 +35,8 @@ HEAVY_ROWS = 2_000_000
 MAX_SLICES = 4 * MAX_HEAVY
 _MERGERS = 256
 
-_KEY, _ROW, _LEFT, _RIGHT, _HIT = "__key", "__row", "__left_slice", "__right_slice", "__hit"
+_KEY, _ROW, _RIGHT_ROW, _COPIED = "__key", "__row", "__right_row", "__copied"
+_LEFT, _RIGHT = "__left_slice", "__right_slice"
 
 
 @dataclass(frozen=True)
@@ -48,14 +51,8 @@ class HeavyKeys:
         return bool(self.rows) or self.null_rows > 0
 
     def slices(self, key: str) -> int:
-        return self._slices(self.rows.get(key, 1))
-
-    @property
-    def null_slices(self) -> int:
-        return self._slices(self.null_rows)
+        return min(MAX_SLICES, max(1, -(-self.rows.get(key, 1) // self.slice_rows)))
 
-    def _slices(self, rows: int) -> int:
-        return min(MAX_SLICES, max(1, -(-rows // self.slice_rows)))
 
 
 def key_text(keys: Sequence[str]) -> Column:
@@ -105,69 +102,95 @@ def find_heavy_keys(
 
 def joined(left: HeavyKeys, right: HeavyKeys) -> HeavyKeys:
     """Heavy keys of a left join's output, from those of its inputs."""
-    rows = {
-        k: left.rows.get(k, 1) * right.rows.get(k, 1) for k in (*left.rows, *right.rows)
-    }
-    return HeavyKeys(rows, left.null_rows, min(left.slice_rows, right.slice_rows))
+    rows = {k: left.rows.get(k, 1) * right.rows.get(k, 1) for k in (*left.rows, *right.rows)}
+    return HeavyKeys(rows, 0, min(left.slice_rows, right.slice_rows))
 
 
-def left_join(
+def left_joins(
     left: DataFrame,
-    right: DataFrame,
+    rights: Sequence[DataFrame],
     keys: Sequence[str] = V.FEATURE_KEYS,
-    left_heavy: HeavyKeys = HeavyKeys(),
-    right_heavy: HeavyKeys = HeavyKeys(),
-    left_row: Column | None = None,
-    right_row: Column | None = None,
+    heavy: Sequence[HeavyKeys] | None = None,
 ) -> DataFrame:
-    """``left`` LEFT JOIN ``right`` on ``keys``; every match counts, nothing is deduplicated.
+    """``left`` LEFT JOIN each of ``rights`` in turn on the same keys.
 
-    ``left_row`` and ``right_row`` number the rows for slicing and must come out the same when
-    a lost task is run again; by default rows are numbered where they are scanned.
+    Every match counts, nothing is deduplicated. ``heavy`` holds what ``find_heavy_keys``
+    found for ``left`` and each right input. Inputs that have heavy keys should be stored
+    tables: rows are numbered where they are scanned, so that a task that is run again
+    numbers them alike.
     """
-    keys = list(keys)
-    if not left_heavy and not right_heavy:
-        return left.join(right, on=keys, how="left")
+    keys, rights = list(keys), list(rights)
+    heavy = list(heavy) if heavy else [HeavyKeys()] * (1 + len(rights))
+    hot_keys = list(dict.fromkeys(k for h in heavy for k in h.rows))
+    if not hot_keys and not heavy[0].null_rows:
+        return _plain(left, rights, keys)
+
+    parts = []
+    rest = [left, *rights]
+    if hot_keys:
+        # at most 2 * MAX_HEAVY keys per input by construction, so it can be broadcast
+        hot = F.broadcast(left.sparkSession.createDataFrame([(k,) for k in hot_keys], f"{_KEY} string"))
+        is_hot = key_text(keys) == F.col(_KEY)
+        rest = [df.join(hot, is_hot, "left_anti") for df in (left, *rights)]
+        of_hot = [df.join(hot, is_hot, "left_semi") for df in (left, *rights)]
+        parts.append(_sliced(of_hot[0], of_hot[1:], keys, heavy))
+    if heavy[0].null_rows:
+        matchless = [f for df in rights for f in df.schema if f.name not in keys]
+        nothing = {f.name: F.lit(None).cast(f.dataType) for f in matchless}
+        parts.append(left.where(key_text(keys).isNull()).withColumns(nothing))
+        rest[0] = rest[0].where(key_text(keys).isNotNull())
+    return reduce(DataFrame.unionByName, parts, _plain(rest[0], rest[1:], keys))
+
+
+def _plain(left: DataFrame, rights: Sequence[DataFrame], keys: list[str]) -> DataFrame:
+    return reduce(lambda so_far, right: so_far.join(right, on=keys, how="left"), rights, left)
+
+
+def _sliced(
+    left: DataFrame, rights: Sequence[DataFrame], keys: list[str], heavy: Sequence[HeavyKeys]
+) -> DataFrame:
+    scan_row = F.monotonically_increasing_id()
+    out, of_left = left.withColumn(_ROW, scan_row), heavy[0]
+    for right, of_right in zip(rights, heavy[1:]):
+        out = _sliced_join(out, right.withColumn(_RIGHT_ROW, scan_row), keys, of_left, of_right)
+        of_left = joined(of_left, of_right)
+    return out.drop(_ROW)
 
-    spark = left.sparkSession
+
+def _sliced_join(
+    left: DataFrame, right: DataFrame, keys: list[str], of_left: HeavyKeys, of_right: HeavyKeys
+) -> DataFrame:
     plan = [
-        (k, left_heavy.slices(k), right_heavy.slices(k))
-        for k in dict.fromkeys((*left_heavy.rows, *right_heavy.rows))
+        (k, of_left.slices(k), of_right.slices(k))
+        for k in dict.fromkeys((*of_left.rows, *of_right.rows))
     ]
-    # at most 2 * MAX_HEAVY rows per side by construction, so it can be broadcast
     slices = F.broadcast(
-        spark.createDataFrame(plan, f"{_KEY} string, left_n int, right_n int")
+        left.sparkSession.createDataFrame(plan, f"{_KEY} string, left_n int, right_n int")
     )
     left_n, right_n = (F.coalesce(F.col(c), F.lit(1)) for c in ("left_n", "right_n"))
-    spread_nulls = F.when(F.col(_KEY).isNull(), F.lit(left_heavy.null_slices)).otherwise(left_n)
-
-    numbered = left.withColumn(_ROW, F.monotonically_increasing_id() if left_row is None else left_row)
-    left_side = (
-        numbered.withColumn(_KEY, key_text(keys))
-        .join(slices, on=_KEY, how="left")
-        .withColumns(
-            {
-                _LEFT: F.pmod(F.col(_ROW), spread_nulls).cast("int"),
-                _RIGHT: F.explode(F.sequence(F.lit(0), right_n - 1)),
-                _HIT: right_n > 1,
-            }
-        )
-        .drop(_KEY, _ROW, "left_n", "right_n")
-    )
-    numbered = right.withColumn(_ROW, F.monotonically_increasing_id() if right_row is None else right_row)
-    right_side = (
-        numbered.withColumn(_KEY, key_text(keys))
-        .where(F.col(_KEY).isNotNull())
-        .join(slices, on=_KEY, how="left")
-        .withColumns(
-            {
-                _RIGHT: F.pmod(F.col(_ROW), right_n).cast("int"),
-                _LEFT: F.explode(F.sequence(F.lit(0), left_n - 1)),
-                "__matched": F.lit(True),
-            }
-        )
-        .drop(_KEY, _ROW, "left_n", "right_n")
-    )
+    used = (_KEY, "left_n", "right_n")
+
+    left_side = left.withColumn(_KEY, key_text(keys)).join(slices, on=_KEY, how="left")
+    left_side = left_side.withColumns(
+        {
+            _LEFT: F.pmod(F.col(_ROW), left_n).cast("int"),
+            _RIGHT: F.explode(F.sequence(F.lit(0), right_n - 1)),
+            _COPIED: right_n > 1,
+        }
+    ).drop(*used)
+    right_side = right.withColumn(_KEY, key_text(keys)).join(slices, on=_KEY, how="left")
+    right_side = right_side.withColumns(
+        {
+            _RIGHT: F.pmod(F.col(_RIGHT_ROW), right_n).cast("int"),
+            _LEFT: F.explode(F.sequence(F.lit(0), left_n - 1)),
+        }
+    ).drop(*used)
+
     out = left_side.join(right_side, on=[*keys, _LEFT, _RIGHT], how="left")
-    surplus_copy = F.col(_HIT) & F.col("__matched").isNull()
-    return out.where(~surplus_copy).drop(_LEFT, _RIGHT, _HIT, "__matched")
+    surplus_copy = F.col(_COPIED) & F.col(_RIGHT_ROW).isNull()
+    return (
+        out.where(~surplus_copy)
+        # number the joined rows from numbers given at the scans, for the next join
+        .withColumn(_ROW, F.xxhash64(_ROW, _RIGHT_ROW))
+        .drop(_RIGHT_ROW, _LEFT, _RIGHT, _COPIED)
+    )

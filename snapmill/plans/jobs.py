@@ -25,11 +25,16 @@ from snapmill.sources.raw import dated, read_raw
 MonthCounts = dict[date, int]
 
 
-def ingest(lake: Lake, table: str, raw_path: str, start: DateLike, end: DateLike) -> MonthCounts:
-    """Raw CSV to bronze: one scan for all months, columns kept as text."""
+def ingest(
+    lake: Lake, table: str, raw_path: str, start: DateLike, end: DateLike, gather: bool = True
+) -> MonthCounts:
+    """Raw CSV to bronze: one scan for all months, columns kept as text.
+
+    Raw files that mix months are gathered, which shuffles them once. Where every file holds
+    few months already, ``gather=False`` saves that.
+    """
     rows = dated(read_raw(lake.spark, TABLES[table], raw_path))
-    # raw files mix months, so they are gathered
-    return lake.write_months(spine_slice(rows, start, end), BRONZE, table, start, end, gather=True)
+    return lake.write_months(spine_slice(rows, start, end), BRONZE, table, start, end, gather)
 
 
 def off_spine_count(lake: Lake, table: str, raw_path: str, start: DateLike, end: DateLike) -> int:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from snapmill.operators import features, joins
-from snapmill.operators.joins import HeavyKeys, find_heavy_keys, left_join
+from snapmill.operators.joins import HeavyKeys, find_heavy_keys, left_joins
 from tests.helpers import in_order, plan_of
 
 KEYS = ("k", "d")
@@ -31,7 +31,7 @@ def test_sliced_equals_plain(spark, left_hot, right_hot):
     left = side(spark, "a", left_hot, n=240, null_share=0.2, seed=3)
     right = side(spark, "b", right_hot, n=200, null_share=0.1, seed=4)
     heavy = find_heavy_keys({"l": left, "r": right}, KEYS, heavy_rows=5)
-    got = left_join(left, right, KEYS, heavy["l"], heavy["r"])
+    got = left_joins(left, [right], KEYS, [heavy["l"], heavy["r"]])
     assert in_order(got) == in_order(left.join(right, list(KEYS), "left"))
 
 
@@ -40,7 +40,7 @@ def test_heavy_key_absent_on_the_other_side(spark):
     heavy = find_heavy_keys({"l": left, "r": right}, KEYS, heavy_rows=5)
     assert any("only_left" in k for k in heavy["l"].rows)
     assert any("only_right" in k for k in heavy["r"].rows)
-    got = left_join(left, right, KEYS, heavy["l"], heavy["r"])
+    got = left_joins(left, [right], KEYS, [heavy["l"], heavy["r"]])
     assert in_order(got) == in_order(left.join(right, list(KEYS), "left"))
 
 
@@ -57,7 +57,7 @@ def test_light_inputs_stay_plain(spark):
     df = side(spark, "a", None)
     heavy = find_heavy_keys({"x": df}, KEYS)["x"]
     assert not heavy
-    assert "Generate" not in plan_of(left_join(df, side(spark, "b", None), KEYS, heavy, heavy))
+    assert "Generate" not in plan_of(left_joins(df, [side(spark, "b", None)], KEYS, [heavy, heavy]))
 
 
 def test_key_text_is_unambiguous(spark):
