@@ -11,8 +11,6 @@ from pyspark.sql import types as T
 from snapmill import fixed_values as V
 from snapmill.functions.casts import WIDE, as_type
 
-_CALENDAR_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
-
 
 def _per_column(df: DataFrame, columns: Iterable[str], measures) -> DataFrame:
     """Long profile: one row per column. ``measures(name)`` gives named aggregates.
@@ -56,12 +54,13 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def is_missing(field: T.StructField) -> Column:
-    """Null; for all but calendar types also empty or nothing but underscores."""
+    """Null; for text also empty or nothing but underscores."""
     value = F.col(field.name)
-    if isinstance(field.dataType, _CALENDAR_TYPES):
+    if not isinstance(field.dataType, T.StringType):
         return value.isNull()
-    text = value.cast("string")
-    return value.isNull() | (text == "") | text.rlike(V.MISSING_TEXT_PATTERN)
+    # the first byte decides for nearly all texts, so long ones are not decoded for the pattern
+    blank = (value == "") | (value.startswith("_") & value.rlike(V.MISSING_TEXT_PATTERN))
+    return value.isNull() | blank
 
 
 def missing_counts(df: DataFrame) -> DataFrame:
@@ -86,19 +85,27 @@ def value_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def describe_numeric(df: DataFrame, columns: Sequence[str] = V.DESCRIBED_FINANCIALS) -> DataFrame:
     """Count, mean, spread and range of the numeric readings, and how many values have none."""
 
+    raw, parsed = "raw_{}".format, "parsed_{}".format
+
+    def reading(name: str) -> Column:
+        return as_type(F.col(name), WIDE, isinstance(df.schema[name].dataType, T.StringType))
+
     def measures(name: str) -> list[Column]:
-        is_text = isinstance(df.schema[name].dataType, T.StringType)
-        number = as_type(F.col(name), WIDE, is_text)
+        number = F.col(parsed(name))
         return [
             F.count(number).alias("count"),
             F.avg(number).alias("mean"),
             F.stddev_samp(number).alias("stddev"),
             F.min(number).alias("min"),
             F.max(number).alias("max"),
-            F.count_if(F.col(name).isNotNull() & number.isNull()).alias("unparsed"),
+            (F.count(raw(name)) - F.count(number)).alias("unparsed"),
         ]
 
-    return _per_column(df, columns, measures)
+    # parsed in a projection of its own, once for all measures
+    readings = df.select(
+        *[F.col(c).alias(raw(c)) for c in columns], *[reading(c).alias(parsed(c)) for c in columns]
+    )
+    return _per_column(readings, columns, measures)
 
 
 def numeric_check(df: DataFrame, column: str) -> DataFrame:

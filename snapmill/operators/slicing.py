@@ -30,14 +30,32 @@ def month_spine(spark: SparkSession, start: DateLike, end: DateLike) -> DataFram
     return spine_between(bounds)
 
 
-def spine_between(bounds: DataFrame) -> DataFrame:
-    """Month spine of a one-row ``first, last`` frame, as when the range is read from data."""
+def spine_between(bounds: DataFrame, *carried: str) -> DataFrame:
+    """Month spine of a one-row ``first, last`` frame; ``carried`` columns go to every month."""
     first, last = F.trunc("first", "month"), F.col("last")
     # a sequence must not run backwards, not even in a row that is filtered out
     grid = F.sequence(first, F.greatest(first, last), F.expr("interval 1 month"))
-    return bounds.where(first <= last).select(F.explode(grid).alias(V.SNAPSHOT))
+    return bounds.where(first <= last).select(F.explode(grid).alias(V.SNAPSHOT), *carried)
 
 
 def spine_of(df: DataFrame, column: str = V.SNAPSHOT) -> DataFrame:
     """Month spine from the first to the last date in the data."""
     return spine_between(df.agg(F.min(column).alias("first"), F.max(column).alias("last")))
+
+
+def month_counts(df: DataFrame, column: str = V.SNAPSHOT) -> DataFrame:
+    """Rows of every month of the data's own spine, months without any included.
+
+    One scan: the counts, one entry per month, travel along with the spine's bounds.
+    """
+    month = F.trunc(F.col(column).cast("date"), "month").alias("month")
+    per_month = df.where(F.col(column).isNotNull()).groupBy(month).agg(F.count(F.lit(1)).alias("n"))
+    bounds = per_month.agg(
+        F.min("month").alias("first"),
+        F.max("month").alias("last"),
+        F.map_from_entries(F.collect_list(F.struct("month", "n"))).alias("counts"),
+    )
+    found = F.try_element_at("counts", F.col(V.SNAPSHOT))
+    return spine_between(bounds, "counts").select(
+        V.SNAPSHOT, F.coalesce(found, F.lit(0)).alias("row_count")
+    )

@@ -57,13 +57,8 @@ def snapshot_slice(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def month_spine(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders of every month from the first to the last, months without any included."""
-    month = F.trunc(F.col("o_orderdate").cast("date"), "month").alias(V.SNAPSHOT)
-    per_month = table(spark, sf, "orders").groupBy(month).agg(F.count(F.lit(1)).alias("n"))
-    spine = slicing.spine_of(per_month)
-    return spine.join(per_month, on=V.SNAPSHOT, how="left").select(
-        V.SNAPSHOT, F.coalesce("n", F.lit(0)).alias("row_count")
-    )
+    """Orders of every month from the first to the last."""
+    return slicing.month_counts(table(spark, sf, "orders"), "o_orderdate")
 
 
 def spine_slice(spark: SparkSession, sf: str) -> DataFrame:

@@ -46,3 +46,11 @@ def test_slice(spark):
     days = spark.createDataFrame([("2023-01-01",), ("2023-02-01",), (None,)], "d string")
     days = days.select(F.col("d").cast("date").alias("snapshot_date"))
     assert column(slicing.snapshot_slice(days, "2023-02-01"), "snapshot_date") == [date(2023, 2, 1)]
+
+
+def test_month_counts_include_empty_months(spark):
+    days = spark.createDataFrame([("2023-01-31",), ("2023-01-02",), ("2023-03-02",), (None,)], "d string")
+    days = days.select(F.col("d").cast("date").alias("d"))
+    got = [tuple(r) for r in slicing.month_counts(days, "d").collect()]
+    assert got == [(date(2023, 1, 1), 2), (date(2023, 2, 1), 0), (date(2023, 3, 1), 1)]
+    assert slicing.month_counts(days.where("false"), "d").count() == 0
