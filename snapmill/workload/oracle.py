@@ -13,6 +13,7 @@ from snapmill.workload.queries import (
     NON_NEGATIVE,
     SLICE_MONTH,
     SNAPSHOT_RANGE,
+    STORED_MONTH,
     STRIPPED,
 )
 from snapmill.workload.views import RAW_SQL
@@ -375,6 +376,7 @@ FROM (SELECT COUNT(*) AS n FROM {_raw(CLICKSTREAM.name)} GROUP BY {_KEYS} HAVING
         _raw(ATTRIBUTES.name),
         _on_spine(SNAPSHOT_RANGE),
     ),
+    "silver_month": _project("*", SILVER_CLICKSTREAM, f"snapshot_date = DATE '{STORED_MONTH}'"),
     "backfill_labels": _labels(_on_spine(LOAN_RANGE)),
     "backfill_features": _project("*", FEATURES, _on_spine(SNAPSHOT_RANGE)),
 }

@@ -23,7 +23,7 @@ from snapmill.schemas import (
     LOANS,
     TABLES,
 )
-from snapmill.sources.lake import BRONZE, FEATURE_STORE, GOLD, LABEL_STORE, Lake
+from snapmill.sources.lake import BRONZE, FEATURE_STORE, GOLD, LABEL_STORE, SILVER, Lake
 from snapmill.sources.raw import write_raw
 from snapmill.sources.shared import shared_folder
 from snapmill.workload.views import (
@@ -43,6 +43,7 @@ COHORT_CUTOFF = "1999-01-01"
 LAST_LINE = 7
 LOAN_RANGE = ("1996-01-01", "1998-12-15")
 SNAPSHOT_RANGE = ("2024-02-01", "2024-11-01")
+STORED_MONTH = "2024-05-01"
 HOT_LEFT, HOT_RIGHT = ("11", "2024-12-01"), ("7", "2024-08-01")
 STRIPPED = [r.name for r in FINANCIALS.rules if r.strip]
 BOUNDED = [r for r in FINANCIALS.rules if r.bounds]
@@ -331,6 +332,15 @@ def bronze_attributes(spark: SparkSession, sf: str) -> DataFrame:
     return _bronze(spark, sf, ATTRIBUTES.name)
 
 
+def silver_month(spark: SparkSession, sf: str) -> DataFrame:
+    """One month of a stored silver table, after that month alone was run a second time."""
+    lake, paths = _landed(spark, sf, [CLICKSTREAM.name])
+    for bounds in (SNAPSHOT_RANGE, (STORED_MONTH, STORED_MONTH)):
+        jobs.ingest(lake, CLICKSTREAM.name, paths[CLICKSTREAM.name], *bounds)
+        jobs.refine(lake, CLICKSTREAM.name, *bounds)
+    return lake.read_month(SILVER, CLICKSTREAM.name, CLICKSTREAM.silver_schema, STORED_MONTH)
+
+
 def backfill_labels(spark: SparkSession, sf: str) -> DataFrame:
     """Label store after raw to bronze to silver to gold."""
     lake, paths = _landed(spark, sf, [LOANS.name])
@@ -402,6 +412,7 @@ QUERIES: dict[str, Query] = {
     "gold_features": gold_features,
     "bronze_roundtrip": bronze_roundtrip,
     "bronze_attributes": bronze_attributes,
+    "silver_month": silver_month,
     "backfill_labels": backfill_labels,
     "backfill_features": backfill_features,
 }
