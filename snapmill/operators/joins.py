@@ -8,10 +8,12 @@ Otherwise each left row takes one of three ways, and the results are put togethe
 
 - rows with other keys go through the plain joins, which keep sharing one shuffle;
 - rows without a complete key match nothing and need no join at all;
-- rows of heavy keys are joined in numbered slices. A row of a side on which its key is heavy
-  goes to one slice, and the rows of the other side are copied to all of these slices. A left
-  row that was copied finds matches in some slices and none in others; as a key that is heavy
-  on the right is there, its unmatched copies are surplus and dropped.
+- rows of heavy keys are joined in cells. Each input on which a key is heavy deals its rows of
+  that key into slices; a cell is one slice of every input, and inputs that are not heavy have
+  just one. A row is copied to all cells of its slice, so every combination of matching rows
+  meets in exactly one cell, and all joins still share one shuffle, by key and cell. A left
+  row finds the matches from a heavy right input in some cells and none in others; as the key
+  is there, the copies without a match are surplus and dropped.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from operator import mul, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,22 +38,18 @@ HEAVY_ROWS = 2_000_000
 MAX_SLICES = 4 * MAX_HEAVY
 _MERGERS = 256
 
-_KEY, _ROW, _RIGHT_ROW, _COPIED = "__key", "__row", "__right_row", "__copied"
-_LEFT, _RIGHT = "__left_slice", "__right_slice"
+_CELL, _COPY = "__cell", "__copy"
 
 
 @dataclass(frozen=True)
 class HeavyKeys:
     """Rows per heavy key of one input, and how many rows a slice should hold."""
 
-    rows: Mapping[str, int] = field(default_factory=dict)
+    rows: Mapping[tuple[str, ...], int] = field(default_factory=dict)
     null_rows: int = 0
     slice_rows: int = HEAVY_ROWS
 
-    def __bool__(self) -> bool:
-        return bool(self.rows) or self.null_rows > 0
-
-    def slices(self, key: str) -> int:
+    def slices(self, key: tuple[str, ...]) -> int:
         return min(MAX_SLICES, max(1, -(-self.rows.get(key, 1) // self.slice_rows)))
 
 
@@ -61,6 +60,16 @@ def key_text(keys: Sequence[str]) -> Column:
     return F.concat(*[F.concat(F.length(p).cast("string"), F.lit(":"), p) for p in parts])
 
 
+def _key_parts(text: str) -> tuple[str, ...]:
+    """The parts of a ``key_text``, as text."""
+    parts = []
+    while text:
+        length, _, rest = text.partition(":")
+        parts.append(rest[: int(length)])
+        text = rest[int(length) :]
+    return tuple(parts)
+
+
 def find_heavy_keys(
     inputs: Mapping[str, DataFrame],
     keys: Sequence[str] = V.FEATURE_KEYS,
@@ -95,17 +104,11 @@ def find_heavy_keys(
     found = {name: HeavyKeys(slice_rows=heavy_rows) for name in inputs}
     for r in report.collect():  # one row per input
         found[r["input"]] = HeavyKeys(
-            {t["item"]: t["count"] for t in r["top"]}, r["null_rows"], r["limit"]
+            {_key_parts(t["item"]): t["count"] for t in r["top"]}, r["null_rows"], r["limit"]
         )
     return found
 
 
-def joined(left: HeavyKeys, right: HeavyKeys) -> HeavyKeys:
-    """Heavy keys of a left join's output, from those of its inputs."""
-    rows = {k: left.rows.get(k, 1) * right.rows.get(k, 1) for k in (*left.rows, *right.rows)}
-    return HeavyKeys(rows, 0, min(left.slice_rows, right.slice_rows))
-
-
 def left_joins(
     left: DataFrame,
     rights: Sequence[DataFrame],
@@ -119,78 +122,67 @@ def left_joins(
     tables: rows are numbered where they are scanned, so that a task that is run again
     numbers them alike.
     """
-    keys, rights = list(keys), list(rights)
-    heavy = list(heavy) if heavy else [HeavyKeys()] * (1 + len(rights))
+    keys, inputs = list(keys), [left, *rights]
+    heavy = list(heavy) if heavy else [HeavyKeys() for _ in inputs]
     hot_keys = list(dict.fromkeys(k for h in heavy for k in h.rows))
-    if not hot_keys and not heavy[0].null_rows:
-        return _plain(left, rights, keys)
 
     parts = []
-    rest = [left, *rights]
     if hot_keys:
-        # at most 2 * MAX_HEAVY keys per input by construction, so it can be broadcast
-        hot = F.broadcast(left.sparkSession.createDataFrame([(k,) for k in hot_keys], f"{_KEY} string"))
-        is_hot = key_text(keys) == F.col(_KEY)
-        rest = [df.join(hot, is_hot, "left_anti") for df in (left, *rights)]
-        of_hot = [df.join(hot, is_hot, "left_semi") for df in (left, *rights)]
-        parts.append(_sliced(of_hot[0], of_hot[1:], keys, heavy))
+        cells = _cells(left, keys, hot_keys, heavy)
+        parts.append(_join_in_cells(inputs, keys, cells))
+        inputs = [df.join(F.broadcast(cells), on=keys, how="left_anti") for df in inputs]
     if heavy[0].null_rows:
+        incomplete = reduce(or_, (F.col(k).isNull() for k in keys))
         matchless = [f for df in rights for f in df.schema if f.name not in keys]
         nothing = {f.name: F.lit(None).cast(f.dataType) for f in matchless}
-        parts.append(left.where(key_text(keys).isNull()).withColumns(nothing))
-        rest[0] = rest[0].where(key_text(keys).isNotNull())
-    return reduce(DataFrame.unionByName, parts, _plain(rest[0], rest[1:], keys))
+        parts.append(left.where(incomplete).withColumns(nothing))
+        inputs[0] = inputs[0].where(~incomplete)
+    return reduce(DataFrame.unionByName, parts, _join_all(inputs, keys))
 
 
-def _plain(left: DataFrame, rights: Sequence[DataFrame], keys: list[str]) -> DataFrame:
-    return reduce(lambda so_far, right: so_far.join(right, on=keys, how="left"), rights, left)
+def _join_all(inputs: Sequence[DataFrame], keys: list[str]) -> DataFrame:
+    return reduce(lambda so_far, right: so_far.join(right, on=keys, how="left"), inputs)
 
 
-def _sliced(
-    left: DataFrame, rights: Sequence[DataFrame], keys: list[str], heavy: Sequence[HeavyKeys]
-) -> DataFrame:
-    scan_row = F.monotonically_increasing_id()
-    out, of_left = left.withColumn(_ROW, scan_row), heavy[0]
-    for right, of_right in zip(rights, heavy[1:]):
-        out = _sliced_join(out, right.withColumn(_RIGHT_ROW, scan_row), keys, of_left, of_right)
-        of_left = joined(of_left, of_right)
-    return out.drop(_ROW)
+def _slices_of(i: int) -> str:
+    return f"__slices_{i}"
+
+
+def _row_of(i: int) -> str:
+    return f"__row_{i}"
 
 
-def _sliced_join(
-    left: DataFrame, right: DataFrame, keys: list[str], of_left: HeavyKeys, of_right: HeavyKeys
+def _cells(
+    left: DataFrame, keys: list[str], hot_keys: Sequence[tuple[str, ...]], heavy: Sequence[HeavyKeys]
 ) -> DataFrame:
-    plan = [
-        (k, of_left.slices(k), of_right.slices(k))
-        for k in dict.fromkeys((*of_left.rows, *of_right.rows))
-    ]
-    slices = F.broadcast(
-        left.sparkSession.createDataFrame(plan, f"{_KEY} string, left_n int, right_n int")
-    )
-    left_n, right_n = (F.coalesce(F.col(c), F.lit(1)) for c in ("left_n", "right_n"))
-    used = (_KEY, "left_n", "right_n")
-
-    left_side = left.withColumn(_KEY, key_text(keys)).join(slices, on=_KEY, how="left")
-    left_side = left_side.withColumns(
-        {
-            _LEFT: F.pmod(F.col(_ROW), left_n).cast("int"),
-            _RIGHT: F.explode(F.sequence(F.lit(0), right_n - 1)),
-            _COPIED: right_n > 1,
-        }
-    ).drop(*used)
-    right_side = right.withColumn(_KEY, key_text(keys)).join(slices, on=_KEY, how="left")
-    right_side = right_side.withColumns(
-        {
-            _RIGHT: F.pmod(F.col(_RIGHT_ROW), right_n).cast("int"),
-            _LEFT: F.explode(F.sequence(F.lit(0), left_n - 1)),
-        }
-    ).drop(*used)
-
-    out = left_side.join(right_side, on=[*keys, _LEFT, _RIGHT], how="left")
-    surplus_copy = F.col(_COPIED) & F.col(_RIGHT_ROW).isNull()
-    return (
-        out.where(~surplus_copy)
-        # number the joined rows from numbers given at the scans, for the next join
-        .withColumn(_ROW, F.xxhash64(_ROW, _RIGHT_ROW))
-        .drop(_RIGHT_ROW, _LEFT, _RIGHT, _COPIED)
-    )
+    """Heavy keys with the slices of each input: at most 2 * MAX_HEAVY rows per input."""
+    names = [*keys, *(_slices_of(i) for i in range(len(heavy)))]
+    types = ["string"] * len(keys) + ["bigint"] * len(heavy)
+    rows = [(*k, *(h.slices(k) for h in heavy)) for k in hot_keys]
+    schema = ", ".join(f"`{n}` {t}" for n, t in zip(names, types))
+    text = left.sparkSession.createDataFrame(rows, schema)
+    return text.withColumns({k: F.col(k).cast(left.schema[k].dataType) for k in keys})
+
+
+def _join_in_cells(inputs: Sequence[DataFrame], keys: list[str], cells: DataFrame) -> DataFrame:
+    counts = [F.col(_slices_of(i)) for i in range(len(inputs))]
+    dealt = []
+    for i, df in enumerate(inputs):
+        before = reduce(mul, counts[:i], F.lit(1))
+        after = reduce(mul, counts[i + 1 :], F.lit(1))
+        numbered = df.withColumn(_row_of(i), F.monotonically_increasing_id())
+        copies = numbered.join(F.broadcast(cells), on=keys).withColumn(
+            _COPY, F.explode(F.sequence(F.lit(0).cast("bigint"), before * after - 1))
+        )
+        # cells are numbered with the slice of the first input as the highest digit
+        own = F.pmod(F.col(_row_of(i)), counts[i])
+        high, low = F.floor(F.col(_COPY) / after), F.col(_COPY) % after
+        cell = ((high * counts[i] + own) * after + low).cast("bigint")
+        unused = [_COPY] if i == 0 else [_COPY, *map(_slices_of, range(len(inputs)))]
+        dealt.append(copies.withColumn(_CELL, cell).drop(*unused))
+
+    joined = _join_all(dealt, [*keys, _CELL])
+    for i in range(1, len(inputs)):
+        joined = joined.where((counts[i] == 1) | F.col(_row_of(i)).isNotNull())
+    helpers = [f(i) for i in range(len(inputs)) for f in (_slices_of, _row_of)]
+    return joined.drop(_CELL, *helpers)

@@ -46,7 +46,7 @@ def test_heavy_key_absent_on_the_other_side(spark):
 
 def test_heavy_keys_are_counted(spark):
     df = side(spark, "a", "hot", n=3000, null_share=0.1)
-    truth = {f"{len(r.k)}:{r.k}10:{r.d}": r["count"] for r in df.groupBy("k", "d").count().collect() if r.k}
+    truth = {(r.k, str(r.d)): r["count"] for r in df.groupBy("k", "d").count().collect() if r.k}
     found = find_heavy_keys({"x": df}, KEYS, heavy_rows=200)["x"]
     assert dict(found.rows) == {k: n for k, n in truth.items() if n > 200}
     assert found.null_rows == df.where("k IS NULL").count()
@@ -56,7 +56,7 @@ def test_heavy_keys_are_counted(spark):
 def test_light_inputs_stay_plain(spark):
     df = side(spark, "a", None)
     heavy = find_heavy_keys({"x": df}, KEYS)["x"]
-    assert not heavy
+    assert not heavy.rows and not heavy.null_rows
     assert "Generate" not in plan_of(left_joins(df, [side(spark, "b", None)], KEYS, [heavy, heavy]))
 
 
@@ -64,12 +64,13 @@ def test_key_text_is_unambiguous(spark):
     df = spark.createDataFrame([("a", "1:b"), ("a1", ":b"), ("a1:", "b")], "x string, y string")
     texts = [r[0] for r in df.select(joins.key_text(["x", "y"])).collect()]
     assert len(set(texts)) == 3
+    assert [joins._key_parts(t) for t in texts] == [tuple(r) for r in df.collect()]
 
 
 def test_slices_are_bounded():
-    wild = HeavyKeys({"k": 10**18}, 0, 10)
-    assert wild.slices("k") == joins.MAX_SLICES
-    assert wild.slices("other") == 1
+    wild = HeavyKeys({("k",): 10**18}, 0, 10)
+    assert wild.slices(("k",)) == joins.MAX_SLICES
+    assert wild.slices(("other",)) == 1
 
 
 def _parts(spark, hot):
@@ -92,6 +93,15 @@ def _parts(spark, hot):
     }
 
 
+def test_key_heavy_on_all_three_sides(spark):
+    parts = _parts(spark, True)
+    one_key = {n: df.withColumn("Customer_ID", F.lit("c3")).limit(25) for n, df in parts.items()}
+    heavy = find_heavy_keys(one_key, heavy_rows=4)
+    assert all(len(h.rows) for h in heavy.values())
+    sliced = features.join_features(*one_key.values(), heavy=heavy)
+    assert in_order(sliced) == in_order(features.join_features(*one_key.values()))
+
+
 @pytest.mark.parametrize("hot", [False, True])
 def test_feature_join_with_heavy_keys(spark, hot):
     parts = _parts(spark, hot)
