@@ -2,8 +2,9 @@
 
 A left join sends all rows of a key to one task, and adaptive execution cannot split that
 task when two joins share one shuffle or when the heavy side is the right one. So the heavy
-keys are looked up first: a frequent-items sketch over the key columns, merged in two steps,
-names every key above a share of the rows. Usually there are none and the joins stay plain.
+keys are looked up first: a frequent-items sketch over hashes of the key columns, merged in two
+steps, points to every key above a share of the rows. Usually there are none and the joins stay
+plain; else the keys it points to are counted.
 Otherwise each left row takes one of three ways, and the results are put together:
 
 - rows with other keys go through the plain joins, which keep sharing one shuffle;
@@ -21,10 +22,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
-from operator import mul, or_
+from operator import and_, mul
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapmill import fixed_values as V
 
@@ -45,29 +47,17 @@ _CELL, _COPY = "__cell", "__copy"
 class HeavyKeys:
     """Rows per heavy key of one input, and how many rows a slice should hold."""
 
-    rows: Mapping[tuple[str, ...], int] = field(default_factory=dict)
+    rows: Mapping[tuple, int] = field(default_factory=dict)
     null_rows: int = 0
     slice_rows: int = HEAVY_ROWS
 
-    def slices(self, key: tuple[str, ...]) -> int:
+    def slices(self, key: tuple) -> int:
         return min(MAX_SLICES, max(1, -(-self.rows.get(key, 1) // self.slice_rows)))
 
 
 
-def key_text(keys: Sequence[str]) -> Column:
-    """Unambiguous text of a composite key; null when any part is."""
-    parts = [F.col(k).cast("string") for k in keys]
-    return F.concat(*[F.concat(F.length(p).cast("string"), F.lit(":"), p) for p in parts])
-
-
-def _key_parts(text: str) -> tuple[str, ...]:
-    """The parts of a ``key_text``, as text."""
-    parts = []
-    while text:
-        length, _, rest = text.partition(":")
-        parts.append(rest[: int(length)])
-        text = rest[int(length) :]
-    return tuple(parts)
+def _complete(keys: Sequence[str]) -> Column:
+    return reduce(and_, (F.col(k).isNotNull() for k in keys))
 
 
 def find_heavy_keys(
@@ -75,18 +65,20 @@ def find_heavy_keys(
     keys: Sequence[str] = V.FEATURE_KEYS,
     heavy_rows: int = HEAVY_ROWS,
 ) -> dict[str, HeavyKeys]:
-    """Heavy keys of each named input. Runs one job that reads only the key columns.
+    """Heavy keys of each named input, with exact counts.
 
-    What comes back to the driver is bounded: at most ``MAX_HEAVY`` keys per input.
+    Runs one job, or two when there are any, over the key columns only. What comes back to the
+    driver is bounded: at most ``MAX_HEAVY`` keys per input.
     """
+    key_hash = F.when(_complete(keys), F.xxhash64(*keys)).alias("hash")
     tagged = reduce(
         DataFrame.unionByName,
-        (df.select(F.lit(name).alias("input"), key_text(keys).alias("key")) for name, df in inputs.items()),
+        (df.select(F.lit(name).alias("input"), key_hash, *keys) for name, df in inputs.items()),
     )
     partial = tagged.groupBy("input", (F.spark_partition_id() % _MERGERS).alias("merger")).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("key").isNull()).alias("null_rows"),
-        F.expr(f"approx_top_k_accumulate(key, {TRACKED})").alias("sketch"),
+        F.count_if(F.col("hash").isNull()).alias("null_rows"),
+        F.expr(f"approx_top_k_accumulate(hash, {TRACKED})").alias("sketch"),
     )
     merged = partial.groupBy("input").agg(
         F.sum("rows").alias("rows"),
@@ -100,12 +92,25 @@ def find_heavy_keys(
         limit.alias("limit"),
         F.when(F.col("null_rows") > limit, F.col("null_rows")).otherwise(0).alias("null_rows"),
         F.filter(top, lambda t: t["item"].isNotNull() & (t["count"] > limit)).alias("top"),
-    )
-    found = {name: HeavyKeys(slice_rows=heavy_rows) for name in inputs}
-    for r in report.collect():  # one row per input
-        found[r["input"]] = HeavyKeys(
-            {_key_parts(t["item"]): t["count"] for t in r["top"]}, r["null_rows"], r["limit"]
+    ).collect()  # one row per input
+
+    suspects = [(r["input"], t["item"], r["limit"]) for r in report for t in r["top"]]
+    rows: dict[str, dict[tuple, int]] = {name: {} for name in inputs}
+    if suspects:
+        schema = "input string, hash bigint, limit bigint"
+        suspected = F.broadcast(merged.sparkSession.createDataFrame(suspects, schema))
+        counted = (
+            tagged.join(suspected, on=["input", "hash"])
+            .groupBy("input", "limit", *keys)
+            .agg(F.count(F.lit(1)).alias("rows"))
+            .where("rows > limit")
         )
+        for r in counted.collect():
+            rows[r["input"]][tuple(r[k] for k in keys)] = r["rows"]
+    found = {name: HeavyKeys(slice_rows=heavy_rows) for name in inputs}
+    found.update(
+        {r["input"]: HeavyKeys(rows[r["input"]], r["null_rows"], r["limit"]) for r in report}
+    )
     return found
 
 
@@ -132,11 +137,10 @@ def left_joins(
         parts.append(_join_in_cells(inputs, keys, cells))
         inputs = [df.join(F.broadcast(cells), on=keys, how="left_anti") for df in inputs]
     if heavy[0].null_rows:
-        incomplete = reduce(or_, (F.col(k).isNull() for k in keys))
         matchless = [f for df in rights for f in df.schema if f.name not in keys]
         nothing = {f.name: F.lit(None).cast(f.dataType) for f in matchless}
-        parts.append(left.where(incomplete).withColumns(nothing))
-        inputs[0] = inputs[0].where(~incomplete)
+        parts.append(left.where(~_complete(keys)).withColumns(nothing))
+        inputs[0] = inputs[0].where(_complete(keys))
     return reduce(DataFrame.unionByName, parts, _join_all(inputs, keys))
 
 
@@ -153,15 +157,15 @@ def _row_of(i: int) -> str:
 
 
 def _cells(
-    left: DataFrame, keys: list[str], hot_keys: Sequence[tuple[str, ...]], heavy: Sequence[HeavyKeys]
+    left: DataFrame, keys: list[str], hot_keys: Sequence[tuple], heavy: Sequence[HeavyKeys]
 ) -> DataFrame:
-    """Heavy keys with the slices of each input: at most 2 * MAX_HEAVY rows per input."""
-    names = [*keys, *(_slices_of(i) for i in range(len(heavy)))]
-    types = ["string"] * len(keys) + ["bigint"] * len(heavy)
+    """Heavy keys with the slices of each input: at most MAX_HEAVY rows per input."""
+    schema = T.StructType(
+        [left.schema[k] for k in keys]
+        + [T.StructField(_slices_of(i), T.LongType()) for i in range(len(heavy))]
+    )
     rows = [(*k, *(h.slices(k) for h in heavy)) for k in hot_keys]
-    schema = ", ".join(f"`{n}` {t}" for n, t in zip(names, types))
-    text = left.sparkSession.createDataFrame(rows, schema)
-    return text.withColumns({k: F.col(k).cast(left.schema[k].dataType) for k in keys})
+    return left.sparkSession.createDataFrame(rows, schema)
 
 
 def _join_in_cells(inputs: Sequence[DataFrame], keys: list[str], cells: DataFrame) -> DataFrame:
