@@ -1,4 +1,59 @@
-"""From raw documents to packed sequences."""
-STAGES = []
+"""From raw documents to packed training sequences, in stages that each write a table."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from snapmill.llm.common import shared_table
+from snapmill.llm.decontam import drop_contaminated
+from snapmill.llm.exact import drop_exact_copies
+from snapmill.llm.langid import drop_unknown_languages
+from snapmill.llm.packing import pack
+from snapmill.llm.simhash import drop_near_duplicates
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents without a letter or far from every language of the corpus."""
+    return drop_unknown_languages(docs)
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of equal texts."""
+    return drop_exact_copies(docs)
+
+
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group linked by fingerprints of 4-word shingles within 4 bits."""
+    return drop_near_duplicates(docs, shingle=4, distance=4)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that contain a benchmark item, re-parameterised or not."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pack what is left into sequences of 2048 tokens."""
+    return pack(docs, capacity=2048)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame | None, str], DataFrame]]] = [
+    ("language_id", language_id),
+    ("exact_dedup", exact_dedup),
+    ("simhash_dedup", simhash_dedup),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
+
+#: Fingerprints and token ids are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir): raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each on the written table of the one before."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = shared_table(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from snapmill.llm.common import documents
+from snapmill.llm.decontam import contaminations
 from snapmill.llm.exact import exact_groups
+from snapmill.llm.langid import identify
 from snapmill.llm.packing import pack
 from snapmill.llm.sharding import shard_rows
 from snapmill.llm.simhash import near_duplicates
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), shingle=4, distance=4)
 
@@ -21,6 +27,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminations(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), capacity=2048)
 
@@ -30,8 +40,10 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_simhash": op2_simhash,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_decontamination": op7_decontamination,
     "op8_packing": op8_packing,
     "op9_sharding": op9_sharding,
 }
