@@ -1,6 +1,27 @@
 """SQL that computes the same rows as a query, where SQL can."""
 
 ORACLE: dict[str, str] = {
+    "op4_substring_dedup": r"""
+        WITH docs AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+        ), windows AS (
+            SELECT doc_id, s, array_to_string(words[s:s + 12], ' ') AS w
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS s FROM docs WHERE len(words) >= 13)
+        ), repeated AS (
+            SELECT doc_id, s FROM (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY w) AS first FROM windows)
+            WHERE doc_id > first
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS i FROM repeated
+        ), words AS (
+            SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM docs
+        ), kept AS (
+            SELECT words.doc_id, string_agg(word, ' ' ORDER BY words.i) AS kept, count(*) AS n
+            FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY words.doc_id
+        )
+        SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM docs LEFT JOIN kept USING (doc_id)
+    """,
     "op6_exact_dedup": r"""
         WITH normal AS (
             SELECT doc_id, coalesce(text, '') AS t,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from snapmill.llm.common import documents
 from snapmill.llm.decontam import contaminations
@@ -13,6 +14,7 @@ from snapmill.llm.langid import identify
 from snapmill.llm.packing import pack
 from snapmill.llm.sharding import shard_rows
 from snapmill.llm.simhash import near_duplicates
+from snapmill.llm.substrings import repeats
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +25,14 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), shingle=4, distance=4)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats(documents(spark, sf_dir), window=13)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir))
 
@@ -42,6 +52,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_simhash": op2_simhash,
+    "op4_substring_dedup": op4_substring_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_packing": op8_packing,
