@@ -251,16 +251,17 @@ class Allocation:
                     yield near * np.uint64(len(self.parts)) + np.uint64(part), np.repeat(some, len(masks))
 
 
-def allocate(fps: DataFrame, n: int, distance: int) -> Allocation:
-    parts = group_bits(bit_correlation(fps), choose_parts(n, distance))
+def allocate(fps: DataFrame, n: int, distance: int, correlation: np.ndarray) -> Allocation:
+    parts = group_bits(correlation, choose_parts(n, distance))
     blocks = [blocks_of(p) for p in parts]
     flat = iter(block_histograms(fps, [b for own in blocks for b in own]))
     return Allocation(parts, [[next(flat) for _ in own] for own in blocks], n, distance)
 
 
-def links(fps: DataFrame, n: int, distance: int) -> DataFrame:
-    """(u, v) of fingerprints within ``distance`` whose roots differ; ``fps`` has distinct fp, root."""
-    plan = fps.sparkSession.sparkContext.broadcast(allocate(fps, n, distance))
+def links(fps: DataFrame, plan: Allocation) -> DataFrame:
+    """(u, v) of differing roots of fingerprints within the plan's distance; ``fps`` has distinct fp, root."""
+    distance = plan.distance
+    plan = fps.sparkSession.sparkContext.broadcast(plan)
 
     def expand(probing: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,7 +285,7 @@ def links(fps: DataFrame, n: int, distance: int) -> DataFrame:
     index = fps.select("fp", "root").mapInArrow(expand(False), "k long, fp long, root long").alias("b")
     near = F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= distance
     met = probes.join(index, (F.col("a.k") == F.col("b.k")) & (F.col("a.root") != F.col("b.root")) & near)
-    return met.select(F.greatest("a.fp", "b.fp").alias("u"), F.least("a.fp", "b.fp").alias("v")).distinct()
+    return met.select(F.greatest("a.root", "b.root").alias("u"), F.least("a.root", "b.root").alias("v")).distinct()
 
 
 # Operator
@@ -304,20 +305,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> Dat
     still apart; a node of a dense group has few links that way.
     """
     rows = cut(fingerprints(docs, shingle))
-    nodes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    nodes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumn("root", F.col("fp")))
     n = nodes.count()
-    roots = nodes.select("fp", F.col("fp").alias("root"))
+    correlation = bit_correlation(nodes)
     for radius in dict.fromkeys((distance // 2, distance)):
         if n > 1 and radius:
-            by_root = components(links(roots, n, radius).join(roots.withColumnRenamed("fp", "u"), "u")
-                                 .withColumnRenamed("root", "ru").join(roots.withColumnRenamed("fp", "v"), "v")
-                                 .select(F.col("ru").alias("u"), F.col("root").alias("v")))
-            moved = by_root.select(F.col("node").alias("root"), F.col("root").alias("to"))
-            roots = cut(roots.join(moved, "root", "left").select("fp", F.coalesce("to", "root").alias("root")))
-    least = nodes.join(roots, "fp")
-    of_root = least.groupBy("root").agg(F.min("least").alias("component_id"))
+            moved = components(links(nodes, allocate(nodes, n, radius, correlation)))
+            moved = moved.withColumnsRenamed({"node": "root", "root": "to"})
+            nodes = cut(nodes.join(moved, "root", "left").select("fp", "least", F.coalesce("to", "root").alias("root")))
+    of_root = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
     # A fingerprint may have a third of all rows: the lookup is a plain join that is split at it.
-    by_fp = roots.join(of_root, "root").select("fp", "component_id")
+    by_fp = nodes.join(of_root, "root").select("fp", "component_id")
     return rows.join(by_fp, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
