@@ -311,7 +311,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> Dat
     for radius in dict.fromkeys((distance // 2, distance)):
         if n > 1 and radius:
             moved = components(links(nodes, allocate(nodes, n, radius, correlation)))
-            moved = moved.withColumnsRenamed({"node": "root", "root": "to"})
+            moved = moved.select(F.col("node").alias("root"), F.col("root").alias("to"))
             nodes = cut(nodes.join(moved, "root", "left").select("fp", "least", F.coalesce("to", "root").alias("root")))
     of_root = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
     # A fingerprint may have a third of all rows: the lookup is a plain join that is split at it.
