@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -10,6 +11,12 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Punctuation and spaces beyond ASCII, read as a space where words are runs of letters.
+OTHER_MARKS = re.compile(
+    "[\u0085\u00a0-\u00a2\u00a4-\u00a9\u00ab-\u00af\u00b1-\u00b4\u00b6-\u00b8\u00bb-\u00bf\u00d7\u00f7"
+    "\u2000-\u206f\u2e00-\u2e7f\u3000-\u303f\ufeff]"
+)
+
 #: ASCII white space, the characters that separate words in every contract.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from snapmill.llm.common import cut
+from snapmill.llm.common import OTHER_MARKS, cut
 from snapmill.llm.windows import Powers, rolling, span_hashes, spans, text_slices
 
 #: Words of a window; shorter items are one window as a whole.
@@ -41,8 +41,7 @@ UNITS = frozenset(
     "grams kilogram kilograms litre litres liter liters pound pounds dollar dollars euro euros cent cents percent "
     "degree degrees mph kmh km/h usd eur gbp".split()
 )
-#: Punctuation and spaces beyond ASCII, read as a space; signs of units, read as a dollar sign.
-OTHER_MARKS = re.compile("[\u0085\u00a0-\u00a2\u00a4-\u00a9\u00ab-\u00af\u00b1-\u00b4\u00b6-\u00b8\u00bb-\u00bf\u00d7\u00f7\u2000-\u206f\u2e00-\u2e7f\u3000-\u303f\ufeff]")
+#: Signs of units beyond ASCII, read as a dollar sign.
 UNIT_SIGNS = re.compile("[\u00a3\u00b0\u20ac]")
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
 WORD_KIND, NAME_KIND, NUMBER_KIND, UNIT_KIND = range(4)

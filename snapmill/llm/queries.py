@@ -15,6 +15,7 @@ from snapmill.llm.packing import pack
 from snapmill.llm.sharding import shard_rows
 from snapmill.llm.simhash import near_duplicates
 from snapmill.llm.substrings import repeats
+from snapmill.llm.toxicity import toxicity
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +50,10 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(documents(spark, sf_dir), shards=40)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_simhash": op2_simhash,
@@ -57,4 +62,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontamination": op7_decontamination,
     "op8_packing": op8_packing,
     "op9_sharding": op9_sharding,
+    "op10_toxicity": op10_toxicity,
 }
