@@ -2,8 +2,9 @@
 
 A noisy channel is undone first: words spelled with digits and signs, spaced out, or with letters
 repeated are lattices of possible characters, and the path that is likeliest under a character
-trigram model of the corpus is taken. The restored text is scored by a lexicon of words and word
-beginnings that labelled texts show to be toxic.
+trigram model of the corpus is taken. The words of the restored text are then scored by how often
+they, or failing that their beginnings, occur in toxic and in clean labelled texts, and a logistic
+model of the words' odds gives the score of the text.
 """
 
 from __future__ import annotations
@@ -24,12 +25,15 @@ from snapmill.llm.windows import Powers, mix, rolling, span_hashes, spans, text_
 #: The lexicon is learned from this many labelled documents of each class at most.
 TOXIC_SAMPLE = 6_000
 CLEAN_SAMPLE = 14_000
-#: Entries of the lexicon; those with the most evidence stay.
-LEXICON = 200_000
+#: Entries of the lexicon at most, and documents of the sample that an entry occurs in at least.
+LEXICON = 500_000
+OCCURS = 4
+#: Weight of a shorter beginning's odds against the documents of a longer one.
+PRIOR = 3.0
+#: Log odds ratio from which a word counts as a sign of toxicity.
+SIGN_OF = 1.0
 #: Bytes that word beginnings have; whole words are features too.
 BEGINNINGS = (4, 5, 6, 7)
-#: Evidence a feature needs beyond the logarithm of the number of features.
-MARGIN = 2.0
 #: Longer words are taken as they are: keys and links, not words.
 LONGEST = 40
 #: Bytes of text that a task reads at a time; a longer text is taken whole.
@@ -163,11 +167,17 @@ WORD_BYTE[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 @dataclass
 class Words:
-    """Words of joined texts: the row and hash of each, and the hashes of all its features."""
+    """Words of joined texts.
 
+    Distinct pairs of row and word; the hash of each word's occurrence and its row; and for each
+    distinct word the hashes of its features from the shortest beginning to the whole, 0 for none.
+    """
+
+    rows: np.ndarray
+    which: np.ndarray
     row: np.ndarray
     hash: np.ndarray
-    features: list[tuple[np.ndarray, np.ndarray]]
+    features: np.ndarray
 
 
 def read_words(whole: str, powers: Powers) -> Words:
@@ -175,37 +185,75 @@ def read_words(whole: str, powers: Powers) -> Words:
     start, end = spans(WORD_BYTE[data], np.empty(0, np.int64))
     row = np.searchsorted(np.flatnonzero(data == 0), start)
     own = span_hashes(data, start, end, powers)
-    features = [(np.arange(len(start)), mix(own))]
-    for n in BEGINNINGS:
-        at = np.flatnonzero(end - start >= n)
-        features.append((at, span_hashes(data, start[at], start[at] + n, powers) + np.uint64(n)))
-    return Words(row, own, features)
+    _, first, which = np.unique(own, return_index=True, return_inverse=True)
+    order = np.argsort(first)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    at = first[order]
+    pairs = np.unique(row * max(1, len(at)) + place[which])
+    features = np.zeros((len(BEGINNINGS) + 1, len(at)), np.uint64)
+    for k, n in enumerate(BEGINNINGS):
+        long = np.flatnonzero(end[at] - start[at] >= n)
+        features[k, long] = span_hashes(data, start[at[long]], start[at[long]] + n, powers) + np.uint64(n)
+    features[-1] = mix(own[at])
+    return Words(pairs // max(1, len(at)), pairs % max(1, len(at)), row, own, features)
 
 
 @dataclass
 class Model:
-    """The character model, the lexicon (sorted hashes and their odds), and the score without a hit."""
+    """The character model; the lexicon (sorted hashes, toxic and all documents); the share of toxic
+    documents; and the weights of the logistic model."""
 
     counts: np.ndarray
     hashes: np.ndarray
-    odds: np.ndarray
-    base: float
+    toxic: np.ndarray
+    all: np.ndarray
+    share: float
+    weights: np.ndarray | None = None
+
+    def signs(self, words: Words, rows: int, labels: np.ndarray | None = None) -> np.ndarray:
+        """By row: sum and maximum of the log odds ratios of its toxic words, and the log of its words.
+
+        With ``labels`` each row's own document is taken out of the counts.
+        """
+        place = np.searchsorted(self.hashes, words.features) % max(1, len(self.hashes))
+        known = (self.hashes[place] == words.features) if len(self.hashes) else np.zeros(words.features.shape, bool)
+        p = np.full(len(words.which), self.share)
+        mine = 0.0 if labels is None else labels[words.rows]
+        for at, seen in zip(place, known):
+            own = at[words.which]
+            toxic, n = self.toxic[own] - mine, self.all[own] - (labels is not None)
+            p = np.where(seen[words.which], (toxic + PRIOR * p) / (n + PRIOR), p) if len(self.hashes) else p
+        p = np.clip(p, 1e-4, 1 - 1e-4)
+        ratio = np.log(p / (1 - p)) - math.log(self.share / (1 - self.share))
+        ratio = np.where(ratio >= SIGN_OF, ratio, 0.0)
+        out = np.zeros((rows, 4))
+        out[:, 0] = 1
+        np.add.at(out[:, 1], words.rows, ratio)
+        np.maximum.at(out[:, 2], words.rows, ratio)
+        out[:, 3] = np.log1p(np.bincount(words.rows, minlength=rows))
+        return out
 
     def score(self, texts: list[str | None], spelling: Spelling, powers: Powers) -> np.ndarray:
-        clean = np.ones(len(texts))
-        hit = np.zeros(len(texts), bool)
-        if len(self.hashes):
-            words = read_words(restored(texts, spelling), powers)
-            best = np.zeros(len(words.row))
-            for at, hashes in words.features:
-                place = np.searchsorted(self.hashes, hashes) % len(self.hashes)
-                np.maximum.at(best, at, np.where(self.hashes[place] == hashes, self.odds[place], 0.0))
-            found = np.flatnonzero(best)
-            pairs = {(r, h): p for r, h, p in zip(words.row[found].tolist(), words.hash[found].tolist(), best[found].tolist())}
-            for (row, _), p in pairs.items():
-                clean[row] *= 1 - p
-                hit[row] = True
-        return np.where(hit, 1 - clean, self.base)
+        if self.weights is None:
+            return np.zeros(len(texts))
+        found = self.signs(read_words(restored(texts, spelling), powers), len(texts))
+        return 1 / (1 + np.exp(-np.clip(found @ self.weights, -30, 30)))
+
+
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> np.ndarray:
+    """Weights of a logistic model by Newton's method; the first column is the constant."""
+    w = np.zeros(x.shape[1])
+    pull = np.diag([0.0] + [ridge] * (x.shape[1] - 1))
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (weight * (y - p)) - pull @ w
+        bend = (x * (weight * p * (1 - p))[:, None]).T @ x + pull + 1e-9 * np.eye(len(w))
+        step = np.clip(np.linalg.solve(bend, slope), -5, 5)
+        w += step
+        if np.abs(step).max() < 1e-8:
+            break
+    return w
 
 
 # Learning
@@ -230,10 +278,14 @@ def character_counts(docs: DataFrame) -> np.ndarray:
     return out
 
 
-def _sample(labels: DataFrame, sizes: tuple[int, int]) -> DataFrame:
-    """doc_id and label of at most the given numbers of clean and toxic documents, evenly spread."""
+def _labelled(labels: DataFrame) -> DataFrame:
+    """doc_id and label (y, 1 for toxic) of what may be learned from."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    one = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("y"))
+    return known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("y"))
+
+
+def _sample(one: DataFrame, sizes: tuple[int, int]) -> DataFrame:
+    """At most the given numbers of clean and toxic documents, evenly spread."""
     mixed = F.xxhash64(F.lit("sample"), "doc_id")
     parts = [one.where(F.col("y") == y).orderBy(mixed, "doc_id").limit(n) for y, n in enumerate(sizes)]
     return parts[0].unionByName(parts[1])
@@ -276,52 +328,69 @@ def fit(docs: DataFrame, labels: DataFrame, sizes: tuple[int, int] = (CLEAN_SAMP
     spark = docs.sparkSession
     counts = character_counts(docs)
     texts = docs.select("doc_id", "text").where("text IS NOT NULL")
-    sample = cut(_sample(labels, sizes))
+    labelled = cut(_labelled(labels))
+    natural = {0: 0, 1: 0} | {r.y: r["count"] for r in labelled.groupBy("y").count().collect()}
+    sample = cut(_sample(labelled, sizes))
     chosen = _different(texts.join(F.broadcast(sample), "doc_id").select("doc_id", "y", "text"))  # sum(sizes) ids at most
     total = {r.y: r["count"] for r in chosen.groupBy("y").count().collect()}
-    toxic, clean = total.get(1, 0), total.get(0, 0)
-    if not toxic or not clean:
-        return Model(counts, np.empty(0, np.uint64), np.empty(0), 0.0)
+    model = Model(counts, np.empty(0, np.uint64), np.empty(0), np.empty(0), 0.5)
+    if not total.get(0) or not total.get(1):
+        return model
+    model.share = total[1] / (total[0] + total[1])
     shared = spark.sparkContext.broadcast(counts)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spelling, powers = Spelling(shared.value), Powers()
         for batch in batches:
             for part in text_slices(batch, 8 * SLICE):
                 words = read_words(restored(part.column(1).to_pylist(), spelling), powers)
                 y = part.column(0).to_numpy(zero_copy_only=False)
-                row = np.concatenate([words.row[at] for at, _ in words.features])
-                hashes = np.concatenate([h for _, h in words.features])
+                hashes = words.features[:, words.which].ravel()
+                row = np.tile(words.rows, len(words.features))
+                row, hashes = row[hashes != 0], hashes[hashes != 0]
                 order = np.lexsort((row, hashes))
                 row, hashes = row[order], hashes[order]
-                first = np.ones(len(row), bool)
-                first[1:] = (row[1:] != row[:-1]) | (hashes[1:] != hashes[:-1])
-                row, hashes = row[first], hashes[first]
+                fresh = np.ones(len(row), bool)
+                fresh[1:] = (row[1:] != row[:-1]) | (hashes[1:] != hashes[:-1])
+                row, hashes = row[fresh], hashes[fresh]
                 values, at = np.unique(hashes, return_index=True)
-                n1 = np.add.reduceat(y[row], at) if len(at) else np.empty(0, np.int64)
-                n = np.diff(at, append=len(hashes))
+                toxic = np.add.reduceat(y[row], at) if len(at) else np.empty(0)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(values.view(np.int64)), pa.array(n1.astype(np.int64)), pa.array((n - n1).astype(np.int64))], ["h", "n1", "n0"]
+                    [pa.array(values.view(np.int64)), pa.array(toxic.astype(np.int32)), pa.array(np.diff(at, append=len(hashes)).astype(np.int32))],
+                    ["h", "toxic", "n"],
                 )
 
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("y", "text").mapInArrow(run, "h long, n1 long, n0 long")
-    rows = cut(rows.groupBy("h").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).where("n1 > 1"))
-    features = max(2, rows.count())
-    share = toxic / (toxic + clean)
-    p = (F.col("n1") + share) / (F.col("n1") + F.col("n0") + 1)
-    gain = F.col("n1") * F.log(p / share) + F.col("n0") * F.log((1 - p) / (1 - share))
-    found = rows.withColumns({"p": p, "gain": gain}).where((F.col("p") >= 0.5) & (F.col("gain") > math.log(features) + MARGIN))
-    best = found.orderBy(F.desc("gain"), "h").limit(LEXICON).select("h", "p").collect()
-    best.sort(key=lambda r: r.h & (2**64 - 1))
-    hashes = np.array([r.h for r in best], np.int64).view(np.uint64)
-    return Model(counts, hashes, np.array([min(r.p, 0.999) for r in best]), 0.25 * share)
+    labelled = texts.join(F.broadcast(chosen), "doc_id").select("y", "text")
+    rows = labelled.mapInArrow(count, "h long, toxic int, n int").groupBy("h").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
+    best = rows.where(F.col("n") >= OCCURS).orderBy(F.desc("toxic"), F.desc("n"), "h").limit(LEXICON).toArrow()
+    hashes = best["h"].to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    model.hashes = hashes[order]
+    model.toxic, model.all = (best[c].to_numpy().astype(float)[order] for c in ("toxic", "n"))
+    known = spark.sparkContext.broadcast(model)
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spelling, powers = Spelling(known.value.counts), Powers()
+        for batch in batches:
+            for part in text_slices(batch, SLICE):
+                words = read_words(restored(part.column(1).to_pylist(), spelling), powers)
+                y = part.column(0).to_numpy(zero_copy_only=False).astype(float)
+                found = known.value.signs(words, part.num_rows, y)
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c) for c in found.T)], ["y", "a", "b", "c", "d"])
+
+    table = labelled.mapInArrow(describe, "y int, a double, b double, c double, d double").toArrow()  # sum(sizes) rows at most
+    y = table["y"].to_numpy().astype(float)
+    x = np.column_stack([table[c].to_numpy() for c in "abcd"])
+    weight = np.where(y > 0, natural[1] / total[1], natural[0] / total[0])
+    model.weights = logistic(x, y, weight / weight.mean())
+    return model
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sizes: tuple[int, int] = (CLEAN_SAMPLE, TOXIC_SAMPLE)) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted (1 if score >= 0.5).
 
-    The score joins the odds of the distinct toxic words of the restored text; a text without
-    any, a null or empty one too, has a low score that all such share. Where there are no labels
+    The score weighs the odds of the distinct toxic words of the restored text; a null or empty
+    text has no words and a low score. Where there are no labels
     of both classes to learn from, all scores are 0. Several labels of a doc_id count as toxic if
     one is; labels without a doc_id or a value are not learned from. Copies among the labelled
     texts count once. Repeated rows get a row each; a null doc_id is held out. Extra columns are
