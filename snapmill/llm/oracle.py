@@ -1,5 +1,12 @@
 """SQL that computes the same rows as a query, where SQL can."""
 
+#: Base32 of ``hex``, 160 bits: five hexadecimal digits are four base32 digits.
+BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, {5 * group + 1}, 5))::INT >> {shift}) & 31), 1)"
+    for group in range(8)
+    for shift in (15, 10, 5, 0)
+)
+
 ORACLE: dict[str, str] = {
     "op4_substring_dedup": r"""
         WITH docs AS (
@@ -22,6 +29,20 @@ ORACLE: dict[str, str] = {
                sha256(coalesce(kept, '')) AS kept_sha256
         FROM docs LEFT JOIN kept USING (doc_id)
     """,
+    "op5_warc": rf"""
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages
+        ), coded AS (
+            SELECT page_id, strlen(payload) AS payload_bytes, hex,
+                   {BASE32} AS payload_digest,
+                   min(page_id) OVER (PARTITION BY hex) AS first
+            FROM p
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM coded
+    """,
     "op6_exact_dedup": r"""
         WITH normal AS (
             SELECT doc_id, coalesce(text, '') AS t,

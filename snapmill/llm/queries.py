@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmill.llm.common import documents
+from snapmill.llm.common import documents, pages, shared_path
 from snapmill.llm.decontam import contaminations
 from snapmill.llm.exact import exact_groups
 from snapmill.llm.langid import identify
@@ -16,6 +16,7 @@ from snapmill.llm.sharding import shard_rows
 from snapmill.llm.simhash import near_duplicates
 from snapmill.llm.substrings import repeats
 from snapmill.llm.toxicity import toxicity
+from snapmill.llm.warc import read_archives, write_archives
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +35,20 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "warc")
+    table = pages(spark, sf_dir)
+    write_archives(table, path, least_bytes=0)
+    kind = table.schema["page_id"].dataType
+    return read_archives(spark, path).select(
+        F.col("page_id").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir))
 
@@ -58,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_simhash": op2_simhash,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_warc": op5_warc,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_packing": op8_packing,
