@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from snapmill.llm.common import documents, pages, shared_path
 from snapmill.llm.decontam import contaminations
 from snapmill.llm.exact import exact_groups
+from snapmill.llm.htmltext import extract
 from snapmill.llm.langid import identify
 from snapmill.llm.packing import pack
 from snapmill.llm.sharding import shard_rows
@@ -27,6 +28,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), shingle=4, distance=4)
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(pages(spark, sf_dir))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats(documents(spark, sf_dir), window=13)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
@@ -72,6 +77,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_simhash": op2_simhash,
+    "op3_html_text": op3_html_text,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_warc": op5_warc,
     "op6_exact_dedup": op6_exact_dedup,
