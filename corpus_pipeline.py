@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapmill.llm.common import shared_table
+from snapmill.llm.common import shared_table, ship_code
 from snapmill.llm.decontam import drop_contaminated
 from snapmill.llm.exact import drop_exact_copies
 from snapmill.llm.langid import drop_unknown_languages
@@ -53,6 +53,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each on the written table of the one before."""
+    ship_code(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = shared_table(stage(spark, docs, sf_dir), name)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import os
 import re
 import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,20 @@ OTHER_MARKS = re.compile(
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 
 
+ROOT = Path(__file__).resolve().parents[2]
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors, unless Python finds it there by the path they inherit."""
+    if str(ROOT) in [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]:
+        return
+    if any("snapmill-code" in file for file in spark.sparkContext.listFiles):
+        return
+    folder = tempfile.mkdtemp(prefix="snapmill-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/snapmill-code", "zip", ROOT, "snapmill"))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder of ``spark.checkpoint.dir``; make one only in a local session without it."""
     if spark.sparkContext.getCheckpointDir() is not None:

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmill.llm.common import documents, pages, shared_path
+from snapmill.llm.common import documents, pages, shared_path, ship_code
 from snapmill.llm.decontam import contaminations
 from snapmill.llm.exact import exact_groups
 from snapmill.llm.htmltext import extract
@@ -74,15 +75,27 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_code(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_language_id": op1_language_id,
-    "op2_simhash": op2_simhash,
-    "op3_html_text": op3_html_text,
-    "op4_substring_dedup": op4_substring_dedup,
-    "op5_warc": op5_warc,
-    "op6_exact_dedup": op6_exact_dedup,
-    "op7_decontamination": op7_decontamination,
-    "op8_packing": op8_packing,
-    "op9_sharding": op9_sharding,
-    "op10_toxicity": op10_toxicity,
+    query.__name__: _shipped(query)
+    for query in (
+        op1_language_id,
+        op2_simhash,
+        op3_html_text,
+        op4_substring_dedup,
+        op5_warc,
+        op6_exact_dedup,
+        op7_decontamination,
+        op8_packing,
+        op9_sharding,
+        op10_toxicity,
+    )
 }
