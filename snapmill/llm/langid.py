@@ -32,7 +32,7 @@ TEXTS_PER_LANGUAGE = 1000
 MARGIN = 0.5
 #: A cluster with a smaller share of its language's texts is given up, its texts go to the others.
 LEAST_SHARE = 0.02
-#: Texts a length band (a power of two of n-grams) must have had in training to reject any.
+#: Texts a length band (a power of two of n-grams) must have had in training to get its own bound.
 BAND_TEXTS = 20
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -157,10 +157,10 @@ def fit(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE, clusters: int =
         centres, _ = cluster(vectors, clusters)
         cosine = (vectors @ centres.T).max(1)
         least = np.zeros(64)
-        for b in np.unique(band):
+        for b in range(1, 64):
             own = cosine[band == b]
-            if len(own) >= BAND_TEXTS:
-                least[b] = max(0.0, MARGIN * own.min())
+            # Longer texts are closer: a band with few texts has the bound of the one before.
+            least[b] = max(0.0, MARGIN * own.min()) if len(own) >= BAND_TEXTS else least[b - 1]
         return pd.DataFrame(
             {"lang": group["lang"].iloc[0], "centroid": list(centres.astype(float)), "least": [least] * len(centres)}
         )

@@ -1,0 +1,100 @@
+"""The registered queries on whole tables of the smallest scale, and the pipeline stage by stage."""
+
+import os
+import random
+
+import pytest
+
+import __spark_entry__ as entry_point
+import corpus_pipeline
+from snapmill.llm.decontam import contaminations
+from snapmill.llm.exact import drop_exact_copies
+from snapmill.llm.oracle import ORACLE
+from snapmill.llm.queries import QUERIES
+from tests.compare import connect, mismatch
+from tests.llm.conftest import SMALL
+from tests.llm.test_simhash import expected as simhash_groups
+
+needs_tables = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tables")
+
+
+def test_all_are_registered():
+    assert {*QUERIES, "pipeline"} <= entry_point.queries().keys()
+    assert ORACLE.keys() <= entry_point.oracle_sql().keys()
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+
+
+@needs_tables
+@pytest.mark.parametrize("name", ORACLE)
+def test_query_matches_its_sql(spark, name):
+    assert mismatch(QUERIES[name](spark, SMALL), connect(SMALL), ORACLE[name]) is None
+
+
+@needs_tables
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
+def test_query_returns_its_rows(spark, name):
+    rows = QUERIES[name](spark, SMALL)
+    whole = spark.read.parquet(f"{SMALL}/{'pages' if name.startswith('op3') else 'documents'}.parquet").count()
+    if name.startswith("op7"):
+        assert 0 < rows.count() < whole
+    elif name.startswith("op8"):
+        assert rows.select("doc_id").distinct().count() == whole
+    else:
+        assert rows.count() == whole
+
+
+@pytest.fixture
+def documents(table, spark, tmp_path):
+    odds = random.Random(6)
+    word = lambda: "".join(odds.choices(["ka", "ro", "mi", "ta", "no"], k=3))
+    text = lambda n: " ".join(word() for _ in range(n))
+    bench = [(i, text(30)) for i in range(3)]
+    rows = [(i, text(odds.randrange(40, 200)), "aa", "s", 0) for i in range(60)]
+    rows += [(100 + i, rows[i][1] + " \n", "aa", "s", 0) for i in range(10)]
+    rows += [(200 + i, rows[i][1] + " changed", None, "s", 0) for i in range(20)]
+    rows += [(300 + i, f"{text(20)} {bench[i][1]} {text(20)}", "aa", None, None) for i in range(3)]
+    rows += [(400, None, "aa", "s", 0), (401, "12 34", None, None, None), (402, "жшщчц ъыьэюя " * 40, None, None, 0)]
+    folder = str(tmp_path)
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return folder
+
+
+def test_pipeline_stages(spark, documents):
+    docs = spark.read.parquet(f"{documents}/documents.parquet")
+    columns, kept = docs.columns, {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = [(r.doc_id, r.text) for r in docs.collect()]
+        docs = stage(spark, docs, documents)
+        assert docs.columns == columns
+        kept[name] = {r.doc_id for r in docs.collect()}
+        if name == "simhash_dedup":
+            least = {i: g for i, _, g in map(eval, simhash_groups(before))}
+            assert kept[name] == {i for i, g in least.items() if i == g}
+    everything = {*range(60), *range(100, 110), *range(200, 220), *range(300, 303)}
+    assert kept["language_id"] == everything
+    # Of equal texts the longest stays: those with white space at the end.
+    assert kept["exact_dedup"] == everything - set(range(10))
+    assert kept["decontamination"] == kept["simhash_dedup"] - {300, 301, 302}
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, documents)
+    assert {r.doc_id for r in packed.collect()} == kept["decontamination"]
+    whole = corpus_pipeline.run(spark, documents)
+    key = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert sorted(map(repr, whole.select(*key).collect())) == sorted(map(repr, packed.select(*key).collect()))
+
+
+def test_stages_of_an_empty_table(spark, table, documents):
+    docs = table([]).select("doc_id", "text", "lang", "source", "n_chars")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, documents).count() == 0
+
+
+def test_no_operator_is_imported_by_the_rest():
+    assert contaminations.__module__.startswith("snapmill.llm") and drop_exact_copies.__module__.startswith("snapmill.llm")
+    root = os.path.dirname(os.path.abspath(entry_point.__file__))
+    for folder, _, files in os.walk(os.path.join(root, "snapmill")):
+        for file in files:
+            if file.endswith(".py") and os.sep + "llm" not in folder:
+                with open(os.path.join(folder, file), encoding="utf-8") as f:
+                    assert "snapmill.llm" not in f.read()

@@ -1,0 +1,100 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+
+from snapmill.llm import simhash
+from snapmill.llm.components import components, forest
+
+
+def plain_fingerprint(text, shingle=4):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    shingles = [b" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))]
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def expected(rows, distance=4):
+    fps = [plain_fingerprint(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if bin(fps[i] ^ fps[j]).count("1") <= distance and group[i] != group[j]:
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    least = {}
+    for g, (doc_id, _) in zip(group, rows):
+        known = [x for x in (least.get(g), doc_id) if x is not None]
+        least[g] = min(known) if known else None
+    return sorted(repr((d, f"{f:016x}", least[g])) for (d, _), f, g in zip(rows, fps, group))
+
+
+def found(df):
+    return sorted(repr(tuple(r)) for r in simhash.near_duplicates(df).collect())
+
+
+def test_matches_brute_force(table, odd):
+    odds = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(40):
+        words = odds.choices(vocabulary, k=120)
+        rows.append((len(rows), " ".join(words)))
+        for _ in range(i % 4):
+            words = list(words)
+            words[odds.randrange(len(words))] = "CHANGED"
+            rows.append((len(rows) * 7 % 1000, " ".join(words)))
+    assert found(table(rows)) == expected(rows)
+    assert found(odd) == expected([(r.doc_id, r.text) for r in odd.collect()])
+    assert found(table([])) == []
+
+
+def test_stage_keeps_one_of_each_group(odd):
+    kept = simhash.drop_near_duplicates(odd)
+    assert kept.columns == odd.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 6, 7]
+
+
+@pytest.mark.parametrize("parts", [2, 3, 4, 5])
+def test_probing_finds_every_link(parts):
+    odds = np.random.default_rng(parts)
+    values = odds.integers(0, 2**63, 300, dtype=np.uint64)
+    for flips in range(1, 6):
+        near = values[:60].copy()
+        for _ in range(flips):
+            near ^= np.uint64(1) << odds.integers(0, 64, 60, dtype=np.uint64)
+        values = np.concatenate((values, near))
+    values = np.unique(values)
+    groups = simhash.group_bits(np.eye(64), parts)
+    assert sorted(b for g in groups for b in g) == list(range(64))
+    counts = [[np.bincount(simhash.pick(values, b).astype(int), minlength=1 << len(b)) for b in simhash.blocks_of(g)] for g in groups]
+    plan = simhash.Allocation(groups, counts, len(values), 4)
+    assert ((plan.thresholds(values) + 1).sum(0) == 5).all()
+    index = {}
+    for p in range(parts):
+        for i, k in enumerate(plan.keys(values, p).tolist()):
+            index.setdefault(k, []).append(i)
+    met = {(i, j) for key, at in plan.probe_rows(values) for k, i in zip(key.tolist(), at.tolist()) for j in index.get(k, ())}
+    near = np.bitwise_count(values[:, None] ^ values[None, :]) <= 4
+    assert {(i, j) for i, j in zip(*map(np.ndarray.tolist, np.nonzero(near)))} <= met
+
+
+def test_estimates_are_exact_for_single_blocks():
+    values = np.random.default_rng(1).integers(0, 1 << 10, 500, dtype=np.uint64)
+    plan = simhash.Allocation([list(range(10))], [[np.bincount(values.astype(int), minlength=1 << 10)]], len(values), 3)
+    distances = np.bitwise_count(values[:, None] ^ values[None, :])
+    for t in range(4):
+        assert np.allclose(plan.candidates(values, 0)[t], (distances <= t).sum(1))
+
+
+@pytest.mark.parametrize("limit", [500_000, 7])
+def test_components(spark, monkeypatch, limit):
+    monkeypatch.setattr("snapmill.llm.components.PARTITION_LINKS", limit)
+    odds = random.Random(3)
+    links = [(i, i + 1) for i in range(30)] + [(100, odds.randrange(101, 140)) for _ in range(60)] + [(200, 200), (301, 300), (300, 301)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
+    assert got == dict(forest(links))
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0

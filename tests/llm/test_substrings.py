@@ -1,0 +1,58 @@
+import hashlib
+import random
+
+import pytest
+
+from snapmill.llm.substrings import repeats
+
+
+def expected(rows, window):
+    first = {}
+    words = [(d, (t or "").encode().split()) for d, t in rows]
+    for d, w in words:
+        for i in range(len(w) - window + 1) if d is not None else ():
+            k = tuple(w[i : i + window])
+            first[k] = min(first.get(k, d), d)
+    out = []
+    for d, w in words:
+        gone = set()
+        for i in range(len(w) - window + 1) if d is not None else ():
+            if first[tuple(w[i : i + window])] < d:
+                gone |= set(range(i, i + window))
+        kept = b" ".join(x for i, x in enumerate(w) if i not in gone)
+        out.append(repr((d, len(w), len(gone), hashlib.sha256(kept).hexdigest())))
+    return sorted(out)
+
+
+def found(df, **options):
+    out = []
+    for r in repeats(df, **options).collect():
+        removed = sum(s.end - s.start for s in r.spans)
+        assert all(a.end < b.start for a, b in zip(r.spans, r.spans[1:]))
+        out.append(repr((r.doc_id, r.n_words, removed, hashlib.sha256(r.kept_text.encode()).hexdigest())))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("sizes", [{}, {"chunk_bytes": 700, "bucket_bytes": 900}])
+@pytest.mark.parametrize("window", [3, 5, 13])
+def test_matches_brute_force(table, window, sizes):
+    odds = random.Random(window)
+    passages = [[f"p{odds.randrange(40)}" for _ in range(odds.randrange(3, 40))] for _ in range(12)]
+    rows = []
+    for i in range(60):
+        words = []
+        for _ in range(odds.randrange(0, 5)):
+            words += odds.choice(passages)[odds.randrange(3) :] + [f"u{odds.randrange(1000)}" for _ in range(odds.randrange(6))]
+        rows.append((odds.randrange(50) if i % 9 else None, odds.choice([" ", "\n", " \t"]).join(words)))
+    assert found(table(rows), window=window, **sizes) == expected(rows, window)
+
+
+def test_odd_rows(table, odd):
+    assert found(odd) == expected([(r.doc_id, r.text) for r in odd.collect()], 13)
+    assert found(table([])) == []
+    assert found(table([(1, None)])) == expected([(1, None)], 13)
+
+
+def test_windows_have_odd_length(odd):
+    with pytest.raises(ValueError):
+        repeats(odd, window=4)
