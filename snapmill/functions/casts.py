@@ -45,5 +45,8 @@ def fits_int(value: Column) -> Column:
 
 
 def captured_number(text: Column, pattern: str) -> Column:
-    """First capture group, which must be digits, as a bigint; no match is null."""
-    return F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")).try_cast("bigint")
+    """First capture group as a bigint that an int holds; no match and more digits are null.
+
+    What is added up from such numbers cannot overflow a bigint.
+    """
+    return F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")).try_cast(COUNT).cast("bigint")

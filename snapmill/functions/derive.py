@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from snapmill.functions.casts import captured_number, fits_int
 
-# The longest stretch of months whose day number still fits Spark's 32-bit date.
-MAX_MONTHS_BACK = 60_000_000
+# The first date whose day number fits Spark's 32-bit date: 23 June of this year.
+FIRST_YEAR, FIRST_MONTH, FIRST_DAY = -5_877_641, 6, 23
 
 
 def _bands(value: Column, edges: Sequence[tuple], fallback, below: bool) -> Column:
@@ -80,12 +80,16 @@ def missed_installments(overdue: Column, due: Column) -> Column:
 
 
 def first_missed_date(snapshot: Column, missed: Column) -> Column:
-    """Snapshot minus the missed months, clamped to month end."""
-    return F.when(missed.between(1, MAX_MONTHS_BACK), F.add_months(snapshot, F.negative(missed)))
+    """Snapshot minus the missed months, clamped to month end; null before the first date there is."""
+    months_left = (F.year(snapshot) - FIRST_YEAR) * 12 + F.month(snapshot) - FIRST_MONTH
+    months_left = months_left - F.when(F.day(snapshot) < FIRST_DAY, 1).otherwise(0)
+    return F.when((missed >= 1) & (missed <= months_left), F.add_months(snapshot, F.negative(missed)))
 
 
 def days_past_due(overdue: Column, snapshot: Column, first_missed: Column) -> Column:
-    return F.when(overdue > 0, F.datediff(snapshot, first_missed)).otherwise(0)
+    """Days from the first missed date to the snapshot; null where 32 bits do not hold them."""
+    days = F.unix_date(snapshot).cast("bigint") - F.unix_date(first_missed)
+    return F.when(overdue > 0, fits_int(days)).otherwise(0)
 
 
 def reached(value: Column, threshold: int) -> Column:

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapmill import fixed_values as V
 from snapmill.functions import derive
 from snapmill.operators.joins import HeavyKeys, left_joins
-from snapmill.schemas import ATTRIBUTES, CLICKSTREAM, FINANCIALS
 
 
 def health_score(debt_ratio: Column, utilisation: Column) -> Column:
@@ -35,22 +32,21 @@ def join_features(
     attributes: DataFrame,
     clickstream: DataFrame,
     financials: DataFrame,
-    heavy: Mapping[str, HeavyKeys] | None = None,
+    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
     """Left joins on customer and snapshot, private columns dropped before the shuffle.
 
     Both joins share the shuffle of the attributes: three exchanges for two joins. ``heavy``
-    comes from ``find_heavy_keys`` and is keyed by table name.
+    comes from ``find_heavy_keys`` on the same three inputs.
     """
-    found = [(heavy or {}).get(t.name, HeavyKeys()) for t in (ATTRIBUTES, CLICKSTREAM, FINANCIALS)]
     people = attributes.drop(*V.PRIVATE_COLUMNS)
-    return left_joins(people, [clickstream, financials], heavy=found)
+    return left_joins(people, [clickstream, financials], heavy=heavy)
 
 
 def build_features(
     attributes: DataFrame,
     clickstream: DataFrame,
     financials: DataFrame,
-    heavy: Mapping[str, HeavyKeys] | None = None,
+    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
     return add_scores(join_features(attributes, clickstream, financials, heavy))

@@ -1,20 +1,18 @@
 """Left joins on snapshot keys that hold up when one key owns a large part of the rows.
 
 A left join sends all rows of a key to one task, and adaptive execution cannot split that
-task when two joins share one shuffle or when the heavy side is the right one. So the heavy
-keys are looked up first: a frequent-items sketch over hashes of the key columns, merged in two
-steps, points to every key above a share of the rows. Usually there are none and the joins stay
-plain; else the keys it points to are counted.
-Otherwise each left row takes one of three ways, and the results are put together:
-
-- rows with other keys go through the plain joins, which keep sharing one shuffle;
-- rows without a complete key match nothing and need no join at all;
-- rows of heavy keys are joined in cells. Each input on which a key is heavy deals its rows of
-  that key into slices; a cell is one slice of every input, and inputs that are not heavy have
-  just one. A row is copied to all cells of its slice, so every combination of matching rows
-  meets in exactly one cell, and all joins still share one shuffle, by key and cell. A left
-  row finds the matches from a heavy right input in some cells and none in others; as the key
-  is there, the copies without a match are surplus and dropped.
+task when two joins share one shuffle or when the heavy side is the right one. What a key costs
+is the product of its rows over the inputs. So keys that may be heavy are looked up first, by a
+frequent-items sketch over hashes of the key columns that is merged in two steps, and counted on
+all inputs. Usually there are none and the joins stay plain.
+
+Otherwise the joins run on key and cell. Each input deals its rows of a heavy key into slices; a
+cell is one slice of every input. A row is copied to all cells of its slice, so every combination
+of matching rows meets in exactly one cell. All other keys have one slice and one cell, so it is
+one plan for all rows: every input is read and shuffled once. A left row of a sliced key finds
+matches in some cells and none in others; as the key is there, the copies without a match are
+surplus and dropped. Left rows without a complete key match nothing and are spread over cells of
+their own.
 """
 
 from __future__ import annotations
@@ -22,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from math import prod
 from operator import and_, mul
 
 from pyspark.sql import Column, DataFrame
@@ -32,12 +31,12 @@ from snapmill import fixed_values as V
 
 # The sketch misses no key with more than 3.5 / TRACKED of the rows (0.02 %).
 TRACKED = 16_384
-# Keys above 1 / MAX_HEAVY of the rows can be heavy, so there are at most that many per side.
+# Twice as many keys of each input are looked at, those with the most rows.
 MAX_HEAVY = 4_000
-# Below this many rows a key is no burden for a task, whatever its share.
+# Rows of one key and input that are no burden for a task.
 HEAVY_ROWS = 2_000_000
-# Slicing is exact for any number of slices; more than this would only add copies.
-MAX_SLICES = 4 * MAX_HEAVY
+# A task should join no more combinations of one key's rows than this many times HEAVY_ROWS.
+FAN_OUT = 25
 _MERGERS = 256
 
 _CELL, _COPY = "__cell", "__copy"
@@ -45,15 +44,25 @@ _CELL, _COPY = "__cell", "__copy"
 
 @dataclass(frozen=True)
 class HeavyKeys:
-    """Rows per heavy key of one input, and how many rows a slice should hold."""
+    """Keys too heavy for one task, with their rows in every input, in the order of the join."""
 
-    rows: Mapping[tuple, int] = field(default_factory=dict)
-    null_rows: int = 0
-    slice_rows: int = HEAVY_ROWS
+    rows: Mapping[tuple, tuple[int, ...]] = field(default_factory=dict)
+    null_rows: bool = False  # the left input has many rows without a complete key
+    task_rows: int = HEAVY_ROWS
 
-    def slices(self, key: tuple) -> int:
-        return min(MAX_SLICES, max(1, -(-self.rows.get(key, 1) // self.slice_rows)))
+    def slices(self, key: tuple) -> tuple[int, ...]:
+        """Into how many slices each input deals the key: as few as keep rows and combinations bounded."""
+        return tuple(-(-max(1, n) // self._slice_rows(self.rows[key])) for n in self.rows[key])
 
+    def _slice_rows(self, counts: tuple[int, ...]) -> int:
+        low, high = 1, self.task_rows
+        while low < high:
+            size = (low + high + 1) // 2
+            if prod(min(max(1, n), size) for n in counts) <= FAN_OUT * self.task_rows:
+                low = size
+            else:
+                high = size - 1
+        return low
 
 
 def _complete(keys: Sequence[str]) -> Column:
@@ -64,84 +73,76 @@ def find_heavy_keys(
     inputs: Mapping[str, DataFrame],
     keys: Sequence[str] = V.FEATURE_KEYS,
     heavy_rows: int = HEAVY_ROWS,
-) -> dict[str, HeavyKeys]:
-    """Heavy keys of each named input, with exact counts.
-
-    Runs one job, or two when there are any, over the key columns only. What comes back to the
-    driver is bounded: at most ``MAX_HEAVY`` keys per input.
+) -> HeavyKeys:
+    """Heavy keys of the inputs of a join, left one first, with exact counts.
+
+    A key is heavy with more than ``heavy_rows`` rows in an input, or more than ``FAN_OUT`` times
+    as many combinations of rows. One of its counts is then at least a root of that, so the
+    keys with the largest counts of each input are looked at: at most ``2 * MAX_HEAVY`` an input,
+    which is also what the driver gets. Keys below the sketch's resolution (3.5 / TRACKED of an
+    input's rows) can be missed. Runs one job over the key columns, or two when any key comes
+    into question.
     """
+    limit = FAN_OUT * heavy_rows
+    least = min(heavy_rows, int(limit ** (1 / len(inputs))))
     key_hash = F.when(_complete(keys), F.xxhash64(*keys)).alias("hash")
     tagged = reduce(
         DataFrame.unionByName,
-        (df.select(F.lit(name).alias("input"), key_hash, *keys) for name, df in inputs.items()),
+        (df.select(F.lit(i).alias("input"), key_hash, *keys) for i, df in enumerate(inputs.values())),
     )
     partial = tagged.groupBy("input", (F.spark_partition_id() % _MERGERS).alias("merger")).agg(
-        F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("hash").isNull()).alias("null_rows"),
         F.expr(f"approx_top_k_accumulate(hash, {TRACKED})").alias("sketch"),
     )
     merged = partial.groupBy("input").agg(
-        F.sum("rows").alias("rows"),
         F.sum("null_rows").alias("null_rows"),
         F.expr(f"approx_top_k_combine(sketch, {TRACKED})").alias("sketch"),
     )
-    limit = F.greatest(F.lit(heavy_rows), F.ceil(F.col("rows") / MAX_HEAVY))
     top = F.expr(f"approx_top_k_estimate(sketch, {2 * MAX_HEAVY})")
     report = merged.select(
-        "input",
-        limit.alias("limit"),
-        F.when(F.col("null_rows") > limit, F.col("null_rows")).otherwise(0).alias("null_rows"),
-        F.filter(top, lambda t: t["item"].isNotNull() & (t["count"] > limit)).alias("top"),
+        "input", "null_rows", F.filter(top, lambda t: t["item"].isNotNull() & (t["count"] > least)).alias("top")
     ).collect()  # one row per input
 
-    suspects = [(r["input"], t["item"], r["limit"]) for r in report for t in r["top"]]
-    rows: dict[str, dict[tuple, int]] = {name: {} for name in inputs}
+    estimates: dict[int, list[int]] = {}
+    for r in report:
+        for t in r["top"]:
+            estimates.setdefault(t["item"], [0] * len(inputs))[r["input"]] = t["count"]
+    # Where an input does not list a key, it has at most as many rows of it as the least it lists.
+    floors = {r["input"]: max(least, min((t["count"] for t in r["top"]), default=0) if len(r["top"]) == 2 * MAX_HEAVY else 0) for r in report}
+    suspects = [
+        (item,)
+        for item, counts in estimates.items()
+        if max(counts) > heavy_rows or prod(n or floors.get(i, least) for i, n in enumerate(counts)) > limit
+    ]
+    rows: dict[tuple, tuple[int, ...]] = {}
     if suspects:
-        schema = "input string, hash bigint, limit bigint"
-        suspected = F.broadcast(merged.sparkSession.createDataFrame(suspects, schema))
-        counted = (
-            tagged.join(suspected, on=["input", "hash"])
-            .groupBy("input", "limit", *keys)
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .where("rows > limit")
-        )
-        for r in counted.collect():
-            rows[r["input"]][tuple(r[k] for k in keys)] = r["rows"]
-    found = {name: HeavyKeys(slice_rows=heavy_rows) for name in inputs}
-    found.update(
-        {r["input"]: HeavyKeys(rows[r["input"]], r["null_rows"], r["limit"]) for r in report}
-    )
-    return found
+        suspected = F.broadcast(merged.sparkSession.createDataFrame(suspects, "hash bigint"))
+        per_input = [F.count_if(F.col("input") == i).alias(f"n_{i}") for i in range(len(inputs))]
+        counted = tagged.join(suspected, on="hash").groupBy(*keys).agg(*per_input)
+        for r in counted.collect():  # one row per suspect
+            counts = tuple(r[f"n_{i}"] for i in range(len(inputs)))
+            if max(counts) > heavy_rows or prod(max(1, n) for n in counts) > limit:
+                rows[tuple(r[k] for k in keys)] = counts
+    nulls = next((r["null_rows"] for r in report if r["input"] == 0), 0)
+    return HeavyKeys(rows, nulls > heavy_rows, heavy_rows)
 
 
 def left_joins(
     left: DataFrame,
     rights: Sequence[DataFrame],
     keys: Sequence[str] = V.FEATURE_KEYS,
-    heavy: Sequence[HeavyKeys] | None = None,
+    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
     """``left`` LEFT JOIN each of ``rights`` in turn on the same keys.
 
-    Every match counts, nothing is deduplicated. ``heavy`` holds what ``find_heavy_keys``
-    found for ``left`` and each right input. Inputs that have heavy keys should be stored
-    tables: rows are numbered where they are scanned, so that a task that is run again
-    numbers them alike.
+    Every match counts, nothing is deduplicated. ``heavy`` is what ``find_heavy_keys`` found for
+    ``left`` and ``rights``. Inputs that have heavy keys should be stored tables: rows are
+    numbered where they are scanned, so that a task that is run again numbers them alike.
     """
     keys, inputs = list(keys), [left, *rights]
-    heavy = list(heavy) if heavy else [HeavyKeys() for _ in inputs]
-    hot_keys = list(dict.fromkeys(k for h in heavy for k in h.rows))
-
-    parts = []
-    if hot_keys:
-        cells = _cells(left, keys, hot_keys, heavy)
-        parts.append(_join_in_cells(inputs, keys, cells))
-        inputs = [df.join(F.broadcast(cells), on=keys, how="left_anti") for df in inputs]
-    if heavy[0].null_rows:
-        matchless = [f for df in rights for f in df.schema if f.name not in keys]
-        nothing = {f.name: F.lit(None).cast(f.dataType) for f in matchless}
-        parts.append(left.where(~_complete(keys)).withColumns(nothing))
-        inputs[0] = inputs[0].where(_complete(keys))
-    return reduce(DataFrame.unionByName, parts, _join_all(inputs, keys))
+    if heavy is None or not (heavy.rows or heavy.null_rows):
+        return _join_all(inputs, keys)
+    return _join_in_cells(inputs, keys, _cells(left, keys, heavy, len(inputs)))
 
 
 def _join_all(inputs: Sequence[DataFrame], keys: list[str]) -> DataFrame:
@@ -156,32 +157,29 @@ def _row_of(i: int) -> str:
     return f"__row_{i}"
 
 
-def _cells(
-    left: DataFrame, keys: list[str], hot_keys: Sequence[tuple], heavy: Sequence[HeavyKeys]
-) -> DataFrame:
-    """Heavy keys with the slices of each input: at most MAX_HEAVY rows per input."""
-    schema = T.StructType(
-        [left.schema[k] for k in keys]
-        + [T.StructField(_slices_of(i), T.LongType()) for i in range(len(heavy))]
-    )
-    rows = [(*k, *(h.slices(k) for h in heavy)) for k in hot_keys]
-    return left.sparkSession.createDataFrame(rows, schema)
+def _cells(left: DataFrame, keys: list[str], heavy: HeavyKeys, inputs: int) -> DataFrame:
+    """Heavy keys with the slices of each input."""
+    slices = [T.StructField(_slices_of(i), T.LongType()) for i in range(inputs)]
+    rows = [(*k, *heavy.slices(k)) for k in heavy.rows]
+    return left.sparkSession.createDataFrame(rows, T.StructType([left.schema[k] for k in keys] + slices))
 
 
 def _join_in_cells(inputs: Sequence[DataFrame], keys: list[str], cells: DataFrame) -> DataFrame:
-    counts = [F.col(_slices_of(i)) for i in range(len(inputs))]
+    counts = [F.coalesce(F.col(_slices_of(i)), F.lit(1)) for i in range(len(inputs))]
     dealt = []
     for i, df in enumerate(inputs):
         before = reduce(mul, counts[:i], F.lit(1))
         after = reduce(mul, counts[i + 1 :], F.lit(1))
         numbered = df.withColumn(_row_of(i), F.monotonically_increasing_id())
-        copies = numbered.join(F.broadcast(cells), on=keys).withColumn(
+        copies = numbered.join(F.broadcast(cells), on=keys, how="left").withColumn(
             _COPY, F.explode(F.sequence(F.lit(0).cast("bigint"), before * after - 1))
         )
         # cells are numbered with the slice of the first input as the highest digit
         own = F.pmod(F.col(_row_of(i)), counts[i])
         high, low = F.floor(F.col(_COPY) / after), F.col(_COPY) % after
         cell = ((high * counts[i] + own) * after + low).cast("bigint")
+        if i == 0:
+            cell = F.when(_complete(keys), cell).otherwise(F.col(_row_of(i)))
         unused = [_COPY] if i == 0 else [_COPY, *map(_slices_of, range(len(inputs)))]
         dealt.append(copies.withColumn(_CELL, cell).drop(*unused))
 

@@ -30,7 +30,7 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def value_counts(df: DataFrame, column: str, limit: int | None = 20) -> DataFrame:
+def value_counts(df: DataFrame, column: str, limit: int | None = None) -> DataFrame:
     """Rows per value, most frequent first, ties by value. With a limit this is a top-k."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
     ordered = counts.orderBy(F.desc("count"), F.asc(column))

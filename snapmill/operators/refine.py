@@ -15,6 +15,7 @@ from snapmill import fixed_values as V
 from snapmill.functions import casts, clean, derive
 from snapmill.operators.conform import conform, type_columns
 from snapmill.schemas import ATTRIBUTES, CLICKSTREAM, FINANCIALS, LOANS
+from snapmill.session import compile_wide_stages
 
 
 def age_group(age: Column) -> Column:
@@ -58,6 +59,7 @@ def refine_clickstream(raw: DataFrame) -> DataFrame:
 
 
 def refine_financials(raw: DataFrame) -> DataFrame:
+    compile_wide_stages(raw.sparkSession)
     money = conform(raw, FINANCIALS)
     return money.withColumns(
         {

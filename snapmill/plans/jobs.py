@@ -1,7 +1,7 @@
 """Bronze, silver and gold jobs. Each handles any month range in one Spark job.
 
 A single month is the range from that month to itself. Every job returns the rows it wrote
-per month.
+per month; what ingest left out is ``dropped`` of its result.
 """
 
 from __future__ import annotations
@@ -17,34 +17,36 @@ from snapmill.operators.features import build_features
 from snapmill.operators.joins import HEAVY_ROWS, find_heavy_keys
 from snapmill.operators.labels import default_labels
 from snapmill.operators.refine import REFINERS
-from snapmill.operators.slicing import spine_slice
 from snapmill.schemas import ATTRIBUTES, CLICKSTREAM, FINANCIALS, LOANS, TABLES
-from snapmill.sources.lake import BRONZE, FEATURE_STORE, GOLD, LABEL_STORE, SILVER, Lake
+from snapmill.sources.lake import BRONZE, FEATURE_STORE, GOLD, LABEL_STORE, SILVER, Lake, Written
 from snapmill.sources.raw import dated, read_raw
 
-MonthCounts = dict[date, int]
-
-
 def ingest(
     lake: Lake, table: str, raw_path: str, start: DateLike, end: DateLike, gather: bool = True
-) -> MonthCounts:
+) -> Written:
     """Raw CSV to bronze: one scan for all months, columns kept as text.
 
+    Rows without a date, between months or out of range are not stored, but counted.
+
     Raw files that mix months are gathered, which shuffles them once. Where every file holds
     few months already, ``gather=False`` saves that.
     """
     rows = dated(read_raw(lake.spark, TABLES[table], raw_path))
-    return lake.write_months(spine_slice(rows, start, end), BRONZE, table, start, end, gather)
+    kept = on_spine(F.col(V.SNAPSHOT), start, end)
+    return lake.write_months(rows, BRONZE, table, start, end, gather, kept)
 
 
-def off_spine_count(lake: Lake, table: str, raw_path: str, start: DateLike, end: DateLike) -> int:
-    """Raw rows that ``ingest`` leaves out: no date, mid-month, or out of range."""
-    rows = dated(read_raw(lake.spark, TABLES[table], raw_path))
-    kept = F.coalesce(on_spine(F.col(V.SNAPSHOT), start, end), F.lit(False))
-    return rows.where(~kept).count()
+def raw_range(lake: Lake, raw_paths: Mapping[str, str]) -> tuple[date, date] | None:
+    """First and last date in the raw tables, for jobs over all there is; None without any."""
+    ends = []
+    for table, path in raw_paths.items():
+        rows = dated(read_raw(lake.spark, TABLES[table], path))
+        ends.append(rows.agg(F.min(V.SNAPSHOT).alias("first"), F.max(V.SNAPSHOT).alias("last")).first())
+    ends = [e for e in ends if e["first"] is not None]
+    return (min(e["first"] for e in ends), max(e["last"] for e in ends)) if ends else None
 
 
-def refine(lake: Lake, table: str, start: DateLike, end: DateLike) -> MonthCounts:
+def refine(lake: Lake, table: str, start: DateLike, end: DateLike) -> Written:
     """Bronze to silver. Tasks read few months each, so rows are written where they are."""
     bronze = lake.read_months(BRONZE, table, TABLES[table].bronze_schema, start, end)
     return lake.write_months(REFINERS[table](bronze), SILVER, table, start, end, gather=False)
@@ -52,7 +54,7 @@ def refine(lake: Lake, table: str, start: DateLike, end: DateLike) -> MonthCount
 
 def publish_features(
     lake: Lake, start: DateLike, end: DateLike, heavy_rows: int = HEAVY_ROWS
-) -> MonthCounts:
+) -> Written:
     """Silver to the feature store."""
     parts = {
         t.name: lake.read_months(SILVER, t.name, t.silver_schema, start, end)
@@ -66,7 +68,7 @@ def publish_features(
 
 def publish_labels(
     lake: Lake, start: DateLike, end: DateLike, dpd: int = V.LABEL_DPD, mob: int = V.LABEL_MOB
-) -> MonthCounts:
+) -> Written:
     """Silver loans to the label store."""
     loans = lake.read_months(SILVER, LOANS.name, LOANS.silver_schema, start, end)
     labels = default_labels(loans, dpd, mob)
@@ -81,11 +83,15 @@ def backfill(
     end: DateLike,
     dpd: int = V.LABEL_DPD,
     mob: int = V.LABEL_MOB,
-) -> dict[str, MonthCounts]:
-    """All layers of the given raw tables over the range; stores whose inputs are there."""
-    report: dict[str, MonthCounts] = {}
+    gather: bool = True,
+) -> dict[str, Written]:
+    """All layers of the given raw tables over the range; stores whose inputs are there.
+
+    ``gather`` is that of ``ingest``. What it dropped is in the bronze entries of the report.
+    """
+    report: dict[str, Written] = {}
     for table, path in raw_paths.items():
-        report[f"{BRONZE}.{table}"] = ingest(lake, table, path, start, end)
+        report[f"{BRONZE}.{table}"] = ingest(lake, table, path, start, end, gather)
         report[f"{SILVER}.{table}"] = refine(lake, table, start, end)
     if {ATTRIBUTES.name, CLICKSTREAM.name, FINANCIALS.name} <= raw_paths.keys():
         report[f"{GOLD}.{FEATURE_STORE}"] = publish_features(lake, start, end)

@@ -8,7 +8,6 @@ from pyspark.sql import SparkSession
 # call site in the JVM, and building the wide plans takes seconds.
 STARTUP_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
-# Can be changed while a session runs.
 SETTINGS = {
     # Sizes are fitted while running: shuffle partitions are merged or split to the advisory
     # size, skewed join partitions are cut, gathered months come out in files of that size.
@@ -17,22 +16,27 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # The JVM does not compile methods beyond 8000 bytes of bytecode. One stage over some
-    # twenty dirty columns is larger than that and would run interpreted; with this limit
-    # Spark generates it in several smaller methods instead.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# The JVM does not compile methods beyond 8000 bytes of bytecode. One stage over some
+# twenty dirty columns is larger than that and would run interpreted; with this limit
+# Spark generates it in several smaller methods instead.
+HUGE_METHOD = ("spark.sql.codegen.hugeMethodLimit", 8000)
+
 
 def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     """Add all settings to a session that is still to be started."""
-    for key, value in {**STARTUP_SETTINGS, **SETTINGS}.items():
+    for key, value in {**STARTUP_SETTINGS, **SETTINGS, HUGE_METHOD[0]: str(HUGE_METHOD[1])}.items():
         builder = builder.config(key, value)
     return builder
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply what a running session accepts, and return it."""
-    for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
+def compile_wide_stages(spark: SparkSession) -> SparkSession:
+    """Lower the method limit of a running session to what the JVM compiles, and return the session.
+
+    The library does so wherever it builds a wide stage, so any session will do.
+    """
+    key, limit = HUGE_METHOD
+    if int(spark.conf.get(key)) > limit:
+        spark.conf.set(key, str(limit))
     return spark

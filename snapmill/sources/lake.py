@@ -5,23 +5,35 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmill import fixed_values as V
 from snapmill.functions.calendar import DateLike, month_list
 from snapmill.operators.slicing import snapshot_slice, spine_slice
+from snapmill.session import compile_wide_stages
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 FEATURE_STORE, LABEL_STORE = "feature_store", "label_store"
 
 
+_KEPT = "__kept"
+
+
+class Written(dict):
+    """Rows written per month; ``dropped`` is how many rows were left out."""
+
+    def __init__(self, months: dict[date, int], dropped: int = 0):
+        super().__init__(months)
+        self.dropped = dropped
+
+
 class Lake:
     """Tables below one root folder, which may be any path Spark can read and write."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
+        self.spark = compile_wide_stages(spark)
         self.root = root.rstrip("/")
 
     def path(self, layer: str, table: str) -> str:
@@ -47,12 +59,17 @@ class Lake:
         start: DateLike,
         end: DateLike,
         gather: bool,
-    ) -> dict[date, int]:
+        kept: Column | None = None,
+    ) -> Written:
         """Replace the snapshots of the range by the rows of ``df``, in one job.
 
-        Returns the rows written per month, counted while writing. Months outside of the
+        Returns the rows written per month and how many were left out. Months outside of the
         range are left alone; months of the range without rows end up empty, so a re-run
-        gives the same table.
+        gives the same table. Rows that fail ``kept`` are counted and not written; they travel
+        as empty rows, so they are counted where tasks count once even when run again.
+
+        While writing, only the months seen are gathered, whatever the length of the range. Rows
+        per month are counted afterwards; the files say in their footers how many they hold.
 
         ``gather`` brings the rows of a month together first, in pieces of the advisory
         partition size. Use it when tasks hold rows of many months, else every task writes a
@@ -64,23 +81,33 @@ class Lake:
             raise ValueError(f"no month starts between {start} and {end}")
         target = self.path(layer, table)
         schema = T.StructType([f for f in df.schema if f.name != V.SNAPSHOT] + [df.schema[V.SNAPSHOT]])
-        out = df.select(*schema.names)
+        keeps = F.lit(True) if kept is None else F.coalesce(kept, F.lit(False))
+        out = df.select(keeps.alias(_KEPT), *schema.names)
+        if kept is not None:
+            out = out.select(_KEPT, *[F.when(F.col(_KEPT), F.col(c)).alias(c) for c in schema.names])
         if gather and self.spark.conf.get("spark.sql.adaptive.enabled") == "true":
             out = out.hint("rebalance", F.col(V.SNAPSHOT))
         # observed after the shuffle: tasks of the last stage count once even when re-run
         seen = Observation(f"{layer}.{table}")
         out = out.observe(
-            seen, *[F.count_if(F.col(V.SNAPSHOT) == F.lit(m)).alias(str(m)) for m in months]
+            seen,
+            F.count_if(~F.col(_KEPT)).alias("dropped"),
+            F.array_join(F.collect_set(F.col(V.SNAPSHOT).cast("string")), ",").alias("months"),
         )
         (
-            out.write.mode("overwrite")
+            out.where(_KEPT)
+            .drop(_KEPT)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(V.SNAPSHOT)
             .parquet(target)
         )
-        counts = {m: seen.get[str(m)] for m in months}
-        self._empty(target, schema, [m for m, n in counts.items() if n == 0])
-        return counts
+        written = [date.fromisoformat(m) for m in seen.get["months"].split(",") if m]
+        self._empty(target, schema, [m for m in months if m not in written])
+        stored = self.spark.read.schema(schema).parquet(target).where(F.col(V.SNAPSHOT).isin(written))
+        per_month = stored.groupBy(V.SNAPSHOT).count().collect()  # a row per month of the range
+        counts = dict.fromkeys(months, 0) | {r[V.SNAPSHOT]: r["count"] for r in per_month}
+        return Written(counts, seen.get["dropped"])
 
     def _empty(self, target: str, schema: T.StructType, months: Sequence[date]) -> None:
         """Clear what an earlier run left of months that have no rows any more."""

@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path under the session's ``spark.checkpoint.dir``.
+    """A fresh path under the session's ``spark.checkpoint.dir``, removed when Python exits.
 
-    Only a local session without that setting gets a temporary folder of the machine.
+    A session without that setting uses its warehouse, which executors share as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="snapmill-")
-    return f"{base.rstrip('/')}/snapmill-{purpose}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{base.rstrip('/')}/snapmill-{purpose}-{uuid.uuid4().hex}"
+    atexit.register(remove_folder, spark, path)
+    return path
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever Spark keeps it; nothing happens once the session has ended."""
+    context = spark.sparkContext
+    if context._jsc is None or context._jsc.sc().isStopped():
+        return
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from snapmill.operators import features, joins
+from snapmill.operators import features
 from snapmill.operators.joins import HeavyKeys, find_heavy_keys, left_joins
 from tests.helpers import in_order, plan_of
 
@@ -31,39 +31,64 @@ def test_sliced_equals_plain(spark, left_hot, right_hot):
     left = side(spark, "a", left_hot, n=240, null_share=0.2, seed=3)
     right = side(spark, "b", right_hot, n=200, null_share=0.1, seed=4)
     heavy = find_heavy_keys({"l": left, "r": right}, KEYS, heavy_rows=5)
-    got = left_joins(left, [right], KEYS, [heavy["l"], heavy["r"]])
+    got = left_joins(left, [right], KEYS, heavy)
     assert in_order(got) == in_order(left.join(right, list(KEYS), "left"))
 
 
 def test_heavy_key_absent_on_the_other_side(spark):
     left, right = side(spark, "a", "only_left"), side(spark, "b", "only_right", seed=2)
     heavy = find_heavy_keys({"l": left, "r": right}, KEYS, heavy_rows=5)
-    assert any("only_left" in k for k in heavy["l"].rows)
-    assert any("only_right" in k for k in heavy["r"].rows)
-    got = left_joins(left, [right], KEYS, [heavy["l"], heavy["r"]])
+    assert any("only_left" in k and n[0] and not n[1] for k, n in heavy.rows.items())
+    assert any("only_right" in k and n[1] and not n[0] for k, n in heavy.rows.items())
+    got = left_joins(left, [right], KEYS, heavy)
     assert in_order(got) == in_order(left.join(right, list(KEYS), "left"))
 
 
 def test_heavy_keys_are_counted(spark):
     df = side(spark, "a", "hot", n=3000, null_share=0.1)
     truth = {(r.k, r.d): r["count"] for r in df.groupBy("k", "d").count().collect() if r.k}
-    found = find_heavy_keys({"x": df}, KEYS, heavy_rows=200)["x"]
-    assert dict(found.rows) == {k: n for k, n in truth.items() if n > 200}
-    assert found.null_rows == df.where("k IS NULL").count()
-    assert found.slices(next(iter(found.rows))) > 1
+    found = find_heavy_keys({"x": df}, KEYS, heavy_rows=200)
+    assert dict(found.rows) == {k: (n,) for k, n in truth.items() if n > 200}
+    assert found.null_rows == (df.where("k IS NULL").count() > 200)
+    assert found.slices(next(iter(found.rows)))[0] > 1
+
+
+def test_key_heavy_only_in_the_product(spark):
+    """Few rows of a key on each side, many combinations of them."""
+    sides = [spark.createDataFrame([("k", i) for i in range(30)] + [("x", 1)], f"k string, {c} int") for c in "abc"]
+    names = dict(zip("abc", sides))
+    heavy = find_heavy_keys(names, ["k"], heavy_rows=40)
+    assert dict(heavy.rows) == {("k",): (30, 30, 30)}
+    slices = heavy.slices(("k",))
+    assert (30 / slices[0]) * (30 / slices[1]) * (30 / slices[2]) <= 25 * 40
+    got = left_joins(sides[0], sides[1:], ["k"], heavy)
+    plain = left_joins(sides[0], sides[1:], ["k"])
+    assert in_order(got) == in_order(plain)
+    assert min(slices) > 1
 
 
 def test_light_inputs_stay_plain(spark):
     df = side(spark, "a", None)
-    heavy = find_heavy_keys({"x": df}, KEYS)["x"]
+    heavy = find_heavy_keys({"x": df, "y": df}, KEYS)
     assert not heavy.rows and not heavy.null_rows
-    assert "Generate" not in plan_of(left_joins(df, [side(spark, "b", None)], KEYS, [heavy, heavy]))
+    assert "Generate" not in plan_of(left_joins(df, [side(spark, "b", None)], KEYS, heavy))
 
 
-def test_slices_are_bounded():
-    wild = HeavyKeys({("k",): 10**18}, 0, 10)
-    assert wild.slices(("k",)) == joins.MAX_SLICES
-    assert wild.slices(("other",)) == 1
+def test_slices_bound_rows_and_combinations():
+    keys = {("a",): (1000, 1, 0), ("b",): (50, 50, 50), ("c",): (10**9, 3, 2)}
+    heavy = HeavyKeys(keys, False, 100)
+    for key, counts in keys.items():
+        sizes = [-(-max(1, n) // s) for n, s in zip(counts, heavy.slices(key))]
+        assert max(sizes) <= 100 and sizes[0] * sizes[1] * sizes[2] <= 25 * 100
+    assert heavy.slices(("a",)) == (10, 1, 1)
+
+
+def test_many_rows_without_a_key_are_spread(spark):
+    left, right = side(spark, "a", None, null_share=0.5), side(spark, "b", None, null_share=0.5, seed=2)
+    heavy = find_heavy_keys({"l": left, "r": right}, KEYS, heavy_rows=50)
+    assert heavy.null_rows
+    got = left_joins(left, [right], KEYS, heavy)
+    assert in_order(got) == in_order(left.join(right, list(KEYS), "left"))
 
 
 def _parts(spark, hot):
@@ -90,7 +115,7 @@ def test_key_heavy_on_all_three_sides(spark):
     parts = _parts(spark, True)
     one_key = {n: df.withColumn("Customer_ID", F.lit("c3")).limit(25) for n, df in parts.items()}
     heavy = find_heavy_keys(one_key, heavy_rows=4)
-    assert all(len(h.rows) for h in heavy.values())
+    assert all(min(n) > 4 for n in heavy.rows.values()) and heavy.rows
     sliced = features.join_features(*one_key.values(), heavy=heavy)
     assert in_order(sliced) == in_order(features.join_features(*one_key.values()))
 
@@ -113,5 +138,11 @@ def test_two_joins_take_three_exchanges(spark):
         executed = features.join_features(*_parts(spark, False).values())._jdf.queryExecution().executedPlan()
         assert plan.toString().count("SortMergeJoin") == 2
         assert executed.toString().count("Exchange hashpartitioning") == 3
+        hot = _parts(spark, True)
+        heavy = find_heavy_keys(hot, heavy_rows=4)
+        assert heavy.rows
+        executed = features.join_features(*hot.values(), heavy=heavy)._jdf.queryExecution().executedPlan().toString()
+        assert executed.count("Exchange hashpartitioning") == 3 and "Union" not in executed
+        assert executed.count("SortMergeJoin") == 2
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -6,11 +6,12 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from snapmill.operators.refine import refine_financials
 from snapmill.plans import jobs
 from snapmill.schemas import ATTRIBUTES, CLICKSTREAM, FEATURE_STORE_SCHEMA, LABEL_STORE_SCHEMA, LOANS, TABLES
 from snapmill.sources.lake import BRONZE, FEATURE_STORE, GOLD, LABEL_STORE, SILVER, Lake
 from snapmill.sources.raw import read_raw, write_raw
-from snapmill.sources.shared import shared_folder
+from snapmill.sources.shared import remove_folder, shared_folder
 from tests.helpers import column, in_order, raw
 
 RANGE = ("2023-01-01", "2023-03-31")
@@ -42,9 +43,36 @@ OFF_SPINE = [("d", "2023-01-15"), ("e", None), ("f", "2022-12-01"), ("g", "2023-
 
 def test_ingest_keeps_the_spine_and_counts_months(spark, lake, tmp_path):
     path = land(people(spark, *PEOPLE, *OFF_SPINE), tmp_path)
-    assert jobs.ingest(lake, "attributes", path, *RANGE) == {JAN: 2, FEB: 0, MAR: 1}
-    assert sorted(column(bronze(lake), "Customer_ID")) == ["a", "b", "c"]
-    assert jobs.off_spine_count(lake, "attributes", path, *RANGE) == 5
+    for gather in (True, False):
+        written = jobs.ingest(lake, "attributes", path, *RANGE, gather=gather)
+        assert (written, written.dropped) == ({JAN: 2, FEB: 0, MAR: 1}, 5)
+        assert sorted(column(bronze(lake), "Customer_ID")) == ["a", "b", "c"]
+
+
+def test_raw_range(spark, lake, tmp_path):
+    path = land(people(spark, *PEOPLE, *OFF_SPINE), tmp_path)
+    assert jobs.raw_range(lake, {"attributes": path}) == (date(2022, 12, 1), date(2023, 4, 1))
+    assert jobs.raw_range(lake, {"attributes": land(people(spark, ("e", None)), tmp_path, "none")}) is None
+
+
+def test_backfill_reports_drops_and_shuffles_only_to_gather(spark, lake, tmp_path):
+    paths = {"attributes": land(people(spark, *PEOPLE, *OFF_SPINE), tmp_path)}
+    for gather in (True, False):
+        report = jobs.backfill(lake, paths, *RANGE, gather=gather)
+        assert report[f"{BRONZE}.attributes"].dropped == 5 and report[f"{SILVER}.attributes"].dropped == 0
+    plans = []
+    write = Lake.write_months
+
+    def spy(self, df, layer, table, start, end, gather, kept=None):
+        plans.append((layer, gather))
+        return write(self, df, layer, table, start, end, gather, kept)
+
+    Lake.write_months = spy
+    try:
+        jobs.backfill(lake, paths, *RANGE, gather=False)
+    finally:
+        Lake.write_months = write
+    assert plans == [(BRONZE, False), (SILVER, False)]
 
 
 def test_rerun_changes_nothing(spark, lake, tmp_path):
@@ -180,6 +208,23 @@ def test_stored_schemas_match_the_contract(spark, lake, tmp_path):
     assert len(FEATURE_STORE_SCHEMA) == 53
 
 
+def test_any_session_compiles_wide_stages(spark):
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    try:
+        refine_financials(raw(spark, "financials", {"Customer_ID": "a"})).collect()
+        assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", before)
+
+
+def test_folders_are_removed(spark):
+    path = shared_folder(spark, "gone")
+    spark.range(1).write.parquet(path)
+    remove_folder(spark, path)
+    assert not os.path.exists(path.removeprefix("file:"))
+
+
 def test_shared_folder_follows_the_session(spark):
     assert shared_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shared_folder(spark, "x") != shared_folder(spark, "x")

@@ -55,6 +55,6 @@ def test_profiles_are_one_scan(lake):
 
 def test_value_counts_is_a_top_k(lake):
     people = lake.read(SILVER, ATTRIBUTES.name, ATTRIBUTES.silver_schema)
-    plan = plan_of(profile.value_counts(people, "Occupation"))
+    plan = plan_of(profile.value_counts(people, "Occupation", limit=20))
     assert "TakeOrderedAndProject" in plan and "partial_count" in plan
     assert "ReadSchema: struct<Occupation:string>" in plan

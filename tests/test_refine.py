@@ -206,6 +206,10 @@ def test_text_placeholders_and_whitelist(spark):
         ("", None),
         (None, None),
         ("999999999 Years and 1 Months", None),
+        ("9999999999 Years and 1 Months", None),
+        ("999999999999999999 Years and 1 Months", None),
+        ("9999999999999999999 Years and 1 Months", None),
+        ("1 Years and 999999999999999999 Months", None),
         ("99999999999999999999 Years and 1 Months", None),
     ],
 )
@@ -265,6 +269,19 @@ def test_loan_counters_truncate(spark):
     assert (row["tenure"], row["installment_num"], row["mob"]) == (10, 3, 3)
 
 
+@pytest.mark.parametrize(
+    "missed, days",
+    [(60_000_000, 1_826_212_500), (65_000_000, 1_978_396_876), (70_000_000, 2_130_581_250), (70_555_962, None), (70_555_963, None)],
+)  # the last two: days beyond 32 bits, and beyond the first date
+def test_arrears_up_to_the_first_date(either_mode, missed, days):
+    df = either_mode.createDataFrame([(missed,)], "missed int").withColumn("s", F.lit("2023-01-01").cast("date"))
+    dated = df.withColumn("first", derive.first_missed_date(F.col("s"), F.col("missed")))
+    got = dated.select(
+        F.col("first").isNull().alias("none"), derive.days_past_due(F.lit(1), F.col("s"), F.col("first")).alias("dpd")
+    ).first()
+    assert (got.none, got.dpd) == (missed == 70_555_963, days)
+
+
 def test_absurd_arrears_do_not_fail(either_mode):
     row = loan(either_mode, due_amt="0.000001", overdue_amt="1900")
     assert row["installments_missed"] > 10**9
