@@ -27,7 +27,7 @@ from snapmill.llm.windows import Powers, mix, rolling, span_hashes, spans, text_
 #: Bytes of text of a chunk and of the share of a bucket. A task holds one chunk or one bucket,
 #: some ten times that size.
 CHUNK_BYTES = 8 << 20
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 16 << 20
 #: Bits of an anchor's hash that are sent, beside those that its bucket tells; wrong hits are
 #: found out when they are extended.
 ANCHOR_BITS = 38
