@@ -2,31 +2,21 @@
 
 from __future__ import annotations
 
-from snapmill import fixed_values as V
-from snapmill.schemas import ATTRIBUTES, CLICKSTREAM, FINANCIALS, LOANS, TABLES
 from snapmill.workload.queries import (
     COHORT_CUTOFF,
     HOT_LEFT,
     HOT_RIGHT,
     LAST_LINE,
     LOAN_RANGE,
-    NON_NEGATIVE,
     SLICE_MONTH,
     SNAPSHOT_RANGE,
     STORED_MONTH,
-    STRIPPED,
 )
 from snapmill.workload.views import RAW_SQL
 
-_KEYS = ", ".join(V.FEATURE_KEYS)
-
-
-def _literal(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
-
-
-def _in(column: str, values) -> str:
-    return f"{column} IN ({', '.join(map(_literal, values))})"
+# Tables, columns, words and bounds are written out here, apart from the rules they check.
+_CLICKS, _ATTRIBUTES, _FINANCIALS, _LOANS = "clickstream", "attributes", "financials", "loan_daily"
+_KEYS = "Customer_ID, snapshot_date"
 
 
 def _raw(name: str) -> str:
@@ -50,19 +40,113 @@ def _bare(column: str) -> str:
 
 
 # ------------------------------------------------------------------ typed tables
-def _typed_column(rule) -> str:
-    source = _bare(rule.name) if rule.strip else rule.name
-    if rule.type == "int":
-        sql = _measured_int(source) if rule.measured else _int(source)
-    elif rule.type == "float":
-        sql = f"TRY_CAST({source} AS FLOAT)"
-    else:
-        sql = source
-    return f"{sql} AS {rule.name}"
-
-
-def _typed(name: str) -> str:
-    return f"(SELECT {', '.join(map(_typed_column, TABLES[name].rules))} FROM {_raw(name)})"
+_FE = [f"fe_{i}" for i in range(1, 21)]
+_ATTRIBUTE_COLUMNS = ["Customer_ID", "Name", "Age", "SSN", "Occupation", "snapshot_date"]
+_FINANCIAL_COLUMNS = [
+    "Customer_ID",
+    "Annual_Income",
+    "Monthly_Inhand_Salary",
+    "Num_Bank_Accounts",
+    "Num_Credit_Card",
+    "Interest_Rate",
+    "Num_of_Loan",
+    "Type_of_Loan",
+    "Delay_from_due_date",
+    "Num_of_Delayed_Payment",
+    "Changed_Credit_Limit",
+    "Num_Credit_Inquiries",
+    "Credit_Mix",
+    "Outstanding_Debt",
+    "Credit_Utilization_Ratio",
+    "Credit_History_Age",
+    "Payment_of_Min_Amount",
+    "Total_EMI_per_month",
+    "Amount_invested_monthly",
+    "Payment_Behaviour",
+    "Monthly_Balance",
+    "snapshot_date",
+]
+_LOAN_COLUMNS = [
+    "loan_id",
+    "Customer_ID",
+    "loan_start_date",
+    "tenure",
+    "installment_num",
+    "loan_amt",
+    "due_amt",
+    "paid_amt",
+    "overdue_amt",
+    "balance",
+    "snapshot_date",
+]
+_COLUMNS = {
+    _CLICKS: [*_FE, "Customer_ID", "snapshot_date"],
+    _ATTRIBUTES: _ATTRIBUTE_COLUMNS,
+    _FINANCIALS: _FINANCIAL_COLUMNS,
+    _LOANS: _LOAN_COLUMNS,
+}
+_MONEY = [
+    "Annual_Income",
+    "Monthly_Inhand_Salary",
+    "Interest_Rate",
+    "Changed_Credit_Limit",
+    "Outstanding_Debt",
+    "Credit_Utilization_Ratio",
+    "Total_EMI_per_month",
+    "Amount_invested_monthly",
+    "Monthly_Balance",
+]
+_TALLIES = [
+    "Num_Bank_Accounts",
+    "Num_Credit_Card",
+    "Num_of_Loan",
+    "Delay_from_due_date",
+    "Num_of_Delayed_Payment",
+    "Num_Credit_Inquiries",
+]
+_DESCRIBED = [
+    "Annual_Income",
+    "Monthly_Inhand_Salary",
+    "Num_Bank_Accounts",
+    "Num_Credit_Card",
+    "Num_Credit_Inquiries",
+    "Interest_Rate",
+    "Outstanding_Debt",
+    "Credit_Utilization_Ratio",
+    "Delay_from_due_date",
+    "Total_EMI_per_month",
+]
+_NOT_NEGATIVE = [
+    "Annual_Income",
+    "Monthly_Inhand_Salary",
+    "Num_Bank_Accounts",
+    "Num_Credit_Card",
+    "Num_of_Loan",
+    "Num_of_Delayed_Payment",
+    "Num_Credit_Inquiries",
+    "Outstanding_Debt",
+    "Credit_Utilization_Ratio",
+    "Total_EMI_per_month",
+    "Amount_invested_monthly",
+]
+
+
+def _typed_sql(table: str, column: str) -> str:
+    if table == _CLICKS and column in _FE or table == _LOANS and column in ("tenure", "installment_num"):
+        return f"{_measured_int(column)} AS {column}"
+    if table == _ATTRIBUTES and column == "Age":
+        return f"{_bare(column)} AS {column}"
+    if table == _FINANCIALS and column in _MONEY:
+        return f"TRY_CAST({_bare(column)} AS FLOAT) AS {column}"
+    if table == _FINANCIALS and column in _TALLIES:
+        return f"{_int(_bare(column))} AS {column}"
+    if table == _LOANS and column in ("loan_amt", "due_amt", "paid_amt", "overdue_amt", "balance"):
+        return f"TRY_CAST(TRY_CAST({column} AS DOUBLE) AS FLOAT) AS {column}"
+    return column
+
+
+def _typed(table: str) -> str:
+    return f"(SELECT {', '.join(_typed_sql(table, c) for c in _COLUMNS[table])} FROM {_raw(table)})"
 
 
 # ------------------------------------------------------------------ silver tables
@@ -76,8 +160,8 @@ _OCCUPATION_CATEGORY = """CASE
     WHEN Occupation IN ('Manager', 'Entrepreneur') THEN 'business'
     WHEN Occupation IN ('Mechanic', 'Accountant') THEN 'technical'
     WHEN Occupation IS NULL THEN 'None' ELSE 'other' END"""
-_SSN_VALID = f"regexp_matches(SSN, {_literal(V.SSN_PATTERN)})"
-_OCCUPATION = f"CASE WHEN NOT {_in('Occupation', V.OCCUPATION_PLACEHOLDERS)} THEN Occupation END"
+_SSN_VALID = "regexp_matches(SSN, '^[0-9]{3}-[0-9]{2}-[0-9]{4}$')"
+_OCCUPATION = "CASE WHEN Occupation NOT IN ('', '-', '^_+$') THEN Occupation END"
 
 SILVER_ATTRIBUTES = f"""(
 SELECT *, {_SSN_VALID} AS SSN_is_valid, CASE WHEN {_SSN_VALID} THEN SSN END AS SSN_clean,
@@ -85,15 +169,14 @@ SELECT *, {_SSN_VALID} AS SSN_is_valid, CASE WHEN {_SSN_VALID} THEN SSN END AS S
 FROM (SELECT Customer_ID, Name,
         CASE WHEN {_AGE} BETWEEN 16 AND 100 THEN {_bare('Age')} END AS Age,
         SSN, {_OCCUPATION} AS Occupation, snapshot_date
-    FROM {_raw(ATTRIBUTES.name)}))"""
+    FROM {_raw(_ATTRIBUTES)}))"""
 
-_FE = V.ACTIVITY_COLUMNS
 _ACTIVITY = f"""
     TRY_CAST({' + '.join(f'CAST({c} AS BIGINT)' for c in _FE)} AS INTEGER) AS total_activity,
     TRY_CAST({' + '.join(f'ABS(CAST({c} AS BIGINT))' for c in _FE)} AS INTEGER) AS activity_intensity,
     CAST({' + '.join(f'COALESCE(CAST({c} <> 0 AS INTEGER), 0)' for c in _FE)} AS INTEGER)
         AS active_features_count"""
-SILVER_CLICKSTREAM = f"(SELECT *, {_ACTIVITY} FROM {_typed(CLICKSTREAM.name)})"
+SILVER_CLICKSTREAM = f"(SELECT *, {_ACTIVITY} FROM {_typed(_CLICKS)})"
 
 _BOUNDS_SQL = {
     "Num_Bank_Accounts": "0 AND 10",
@@ -106,10 +189,10 @@ _CREDIT_MIX = "CASE WHEN Credit_Mix NOT IN ('_', '') THEN Credit_Mix END AS Cred
 _LOAN_TYPE = (
     "CASE WHEN Type_of_Loan NOT IN ('', '_', 'Not Specified') THEN Type_of_Loan END AS Type_of_Loan"
 )
-_BEHAVIOUR = (
-    f"CASE WHEN {_in('Payment_Behaviour', V.PAYMENT_BEHAVIOURS)} THEN Payment_Behaviour END "
-    "AS Payment_Behaviour"
-)
+_BEHAVIOUR = """CASE WHEN Payment_Behaviour IN (
+    'High_spent_Large_value_payments', 'High_spent_Medium_value_payments', 'High_spent_Small_value_payments',
+    'Low_spent_Large_value_payments', 'Low_spent_Medium_value_payments', 'Low_spent_Small_value_payments')
+    THEN Payment_Behaviour END AS Payment_Behaviour"""
 
 
 def _bounded(column: str) -> str:
@@ -123,25 +206,27 @@ def _at_least_zero(column: str) -> str:
 def _clean_financials() -> str:
     text = {"Credit_Mix": _CREDIT_MIX, "Type_of_Loan": _LOAN_TYPE, "Payment_Behaviour": _BEHAVIOUR}
     columns = []
-    for c in FINANCIALS.columns:
+    for c in _FINANCIAL_COLUMNS:
         if c in text:
             columns.append(text[c])
         elif c in _BOUNDS_SQL:
             columns.append(_bounded(c))
-        elif c in NON_NEGATIVE:
+        elif c in _NOT_NEGATIVE:
             columns.append(_at_least_zero(c))
         else:
             columns.append(c)
-    return f"(SELECT {', '.join(columns)} FROM {_typed(FINANCIALS.name)})"
+    return f"(SELECT {', '.join(columns)} FROM {_typed(_FINANCIALS)})"
 
 
 def _captured(pattern: str) -> str:
-    return f"TRY_CAST(NULLIF(regexp_extract(Credit_History_Age, '{pattern}', 1), '') AS BIGINT)"
+    """A number that 32 bits hold, ready to be multiplied in 64."""
+    found = f"NULLIF(regexp_extract(Credit_History_Age, '{pattern}', 1), '')"
+    return f"CAST(TRY_CAST({found} AS INTEGER) AS BIGINT)"
 
 
 SILVER_FINANCIALS = f"""(
 SELECT *,
-    CAST({_captured('([0-9]+) Years')} * 12 + {_captured('([0-9]+) Months')} AS INTEGER)
+    TRY_CAST({_captured('([0-9]+) Years')} * 12 + {_captured('([0-9]+) Months')} AS INTEGER)
         AS Credit_history_total_months,
     CASE WHEN Annual_Income > 0
         THEN CAST(Outstanding_Debt AS DOUBLE) / CAST(Annual_Income AS DOUBLE) END AS Debt_to_income_ratio,
@@ -156,8 +241,8 @@ _FILLED = ["tenure", "installment_num", "loan_amt", "due_amt", "paid_amt", "over
 
 
 def _zero_filled() -> str:
-    columns = [f"COALESCE({c}, 0) AS {c}" if c in _FILLED else c for c in LOANS.columns]
-    return f"(SELECT {', '.join(columns)} FROM {_typed(LOANS.name)})"
+    columns = [f"COALESCE({c}, 0) AS {c}" if c in _FILLED else c for c in _LOAN_COLUMNS]
+    return f"(SELECT {', '.join(columns)} FROM {_typed(_LOANS)})"
 
 
 # the missed count comes from unfilled amounts, but those nulls end at 0 either way
@@ -176,14 +261,14 @@ SELECT *, CASE WHEN overdue_amt > 0
 FROM dated)"""
 
 _SILVER = {
-    ATTRIBUTES.name: SILVER_ATTRIBUTES,
-    CLICKSTREAM.name: SILVER_CLICKSTREAM,
-    FINANCIALS.name: SILVER_FINANCIALS,
-    LOANS.name: SILVER_LOAN,
+    _ATTRIBUTES: SILVER_ATTRIBUTES,
+    _CLICKS: SILVER_CLICKSTREAM,
+    _FINANCIALS: SILVER_FINANCIALS,
+    _LOANS: SILVER_LOAN,
 }
 
 # ------------------------------------------------------------------ gold tables
-_PRIVATE = ", ".join(V.PRIVATE_COLUMNS)
+_PRIVATE = "Name, SSN, SSN_is_valid, SSN_clean, Occupation"
 
 
 def _feature_join(attributes: str, clicks: str, money: str) -> str:
@@ -226,17 +311,25 @@ def _on_spine(bounds: tuple[str, str], column: str = "snapshot_date") -> str:
     return f"{column} BETWEEN DATE '{first}' AND DATE '{last}' AND day({column}) = 1"
 
 
+_FIRST_OF_MONTH = "day(snapshot_date) = 1"
+
+
 def _read_back(column: str) -> str:
     """An empty text does not survive CSV: it is read as null."""
-    return column if column == V.SNAPSHOT else f"NULLIF(CAST({column} AS VARCHAR), '')"
+    return column if column == "snapshot_date" else f"NULLIF(CAST({column} AS VARCHAR), '')"
 
 
 def _bronze_report(name: str) -> str:
-    bounds = LOAN_RANGE if name == LOANS.name else SNAPSHOT_RANGE
-    cells = " + ".join(f"COUNT({_read_back(c)})" for c in TABLES[name].columns)
+    cells = " + ".join(f"COUNT({_read_back(c)})" for c in _COLUMNS[name])
     return f"""SELECT '{name}' AS source, snapshot_date, COUNT(*) AS row_count,
     COUNT(DISTINCT Customer_ID) AS entities, {cells} AS cells
-FROM {_raw(name)} WHERE {_on_spine(bounds)} GROUP BY snapshot_date"""
+FROM {_raw(name)} WHERE {_FIRST_OF_MONTH} GROUP BY snapshot_date"""
+
+
+def _ingested(name: str) -> str:
+    kept = _on_spine(LOAN_RANGE if name == _LOANS else SNAPSHOT_RANGE)
+    return f"""SELECT '{name}' AS source, COUNT(*) FILTER (WHERE {kept}) AS kept,
+    COUNT(*) FILTER (WHERE ({kept}) IS NOT TRUE) AS dropped FROM {_raw(name)}"""
 
 
 # ------------------------------------------------------------------ profiles
@@ -260,7 +353,7 @@ def _described(column: str) -> str:
     return f"""SELECT '{column}' AS "column", COUNT({number}) AS count, ROUND(AVG({number}), 4) AS mean,
     ROUND(STDDEV_SAMP({number}), 4) AS stddev, MIN({number}) AS min, MAX({number}) AS max,
     COUNT(*) FILTER (WHERE {column} IS NOT NULL AND {number} IS NULL) AS unparsed
-FROM {_raw(FINANCIALS.name)}"""
+FROM {_raw(_FINANCIALS)}"""
 
 
 def _project(columns: str, source: str, where: str = "TRUE") -> str:
@@ -271,11 +364,11 @@ _FLAGGED = f"""(SELECT *, CASE WHEN dpd >= 30 THEN 1 ELSE 0 END AS dpd_flag
 FROM {SILVER_LOAN} WHERE loan_start_date < DATE '{COHORT_CUTOFF}')"""
 _MONTHS = """(SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS snapshot_date, COUNT(*) AS n
 FROM orders GROUP BY 1)"""
-_FIRST_FIVE = ", ".join(f"MIN({c}) AS min_{c}, MAX({c}) AS max_{c}" for c in _FE[:5])
+_RANGES = ", ".join(f"MIN({c}) AS min_{c}, MAX({c}) AS max_{c}" for c in _FE)
 _DIGITS = "regexp_matches(Age, '^[0-9]+$')"
 
 ORACLE: dict[str, str] = {
-    "snapshot_slice": _project("*", _raw(LOANS.name), f"snapshot_date = DATE '{SLICE_MONTH}'"),
+    "snapshot_slice": _project("*", _raw(_LOANS), f"snapshot_date = DATE '{SLICE_MONTH}'"),
     "month_spine": f"""SELECT snapshot_date, COALESCE(n, 0) AS row_count
 FROM (SELECT CAST(UNNEST(generate_series(MIN(snapshot_date), MAX(snapshot_date), INTERVAL 1 MONTH)) AS DATE)
     AS snapshot_date FROM {_MONTHS}) LEFT JOIN {_MONTHS} USING (snapshot_date)""",
@@ -285,27 +378,27 @@ FROM (SELECT CAST(UNNEST(generate_series(MIN(snapshot_date), MAX(snapshot_date),
         _on_spine(LOAN_RANGE),
     ),
     "strip_underscore": _project(
-        f"{_KEYS}, {', '.join(f'{_bare(c)} AS {c}' for c in STRIPPED)}", _raw(FINANCIALS.name)
+        f"{_KEYS}, {', '.join(f'{_bare(c)} AS {c}' for c in _MONEY + _TALLIES)}", _raw(_FINANCIALS)
     ),
-    "enforce_schema": _project("*", _typed(CLICKSTREAM.name)),
-    "enforce_schema_attributes": _project("*", _typed(ATTRIBUTES.name)),
-    "enforce_schema_financials": _project("*", _typed(FINANCIALS.name)),
-    "enforce_schema_loans": _project("*", _typed(LOANS.name)),
-    "sentinel_to_null": _project(f"{_KEYS}, {_OCCUPATION} AS Occupation", _raw(ATTRIBUTES.name)),
+    "enforce_schema": _project("*", _typed(_CLICKS)),
+    "enforce_schema_attributes": _project("*", _typed(_ATTRIBUTES)),
+    "enforce_schema_financials": _project("*", _typed(_FINANCIALS)),
+    "enforce_schema_loans": _project("*", _typed(_LOANS)),
+    "sentinel_to_null": _project(f"{_KEYS}, {_OCCUPATION} AS Occupation", _raw(_ATTRIBUTES)),
     "sentinel_pattern_to_null": _project(
         f"""{_KEYS}, CASE WHEN Occupation NOT IN ('', '-') AND NOT regexp_matches(Occupation, '^_+$')
         THEN Occupation END AS Occupation""",
-        _raw(ATTRIBUTES.name),
+        _raw(_ATTRIBUTES),
     ),
-    "sentinel_to_null_financials": _project(f"{_KEYS}, {_CREDIT_MIX}, {_LOAN_TYPE}", _raw(FINANCIALS.name)),
+    "sentinel_to_null_financials": _project(f"{_KEYS}, {_CREDIT_MIX}, {_LOAN_TYPE}", _raw(_FINANCIALS)),
     "range_to_null": _project(
-        f"{_KEYS}, {', '.join(map(_bounded, _BOUNDS_SQL))}", _typed(FINANCIALS.name)
+        f"{_KEYS}, {', '.join(map(_bounded, _BOUNDS_SQL))}", _typed(_FINANCIALS)
     ),
     "range_to_null_age": _project(f"{_KEYS}, Age", SILVER_ATTRIBUTES),
     "negative_to_null": _project(
-        f"{_KEYS}, {', '.join(map(_at_least_zero, NON_NEGATIVE))}", _typed(FINANCIALS.name)
+        f"{_KEYS}, {', '.join(map(_at_least_zero, _NOT_NEGATIVE))}", _typed(_FINANCIALS)
     ),
-    "whitelist_to_null": _project(f"{_KEYS}, {_BEHAVIOUR}", _raw(FINANCIALS.name)),
+    "whitelist_to_null": _project(f"{_KEYS}, {_BEHAVIOUR}", _raw(_FINANCIALS)),
     "pattern_flag_mask": _project(f"{_KEYS}, SSN, SSN_is_valid, SSN_clean", SILVER_ATTRIBUTES),
     "zero_fill": _project("*", _zero_filled()),
     "age_group": _project(f"{_KEYS}, Age, age_group", SILVER_ATTRIBUTES),
@@ -338,45 +431,50 @@ FROM (SELECT CAST(UNNEST(generate_series(MIN(snapshot_date), MAX(snapshot_date),
         "loan_id, installment_num, loan_start_date, dpd, dpd_flag", _FLAGGED, f"installment_num = {LAST_LINE}"
     ),
     "bad_rate_by_mob": f"SELECT mob, AVG(dpd_flag) AS bad_rate FROM {_FLAGGED} GROUP BY mob",
-    "value_counts": f"""SELECT Occupation, COUNT(*) AS count FROM {_raw(ATTRIBUTES.name)}
-GROUP BY Occupation ORDER BY count DESC, Occupation NULLS FIRST LIMIT 20""",
-    "distinct_values": f"SELECT DISTINCT Occupation FROM {_raw(ATTRIBUTES.name)}",
-    "distinct_values_head": f"""SELECT DISTINCT Customer_ID FROM {_raw(CLICKSTREAM.name)}
+    "value_counts": f"""SELECT Occupation, COUNT(*) AS count FROM {_raw(_ATTRIBUTES)}
+GROUP BY Occupation""",
+    "value_counts_entities": f"""SELECT Customer_ID, COUNT(*) AS count FROM {_raw(_CLICKS)}
+GROUP BY Customer_ID""",
+    "value_counts_top": f"""SELECT Customer_ID, COUNT(*) AS count FROM {_raw(_CLICKS)}
+GROUP BY Customer_ID ORDER BY count DESC, Customer_ID NULLS FIRST LIMIT 20""",
+    "distinct_values": f"SELECT DISTINCT Occupation FROM {_raw(_ATTRIBUTES)}",
+    "distinct_values_head": f"""SELECT DISTINCT Customer_ID FROM {_raw(_CLICKS)}
 ORDER BY Customer_ID NULLS FIRST LIMIT 50""",
     "distinct_count": f"""SELECT COUNT(*) AS distinct_count
-FROM (SELECT DISTINCT Customer_ID FROM {_raw(CLICKSTREAM.name)})""",
+FROM (SELECT DISTINCT Customer_ID FROM {_raw(_CLICKS)})""",
     "distinct_count_occupations": f"""SELECT COUNT(*) AS distinct_count
-FROM (SELECT DISTINCT Occupation FROM {_raw(ATTRIBUTES.name)})""",
+FROM (SELECT DISTINCT Occupation FROM {_raw(_ATTRIBUTES)})""",
     "null_counts": "SELECT {} FROM {}".format(
-        ", ".join(f"COUNT(*) - COUNT({c}) AS {c}" for c in CLICKSTREAM.columns), _raw(CLICKSTREAM.name)
+        ", ".join(f"COUNT(*) - COUNT({c}) AS {c}" for c in _COLUMNS[_CLICKS]), _raw(_CLICKS)
     ),
     "missing_counts": _missing_counts(
-        {c: c == V.SNAPSHOT for c in ATTRIBUTES.columns}, _raw(ATTRIBUTES.name)
+        {c: c == "snapshot_date" for c in _ATTRIBUTE_COLUMNS}, _raw(_ATTRIBUTES)
     ),
     "missing_counts_documents": _missing_counts(
         dict.fromkeys(["doc_id", "text", "lang", "source", "n_chars"], False), "documents"
     ),
-    "min_max": _project(_FIRST_FIVE, _typed(CLICKSTREAM.name)),
-    "describe_numeric": "\nUNION ALL ".join(map(_described, V.DESCRIBED_FINANCIALS)),
+    "min_max": _project(_RANGES, _typed(_CLICKS)),
+    "describe_numeric": "\nUNION ALL ".join(map(_described, _DESCRIBED)),
     "numeric_check": f"""SELECT COUNT(*) FILTER (WHERE {_DIGITS}) AS numeric_count,
-    COUNT(*) FILTER (WHERE NOT {_DIGITS}) AS non_numeric_count FROM {_raw(ATTRIBUTES.name)}""",
-    "non_numeric_values": _project("DISTINCT Age", _raw(ATTRIBUTES.name), f"NOT {_DIGITS}"),
+    COUNT(*) FILTER (WHERE NOT {_DIGITS}) AS non_numeric_count FROM {_raw(_ATTRIBUTES)}""",
+    "non_numeric_values": _project("DISTINCT Age", _raw(_ATTRIBUTES), f"NOT {_DIGITS}"),
     "row_count": "SELECT COUNT(*) AS row_count FROM lineitem",
     "duplicate_keys": f"""SELECT COUNT(*) AS repeated_keys,
     CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS surplus_rows, COALESCE(MAX(n), 0) AS rows_of_largest_key
-FROM (SELECT COUNT(*) AS n FROM {_raw(CLICKSTREAM.name)} GROUP BY {_KEYS} HAVING COUNT(*) > 1)""",
+FROM (SELECT COUNT(*) AS n FROM {_raw(_CLICKS)} GROUP BY {_KEYS} HAVING COUNT(*) > 1)""",
     "silver_attributes": _project("*", SILVER_ATTRIBUTES),
     "silver_clickstream": _project("*", SILVER_CLICKSTREAM),
     "silver_financials": _project("*", SILVER_FINANCIALS),
     "silver_loan": _project("*", SILVER_LOAN),
     "gold_features": _project("*", FEATURES),
-    "bronze_roundtrip": "\nUNION ALL ".join(map(_bronze_report, TABLES)),
+    "bronze_roundtrip": "\nUNION ALL ".join(map(_bronze_report, _COLUMNS)),
     "bronze_attributes": _project(
-        ", ".join(f"{_read_back(c)} AS {c}" for c in ATTRIBUTES.columns),
-        _raw(ATTRIBUTES.name),
-        _on_spine(SNAPSHOT_RANGE),
+        ", ".join(f"{_read_back(c)} AS {c}" for c in _ATTRIBUTE_COLUMNS),
+        _raw(_ATTRIBUTES),
+        _FIRST_OF_MONTH,
     ),
+    "ingest_report": "\nUNION ALL ".join(map(_ingested, _COLUMNS)),
     "silver_month": _project("*", SILVER_CLICKSTREAM, f"snapshot_date = DATE '{STORED_MONTH}'"),
-    "backfill_labels": _labels(_on_spine(LOAN_RANGE)),
-    "backfill_features": _project("*", FEATURES, _on_spine(SNAPSHOT_RANGE)),
+    "backfill_labels": _labels(_FIRST_OF_MONTH),
+    "backfill_features": _project("*", FEATURES, _FIRST_OF_MONTH),
 }

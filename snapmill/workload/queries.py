@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +26,7 @@ from snapmill.schemas import (
 )
 from snapmill.sources.lake import BRONZE, FEATURE_STORE, GOLD, LABEL_STORE, SILVER, Lake
 from snapmill.sources.raw import write_raw
-from snapmill.sources.shared import shared_folder
+from snapmill.sources.shared import remove_folder, shared_folder
 from snapmill.workload.views import (
     RAW,
     raw_attributes,
@@ -54,7 +55,7 @@ _KEYS = list(V.FEATURE_KEYS)
 
 # ------------------------------------------------------------------ slicing and spine
 def snapshot_slice(spark: SparkSession, sf: str) -> DataFrame:
-    return slicing.snapshot_slice(raw_loans(spark, sf, SLICE_MONTH), SLICE_MONTH)
+    return slicing.snapshot_slice(raw_loans(spark, sf), SLICE_MONTH)
 
 
 def month_spine(spark: SparkSession, sf: str) -> DataFrame:
@@ -195,7 +196,7 @@ def feature_join_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
             }
         )
     # a low mark for "heavy", so that the sliced path runs at test scale too
-    heavy = joins.find_heavy_keys(parts, heavy_rows=20)
+    heavy = joins.find_heavy_keys(parts, heavy_rows=200)
     return features.join_features(*parts.values(), heavy=heavy)
 
 
@@ -242,6 +243,14 @@ def value_counts(spark: SparkSession, sf: str) -> DataFrame:
     return profile.value_counts(raw_attributes(spark, sf), "Occupation")
 
 
+def value_counts_entities(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.value_counts(raw_clicks(spark, sf), V.ENTITY)
+
+
+def value_counts_top(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.value_counts(raw_clicks(spark, sf), V.ENTITY, limit=20)
+
+
 def distinct_values(spark: SparkSession, sf: str) -> DataFrame:
     return profile.distinct_values(raw_attributes(spark, sf), "Occupation")
 
@@ -272,7 +281,7 @@ def missing_counts_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 def min_max(spark: SparkSession, sf: str) -> DataFrame:
     clicks = type_columns(raw_clicks(spark, sf), CLICKSTREAM)
-    return profile.value_ranges(clicks, profile.activity_columns(clicks)[:5])
+    return profile.value_ranges(clicks, profile.activity_columns(clicks))
 
 
 def describe_numeric(spark: SparkSession, sf: str) -> DataFrame:
@@ -294,13 +303,19 @@ def duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ jobs through the lake
-def _landed(spark: SparkSession, sf: str, names) -> tuple[Lake, dict[str, str]]:
-    """Raw CSV files of the named tables, and an empty lake beside them."""
+@contextmanager
+def _landed(spark: SparkSession, sf: str, names, *unneeded: str) -> Iterator[tuple[Lake, dict[str, str]]]:
+    """Raw CSV files of the named tables, and an empty lake beside them.
+
+    The raw files go when the jobs are done, and so do the layers that the result does not read.
+    """
     root = shared_folder(spark, "run")
     paths = {name: f"{root}/raw/{name}" for name in names}
     for name, path in paths.items():
         write_raw(RAW[name](spark, sf), path)
-    return Lake(spark, f"{root}/lake"), paths
+    yield Lake(spark, f"{root}/lake"), paths
+    for folder in ("raw", *(f"lake/{layer}" for layer in unneeded)):
+        remove_folder(spark, f"{root}/{folder}")
 
 
 def _range_of(name: str) -> tuple[DateLike, DateLike]:
@@ -308,8 +323,8 @@ def _range_of(name: str) -> tuple[DateLike, DateLike]:
 
 
 def _bronze(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    lake, paths = _landed(spark, sf, [name])
-    jobs.ingest(lake, name, paths[name], *_range_of(name))
+    with _landed(spark, sf, [name]) as (lake, paths):
+        jobs.ingest(lake, name, paths[name], *jobs.raw_range(lake, paths))
     return lake.read(BRONZE, name, TABLES[name].bronze_schema).select(*TABLES[name].columns)
 
 
@@ -332,26 +347,37 @@ def bronze_attributes(spark: SparkSession, sf: str) -> DataFrame:
     return _bronze(spark, sf, ATTRIBUTES.name)
 
 
+def ingest_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows kept and left out per table when a part of the months is ingested."""
+    report = []
+    with _landed(spark, sf, TABLES, BRONZE) as (lake, paths):
+        for name, path in paths.items():
+            written = jobs.ingest(lake, name, path, *_range_of(name))
+            report.append((name, sum(written.values()), written.dropped))
+    return spark.createDataFrame(report, "source string, kept long, dropped long")
+
+
 def silver_month(spark: SparkSession, sf: str) -> DataFrame:
     """One month of a stored silver table, after that month alone was run a second time."""
-    lake, paths = _landed(spark, sf, [CLICKSTREAM.name])
-    for bounds in (SNAPSHOT_RANGE, (STORED_MONTH, STORED_MONTH)):
-        jobs.ingest(lake, CLICKSTREAM.name, paths[CLICKSTREAM.name], *bounds)
-        jobs.refine(lake, CLICKSTREAM.name, *bounds)
+    with _landed(spark, sf, [CLICKSTREAM.name], BRONZE) as (lake, paths):
+        for bounds in (SNAPSHOT_RANGE, (STORED_MONTH, STORED_MONTH)):
+            jobs.ingest(lake, CLICKSTREAM.name, paths[CLICKSTREAM.name], *bounds)
+            jobs.refine(lake, CLICKSTREAM.name, *bounds)
     return lake.read_month(SILVER, CLICKSTREAM.name, CLICKSTREAM.silver_schema, STORED_MONTH)
 
 
 def backfill_labels(spark: SparkSession, sf: str) -> DataFrame:
     """Label store after raw to bronze to silver to gold."""
-    lake, paths = _landed(spark, sf, [LOANS.name])
-    jobs.backfill(lake, paths, *LOAN_RANGE)
+    with _landed(spark, sf, [LOANS.name], BRONZE, SILVER) as (lake, paths):
+        jobs.backfill(lake, paths, *jobs.raw_range(lake, paths))
     return lake.read(GOLD, LABEL_STORE, LABEL_STORE_SCHEMA)
 
 
 def backfill_features(spark: SparkSession, sf: str) -> DataFrame:
     """Feature store after raw to bronze to silver to gold."""
-    lake, paths = _landed(spark, sf, [ATTRIBUTES.name, CLICKSTREAM.name, FINANCIALS.name])
-    jobs.backfill(lake, paths, *SNAPSHOT_RANGE)
+    names = [ATTRIBUTES.name, CLICKSTREAM.name, FINANCIALS.name]
+    with _landed(spark, sf, names, BRONZE, SILVER) as (lake, paths):
+        jobs.backfill(lake, paths, *jobs.raw_range(lake, paths))
     return lake.read(GOLD, FEATURE_STORE, FEATURE_STORE_SCHEMA)
 
 
@@ -392,6 +418,8 @@ QUERIES: dict[str, Query] = {
     "cohort_filter": cohort_filter,
     "bad_rate_by_mob": bad_rate_by_mob,
     "value_counts": value_counts,
+    "value_counts_entities": value_counts_entities,
+    "value_counts_top": value_counts_top,
     "distinct_values": distinct_values,
     "distinct_values_head": distinct_values_head,
     "distinct_count": distinct_count,
@@ -412,6 +440,7 @@ QUERIES: dict[str, Query] = {
     "gold_features": gold_features,
     "bronze_roundtrip": bronze_roundtrip,
     "bronze_attributes": bronze_attributes,
+    "ingest_report": ingest_report,
     "silver_month": silver_month,
     "backfill_labels": backfill_labels,
     "backfill_features": backfill_features,

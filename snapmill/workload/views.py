@@ -7,10 +7,8 @@ engine, so both start from equal dirty rows; what happens next is written twice.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from snapmill import fixed_values as V
-from snapmill.functions.calendar import DateLike, day, next_month
 from snapmill.schemas import ATTRIBUTES, CLICKSTREAM, FINANCIALS, LOANS
 
 
@@ -18,22 +16,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Rounds up to 32 bits when it is rounded to 64 bits first, else down.
+_TWICE_ROUNDED = "1.00000017881393432617187499"
+
 LOAN_COLUMNS = {
     "loan_id": "concat(l_orderkey, '')",
     "Customer_ID": "concat(o_custkey, '')",
     "loan_start_date": "CAST(o_orderdate AS DATE)",
-    "tenure": "CASE WHEN l_orderkey % 10 = 0 THEN NULL ELSE 10 END",
-    "installment_num": "l_linenumber",
-    "loan_amt": "l_extendedprice",
-    # nothing due on undiscounted lines: the divide-by-zero case
-    "due_amt": "CASE WHEN l_discount = 0 THEN 0 ELSE l_quantity END",
-    "paid_amt": "CASE l_returnflag WHEN 'N' THEN l_quantity ELSE 0 END",
-    "overdue_amt": """CASE l_returnflag
-        WHEN 'R' THEN l_quantity * (1 + l_linenumber % 3)
-        WHEN 'A' THEN l_quantity * 0.5
-        ELSE 0 END""",
-    "balance": "CASE WHEN l_linenumber = 7 THEN NULL ELSE l_extendedprice END",
-    "snapshot_date": "make_date(year(l_shipdate), month(l_shipdate), 1)",
+    "tenure": "CASE l_orderkey % 10 WHEN 0 THEN NULL WHEN 1 THEN '10.7' ELSE '10' END",
+    "installment_num": "CASE WHEN l_orderkey % 13 = 5 THEN concat(l_linenumber, '.0') ELSE concat(l_linenumber, '') END",
+    "loan_amt": f"CASE WHEN l_orderkey % 101 = 1 THEN '{_TWICE_ROUNDED}' ELSE concat(l_extendedprice, '') END",
+    # nothing due on undiscounted lines: the divide-by-zero case; a tenth and three tenths are no
+    # exact threefold in 32 bits
+    "due_amt": f"""CASE WHEN l_orderkey % 101 = 2 THEN '{_TWICE_ROUNDED}' WHEN l_orderkey % 29 = 4 THEN '0.1'
+        WHEN l_discount = 0 THEN '0' ELSE concat(l_quantity, '') END""",
+    "paid_amt": f"""CASE WHEN l_orderkey % 101 = 3 THEN '{_TWICE_ROUNDED}'
+        WHEN l_returnflag = 'N' THEN concat(l_quantity, '') ELSE '0' END""",
+    "overdue_amt": f"""CASE WHEN l_orderkey % 101 = 4 THEN '{_TWICE_ROUNDED}' WHEN l_orderkey % 29 = 4 THEN '0.3'
+        WHEN l_linenumber = 5 THEN '-150'
+        WHEN l_returnflag = 'R' THEN concat(l_quantity * (1 + l_linenumber % 3), '')
+        WHEN l_returnflag = 'A' THEN concat(l_quantity * 0.5, '')
+        ELSE '0' END""",
+    "balance": f"""CASE WHEN l_linenumber = 7 THEN NULL WHEN l_orderkey % 101 = 5 THEN '{_TWICE_ROUNDED}'
+        ELSE concat(l_extendedprice, '') END""",
+    # mostly first of month; some month ends, where going back months clamps, and some without a date
+    "snapshot_date": """CASE WHEN l_orderkey % 97 = 50 THEN NULL
+        WHEN l_orderkey % 8 = 3 THEN last_day(CAST(l_shipdate AS DATE))
+        ELSE make_date(year(l_shipdate), month(l_shipdate), 1) END""",
 }
 
 ATTRIBUTE_COLUMNS = {
@@ -117,6 +126,7 @@ FINANCIAL_COLUMNS = {
         ELSE concat((o_orderkey * 79 % 480) / 4 - 5, '') END""",
     "Credit_History_Age": """CASE o_orderkey % 15
         WHEN 0 THEN 'NA' WHEN 1 THEN concat(o_orderkey % 30, ' Years') WHEN 2 THEN NULL
+        WHEN 3 THEN '999999999999999999 Years and 1 Months'
         ELSE concat(o_orderkey % 30, ' Years and ', o_orderkey % 12, ' Months') END""",
     "Payment_of_Min_Amount": "CASE o_orderkey % 3 WHEN 0 THEN 'Yes' WHEN 1 THEN 'No' ELSE 'NM' END",
     "Total_EMI_per_month": "concat((o_orderkey * 7 % 20004) / 2 - 1, '')",
@@ -137,13 +147,9 @@ def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()])
 
 
-def raw_loans(spark: SparkSession, sf_dir: str, month: DateLike | None = None) -> DataFrame:
-    """Loan rows; with a month only its lines are scanned, by a range the scan can use."""
+def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
-    if month is not None:
-        first, after = (F.lit(str(d)).cast("timestamp_ntz") for d in (day(month), next_month(month)))
-        lines = lines.where((F.col("l_shipdate") >= first) & (F.col("l_shipdate") < after))
     return _select(lines.join(orders, lines.l_orderkey == orders.o_orderkey), LOAN_COLUMNS)
 
 
