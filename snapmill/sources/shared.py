@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import uuid
 
 from pyspark.sql import SparkSession
@@ -20,9 +21,11 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder, wherever Spark keeps it; nothing happens once the session has ended."""
+    """Delete a folder, wherever Spark keeps it. Once the session has ended only a local one can go."""
     context = spark.sparkContext
     if context._jsc is None or context._jsc.sc().isStopped():
+        if path.startswith(("/", "file:/")):
+            shutil.rmtree(path.removeprefix("file:"), ignore_errors=True)
         return
     folder = context._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
