@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -63,11 +64,17 @@ class Encoder:
         return np.array(ids, dtype="<u4")
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """One encoder per Python worker, which many tasks use."""
+    return Encoder(path)
+
+
 def pieces(docs: DataFrame, capacity: int, vocabulary: str) -> DataFrame:
     """One row per piece: doc_id, row, piece, start, length, ids_crc32; id 0 ends each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(vocabulary)
+        encode = encoder(vocabulary)
         for batch in batches:
             rows: list[tuple] = []
             for at, text in enumerate(batch.column(2)):
