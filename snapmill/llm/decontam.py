@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from snapmill.llm.common import OTHER_MARKS, cut
+from snapmill.llm.common import OTHER_MARKS, cut, shared_table
 from snapmill.llm.windows import Powers, rolling, span_hashes, spans, text_slices
 
 #: Words of a window; shorter items are one window as a whole.
@@ -281,6 +281,13 @@ def contaminations(
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents that contain no benchmark item, with all their columns."""
-    gone = contaminations(docs, benchmark, **options).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    """The documents that contain no benchmark item, with all their columns.
+
+    What goes is a list of keys, doc_id and a hash of the text, in the shared folder; Spark
+    broadcasts it only if its files are small.
+    """
+    key = F.struct(F.col("doc_id"), F.xxhash64("text").alias("text_hash"))
+    found = contaminations(docs.select(key.alias("doc_id"), "text"), benchmark, **options)
+    gone = shared_table(found.select(F.col("doc_id").alias("__key")).distinct(), "contaminated")
+    marked = docs.withColumn("__own", key)
+    return marked.join(gone, F.col("__own") == F.col("__key"), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapmill.llm.common import cut
+from snapmill.llm.common import cut, shared_table
 from snapmill.llm.components import components
 
 BITS = 64
@@ -52,15 +52,18 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id and fp (the 64 bits as a signed long) of every row."""
+    """doc_id, text_hash (XXH64 of the text) and fp (the 64 bits as a signed long) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            found = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(2)], np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(found.view(np.int64))], ["doc_id", "text_hash", "fp"]
+            )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, fp long")
 
 
 # Partitions and thresholds
@@ -291,6 +294,20 @@ def links(fps: DataFrame, plan: Allocation) -> DataFrame:
 # Operator
 
 
+def _grouped(docs: DataFrame, shingle: int, distance: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, text_hash, fp), and for each distinct fp the smallest doc_id and the root of its group."""
+    rows = cut(fingerprints(docs, shingle))
+    nodes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumn("root", F.col("fp")))
+    n = nodes.count()
+    correlation = bit_correlation(nodes)
+    for radius in dict.fromkeys((distance // 2, distance)):
+        if n > 1 and radius:
+            moved = components(links(nodes, allocate(nodes, n, radius, correlation)))
+            moved = moved.select(F.col("node").alias("root"), F.col("root").alias("to"))
+            nodes = cut(nodes.join(moved, "root", "left").select("fp", "least", F.coalesce("to", "root").alias("root")))
+    return rows, nodes
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -304,15 +321,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> Dat
     distance are joined up first, and the full distance is only looked for between what is then
     still apart; a node of a dense group has few links that way.
     """
-    rows = cut(fingerprints(docs, shingle))
-    nodes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumn("root", F.col("fp")))
-    n = nodes.count()
-    correlation = bit_correlation(nodes)
-    for radius in dict.fromkeys((distance // 2, distance)):
-        if n > 1 and radius:
-            moved = components(links(nodes, allocate(nodes, n, radius, correlation)))
-            moved = moved.select(F.col("node").alias("root"), F.col("root").alias("to"))
-            nodes = cut(nodes.join(moved, "root", "left").select("fp", "least", F.coalesce("to", "root").alias("root")))
+    rows, nodes = _grouped(docs, shingle, distance)
     of_root = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
     # A fingerprint may have a third of all rows: the lookup is a plain join that is split at it.
     by_fp = nodes.join(of_root, "root").select("fp", "component_id")
@@ -322,15 +331,25 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> Dat
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
-    """The documents that stay, with all their columns: of each group that with the smallest doc_id.
+    """The documents that stay, with all their columns: of each group the row with the smallest doc_id.
 
-    Of several rows with that doc_id the first by text stays. Rows that reach no known doc_id stay.
+    A null doc_id comes last. Of a group's rows with that doc_id the one whose text hashes lowest
+    stays, and of rows that repeat it the first by the other columns. What goes is a list of keys
+    in the shared folder; Spark broadcasts it only if its files are small.
     """
-    gone = near_duplicates(docs, shingle, distance).where("doc_id IS NULL OR doc_id <> component_id")
-    gone = gone.where("component_id IS NOT NULL").select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
-    known = kept.where("doc_id IS NOT NULL")
-    order = [F.col(f"`{c}`") for c in ("text", *(c for c in docs.columns if c not in ("doc_id", "text")))]
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))
-    known = known.withColumn("__n", first).where("__n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
-    return known.unionByName(kept.where("doc_id IS NULL"))
+    rows, nodes = _grouped(docs, shingle, distance)
+    key = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("text_hash"))
+    keyed = rows.join(nodes.select("fp", "root"), "fp").select("root", key.alias("key"))
+    first = keyed.groupBy("root").agg(F.min("key").alias("first"))
+    keys = keyed.groupBy("root", "key").agg(F.count("*").alias("n")).join(first, "root")
+    listed = keys.select("key", (F.col("key") != F.col("first")).alias("gone"), "n").where("gone OR n > 1")
+    listed = shared_table(listed, "near-duplicates").select(F.col("key").alias("__key"), F.col("gone").alias("__gone"))
+    marked = docs.withColumn("text_hash__", F.xxhash64("text"))
+    key = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("text_hash__").alias("text_hash"))
+    marked = marked.withColumn("__own", key)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    once = marked.join(listed, F.col("__own") == F.col("__key"), "left_anti").select(*columns)
+    again = marked.join(listed.where("NOT __gone"), F.col("__own") == F.col("__key"), "left_semi")
+    order = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")] or [F.lit(0)]
+    again = again.withColumn("__n", F.row_number().over(Window.partitionBy("__own").orderBy(*order)))
+    return once.unionByName(again.where("__n = 1").select(*columns))

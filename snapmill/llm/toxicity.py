@@ -284,10 +284,17 @@ def _labelled(labels: DataFrame) -> DataFrame:
     return known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("y"))
 
 
-def _sample(one: DataFrame, sizes: tuple[int, int]) -> DataFrame:
-    """At most the given numbers of clean and toxic documents, evenly spread."""
-    mixed = F.xxhash64(F.lit("sample"), "doc_id")
-    parts = [one.where(F.col("y") == y).orderBy(mixed, "doc_id").limit(n) for y, n in enumerate(sizes)]
+def _sample(one: DataFrame, natural: dict[int, int], sizes: tuple[int, int]) -> DataFrame:
+    """At most the given numbers of clean and toxic documents, evenly spread.
+
+    About twice as many are taken by a hash first, so what is sorted is as bounded as what is kept.
+    """
+    mixed = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30))
+    parts = []
+    for y, n in enumerate(sizes):
+        share = min(1.0, 2 * n / max(1, natural[y]))
+        few = one.where((F.col("y") == y) & (mixed < share * (1 << 30)))
+        parts.append(few.orderBy(mixed, "doc_id").limit(n))
     return parts[0].unionByName(parts[1])
 
 
@@ -330,7 +337,7 @@ def fit(docs: DataFrame, labels: DataFrame, sizes: tuple[int, int] = (CLEAN_SAMP
     texts = docs.select("doc_id", "text").where("text IS NOT NULL")
     labelled = cut(_labelled(labels))
     natural = {0: 0, 1: 0} | {r.y: r["count"] for r in labelled.groupBy("y").count().collect()}
-    sample = cut(_sample(labelled, sizes))
+    sample = cut(_sample(labelled, natural, sizes))
     chosen = _different(texts.join(F.broadcast(sample), "doc_id").select("doc_id", "y", "text"))  # sum(sizes) ids at most
     total = {r.y: r["count"] for r in chosen.groupBy("y").count().collect()}
     model = Model(counts, np.empty(0, np.uint64), np.empty(0), np.empty(0), 0.5)

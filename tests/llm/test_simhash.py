@@ -55,7 +55,15 @@ def test_matches_brute_force(table, odd):
 def test_stage_keeps_one_of_each_group(odd):
     kept = simhash.drop_near_duplicates(odd)
     assert kept.columns == odd.columns
-    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 6, 7]
+    # Both texts of 6 stay, they are not linked.
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 6, 6, 7]
+
+
+def test_rows_without_a_doc_id(table):
+    texts = [" ".join(f"{c}{i}" for i in range(50)) for c in "abc"]
+    df = table([(None, texts[0]), (None, texts[1]), (None, texts[1]), (1, texts[1]), (2, texts[2]), (2, texts[2]), (3, texts[2])])
+    kept = simhash.drop_near_duplicates(df).collect()
+    assert sorted((str(r.doc_id), r.text[0]) for r in kept) == [("1", "b"), ("2", "c"), ("None", "a")]
 
 
 @pytest.mark.parametrize("parts", [2, 3, 4, 5])
