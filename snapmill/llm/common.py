@@ -50,6 +50,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     spark.sparkContext.setCheckpointDir(folder)
 
 
+#: Bytes of an Arrow batch. Rows of long texts come in small batches, whatever their number.
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Have Arrow batches hold BATCH_BYTES at most, or what the session says if that is less."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).rstrip("b")
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Run ``df`` now and go on from its rows in the shared folder, so that lost executors cost no rerun."""
     ensure_checkpoint_dir(df.sparkSession)

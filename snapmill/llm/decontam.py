@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from snapmill.llm.common import OTHER_MARKS, cut, shared_table
+from snapmill.llm.common import OTHER_MARKS, bound_batches, cut, shared_table
 from snapmill.llm.windows import Powers, rolling, span_hashes, spans, text_slices
 
 #: Words of a window; shorter items are one window as a whole.
@@ -246,6 +246,7 @@ def contaminations(
     windows disagree about a slot gives no hit.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     id_kind = docs.schema["doc_id"].dataType.simpleString()
     item_kind = benchmark.schema["item_id"].dataType.simpleString()
     schema = f"doc_id {id_kind}, item_id {item_kind}, n_windows int"

@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from snapmill.llm.common import bound_batches
+
 # Names of elements, and words in class, id and role that tell what an element is.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rb rp rt s samp "
@@ -324,6 +326,7 @@ def extract(pages: DataFrame) -> DataFrame:
     with what is around them. Repeated rows get a row each, page_id and url may be null, and
     other columns are not read. No pages give no rows.
     """
+    bound_batches(pages.sparkSession)
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapmill.llm.common import cut, held_out
+from snapmill.llm.common import bound_batches, cut, held_out
 
 UNKNOWN = "und"
 #: Buckets that n-grams of 1 to GRAM characters are hashed into.
@@ -134,6 +134,7 @@ def fit(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE, clusters: int =
     executors, one task clustering one language. What the driver gets is the IDF of the buckets
     and ``clusters`` centroids per language.
     """
+    bound_batches(docs.sparkSession)
     train = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
 
     def vectorise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,6 +179,7 @@ def fit(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE, clusters: int =
 
 def predict(docs: DataFrame, model: Model, to: str) -> DataFrame:
     """``docs`` with a struct column ``to``: lang_pred, score, rejected."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from snapmill.llm.common import cut
+from snapmill.llm.common import bound_batches, cut
 
 #: Pieces a group holds on average; a task packs one group at a time. A group leaves a few
 #: sequences open, so larger groups waste less.
@@ -89,6 +89,7 @@ def pieces(docs: DataFrame, capacity: int, vocabulary: str) -> DataFrame:
                 ["doc_id", "row", "piece", "start", "length", "ids_crc32"],
             )
 
+    bound_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
     return rows.mapInArrow(run, f"doc_id {kind}, row long, piece int, start long, length long, ids_crc32 long")

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapmill.llm.common import cut, shared_table
+from snapmill.llm.common import bound_batches, cut, shared_table
 from snapmill.llm.components import components
 
 BITS = 64
@@ -61,6 +61,7 @@ def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(found.view(np.int64))], ["doc_id", "text_hash", "fp"]
             )
 
+    bound_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, fp long")

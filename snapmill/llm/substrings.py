@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapmill.llm.common import bound_batches
 from snapmill.llm.windows import Powers, mix, rolling, span_hashes, spans, text_bytes
 
 #: Bytes of text of a chunk and of the share of a bucket. A task holds one chunk or one bucket,
@@ -181,6 +182,7 @@ def repeats(docs: DataFrame, window: int = 13, chunk_bytes: int = CHUNK_BYTES, b
     """
     if window % 2 == 0:
         raise ValueError("a window has 2 * block - 1 words, an odd number")
+    bound_batches(docs.sparkSession)
     size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks, buckets = (max(1, -(-size // b)) for b in (chunk_bytes, bucket_bytes))
     kind = docs.schema["doc_id"].dataType.simpleString()

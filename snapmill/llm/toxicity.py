@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapmill.llm.common import OTHER_MARKS, cut, held_out
+from snapmill.llm.common import OTHER_MARKS, bound_batches, cut, held_out
 from snapmill.llm.windows import Powers, mix, rolling, span_hashes, spans, text_slices
 
 #: The lexicon is learned from this many labelled documents of each class at most.
@@ -333,6 +333,7 @@ def _different(sample: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, sizes: tuple[int, int] = (CLEAN_SAMPLE, TOXIC_SAMPLE)) -> Model:
     """Learn the character model from all texts and the lexicon from a bounded sample of labelled ones."""
     spark = docs.sparkSession
+    bound_batches(spark)
     counts = character_counts(docs)
     texts = docs.select("doc_id", "text").where("text IS NOT NULL")
     labelled = cut(_labelled(labels))

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapmill.llm.common import bound_batches
+
 #: Bytes of a record's block; longer ones are segmented.
 SEGMENT_BYTES = 16 << 10
 #: Characters of an HTTP chunk.
@@ -100,6 +102,7 @@ def write_archives(
     is the response, and of several the one whose url hashes lowest; rows equal in both are
     responses each. A null html is an empty payload. A null page_id comes after all others.
     """
+    bound_batches(pages.sparkSession)
     html = F.coalesce("html", F.lit(""))
     key = F.struct(F.col("page_id").isNull().alias("unknown"), F.col("page_id"), F.xxhash64("url").alias("mixed"))
     rows = pages.select("page_id", "url", html.alias("html"), F.sha1(html.cast("binary")).alias("digest"), key.alias("key"))
@@ -214,6 +217,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     A revisit has the digest and length its headers tell and no payload. Records whose segments
     are not all there, whose length is not the one said, or whose digest is wrong fail the job.
     """
+    bound_batches(spark)
     files = spark.read.format("binaryFile").load(path).select("content")
 
     def scan(whole: bool):
