@@ -2,13 +2,14 @@
 
 A text is the TF-IDF vector of its hashed character n-grams, of length one. The labelled texts of
 a language are clustered by spherical k-means, and a text gets the language whose centroid has the
-greatest cosine with it. Texts farther from that centroid than texts of their length were in
-training are rejected.
+greatest cosine with it. Texts farther from that centroid than nearly all training texts, or
+pieces of them, of that length are rejected.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,8 +29,9 @@ GRAM = 3
 CLUSTERS = 4
 #: The classifier is fitted on this many labelled texts of each language at most.
 TEXTS_PER_LANGUAGE = 1000
-#: A text is rejected when its cosine is below this share of the least one in training at its length.
-MARGIN = 0.5
+#: A text is rejected when its cosine is at most this share of a low quantile of those in training at its length.
+MARGIN = 0.8
+QUANTILE = 0.02
 #: A cluster with a smaller share of its language's texts is given up, its texts go to the others.
 LEAST_SHARE = 0.02
 #: Texts a length band (a power of two of n-grams) must have had in training to get its own bound.
@@ -60,7 +62,7 @@ def counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
-    """Languages of the centroids, the centroids, and by centroid and band the least cosine."""
+    """Languages of the centroids, the centroids, and by centroid and band the cosine to exceed."""
 
     languages: list[str]
     centroids: np.ndarray
@@ -84,7 +86,7 @@ class Model:
             {
                 "lang_pred": [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, any_letter)],
                 "score": np.where(any_letter, score, 0.0),
-                "rejected": ~any_letter | (score < least),
+                "rejected": ~any_letter | (score <= least),
             }
         )
 
@@ -101,6 +103,42 @@ def bands(found: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     return np.array([min(63, int(n.sum()).bit_length()) for _, n in found], np.int64)
 
 
+def pieces(text: str) -> list[str]:
+    """A piece of the text for every band below its own, from a place fixed by the text."""
+    place = zlib.crc32(text.encode("utf-8", "replace"))
+    found = []
+    for n in (1 << k for k in range(1, (len(text) // 2).bit_length())):  # some 3 n-grams a character
+        at = text.rfind(" ", 0, place % (len(text) - n + 1)) + 1
+        found.append(text[at : at + n])
+    return found
+
+
+def bounds(cosine: np.ndarray, band: np.ndarray) -> np.ndarray:
+    """By band the cosine to exceed; NaN for a band of fewer than BAND_TEXTS."""
+    out = np.full(64, np.nan)
+    for b in range(64):
+        own = cosine[band == b]
+        if len(own) >= BAND_TEXTS:
+            out[b] = max(0.0, MARGIN * np.quantile(own, QUANTILE))
+    return out
+
+
+def filled(least: np.ndarray) -> np.ndarray:
+    """The bounds (centroid, band) with no gaps.
+
+    A band without a bound has the least one of any language, else that of the nearest band below,
+    longer texts being closer, else of the nearest above, shrunk by the root of the length.
+    """
+    any_language = np.nanmin(np.vstack([least, np.full(64, np.inf)]), 0)
+    known = np.flatnonzero(np.isfinite(any_language))
+    for b in range(64) if len(known) else ():
+        if not np.isfinite(any_language[b]):
+            near = known[known < b].max(initial=-1)
+            any_language[b] = any_language[near] if near >= 0 else any_language[known[0]] * 2.0 ** ((b - known[0]) / 2)
+    any_language[~np.isfinite(any_language)] = 0.0
+    return np.where(np.isnan(least), any_language, least)
+
+
 def cluster(vectors: np.ndarray, k: int, rounds: int = 20) -> tuple[np.ndarray, np.ndarray]:
     """Spherical k-means, from random seeds: centroids of length one, and the cluster of each vector."""
     seeds = np.random.default_rng(0).choice(len(vectors), min(k, len(vectors)), replace=False)
@@ -130,8 +168,9 @@ def _sample(train: DataFrame, per_language: int) -> DataFrame:
 def fit(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE, clusters: int = CLUSTERS) -> Model:
     """Learn from text and lang of rows that are not held out and have both.
 
-    At most ``per_language`` texts of each language are vectorised; their vectors stay on the
-    executors, one task clustering one language. What the driver gets is the IDF of the buckets
+    At most ``per_language`` texts of each language are vectorised, and of each a piece per length
+    band below its own, which only set bounds; their vectors stay on the executors, one task
+    clustering one language. What the driver gets is the IDF of the buckets
     and ``clusters`` centroids per language.
     """
     bound_batches(docs.sparkSession)
@@ -139,29 +178,35 @@ def fit(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE, clusters: int =
 
     def vectorise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [counts(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_pydict(
-                {"lang": batch.column(0), "seen": [s for s, _ in found], "n": [n for _, n in found]}, schema=schema
-            )
-
-    schema = pa.schema([("lang", pa.string()), ("seen", pa.list_(pa.int64())), ("n", pa.list_(pa.int64()))])
+            parts = [
+                (lang, k > 0, *counts(t))
+                for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                for k, t in enumerate([text, *pieces(text)])
+            ]
+            columns = dict(zip(schema.names, map(list, zip(*parts)))) if parts else {name: [] for name in schema.names}
+            yield pa.RecordBatch.from_pydict(columns, schema=schema)
+
+    schema = pa.schema(
+        [("lang", pa.string()), ("piece", pa.bool_()), ("seen", pa.list_(pa.int64())), ("n", pa.list_(pa.int64()))]
+    )
     rows = _sample(train.select("doc_id", F.col("lang").cast("string"), "text"), per_language)
-    rows = cut(rows.mapInArrow(vectorise, "lang string, seen array<long>, n array<long>").where("size(seen) > 0"))
-    total = rows.count()
+    kind = "lang string, piece boolean, seen array<long>, n array<long>"
+    rows = cut(rows.mapInArrow(vectorise, kind).where("size(seen) > 0"))
+    whole = rows.where("NOT piece")
+    total = whole.count()
     idf = np.full(FEATURES, 1 + np.log(1 + total))
-    for r in rows.select(F.explode("seen").alias("at")).groupBy("at").count().collect():  # a row per bucket
+    for r in whole.select(F.explode("seen").alias("at")).groupBy("at").count().collect():  # a row per bucket
         idf[r.at] = 1 + np.log((1 + total) / (1 + r["count"]))
 
     def centroids(group: pd.DataFrame) -> pd.DataFrame:
         found = [(np.array(s, np.int64), np.array(n)) for s, n in zip(group["seen"], group["n"])]
-        vectors, band = unit_vectors(found, idf), bands(found)
-        centres, _ = cluster(vectors, clusters)
-        cosine = (vectors @ centres.T).max(1)
-        least = np.zeros(64)
-        for b in range(1, 64):
-            own = cosine[band == b]
-            # Longer texts are closer: a band with few texts has the bound of the one before.
-            least[b] = max(0.0, MARGIN * own.min()) if len(own) >= BAND_TEXTS else least[b - 1]
+        piece, band = group["piece"].to_numpy(bool), bands(found)
+        texts = [f for f, p in zip(found, piece) if not p]
+        if not texts:
+            return pd.DataFrame({"lang": [], "centroid": [], "least": []})
+        centres, _ = cluster(unit_vectors(texts, idf), clusters)
+        near = [unit_vectors(found[i : i + 256], idf) @ centres.T for i in range(0, len(found), 256)]
+        least = bounds(np.concatenate(near).max(1), band)
         return pd.DataFrame(
             {"lang": group["lang"].iloc[0], "centroid": list(centres.astype(float)), "least": [least] * len(centres)}
         )
@@ -172,7 +217,7 @@ def fit(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE, clusters: int =
     return Model(
         [r.lang for r in model],
         np.array([r.centroid for r in model], np.float32).reshape(-1, FEATURES),
-        np.array([r.least for r in model]).reshape(-1, 64),
+        filled(np.array([r.least for r in model], float).reshape(-1, 64)),
         idf,
     )
 
@@ -197,7 +242,9 @@ def identify(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) -> DataFra
     ``score`` is the cosine with the nearest centroid. A null text or one without a letter is
     ``und`` with score 0 and rejected; so is everything when no row has a label to learn from.
     Other texts always get a learned language, rejected or not: a rejected one is farther from
-    its centroid than its length explains. Of equal cosines the first language by name counts.
+    its centroid than its length explains. Lengths of which a language has too few texts have the
+    bound of the other languages, or of the nearest length; with fewer than ``BAND_TEXTS`` texts of
+    every language and length, only texts with nothing in common with any are rejected. Of equal cosines the first language by name counts.
     Repeated rows get a row each; a null doc_id is held out. lang, source and doc_id are never
     inputs of a prediction. No documents give no rows.
     """

@@ -72,3 +72,27 @@ def test_clusters():
 @pytest.mark.parametrize("text, n", [("", 0), (None, 0), ("12", 0), ("a", 3 + 2 + 1)])
 def test_features(text, n):
     assert len(langid.features(text)) == n
+
+
+FAR_TEXTS = ["这是一个用来测试语言识别的中文句子", "съешь ещё этих мягких булок", "zxqj vvkq wjzx qqkv jxzz", "ъыь", "zxqjvvkqwj"]
+
+
+def test_short_far_texts_are_rejected(table):
+    # One noisy text a language sets no bound, and no training text is short.
+    odds = random.Random(3)
+    rows = [(1000 + i, "".join(odds.choices("zxqjvwkb ", k=300)), lang) for i, lang in enumerate(["aa", "bb", "cc"])]
+    model = langid.fit(table([r for r in corpus(600) if len(r[1]) > 150] + rows))
+    assert model.predict(FAR_TEXTS).rejected.tolist() == [True] * len(FAR_TEXTS)
+    near = ["karo mita shuno", "theing ouldst er", "éauoui reà çonlle", "romi kata", corpus(1)[0][1]]
+    assert model.predict(near).rejected.tolist() == [False] * len(near)
+
+
+def test_bounds_have_no_gaps():
+    cosine, band = np.full(60, 0.8), np.repeat([8, 10, 11], 20)
+    cosine[0] = 0.01  # an outlier
+    least = langid.bounds(cosine, band)
+    assert np.flatnonzero(~np.isnan(least)).tolist() == [8, 10, 11]
+    full = langid.filled(np.array([least, np.full(64, np.nan)]))
+    assert np.isfinite(full).all() and np.allclose(full[0], full[1])
+    assert np.allclose(full[0][[9, 12, 63]], full[0][[8, 11, 11]]) and np.isclose(full[0][6], full[0][8] / 2)
+    assert (langid.filled(np.full((2, 64), np.nan)) == 0).all() and langid.filled(np.empty((0, 64))).shape == (0, 64)
