@@ -2,9 +2,9 @@
 
 Words are made canonical first: numbers, names and units become typed placeholders, everything
 else its lower-case form. Every window of canonical words of a benchmark item is a template. A
-document window with the same template is a hit if its slots agree: along the whole alignment of
-document and item, each value of the item's slots stands for one value of the document's and the
-other way round. So a question is caught with its numbers and names exchanged, and text that only
+document window with the same template is a hit if its slots agree: each number or unit of the
+item stands for one value of the document within the window, each name along the whole alignment
+of document and item; several may stand for the same value. So a question is caught with its numbers and names exchanged, and text that only
 shares a frame is not. Templates are matched by hash, then literally.
 
 The benchmark is read in blocks of bounded size. Each block is broadcast and looked up in one pass
@@ -189,8 +189,7 @@ class Templates:
         out: dict = defaultdict(set)
         for (row, item, _), windows in lines.items():
             item_id, item_words, forms = self.items[item]
-            there: dict = {}
-            back: dict = {}
+            names: dict = {}
             agreeing: set = set()
             for width, place, start, form in windows:
                 item_kinds = forms[form]
@@ -199,7 +198,9 @@ class Templates:
                 pairs = [(item_words[start + i], read.spelled(place + i), int(item_kinds[start + i])) for i in range(width)]
                 if any(a != b for a, b, kind in pairs if kind == WORD_KIND):
                     continue
-                if not consistent([((kind, a), (kind, b)) for a, b, kind in pairs if kind != WORD_KIND], there, back):
+                if not consistent([((kind, a), b) for a, b, kind in pairs if kind in (NUMBER_KIND, UNIT_KIND)], {}):
+                    continue
+                if not consistent([(a, b) for a, b, kind in pairs if kind == NAME_KIND], names):
                     break
                 agreeing.add((width, place))
             else:
@@ -208,16 +209,13 @@ class Templates:
         return {k: len(windows) for k, windows in out.items()}
 
 
-def consistent(slots: list[tuple], there: dict, back: dict) -> bool:
-    """Whether the pairs fit the one-to-one mapping so far; if so they join it."""
-    new_there, new_back = {}, {}
+def consistent(slots: list[tuple], there: dict) -> bool:
+    """Whether each of our values stands for one of theirs, as in the mapping so far; if so they join it."""
+    new: dict = {}
     for ours, theirs in slots:
-        if new_there.setdefault(ours, there.get(ours, theirs)) != theirs:
-            return False
-        if new_back.setdefault(theirs, back.get(theirs, ours)) != ours:
+        if new.setdefault(ours, there.get(ours, theirs)) != theirs:
             return False
-    there.update(new_there)
-    back.update(new_back)
+    there.update(new)
     return True
 
 
@@ -243,7 +241,8 @@ def contaminations(
     ``literals`` literal words in every window are in no document. Null and empty texts of
     either table give no rows. Rows that repeat doc_id and text give equal rows each; items that
     repeat item_id and text count once. Extra columns are not read. An alignment on which any two
-    windows disagree about a slot gives no hit.
+    windows disagree about a name gives no hit; a window that disagrees with itself about a number
+    or unit does not count.
     """
     spark = docs.sparkSession
     bound_batches(spark)

@@ -66,3 +66,23 @@ def test_odd_rows(spark, odd, table):
     assert contaminations(table([]), bench).count() == 0
     assert contaminations(odd, bench.limit(0)).count() == 0
     assert drop_contaminated(odd, bench).count() == odd.count() - 4
+
+
+@pytest.mark.parametrize(
+    "text, n",
+    [
+        ("So, " + ITEM.replace("3", "4").replace("5", "4"), 9),  # two values become one
+        ("So, " + ITEM.replace("Tom", "Eve").replace("Anna", "Eve"), 9),
+    ],
+)
+def test_slots_need_not_be_one_to_one(text, n):
+    assert Templates([(1, ITEM)], 13, 8).hits([text], Powers()) == {(0, 1): n}
+
+
+def test_a_number_that_changes_once_leaves_the_other_windows():
+    item = "we counted 3 birds on the old roof of the barn and then at the far end of the yard we saw 3 more of them"
+    found = Templates([(1, item)], 13, 8).hits([item, item[::-1].replace("3", "9", 1)[::-1]], Powers())
+    assert found == {(0, 1): 14, (1, 1): 14}
+    both = "in all there were 3 red birds and 3 blue birds up on the roof"
+    templates = Templates([(1, both)], 13, 8)
+    assert templates.hits([both.replace("3", "7")], Powers()) and not templates.hits([both.replace("3", "7", 1)], Powers())
