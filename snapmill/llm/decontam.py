@@ -1,7 +1,8 @@
 """Benchmark decontamination on template windows.
 
 Words are made canonical first: numbers, names and units become typed placeholders, everything
-else its lower-case form. Every window of canonical words of a benchmark item is a template. A
+else its lower-case form. A title-case word that begins a sentence may be a name or not, so it is
+tried as both, on either side; windows are also compared as spelled, whatever case and marks are. Every window of canonical words of a benchmark item is a template. A
 document window with the same template is a hit if its slots agree: each number or unit of the
 item stands for one value of the document within the window, each name along the whole alignment
 of document and item; several may stand for the same value. So a question is caught with its numbers and names exchanged, and text that only
@@ -41,6 +42,13 @@ UNITS = frozenset(
     "grams kilogram kilograms litre litres liter liters pound pounds dollar dollars euro euros cent cents percent "
     "degree degrees mph kmh km/h usd eur gbp".split()
 )
+#: Words that begin sentences and are no names, beside those the benchmark has in lower case.
+OPENERS = frozenset(
+    "a after all an and are as at before both but by can do does during each every find following for from given "
+    "had has have he her here his how i if in is it its let many most my no not of on one or our several she since "
+    "so some suppose that the their then there these they this those to was we were what when where which while "
+    "who whose why will with would you your".split()
+)
 #: Signs of units beyond ASCII, read as a dollar sign.
 UNIT_SIGNS = re.compile("[\u00a3\u00b0\u20ac]")
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
@@ -65,17 +73,19 @@ def _word_hash(word: str) -> np.uint64:
 
 
 PLACEHOLDERS = {NAME_KIND: _word_hash(NAME), NUMBER_KIND: _word_hash(NUMBER), UNIT_KIND: _word_hash(UNIT)}
+OPENER_HASHES = np.array([_word_hash(w) for w in OPENERS])
 UNIT_HASHES = np.sort(np.array([_word_hash(u) for u in UNITS]))
 
 
 @dataclass
 class Canonical:
-    """The words of some texts: row, span in ``data`` (lower case), canonical hash, kind, and whether title case."""
+    """The words of some texts: row, span in ``data`` (lower case), canonical and plain hash, kind, and whether title case."""
 
     row: np.ndarray
     start: np.ndarray
     end: np.ndarray
     hash: np.ndarray
+    plain: np.ndarray
     kind: np.ndarray
     title: np.ndarray
     data: np.ndarray
@@ -130,15 +140,30 @@ def canonical(texts: list[str | None], powers: Powers) -> Canonical:
     first = np.minimum(start + lead, end)
     title = (kind == WORD_KIND) & (first < end) & (capital[first] > capital[start]) & (capital[end] == capital[first])
 
-    hashes = span_hashes(data, start, end, powers)
+    plain = span_hashes(data, start, end, powers)
     number = np.zeros(len(start), bool)
     number[1:] = kind[:-1] == NUMBER_KIND
-    known = np.searchsorted(UNIT_HASHES, hashes) % len(UNIT_HASHES)
-    unit = number & (kind == WORD_KIND) & (UNIT_HASHES[known] == hashes)
+    known = np.searchsorted(UNIT_HASHES, plain) % len(UNIT_HASHES)
+    unit = number & (kind == WORD_KIND) & (UNIT_HASHES[known] == plain)
     kind = np.where(unit, UNIT_KIND, np.where(title & ~begins, NAME_KIND, kind))
+    hashes = plain.copy()
     for value, placeholder in PLACEHOLDERS.items():
         hashes[kind == value] = placeholder
-    return Canonical(np.searchsorted(edges, start, "right"), start, end, hashes, kind, title, data)
+    return Canonical(np.searchsorted(edges, start, "right"), start, end, hashes, plain, kind, title, data)
+
+
+def renamed(read: Canonical, where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Kinds and hashes with the literal words at some places taken for names."""
+    where = where & (read.kind == WORD_KIND)
+    return np.where(where, NAME_KIND, read.kind), np.where(where, PLACEHOLDERS[NAME_KIND], read.hash)
+
+
+def readings(read: Canonical, ordinary: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Kinds and hashes as read; with title-case words that begin a sentence as names unless ordinary; and with all of them."""
+    if not len(read.kind):
+        return []
+    strange = ordinary[np.searchsorted(ordinary, read.plain) % len(ordinary)] != read.plain
+    return [(read.kind, read.hash), renamed(read, read.title & strange), renamed(read, read.title)]
 
 
 def literal_counts(kinds: np.ndarray, width: int) -> np.ndarray:
@@ -147,62 +172,102 @@ def literal_counts(kinds: np.ndarray, width: int) -> np.ndarray:
     return total[width:] - total[:-width] if len(total) > width else np.empty(0, np.int64)
 
 
+def any_of(flags: np.ndarray, width: int) -> np.ndarray:
+    """Of every window, whether it has a place that is flagged."""
+    total = np.concatenate(([0], np.cumsum(flags)))
+    return total[width:] > total[:-width] if len(total) > width else np.empty(0, bool)
+
+
 class Templates:
-    """The template windows of some items, by hash; finds their hits in texts."""
+    """The template windows of some items, by hash; finds their hits in texts.
+
+    A word that begins a sentence may be a name, so windows with one have several readings, and so
+    have those of the texts. A window is also kept as it is spelled, without case, marks and slots.
+    """
+
+    #: Forms of an item: as read, its first word a name, then the other readings. Of windows as spelled.
+    STRICT, SPELLED = 2, -1
 
     def __init__(self, items: list[tuple], window: int, literals: int):
         powers = Powers()
         self.items = []
-        found: dict[int, dict[int, list[tuple[int, int, int]]]] = defaultdict(lambda: defaultdict(list))
-        for item_id, text in dict.fromkeys(items):
-            read = canonical([text], powers)
+        parts: dict[tuple[int, bool], list[tuple]] = defaultdict(list)
+        reads = [(item_id, canonical([text], powers)) for item_id, text in dict.fromkeys(items)]
+        lower = [read.plain[(read.kind == WORD_KIND) & ~read.title] for _, read in reads]
+        self.ordinary = np.unique(np.concatenate([OPENER_HASHES, *lower]))
+        for item_id, read in reads:
             if not len(read.kind):
                 continue
-            forms = [(read.kind, read.hash)]
-            if read.title[0] and read.kind[0] == WORD_KIND:
-                # Quoted within a sentence, the first word of the item reads as a name.
-                kind, hashes = read.kind.copy(), read.hash.copy()
-                kind[0], hashes[0] = NAME_KIND, PLACEHOLDERS[NAME_KIND]
-                forms.append((kind, hashes))
             width = min(window, len(read.kind))
+            # Quoted within a sentence, the first word of the item reads as a name.
+            first = renamed(read, read.title & (np.arange(len(read.kind)) == 0))
+            forms = readings(read, self.ordinary)
+            forms.insert(1, first)
             spelled = [read.spelled(i) for i in range(len(read.kind))]
             for form, (kind, hashes) in enumerate(forms):
-                at = np.flatnonzero(literal_counts(kind, width) >= literals)
-                for place, value in zip(at.tolist(), rolling(hashes, width, powers)[at].tolist()):
-                    if not form or place == 0:
-                        found[width][value].append((len(self.items), place, form))
+                kept = literal_counts(kind, width) >= literals
+                for before, _ in forms[:form]:
+                    kept &= any_of(kind != before, width)
+                at = np.flatnonzero(kept)
+                parts[width, False].append((rolling(hashes, width, powers)[at], len(self.items), at, form))
+            at = np.flatnonzero(literal_counts(read.kind, width) >= literals)
+            parts[width, True].append((rolling(read.plain, width, powers)[at], len(self.items), at, self.SPELLED))
             self.items.append((item_id, spelled, [kind for kind, _ in forms]))
-        self.by_width = {w: dict(places) for w, places in found.items()}
-        self.sorted = {w: np.sort(np.fromiter(p, np.uint64, len(p))) for w, p in self.by_width.items()}
+        self.tables = {}
+        for key, found in parts.items():
+            values = np.concatenate([v for v, *_ in found])
+            rest = [np.concatenate([np.broadcast_to(np.asarray(f[i], np.int32), len(f[0])) for f in found]) for i in (1, 2, 3)]
+            order = np.argsort(values, kind="stable")
+            if len(values):
+                self.tables[key] = (values[order], *(column[order] for column in rest))
+
+    def _found(self, read: Canonical, forms: list[tuple], powers: Powers) -> Iterator[tuple[int, int, int, int, int, int]]:
+        """Windows of equal hash: width, place in the text, reading of the text, item, place in the item, its form."""
+        for (width, as_spelled), (wanted, item, start, form) in self.tables.items():
+            inside = read.row[: max(0, len(read.row) - width + 1)] == read.row[width - 1 :]
+            for reading, (kind, hashes) in enumerate([(read.kind, read.plain)] if as_spelled else forms):
+                values = rolling(hashes, width, powers)
+                same = (wanted[np.searchsorted(wanted, values) % len(wanted)] == values) & inside
+                for before, _ in forms[:reading]:
+                    same &= any_of(kind != before, width)
+                places = np.flatnonzero(same)
+                low, high = (np.searchsorted(wanted, values[places], side) for side in ("left", "right"))
+                for place, a, b in zip(places.tolist(), low.tolist(), high.tolist()):
+                    for i in range(a, b):
+                        yield width, place, reading, int(item[i]), int(start[i]), int(form[i])
 
     def hits(self, texts: list[str | None], powers: Powers) -> dict[tuple[int, object], int]:
         """By row and item id: how many windows of the text match the item with consistent slots."""
         read = canonical(texts, powers)
-        lines: dict[tuple[int, int, int], list[tuple[int, int, int, int]]] = defaultdict(list)
-        for width, wanted in self.sorted.items():
-            values = rolling(read.hash, width, powers)
-            at = np.searchsorted(wanted, values) % len(wanted)
-            same = (wanted[at] == values) & (read.row[: len(values)] == read.row[width - 1 :])
-            for place in np.flatnonzero(same).tolist():
-                for item, start, form in self.by_width[width][int(values[place])]:
-                    lines[int(read.row[place]), item, place - start].append((width, place, start, form))
+        readings_of = readings(read, self.ordinary)
+        lines: dict[tuple[int, int, int], list[tuple]] = defaultdict(list)
+        for width, place, reading, item, start, form in self._found(read, readings_of, powers):
+            # A word read as a name only for its case and place is no reason to discard an alignment.
+            loose = reading > 0 or form >= self.STRICT or form == self.SPELLED
+            lines[int(read.row[place]), item, place - start].append((loose, width, place, start, form, reading))
         out: dict = defaultdict(set)
         for (row, item, _), windows in lines.items():
             item_id, item_words, forms = self.items[item]
             names: dict = {}
             agreeing: set = set()
-            for width, place, start, form in windows:
-                item_kinds = forms[form]
-                if not (item_kinds[start : start + width] == read.kind[place : place + width]).all():
+            for loose, width, place, start, form, reading in sorted(windows):
+                words = [(item_words[start + i], read.spelled(place + i)) for i in range(width)]
+                if form == self.SPELLED:
+                    if all(a == b for a, b in words):
+                        agreeing.add((width, place))
+                    continue
+                kinds = forms[form][start : start + width]
+                if not (kinds == readings_of[reading][0][place : place + width]).all():
                     continue
-                pairs = [(item_words[start + i], read.spelled(place + i), int(item_kinds[start + i])) for i in range(width)]
+                pairs = [(a, b, kind) for (a, b), kind in zip(words, kinds.tolist())]
                 if any(a != b for a, b, kind in pairs if kind == WORD_KIND):
                     continue
                 if not consistent([((kind, a), b) for a, b, kind in pairs if kind in (NUMBER_KIND, UNIT_KIND)], {}):
                     continue
-                if not consistent([(a, b) for a, b, kind in pairs if kind == NAME_KIND], names):
+                if consistent([(a, b) for a, b, kind in pairs if kind == NAME_KIND], names):
+                    agreeing.add((width, place))
+                elif not loose:
                     break
-                agreeing.add((width, place))
             else:
                 if agreeing:
                     out[row, item_id] |= agreeing
@@ -241,7 +306,7 @@ def contaminations(
     ``literals`` literal words in every window are in no document. Null and empty texts of
     either table give no rows. Rows that repeat doc_id and text give equal rows each; items that
     repeat item_id and text count once. Extra columns are not read. An alignment on which any two
-    windows disagree about a name gives no hit; a window that disagrees with itself about a number
+    windows as first read disagree about a name gives no hit; a window that disagrees with itself about a number
     or unit does not count.
     """
     spark = docs.sparkSession

@@ -86,3 +86,35 @@ def test_a_number_that_changes_once_leaves_the_other_windows():
     both = "in all there were 3 red birds and 3 blue birds up on the roof"
     templates = Templates([(1, both)], 13, 8)
     assert templates.hits([both.replace("3", "7")], Powers()) and not templates.hits([both.replace("3", "7", 1)], Powers())
+
+
+PROBLEM = "Tom has 3 apples. Anna gives him 5 more. Tom buys 2 pears. How many fruits does Tom have?"
+STORY = "Then the old man went home to his small house by the river and slept for many hours"
+
+
+def exchanged(text):
+    return text.replace("Tom", "Bob").replace("Anna", "Eve").replace("3", "7")
+
+
+@pytest.mark.parametrize(
+    "item, text",
+    [
+        (PROBLEM, exchanged(PROBLEM)),
+        (PROBLEM, "We read: " + exchanged(PROBLEM)),
+        (PROBLEM, exchanged(PROBLEM).replace(". How", ", how").replace(".", ";")),
+        (PROBLEM + " He wonders how.", exchanged(PROBLEM).replace(". How", ", how")),
+        (PROBLEM, PROBLEM.lower()),
+        (PROBLEM, PROBLEM.upper()),
+        (PROBLEM, PROBLEM.replace(".", "")),
+        (STORY, STORY.title()),
+        (STORY, STORY.upper()),
+    ],
+)
+def test_names_that_begin_sentences_and_changed_case(item, text):
+    assert Templates([(1, item)], 13, 8).hits(["Anna has 3 pears. How many?", text], Powers()).keys() == {(1, 1)}
+
+
+def test_more_readings_take_no_hit_away():
+    item = "He saw the red barn at the end of the road there. He went on to the next farm with his old dog that day"
+    text = item.replace("He saw", "She saw")
+    assert Templates([(1, item)], 13, 8).hits([text], Powers())
