@@ -30,7 +30,7 @@ from snapmill.llm.windows import Powers, rolling, span_hashes, spans, text_slice
 
 #: Words of a window; shorter items are one window as a whole.
 WINDOW = 13
-#: Words a window must have that are no placeholders; items with fewer identify nothing.
+#: Words a window must have that are no placeholders; one with fewer is found only as it is spelled.
 LITERALS = 8
 #: Words of a block of the benchmark; an item is never split, so a block exceeds this by one item at most.
 BLOCK_WORDS = 500_000
@@ -210,8 +210,8 @@ class Templates:
                     kept &= any_of(kind != before, width)
                 at = np.flatnonzero(kept)
                 parts[width, False].append((rolling(hashes, width, powers)[at], len(self.items), at, form))
-            at = np.flatnonzero(literal_counts(read.kind, width) >= literals)
-            parts[width, True].append((rolling(read.plain, width, powers)[at], len(self.items), at, self.SPELLED))
+            at = np.arange(len(read.kind) - width + 1)
+            parts[width, True].append((rolling(read.plain, width, powers), len(self.items), at, self.SPELLED))
             self.items.append((item_id, spelled, [kind for kind, _ in forms]))
         self.tables = {}
         for key, found in parts.items():
@@ -302,8 +302,10 @@ def contaminations(
 ) -> DataFrame:
     """One row per document and item it contains: doc_id, item_id, n_windows (distinct, consistent).
 
-    Items of fewer than ``window`` words are one window as a whole; items with fewer than
-    ``literals`` literal words in every window are in no document. Null and empty texts of
+    Items of fewer than ``window`` words are one window as a whole. Windows with fewer than
+    ``literals`` literal words are found with their own names, numbers and units only, in any case;
+    so an item of one word is in every document with that word. An item without a word or number is
+    in none. Null and empty texts of
     either table give no rows. Rows that repeat doc_id and text give equal rows each; items that
     repeat item_id and text count once. Extra columns are not read. An alignment on which any two
     windows as first read disagree about a name gives no hit; a window that disagrees with itself about a number

@@ -118,3 +118,17 @@ def test_more_readings_take_no_hit_away():
     item = "He saw the red barn at the end of the road there. He went on to the next farm with his old dog that day"
     text = item.replace("He saw", "She saw")
     assert Templates([(1, item)], 13, 8).hits([text], Powers())
+
+
+@pytest.mark.parametrize(
+    "item, other",
+    [
+        ("Which gas do plants take in?", "Which gas do plants give off?"),
+        ("Add 12 and 30, 5 and 7, 9 and 11, 40 and 2.", "Add 12 and 30, 5 and 7, 9 and 11, 40 and 3."),
+        ("Tom met Anna, Eve, Bob, Carl, Dora and Fred in 1999", "Tom met Anna, Eve, Bob, Carl, Dora and Max in 1999"),
+        ("12 + 30 = 42", "12 + 30 = 43"),
+    ],
+)
+def test_windows_of_few_literal_words_are_found_as_spelled(item, other):
+    texts = [f"We ask. {item} So it goes.", f"We ask. {other} So it goes.", item.lower()]
+    assert Templates([(1, item)], 13, 8).hits(texts, Powers()).keys() == {(0, 1), (2, 1)}
