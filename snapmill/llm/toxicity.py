@@ -10,6 +10,7 @@ model of the words' odds gives the score of the text.
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,8 +35,12 @@ PRIOR = 3.0
 SIGN_OF = 1.0
 #: Bytes that word beginnings have; whole words are features too.
 BEGINNINGS = (4, 5, 6, 7)
-#: Longer words are taken as they are: keys and links, not words.
+#: Words longer than this, letters said again not counted, are taken as they are: keys and links, not words.
 LONGEST = 40
+#: After so many characters a reading lets go of what all its paths have in common.
+SETTLE = 64
+#: Restored spans up to this length are remembered.
+REMEMBERED = 200
 #: Bytes of text that a task reads at a time; a longer text is taken whole.
 SLICE = 1 << 20
 
@@ -48,6 +53,7 @@ SYMBOL_OF = np.array(
     + [OTHER_LETTER],
     np.uint8,
 )
+SYMBOL_AT = SYMBOL_OF.tolist()
 #: Letters that digits and signs stand for.
 LEET = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
@@ -60,6 +66,8 @@ IS_SEPARATOR = np.array([chr(c) in SEPARATORS for c in range(0x250)] + [False])
 #: Log odds of the channel: a sign for its letter, a letter said again, a separator put in; and
 #: what it costs to read a sign or separator as the end of a word.
 SIGN, AGAIN, PUT_IN, ENDS = math.log(0.5), math.log(0.25), math.log(0.3), math.log(0.001)
+#: What it costs to read marks of exclamation behind a word as such.
+EXCLAIMS = math.log(0.5)
 
 
 class Spelling:
@@ -72,7 +80,7 @@ class Spelling:
         p1 = (one + 1) / (one.sum() + SYMBOLS)
         p2 = (two + 10 * p1) / (two.sum(1, keepdims=True) + 10)
         p3 = (three + 10 * p2[None]) / (three.sum(2, keepdims=True) + 10)
-        self.log = np.log(p3)
+        self.log = np.log(p3).tolist()
         self.known: dict[str, str] = {}
 
     def restore(self, span: str) -> str:
@@ -80,35 +88,77 @@ class Spelling:
         if found is None:
             if len(self.known) > 200_000:
                 self.known.clear()
-            found = self.known[span] = self._viterbi(span)
+            found = self._viterbi(span)
+            if len(span) <= REMEMBERED:
+                self.known[span] = found
         return found
 
-    def _options(self, c: str, before: str) -> list[tuple[str, float]]:
+    def restore_doubled(self, word: str, lexicon: np.ndarray) -> str:
+        """``word``, or its likeliest reading if it is not in the lexicon."""
+        found = self.known.get(word)
+        if found is None:
+            data = np.frombuffer(word.encode(), np.uint8)
+            own = mix(span_hashes(data, np.array([0]), np.array([len(data)]), Powers()))[0]
+            if len(lexicon) and lexicon[np.searchsorted(lexicon, own) % len(lexicon)] == own:
+                found = self.known[word] = word
+            else:
+                found = self.restore(word)
+        return found
+
+    def _options(self, c: str, before: str, last: bool) -> list[tuple[str, float]]:
+        if c == "!" and last:
+            return [(x, SIGN - math.log(len(LEET[c]))) for x in LEET[c]] + [(" ", EXCLAIMS)]
         if c in LEET:
             return [(x, SIGN - math.log(len(LEET[c]))) for x in LEET[c]] + [(" ", ENDS)]
         if c in WILD:
             return [(x, SIGN - math.log(26)) for x in _LETTERS[:26]] + [("", PUT_IN), (" ", ENDS)]
         if c in SEPARATORS:
-            return [("", PUT_IN), (" ", ENDS)]
+            return [("", 0.0)] if before and before in SEPARATORS else [("", PUT_IN), (" ", ENDS)]
         return [(c, 0.0), ("", AGAIN)] if c == before else [(c, 0.0)]
 
+    def _least(self, state: tuple[int, int], score: float, rest: str, before: str, marks: int) -> float:
+        """A score that some reading of the whole span has: the path goes on by the best next step."""
+        log, (a, b) = self.log, state
+        for i, c in enumerate(rest):
+            best = None
+            for x, cost in self._options(c, before, i >= marks):
+                s = b if not x else SYMBOL_AT[min(ord(x), 0x250)]
+                gain = cost if not x or s == b == 0 else cost + log[a][b][s]
+                if best is None or gain > best[0]:
+                    best = gain, (a, b) if not x else (0, 0) if s == 0 else (b, s)
+            score, (a, b), before = score + best[0], best[1], c
+        return score + log[a][b][0]
+
     def _viterbi(self, span: str) -> str:
-        log, paths, before = self.log, {(0, 0): (0.0, "")}, ""
-        for c in span:
+        log, paths, before, settled = self.log, {(0, 0): (0.0, "")}, "", []
+        marks = len(span.rstrip("!"))
+        for i, c in enumerate(span):
             now: dict[tuple[int, int], tuple[float, str]] = {}
+            options = self._options(c, before, i >= marks)
             for (a, b), (score, text) in paths.items():
-                for x, cost in self._options(c, before):
+                for x, cost in options:
                     if not x:
                         state, total = (a, b), score + cost
                     elif x == " " and b == 0:
-                        state, total = (0, 0), score + cost
+                        # Signs behind the end of a word need no reason of their own.
+                        state, total = (0, 0), score + (0.0 if text[-1:] == " " else cost)
                     else:
-                        s = int(SYMBOL_OF[min(ord(x), 0x250)])
-                        state, total = ((0, 0) if s == 0 else (b, s)), score + cost + log[a, b, s]
+                        s = SYMBOL_AT[min(ord(x), 0x250)]
+                        state, total = ((0, 0) if s == 0 else (b, s)), score + cost + log[a][b][s]
                     if state not in now or total > now[state][0]:
                         now[state] = (total, text + x)
             paths, before = now, c
-        return max((score + log[a, b, 0], text) for (a, b), (score, text) in paths.items())[1]
+            if len(paths) > 8 and len(span) - i <= SETTLE:
+                # No step adds to a score: what is below that of a whole reading already cannot win.
+                top = max(paths, key=lambda state: paths[state][0])
+                least = self._least(top, paths[top][0], span[i + 1 :], c, marks - i - 1) - 1e-9
+                paths = {state: path for state, path in paths.items() if path[0] >= least}
+            if i % SETTLE == SETTLE - 1:
+                # The last character of a path stays with it.
+                same = len(os.path.commonprefix([text[:-1] for _, text in paths.values()]))
+                settled.append(next(iter(paths.values()))[1][:same])
+                paths = {state: (score, text[same:]) for state, (score, text) in paths.items()}
+        return "".join(settled) + max((score + log[a][b][0], text) for (a, b), (score, text) in paths.items())[1]
 
 
 def points(text: str) -> np.ndarray:
@@ -121,42 +171,57 @@ def joined(texts: list[str | None]) -> str:
     return OTHER_MARKS.sub(" ", "".join(t + "\x00" for t in low))
 
 
-def suspicious(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Spans of characters that may be disguised words."""
+def suspicious(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of characters that may be disguised words, and of which only if they are no known words."""
     letter, leet = SYMBOL_OF[at] > 0, IS_LEET[at]
     inside = letter | leet
     start, end = spans(inside, np.empty(0, np.int64))
-    flags = np.zeros(len(at) + 1, np.int64)
-    odd = np.zeros(len(at), bool)
+    total = lambda marked: np.concatenate(([0], np.cumsum(marked)))
+    odd, twice = np.zeros(len(at), bool), np.zeros(len(at), bool)
     odd[:-1] = leet[:-1] & letter[1:]
+    odd[1:] |= leet[1:] & letter[:-1]
     odd[2:] |= letter[2:] & (at[2:] == at[1:-1]) & (at[1:-1] == at[:-2])
-    np.cumsum(odd, out=flags[1:])
-    letters = np.concatenate(([0], np.cumsum(letter)))
-    known = (flags[end] > flags[start]) & (letters[end] > letters[start]) & (end - start <= LONGEST)
-    start, end = start[known], end[known]
-    # Single characters with one separator between them, three or more.
-    padded = np.concatenate(([False], inside, [False]))
-    lone = inside & ~padded[:-2] & ~padded[2:]
-    linked = np.zeros(len(at), bool)
-    if len(at) > 2:
-        linked[1:-1] = lone[:-2] & lone[2:] & IS_SEPARATOR[at[1:-1]]
-        linked[:-2] |= linked[1:-1] & lone[:-2]
-        linked[2:] |= linked[1:-1] & lone[2:]
-    s, e = spans(linked, np.empty(0, np.int64))
-    more = (e - s >= 5) & (e - s <= LONGEST) & (letters[e] > letters[s])
+    twice[1:] = letter[1:] & (at[1:] == at[:-1])
+    flags, doubled, again, letters = total(odd), total(twice), total(np.append(False, at[1:] == at[:-1])[: len(at)]), total(letter)
+    some = letters[end] > letters[start]
+    marked = flags[end] > flags[start]
+    distinct = end - start - (again[end] - again[np.minimum(start + 1, len(at))])
+    known = some & (marked | (doubled[end] > doubled[start])) & (distinct <= LONGEST)
+    for i in np.flatnonzero(known & (end - start > LONGEST)).tolist():
+        # One letter said over and over is no word.
+        known[i] = len(set(at[start[i] : end[i]][letter[start[i] : end[i]]].tolist())) > 1
+    start, end, unsure = start[known], end[known], ~marked[known]
+    # Single characters, three or more, with as many separators between each two.
+    place = np.flatnonzero(inside)
+    gap = np.diff(place) - 1
+    lone = np.ones(len(place), bool)
+    lone[1:] &= gap > 0
+    lone[:-1] &= gap > 0
+    separators = total(IS_SEPARATOR[at])
+    linked = lone[:-1] & lone[1:] & (separators[place[1:]] - separators[place[:-1] + 1] == gap)
+    first, last = spans(linked, np.flatnonzero(gap[1:] != gap[:-1]) + 1)
+    s, e = place[first], place[last] + 1
+    more = (last - first >= 2) & (letters[e] > letters[s])
     start, end = np.concatenate((start, s[more])), np.concatenate((end, e[more]))
+    unsure = np.concatenate((unsure, np.zeros(more.sum(), bool)))
     order = np.argsort(start, kind="stable")
-    return start[order], end[order]
+    return start[order], end[order], unsure[order]
 
 
-def restored(texts: list[str | None], spelling: Spelling) -> str:
-    """The joined texts with disguised spans replaced by their likeliest reading."""
+def restored(texts: list[str | None], spelling: Spelling, lexicon: np.ndarray | None = None) -> str:
+    """The joined texts with disguised spans replaced by their likeliest reading.
+
+    With a lexicon (sorted hashes), words with doubled letters that are not in it count as disguised.
+    """
     whole = joined(texts)
-    start, end = suspicious(points(whole))
+    start, end, unsure = suspicious(points(whole))
+    if lexicon is None:
+        start, end, unsure = start[~unsure], end[~unsure], unsure[~unsure]
     out, done = [], 0
-    for s, e in zip(start.tolist(), end.tolist()):
+    for s, e, doubt in zip(start.tolist(), end.tolist(), unsure.tolist()):
         if s >= done:
-            out += [whole[done:s], spelling.restore(whole[s:e])]
+            word = whole[s:e]
+            out += [whole[done:s], spelling.restore_doubled(word, lexicon) if doubt else spelling.restore(word)]
             done = e
     return "".join([*out, whole[done:]])
 
@@ -237,7 +302,7 @@ class Model:
     def score(self, texts: list[str | None], spelling: Spelling, powers: Powers) -> np.ndarray:
         if self.weights is None:
             return np.zeros(len(texts))
-        found = self.signs(read_words(restored(texts, spelling), powers), len(texts))
+        found = self.signs(read_words(restored(texts, spelling, self.hashes), powers), len(texts))
         return 1 / (1 + np.exp(-np.clip(found @ self.weights, -30, 30)))
 
 
@@ -381,7 +446,7 @@ def fit(docs: DataFrame, labels: DataFrame, sizes: tuple[int, int] = (CLEAN_SAMP
         spelling, powers = Spelling(known.value.counts), Powers()
         for batch in batches:
             for part in text_slices(batch, SLICE):
-                words = read_words(restored(part.column(1).to_pylist(), spelling), powers)
+                words = read_words(restored(part.column(1).to_pylist(), spelling, known.value.hashes), powers)
                 y = part.column(0).to_numpy(zero_copy_only=False).astype(float)
                 found = known.value.signs(words, part.num_rows, y)
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c) for c in found.T)], ["y", "a", "b", "c", "d"])

@@ -4,7 +4,9 @@ import zlib
 import numpy as np
 import pytest
 
+import snapmill.llm.toxicity as toxicity_module
 from snapmill.llm.toxicity import SYMBOLS, SYMBOL_OF, Spelling, joined, logistic, points, restored, toxicity
+from snapmill.llm.windows import Powers, mix, span_hashes
 
 WORDS = "the of and to in that is was for on with as this from by are they have been would their when there which could people because through before think".split()
 BAD = "grobnak vilespit dunderol".split()
@@ -27,6 +29,40 @@ def test_deobfuscation(said, meant):
     assert restored([f"and {said} that", None, ""], spelling()) == f"and {meant} that\x00\x00\x00"
 
 
+@pytest.mark.parametrize(
+    "said, meant",
+    [
+        (" ".join("grobnakvilespitdunderol"), "grobnakvilespitdunderol"),  # longer than 40 characters
+        ("v" + "i" * 60 + "lespit", "vilespit"),
+        ("vilespi7", "vilespit"), ("grobna*", "grobnak"), ("people!", "people "), ("people!!", "people "), ("people10", "people "),
+        ("g  r  o  b  n  a  k", "grobnak"), ("g . r . o . b . n . a . k", "grobnak"),
+        ("g r o b n a k   d u n d e r o l", "grobnak   dunderol"),
+    ],
+)
+def test_more_disguises(said, meant):
+    found = restored([f"and {said} that", None], spelling())
+    assert found.replace(" ", "") == f"and{meant}that\x00\x00".replace(" ", "")
+    assert "grobnak   dunderol" in found if "   " in said else "  " in found if meant[-1] == " " else True
+
+
+def test_doubled_letters_of_unknown_words():
+    text = "and people vviilespit that grobbnak offers"
+    known = np.sort(mix(np.array([span_hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]), Powers())[0] for w in (b"offers",)])))
+    assert restored([text], spelling()) == text + "\x00"
+    assert restored([text], spelling(), known) == "and people vilespit that grobnak offers\x00"
+
+
+def test_long_runs_are_read_as_a_whole():
+    spelt = spelling()
+    for text in ("g r 0 b n 4 k v i l e s p i t " * 40, "d.u.n.d.3.r.0.l." * 30, "gr*bn*k$" * 4):
+        want, paths = spelt._viterbi(text), toxicity_module.SETTLE
+        toxicity_module.SETTLE = 10**9
+        try:
+            assert spelt._viterbi(text) == want
+        finally:
+            toxicity_module.SETTLE = paths
+
+
 def disguise(word, odds):
     return odds.choice([word, word.replace("o", "0").replace("i", "1"), " ".join(word), word[:2] + word[2] * 3 + word[3:]])
 
