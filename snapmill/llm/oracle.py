@@ -58,4 +58,52 @@ ORACLE: dict[str, str] = {
         )
         SELECT doc_id, keep_id, group_size, kept, text_sha256 FROM ranked
     """,
+    "op11_fill_in_middle": r"""
+        WITH numbers AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS hex,
+                   regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units
+            FROM documents
+        ), drawn AS (
+            SELECT *, len(units) AS n,
+                   ('0x' || substr(hex, 1, 8))::BIGINT AS h1, ('0x' || substr(hex, 9, 8))::BIGINT AS h2,
+                   ('0x' || substr(hex, 17, 8))::BIGINT AS h3, ('0x' || substr(hex, 25, 8))::BIGINT AS h4
+            FROM numbers
+        ), cut AS (
+            SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+                   CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                             OR h3 % 100 >= 90 THEN 'plain'
+                        WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM drawn
+        ), parts AS (
+            SELECT doc_id, text, n, form, array_to_string(units[1:low], '') AS prefix,
+                   array_to_string(units[low + 1:high], '') AS middle, array_to_string(units[high + 1:n], '') AS suffix
+            FROM cut
+        )
+        SELECT doc_id, n, form,
+               CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text
+                                WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                                ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM parts
+    """,
+    "op12_line_dedup": r"""
+        WITH split AS (
+            SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+        ), lines AS (
+            SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i FROM split
+        ), keyed AS (
+            SELECT doc_id, line, i,
+                   translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line_key
+            FROM lines
+        ), judged AS (
+            SELECT doc_id, line, i, length(line_key) >= 10 AND doc_id > min(doc_id) OVER (PARTITION BY line_key) AS gone
+            FROM keyed
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM judged GROUP BY doc_id
+    """,
 }

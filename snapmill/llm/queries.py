@@ -8,11 +8,14 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapmill.llm.alignment import align, link_counts
 from snapmill.llm.common import documents, pages, shared_path, ship_code
 from snapmill.llm.decontam import contaminations
 from snapmill.llm.exact import exact_groups
 from snapmill.llm.htmltext import extract
+from snapmill.llm.infill import fill_in_middle, restored
 from snapmill.llm.langid import identify
+from snapmill.llm.lines import keep_bitmaps, kept_text, with_bitmaps
 from snapmill.llm.packing import pack
 from snapmill.llm.sharding import shard_rows
 from snapmill.llm.simhash import near_duplicates
@@ -75,6 +78,32 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(documents(spark, sf_dir))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = with_bitmaps(docs, keep_bitmaps(docs))
+    kept = kept_text(F.coalesce("document.text", F.lit("")), F.col("keep_bitmap"))
+    return found.select("document.doc_id", "n_lines", "n_dropped", F.sha2(kept, 256).alias("kept_sha256"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = align(documents(spark, sf_dir))
+    groups = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    return link_counts(aligned.withColumn("groups_sha256", groups).drop("groups"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,5 +126,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_sharding,
         op10_toxicity,
+        op11_fill_in_middle,
+        op12_line_dedup,
+        op13_token_alignment,
     )
 }

@@ -1,0 +1,68 @@
+import hashlib
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from snapmill.llm.infill import fill_in_middle, invert, restored, transform
+
+
+def expected(doc_id, text, rate=90, spm_rate=20, seed=1):
+    text = text or ""
+    units = re.findall("[A-Za-z]+|[^A-Za-z]", text, re.S)
+    code = hashlib.sha256(f"{seed}:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(code[i : i + 8], 16) for i in (0, 8, 16, 24))
+    low, high = sorted((h1 % (len(units) + 1), h2 % (len(units) + 1)))
+    p, m, s = ("".join(x) for x in (units[:low], units[low:high], units[high:]))
+    if not text or re.search("<[PSM]>", text) or h3 % 100 >= rate:
+        return len(units), "plain", None, None, text
+    if h4 % 100 < spm_rate:
+        return len(units), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return len(units), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def check(df, **options):
+    found = fill_in_middle(df, **options).withColumn("back", restored(F.col("output"), F.col("form"))).collect()
+    own = [(r.doc_id, r.n, r.form, r.prefix_chars, r.middle_chars, r.output) for r in found]
+    assert sorted(map(repr, own)) == sorted(repr((r.doc_id, *expected(r.doc_id, r.text, **options))) for r in df.collect())
+    assert sorted(repr((r.doc_id, r.back)) for r in found) == sorted(repr((r.doc_id, r.text or "")) for r in df.collect())
+    return {r.form for r in found}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("ab<>PSMé漢𝒳 "), max_size=40), st.data(), st.sampled_from(["psm", "spm"]))
+def test_blocks_come_back(text, data, form):
+    if any(s in text for s in ("<P>", "<S>", "<M>")):
+        return
+    low, high = sorted(data.draw(st.integers(0, len(text))) for _ in range(2))
+    p, m, s = (x.encode() for x in (text[:low], text[low:high], text[high:]))
+    out = transform(text.encode(), len(p), len(p + m), form)
+    assert out == (b"<P>" + p + b"<S>" + s + b"<M>" + m if form == "psm" else b"<S>" + s + b"<P>" + p + b"<M>" + m)
+    assert invert(out, form) == text.encode()
+
+
+def test_reversals_beyond_a_block():
+    text = bytes(range(1, 60)) * 20_000
+    for form in ("psm", "spm"):
+        out = transform(text, 300_001, 900_003, form)
+        assert len(out) == len(text) + 9 and invert(out, form) == text
+
+
+def test_odd_rows(odd, table):
+    check(odd)
+    check(odd, rate=100, spm_rate=50, seed=7)
+    check(table([]))
+    assert "psm" not in check(odd, rate=0)
+
+
+def test_many_texts(table):
+    rows = [(i, f"Straße {i} – <b>x</b>\n漢字 abc𝒳" * (i % 7)) for i in range(400)]
+    rows += [(500 + i, t) for i, t in enumerate(["a<P>b", "<S>", "x<M>", "<p>", "<", "ab<", ">", "é", "\n\n"])]
+    rows += [(600 + i, "<S") for i in range(30)]
+    assert check(table(rows)) == {"plain", "psm", "spm"}
+
+
+def test_extra_columns_and_other_ids(spark):
+    df = spark.createDataFrame([("x", "one two three", 1, {"a": 1}), (None, "four five", 2, None)], "doc_id string, text string, h1 int, output map<string,int>")
+    check(df)

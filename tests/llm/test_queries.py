@@ -21,7 +21,7 @@ needs_tables = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tabl
 def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= entry_point.queries().keys()
     assert ORACLE.keys() <= entry_point.oracle_sql().keys()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @needs_tables
