@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,32 @@ def default_labels(loans: DataFrame, dpd: int = V.LABEL_DPD, mob: int = V.LABEL_
     )
 
 
+def labels_by_definition(loans: DataFrame, definitions: Sequence[tuple[int, int]]) -> DataFrame:
+    """Labels of every loan row under each definition (dpd, mob) whose month on book it is at.
+
+    One scan however many definitions there are: a row is repeated for those of its month only,
+    and rows of other months are left out in the scan.
+    """
+    if not definitions:
+        raise ValueError("no label definition given")
+    if len(definitions) == 1:
+        return default_labels(loans, *definitions[0])
+    listed = F.array(
+        *[F.struct(F.lit(d).alias("dpd"), F.lit(m).alias("mob"), F.lit(label_definition(d, m)).alias("name")) for d, m in definitions]
+    )
+    own = F.filter(listed, lambda d: d["mob"] == F.col("mob"))
+    at = loans.where(F.col("mob").isin(*{m for _, m in definitions})).select(
+        "loan_id", V.ENTITY, "dpd", V.SNAPSHOT, F.explode(own).alias("definition")
+    )
+    return at.select(
+        "loan_id",
+        V.ENTITY,
+        reached(F.col("dpd"), F.col("definition.dpd")).alias("label"),
+        F.col("definition.name").alias("label_def"),
+        V.SNAPSHOT,
+    )
+
+
 def closed_cohort(
     loans: DataFrame, cutoff: DateLike = V.COHORT_CUTOFF, dpd: int = V.LABEL_DPD
 ) -> DataFrame:

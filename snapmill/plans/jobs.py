@@ -6,41 +6,71 @@ per month; what ingest left out is ``dropped`` of its result.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from datetime import date
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from snapmill import fixed_values as V
-from snapmill.functions.calendar import DateLike, on_spine
+from snapmill.functions.calendar import DateLike, day, month_list, month_start
 from snapmill.operators.features import build_features
 from snapmill.operators.joins import HEAVY_ROWS, find_heavy_keys
-from snapmill.operators.labels import default_labels
+from snapmill.operators.labels import label_definition, labels_by_definition
 from snapmill.operators.refine import REFINERS
 from snapmill.schemas import ATTRIBUTES, CLICKSTREAM, FINANCIALS, LOANS, TABLES
 from snapmill.sources.lake import BRONZE, FEATURE_STORE, GOLD, LABEL_STORE, SILVER, Lake, Written
-from snapmill.sources.raw import dated, read_raw
+from snapmill.sources.raw import FAULT, FAULTS, FILE, LINE, dated, parse_raw, read_raw
+
+UNDATED, OFF_SPINE, OUT_OF_RANGE = "undated", "off_spine", "out_of_range"
+
+
+def _misplaced() -> dict[str, Column]:
+    """Why a raw line belongs to no month at all, the first reason that holds."""
+    snapshot = F.col(V.SNAPSHOT)
+    return {
+        **{fault: F.col(FAULT) == fault for fault in FAULTS},
+        UNDATED: snapshot.isNull(),
+        OFF_SPINE: snapshot != F.trunc(snapshot, "month"),
+    }
+
 
 def ingest(
-    lake: Lake, table: str, raw_path: str, start: DateLike, end: DateLike, gather: bool = True
+    lake: Lake,
+    table: str,
+    raw_path: str,
+    start: DateLike,
+    end: DateLike,
+    gather: bool = True,
+    line_breaks: bool = False,
 ) -> Written:
     """Raw CSV to bronze: one scan for all months, columns kept as text.
 
-    Rows without a date, between months or out of range are not stored, but counted.
+    What is not stored is counted by reason, in ``reasons`` of the result: lines with an open
+    quote, too few or too many fields, rows without a date, between months or out of range.
+    All but the last kind are put in quarantine, by raw source, which scans the file a
+    second time; files without any are scanned once. ``line_breaks`` is that of ``parse_raw``.
 
     Raw files that mix months are gathered, which shuffles them once. Where every file holds
     few months already, ``gather=False`` saves that.
     """
-    rows = dated(read_raw(lake.spark, TABLES[table], raw_path))
-    kept = on_spine(F.col(V.SNAPSHOT), start, end)
-    return lake.write_months(rows, BRONZE, table, start, end, gather, kept)
-
-
-def raw_range(lake: Lake, raw_paths: Mapping[str, str]) -> tuple[date, date] | None:
+    lines = dated(parse_raw(lake.spark, TABLES[table], raw_path, line_breaks))
+    misplaced = _misplaced()
+    beyond = ~F.col(V.SNAPSHOT).between(F.lit(month_start(start)), F.lit(day(end)))
+    rows = lines.drop(LINE, FILE)
+    written = lake.write_months(rows, BRONZE, table, start, end, gather, {**misplaced, OUT_OF_RANGE: beyond})
+    reason = F.coalesce(*[F.when(condition, F.lit(name)) for name, condition in misplaced.items()])
+    stray = lines.select(reason.alias("reason"), F.col(LINE).alias("line"), F.col(FILE).alias("file"))
+    any_stray = any(written.reasons[name] for name in misplaced)
+    lake.write_quarantine(stray.where("reason IS NOT NULL") if any_stray else None, table, raw_path)
+    return written
+
+
+def raw_range(lake: Lake, raw_paths: Mapping[str, str], line_breaks: bool = False) -> tuple[date, date] | None:
     """First and last date in the raw tables, for jobs over all there is; None without any."""
     ends = []
     for table, path in raw_paths.items():
-        rows = dated(read_raw(lake.spark, TABLES[table], path))
+        rows = dated(read_raw(lake.spark, TABLES[table], path, line_breaks))
         ends.append(rows.agg(F.min(V.SNAPSHOT).alias("first"), F.max(V.SNAPSHOT).alias("last")).first())
     ends = [e for e in ends if e["first"] is not None]
     return (min(e["first"] for e in ends), max(e["last"] for e in ends)) if ends else None
@@ -66,14 +96,28 @@ def publish_features(
     return lake.write_months(features, GOLD, FEATURE_STORE, start, end, gather=True)
 
 
+def publish_label_definitions(
+    lake: Lake, start: DateLike, end: DateLike, definitions: Iterable[tuple[int, int]]
+) -> dict[str, Written]:
+    """Silver loans to the label store, for several definitions (dpd, mob) in one scan.
+
+    The store is partitioned by definition and month. Only the months of the range of the
+    definitions given are replaced.
+    """
+    definitions = list(dict.fromkeys(definitions))
+    loans = lake.read_months(SILVER, LOANS.name, LOANS.silver_schema, start, end)
+    names = [label_definition(*d) for d in definitions]
+    labels = labels_by_definition(loans, definitions)
+    # a thin result: few rows per task, so gathering is cheap and avoids tiny files
+    return lake.replace_definitions(labels, LABEL_STORE, names, month_list(start, end), gather=True)
+
+
 def publish_labels(
     lake: Lake, start: DateLike, end: DateLike, dpd: int = V.LABEL_DPD, mob: int = V.LABEL_MOB
 ) -> Written:
-    """Silver loans to the label store."""
-    loans = lake.read_months(SILVER, LOANS.name, LOANS.silver_schema, start, end)
-    labels = default_labels(loans, dpd, mob)
-    # a thin result: few rows per task, so gathering is cheap and avoids tiny files
-    return lake.write_months(labels, GOLD, LABEL_STORE, start, end, gather=True)
+    """Silver loans to the label store, by one definition; all others stay as they are."""
+    (written,) = publish_label_definitions(lake, start, end, [(dpd, mob)]).values()
+    return written
 
 
 def backfill(
@@ -84,14 +128,16 @@ def backfill(
     dpd: int = V.LABEL_DPD,
     mob: int = V.LABEL_MOB,
     gather: bool = True,
+    line_breaks: bool = False,
 ) -> dict[str, Written]:
     """All layers of the given raw tables over the range; stores whose inputs are there.
 
-    ``gather`` is that of ``ingest``. What it dropped is in the bronze entries of the report.
+    ``gather`` and ``line_breaks`` are those of ``ingest``. What it dropped is in the bronze
+    entries of the report.
     """
     report: dict[str, Written] = {}
     for table, path in raw_paths.items():
-        report[f"{BRONZE}.{table}"] = ingest(lake, table, path, start, end, gather)
+        report[f"{BRONZE}.{table}"] = ingest(lake, table, path, start, end, gather, line_breaks)
         report[f"{SILVER}.{table}"] = refine(lake, table, start, end)
     if {ATTRIBUTES.name, CLICKSTREAM.name, FINANCIALS.name} <= raw_paths.keys():
         report[f"{GOLD}.{FEATURE_STORE}"] = publish_features(lake, start, end)

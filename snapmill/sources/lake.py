@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import date
+from functools import reduce
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,20 +15,32 @@ from snapmill import fixed_values as V
 from snapmill.functions.calendar import DateLike, month_list
 from snapmill.operators.slicing import snapshot_slice, spine_slice
 from snapmill.session import compile_wide_stages
+from snapmill.sources.shared import exists, remove_folder
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
+QUARANTINE = "quarantine"
 FEATURE_STORE, LABEL_STORE = "feature_store", "label_store"
+#: The label store's outer partitions: one per label definition.
+LABEL_DEF = "label_def"
 
+QUARANTINE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("reason", "line", "file", "source")])
 
-_KEPT = "__kept"
+#: Columns named like this help to tell what is left out and are not written.
+HELPER = "__"
+
+_REASON, _KEPT = f"{HELPER}reason", "kept"
 
 
 class Written(dict):
-    """Rows written per month; ``dropped`` is how many rows were left out."""
+    """Rows written per month; ``reasons`` has the rows left out by reason, ``dropped`` all of them."""
 
-    def __init__(self, months: dict[date, int], dropped: int = 0):
+    def __init__(self, months: Mapping[date, int], reasons: Mapping[str, int] | None = None):
         super().__init__(months)
-        self.dropped = dropped
+        self.reasons = dict(reasons or {})
+
+    @property
+    def dropped(self) -> int:
+        return sum(self.reasons.values())
 
 
 class Lake:
@@ -59,14 +73,30 @@ class Lake:
         start: DateLike,
         end: DateLike,
         gather: bool,
-        kept: Column | None = None,
+        left_out: Mapping[str, Column] | None = None,
     ) -> Written:
-        """Replace the snapshots of the range by the rows of ``df``, in one job.
+        """``replace_months`` for all months of a range."""
+        months = month_list(start, end)
+        if not months:
+            raise ValueError(f"no month starts between {start} and {end}")
+        return self.replace_months(df, layer, table, months, gather, left_out)
 
-        Returns the rows written per month and how many were left out. Months outside of the
-        range are left alone; months of the range without rows end up empty, so a re-run
-        gives the same table. Rows that fail ``kept`` are counted and not written; they travel
-        as empty rows, so they are counted where tasks count once even when run again.
+    def replace_months(
+        self,
+        df: DataFrame,
+        layer: str,
+        table: str,
+        months: Sequence[date],
+        gather: bool,
+        left_out: Mapping[str, Column] | None = None,
+    ) -> Written:
+        """Replace the snapshots of these months by the rows of ``df``, in one job.
+
+        Returns the rows written per month and how many were left out. Other months are left
+        alone; months without rows end up empty, so a re-run gives the same table.
+        ``left_out`` maps reasons to conditions; a row counts for the first that holds and is not
+        written. Such rows travel empty, so they are counted where tasks count once even when run
+        again. Columns whose name begins with HELPER are there for the conditions only.
 
         While writing, only the months seen are gathered, whatever the length of the range. Rows
         per month are counted afterwards; the files say in their footers how many they hold.
@@ -76,45 +106,103 @@ class Lake:
         small file for each. Large months are cut into many pieces, so no task gets a whole
         one; that is done by adaptive execution and without it rows stay where they are.
         """
-        months = month_list(start, end)
-        if not months:
-            raise ValueError(f"no month starts between {start} and {end}")
+        counts, reasons = self._replace(df, layer, table, [(m,) for m in months], [V.SNAPSHOT], gather, left_out)
+        return Written({m: n for (m,), n in counts.items()}, reasons)
+
+    def replace_definitions(
+        self, df: DataFrame, table: str, definitions: Iterable[str], months: Sequence[date], gather: bool
+    ) -> dict[str, Written]:
+        """Replace these months of these definitions in a gold table that is kept by definition.
+
+        Months of other definitions are left alone, as are other months of these. One job for all
+        definitions; see ``replace_months``.
+        """
+        definitions = list(dict.fromkeys(definitions))
+        parts = [(d, m) for d in definitions for m in months]
+        counts, _ = self._replace(df, GOLD, table, parts, [LABEL_DEF, V.SNAPSHOT], gather)
+        return {d: Written({m: counts[d, m] for m in months}) for d in definitions}
+
+    def _replace(
+        self,
+        df: DataFrame,
+        layer: str,
+        table: str,
+        parts: Sequence[tuple],
+        keys: Sequence[str],
+        gather: bool,
+        left_out: Mapping[str, Column] | None = None,
+    ) -> tuple[dict[tuple, int], dict[str, int]]:
+        """Replace the given partitions, tuples of values of ``keys``. Rows per partition, rows left out by reason."""
         target = self.path(layer, table)
-        schema = T.StructType([f for f in df.schema if f.name != V.SNAPSHOT] + [df.schema[V.SNAPSHOT]])
-        keeps = F.lit(True) if kept is None else F.coalesce(kept, F.lit(False))
-        out = df.select(keeps.alias(_KEPT), *schema.names)
-        if kept is not None:
-            out = out.select(_KEPT, *[F.when(F.col(_KEPT), F.col(c)).alias(c) for c in schema.names])
+        data = [f for f in df.schema if f.name not in keys and not f.name.startswith(HELPER)]
+        schema = T.StructType(data + [df.schema[k] for k in keys])
+        left_out = left_out or {}
+        reason = F.lit(_KEPT)
+        for name, condition in reversed(left_out.items()):
+            reason = F.when(condition, F.lit(name)).otherwise(reason)
+        out = df.select(reason.alias(_REASON), *schema.names)
+        kept = F.col(_REASON) == _KEPT
+        if left_out:
+            out = out.select(_REASON, *[F.when(kept, F.col(c)).alias(c) for c in schema.names])
         if gather and self.spark.conf.get("spark.sql.adaptive.enabled") == "true":
-            out = out.hint("rebalance", F.col(V.SNAPSHOT))
+            out = out.hint("rebalance", *[F.col(k) for k in keys])
         # observed after the shuffle: tasks of the last stage count once even when re-run
         seen = Observation(f"{layer}.{table}")
+        place = F.concat_ws("/", *[F.col(k).cast("string") for k in keys])
         out = out.observe(
             seen,
-            F.count_if(~F.col(_KEPT)).alias("dropped"),
-            F.array_join(F.collect_set(F.col(V.SNAPSHOT).cast("string")), ",").alias("months"),
+            F.array_join(F.collect_set(F.when(kept, place)), ",").alias("parts"),
+            *[F.count_if(F.col(_REASON) == name).alias(name) for name in left_out],
         )
         (
-            out.where(_KEPT)
-            .drop(_KEPT)
+            out.where(kept)
+            .drop(_REASON)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(V.SNAPSHOT)
+            .partitionBy(*keys)
             .parquet(target)
         )
-        written = [date.fromisoformat(m) for m in seen.get["months"].split(",") if m]
-        self._empty(target, schema, [m for m in months if m not in written])
-        stored = self.spark.read.schema(schema).parquet(target).where(F.col(V.SNAPSHOT).isin(written))
-        per_month = stored.groupBy(V.SNAPSHOT).count().collect()  # a row per month of the range
-        counts = dict.fromkeys(months, 0) | {r[V.SNAPSHOT]: r["count"] for r in per_month}
-        return Written(counts, seen.get["dropped"])
-
-    def _empty(self, target: str, schema: T.StructType, months: Sequence[date]) -> None:
-        """Clear what an earlier run left of months that have no rows any more."""
-        if not months:
+        found = seen.get
+        written = {tuple(p.split("/")) for p in found["parts"].split(",") if p}
+        parts_as_text = {tuple(map(str, p)): p for p in parts}
+        self._empty(target, schema, keys, [p for text, p in parts_as_text.items() if text not in written])
+        counts = dict.fromkeys(parts, 0)
+        if written:
+            stored = self.spark.read.schema(schema).parquet(target).where(_is_one_of(keys, parts))
+            for r in stored.groupBy(*keys).count().collect():  # a row per partition asked for
+                counts[tuple(r[k] for k in keys)] = r["count"]
+        return counts, {name: found[name] for name in left_out}
+
+    def _empty(self, target: str, schema: T.StructType, keys: Sequence[str], parts: Sequence[tuple]) -> None:
+        """Clear what an earlier run left of partitions that have no rows any more."""
+        if not parts:
             return
         table = self.spark.read.schema(schema).parquet(target)
-        left_over = table.where(F.col(V.SNAPSHOT).isin(*months)).select(V.SNAPSHOT).distinct()
-        nothing = self.spark.createDataFrame([], schema).drop(V.SNAPSHOT)
-        for (month,) in left_over.collect():  # at most one row per month of the range
-            nothing.write.mode("overwrite").parquet(f"{target}/{V.SNAPSHOT}={month}")
+        left_over = table.where(_is_one_of(keys, parts)).select(*keys).distinct()
+        nothing = self.spark.createDataFrame([], schema).drop(*keys)
+        for row in left_over.collect():  # at most a row per partition asked for
+            folder = "/".join(f"{k}={row[k]}" for k in keys)
+            nothing.write.mode("overwrite").parquet(f"{target}/{folder}")
+
+    def _quarantine_path(self, table: str, source: str) -> str:
+        return f"{self.path(QUARANTINE, table)}/source={quote(source, safe='')}"
+
+    def write_quarantine(self, lines: DataFrame | None, table: str, source: str) -> None:
+        """Replace what is quarantined of a raw source: lines as reason, line, file; None for none."""
+        path = self._quarantine_path(table, source)
+        if lines is not None:
+            lines.select("reason", "line", "file").write.mode("overwrite").parquet(path)
+        elif exists(self.spark, path):
+            remove_folder(self.spark, path)
+
+    def read_quarantine(self, table: str) -> DataFrame:
+        """Lines that no month of a table could take, as reason, line, file, source; maybe none."""
+        path = self.path(QUARANTINE, table)
+        if not exists(self.spark, path):
+            return self.spark.createDataFrame([], QUARANTINE_SCHEMA)
+        return self.spark.read.schema(QUARANTINE_SCHEMA).parquet(path)
+
+
+def _is_one_of(keys: Sequence[str], parts: Sequence[tuple]) -> Column:
+    """Partition values among the given ones. They are a grid, so one list per key prunes folders."""
+    return reduce(Column.__and__, (F.col(k).isin(*{p[i] for p in parts}) for i, k in enumerate(keys)))

@@ -12,14 +12,31 @@ from pyspark.sql import SparkSession
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the session's ``spark.checkpoint.dir``, removed when Python exits.
 
-    A session without that setting uses its warehouse, which executors share as well.
+    A local session without that setting uses its warehouse. On a cluster that may be a folder of
+    the driver's own disk, so there the setting is needed.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        base = spark.conf.get("spark.sql.warehouse.dir")
     path = f"{base.rstrip('/')}/snapmill-{purpose}-{uuid.uuid4().hex}"
     atexit.register(remove_folder, spark, path)
     return path
 
 
+def _in_hadoop(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, wherever Spark keeps it."""
+    folder, files = _in_hadoop(spark, path)
+    return files.exists(folder)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder, wherever Spark keeps it. Once the session has ended only a local one can go."""
     context = spark.sparkContext
@@ -27,5 +44,5 @@ def remove_folder(spark: SparkSession, path: str) -> None:
         if path.startswith(("/", "file:/")):
             shutil.rmtree(path.removeprefix("file:"), ignore_errors=True)
         return
-    folder = context._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+    folder, files = _in_hadoop(spark, path)
+    files.delete(folder, True)

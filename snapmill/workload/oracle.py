@@ -7,6 +7,8 @@ from snapmill.workload.queries import (
     HOT_LEFT,
     HOT_RIGHT,
     LAST_LINE,
+    LATER_LABELS,
+    LATER_LABELS_FROM,
     LOAN_RANGE,
     SLICE_MONTH,
     SNAPSHOT_RANGE,
@@ -301,9 +303,9 @@ def _moved(silver: str, chosen: str, target: tuple[str, str]) -> str:
     CASE WHEN {chosen} THEN DATE '{snapshot}' ELSE snapshot_date END AS snapshot_date) FROM {silver})"""
 
 
-def _labels(where: str = "TRUE") -> str:
-    return f"""SELECT loan_id, Customer_ID, CASE WHEN dpd >= 30 THEN 1 ELSE 0 END AS label,
-    '30dpd_6mob' AS label_def, snapshot_date FROM {SILVER_LOAN} WHERE mob = 6 AND {where}"""
+def _labels(where: str = "TRUE", dpd: int = 30, mob: int = 6) -> str:
+    return f"""SELECT loan_id, Customer_ID, CASE WHEN dpd >= {dpd} THEN 1 ELSE 0 END AS label,
+    '{dpd}dpd_{mob}mob' AS label_def, snapshot_date FROM {SILVER_LOAN} WHERE mob = {mob} AND {where}"""
 
 
 def _on_spine(bounds: tuple[str, str], column: str = "snapshot_date") -> str:
@@ -312,6 +314,7 @@ def _on_spine(bounds: tuple[str, str], column: str = "snapshot_date") -> str:
 
 
 _FIRST_OF_MONTH = "day(snapshot_date) = 1"
+_LATER = f"{_FIRST_OF_MONTH} AND snapshot_date >= DATE '{LATER_LABELS_FROM}'"
 
 
 def _read_back(column: str) -> str:
@@ -326,10 +329,56 @@ def _bronze_report(name: str) -> str:
 FROM {_raw(name)} WHERE {_FIRST_OF_MONTH} GROUP BY snapshot_date"""
 
 
+def _remainder() -> str:
+    return "CAST(Customer_ID AS BIGINT) % 50"
+
+
 def _ingested(name: str) -> str:
-    kept = _on_spine(LOAN_RANGE if name == _LOANS else SNAPSHOT_RANGE)
-    return f"""SELECT '{name}' AS source, COUNT(*) FILTER (WHERE {kept}) AS kept,
-    COUNT(*) FILTER (WHERE ({kept}) IS NOT TRUE) AS dropped FROM {_raw(name)}"""
+    bounds = LOAN_RANGE if name == _LOANS else SNAPSHOT_RANGE
+    kept = _on_spine(bounds)
+    first = "day(snapshot_date) = 1"
+    outside = f"snapshot_date NOT BETWEEN DATE '{bounds[0]}' AND DATE '{bounds[1]}'"
+    counts = {
+        "open_quote": f"{_remainder()} = 3",
+        "too_few_fields": f"{_remainder()} = 2",
+        "too_many_fields": f"{_remainder()} = 1",
+        "undated": "snapshot_date IS NULL",
+        "off_spine": f"NOT ({first})",
+        "out_of_range": f"{first} AND {outside}",
+    }
+    # a quoted line break makes two lines with an open quote each
+    columns = {r: f"COUNT(*) FILTER (WHERE {c})" for r, c in counts.items()}
+    columns["open_quote"] += f" + 2 * COUNT(*) FILTER (WHERE {_remainder()} = 4)"
+    listed = ", ".join(f"{c} AS {r}" for r, c in columns.items())
+    return f"""SELECT *, open_quote + too_few_fields + too_many_fields + undated + off_spine + out_of_range AS dropped
+FROM (SELECT '{name}' AS source, COUNT(*) FILTER (WHERE {kept}) AS kept, {listed} FROM {_raw(name)})"""
+
+
+def _csv_field(column: str) -> str:
+    """A value as it is written: quoted if it holds a comma or a quote, or is empty but not null."""
+    text = f"CAST({column} AS VARCHAR)"
+    return f"""CASE WHEN {column} IS NULL THEN '' WHEN {text} = '' THEN '""'
+    WHEN contains({text}, ',') OR contains({text}, '"') THEN '"' || replace({text}, '"', '""') || '"' ELSE {text} END"""
+
+
+def _quarantined() -> str:
+    fields = [_csv_field(c) for c in _ATTRIBUTE_COLUMNS]
+    line, rest = " || ',' || ".join(fields), " || ',' || ".join(fields[1:])
+    return f"""WITH rows AS (SELECT *, {_remainder()} AS kind FROM {_raw(_ATTRIBUTES)}),
+lines AS (
+    SELECT 'too_many_fields' AS reason, {line} || ',x' AS line FROM rows WHERE kind = 1
+    UNION ALL SELECT 'too_few_fields', Customer_ID || ',x' FROM rows WHERE kind = 2
+    UNION ALL SELECT 'open_quote', '"' || {line} FROM rows WHERE kind = 3
+    UNION ALL SELECT 'open_quote', '"' || Customer_ID FROM rows WHERE kind = 4
+    UNION ALL SELECT 'open_quote', 'of two lines",' || {rest} FROM rows WHERE kind = 4)
+SELECT reason, line, COUNT(*) AS n FROM lines GROUP BY reason, line"""
+
+
+def _with_line_breaks() -> str:
+    columns = ", ".join(f"{_read_back(c)} AS {c}" for c in _ATTRIBUTE_COLUMNS)
+    rows = f"SELECT {columns} FROM {_raw(_ATTRIBUTES)} WHERE {_FIRST_OF_MONTH}"
+    return f"""{rows} UNION ALL SELECT * REPLACE (Customer_ID || chr(10) || 'of two lines' AS Customer_ID)
+FROM ({rows} AND {_remainder()} = 4)"""
 
 
 # ------------------------------------------------------------------ profiles
@@ -474,7 +523,12 @@ FROM (SELECT COUNT(*) AS n FROM {_raw(_CLICKS)} GROUP BY {_KEYS} HAVING COUNT(*)
         _FIRST_OF_MONTH,
     ),
     "ingest_report": "\nUNION ALL ".join(map(_ingested, _COLUMNS)),
+    "quarantined_lines": _quarantined(),
+    "bronze_line_breaks": _with_line_breaks(),
     "silver_month": _project("*", SILVER_CLICKSTREAM, f"snapshot_date = DATE '{STORED_MONTH}'"),
     "backfill_labels": _labels(_FIRST_OF_MONTH),
+    "label_definitions": "\nUNION ALL ".join(
+        [_labels(_FIRST_OF_MONTH), *(_labels(_LATER, *d) for d in LATER_LABELS)]
+    ),
     "backfill_features": _project("*", FEATURES, _FIRST_OF_MONTH),
 }

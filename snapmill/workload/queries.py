@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,11 +24,12 @@ from snapmill.schemas import (
     LOANS,
     TABLES,
 )
-from snapmill.sources.lake import BRONZE, FEATURE_STORE, GOLD, LABEL_STORE, SILVER, Lake
-from snapmill.sources.raw import write_raw
+from snapmill.sources.lake import BRONZE, FEATURE_STORE, GOLD, LABEL_STORE, QUARANTINE, SILVER, Lake
+from snapmill.sources.raw import FAULTS, append_lines, write_raw
 from snapmill.sources.shared import remove_folder, shared_folder
 from snapmill.workload.views import (
     RAW,
+    dirty_lines,
     raw_attributes,
     raw_clicks,
     raw_financials,
@@ -45,6 +46,7 @@ LAST_LINE = 7
 LOAN_RANGE = ("1996-01-01", "1998-12-15")
 SNAPSHOT_RANGE = ("2024-02-01", "2024-11-01")
 STORED_MONTH = "2024-05-01"
+LATER_LABELS_FROM, LATER_LABELS = "1996-06-01", ((60, 3), (1, 6))
 HOT_LEFT, HOT_RIGHT = ("11", "2024-12-01"), ("7", "2024-08-01")
 STRIPPED = [r.name for r in FINANCIALS.rules if r.strip]
 BOUNDED = [r for r in FINANCIALS.rules if r.bounds]
@@ -304,15 +306,21 @@ def duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ jobs through the lake
 @contextmanager
-def _landed(spark: SparkSession, sf: str, names, *unneeded: str) -> Iterator[tuple[Lake, dict[str, str]]]:
+def _landed(
+    spark: SparkSession, sf: str, names, *unneeded: str, dirty: Callable[[DataFrame], DataFrame] | None = None
+) -> Iterator[tuple[Lake, dict[str, str]]]:
     """Raw CSV files of the named tables, and an empty lake beside them.
 
     The raw files go when the jobs are done, and so do the layers that the result does not read.
+    ``dirty`` makes lines from a table's rows that are added to its files.
     """
     root = shared_folder(spark, "run")
     paths = {name: f"{root}/raw/{name}" for name in names}
     for name, path in paths.items():
-        write_raw(RAW[name](spark, sf), path)
+        rows = RAW[name](spark, sf)
+        write_raw(rows, path)
+        if dirty:
+            append_lines(dirty(rows), ",".join(rows.columns), path)
     yield Lake(spark, f"{root}/lake"), paths
     for folder in ("raw", *(f"lake/{layer}" for layer in unneeded)):
         remove_folder(spark, f"{root}/{folder}")
@@ -348,13 +356,31 @@ def bronze_attributes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ingest_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows kept and left out per table when a part of the months is ingested."""
-    report = []
-    with _landed(spark, sf, TABLES, BRONZE) as (lake, paths):
+    """Rows kept per table, and lines left out by reason, when a part of the months is ingested."""
+    report, reasons = [], (*FAULTS, jobs.UNDATED, jobs.OFF_SPINE, jobs.OUT_OF_RANGE)
+    with _landed(spark, sf, TABLES, BRONZE, QUARANTINE, dirty=partial(dirty_lines, line_breaks=False)) as (lake, paths):
         for name, path in paths.items():
             written = jobs.ingest(lake, name, path, *_range_of(name))
-            report.append((name, sum(written.values()), written.dropped))
-    return spark.createDataFrame(report, "source string, kept long, dropped long")
+            report.append((name, sum(written.values()), written.dropped, *(written.reasons[r] for r in reasons)))
+    counts = "".join(f", {r} long" for r in reasons)
+    return spark.createDataFrame(report, f"source string, kept long, dropped long{counts}")
+
+
+def quarantined_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw lines of all attributes that no month takes."""
+    dirty = partial(dirty_lines, line_breaks=False)
+    with _landed(spark, sf, [ATTRIBUTES.name], BRONZE, dirty=dirty) as (lake, paths):
+        jobs.ingest(lake, ATTRIBUTES.name, paths[ATTRIBUTES.name], *SNAPSHOT_RANGE)
+    return lake.read_quarantine(ATTRIBUTES.name).groupBy("reason", "line").agg(F.count(F.lit(1)).alias("n"))
+
+
+def bronze_line_breaks(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze attributes from files whose values hold quoted line breaks."""
+    dirty = partial(dirty_lines, line_breaks=True)
+    with _landed(spark, sf, [ATTRIBUTES.name], QUARANTINE, dirty=dirty) as (lake, paths):
+        months = jobs.raw_range(lake, paths, line_breaks=True)
+        jobs.ingest(lake, ATTRIBUTES.name, paths[ATTRIBUTES.name], *months, line_breaks=True)
+    return lake.read(BRONZE, ATTRIBUTES.name, ATTRIBUTES.bronze_schema)
 
 
 def silver_month(spark: SparkSession, sf: str) -> DataFrame:
@@ -373,6 +399,15 @@ def backfill_labels(spark: SparkSession, sf: str) -> DataFrame:
     return lake.read(GOLD, LABEL_STORE, LABEL_STORE_SCHEMA)
 
 
+def label_definitions(spark: SparkSession, sf: str) -> DataFrame:
+    """Label store with one definition over all months, and two more published over later months."""
+    with _landed(spark, sf, [LOANS.name], BRONZE, SILVER) as (lake, paths):
+        months = jobs.raw_range(lake, paths)
+        jobs.backfill(lake, paths, *months)
+        jobs.publish_label_definitions(lake, LATER_LABELS_FROM, months[1], LATER_LABELS)
+    return lake.read(GOLD, LABEL_STORE, LABEL_STORE_SCHEMA)
+
+
 def backfill_features(spark: SparkSession, sf: str) -> DataFrame:
     """Feature store after raw to bronze to silver to gold."""
     names = [ATTRIBUTES.name, CLICKSTREAM.name, FINANCIALS.name]
@@ -441,7 +476,10 @@ QUERIES: dict[str, Query] = {
     "bronze_roundtrip": bronze_roundtrip,
     "bronze_attributes": bronze_attributes,
     "ingest_report": ingest_report,
+    "quarantined_lines": quarantined_lines,
+    "bronze_line_breaks": bronze_line_breaks,
     "silver_month": silver_month,
     "backfill_labels": backfill_labels,
+    "label_definitions": label_definitions,
     "backfill_features": backfill_features,
 }

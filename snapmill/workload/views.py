@@ -7,6 +7,7 @@ engine, so both start from equal dirty rows; what happens next is written twice.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from snapmill import fixed_values as V
 from snapmill.schemas import ATTRIBUTES, CLICKSTREAM, FINANCIALS, LOANS
@@ -173,6 +174,31 @@ RAW = {
 }
 
 
+#: Lines beside the good rows of the tables, by the remainder of the customer's number.
+DIRTY_EVERY = 50
+TOO_MANY_AT, TOO_FEW_AT, OPEN_QUOTE_AT, LINE_BREAK_AT = 1, 2, 3, 4
+
+
+def dirty_lines(rows: DataFrame, line_breaks: bool) -> DataFrame:
+    """Raw lines made from some rows: too many fields, too few, and open quotes.
+
+    Open quotes are those of a quoted line break, that is two lines, and of a quote that is never
+    closed; the latter are left out with ``line_breaks``.
+    """
+    line = F.to_csv(F.struct(*rows.columns), {"escape": '"'})
+    broken = F.to_csv(
+        F.struct(*[F.concat(c, F.lit("\nof two lines")).alias(c) if c == V.ENTITY else F.col(c) for c in rows.columns]),
+        {"escape": '"'},
+    )
+    kind = F.pmod(F.col(V.ENTITY).cast("long"), F.lit(DIRTY_EVERY))
+    text = F.when(kind == TOO_MANY_AT, F.concat(line, F.lit(",x")))
+    text = text.when(kind == TOO_FEW_AT, F.concat_ws(",", V.ENTITY, F.lit("x")))
+    text = text.when(kind == LINE_BREAK_AT, broken)
+    if not line_breaks:
+        text = text.when(kind == OPEN_QUOTE_AT, F.concat(F.lit('"'), line))
+    return rows.select(F.explode(F.split(text, "\n")).alias("line"))
+
+
 def _sql(columns: dict[str, str], source: str) -> str:
     listed = ",\n    ".join(f"{sql} AS {name}" for name, sql in columns.items())
     return f"SELECT\n    {listed}\nFROM {source}"
