@@ -2,9 +2,10 @@
 
 A left join sends all rows of a key to one task, and adaptive execution cannot split that
 task when two joins share one shuffle or when the heavy side is the right one. What a key costs
-is the product of its rows over the inputs. So keys that may be heavy are looked up first, by a
-frequent-items sketch over hashes of the key columns that is merged in two steps, and counted on
-all inputs. Usually there are none and the joins stay plain.
+is the product of its rows over the inputs. So rows per key are counted first, exactly and for all
+inputs at once: map-side sums over 8-byte hashes of the key columns, one thin shuffle, and
+a filter that leaves the keys whose rows or whose product is too large. Usually there are none and
+the joins stay plain.
 
 Otherwise the joins run on key and cell. Each input deals its rows of a heavy key into slices; a
 cell is one slice of every input. A row is copied to all cells of its slice, so every combination
@@ -13,6 +14,9 @@ one plan for all rows: every input is read and shuffled once. A left row of a sl
 matches in some cells and none in others; as the key is there, the copies without a match are
 surplus and dropped. Left rows without a complete key match nothing and are spread over cells of
 their own.
+
+How many keys are heavy depends on the data. Up to MAX_HEAVY of them are broadcast; more are kept
+as a table, which the inputs are joined with by key.
 """
 
 from __future__ import annotations
@@ -21,23 +25,21 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from math import prod
-from operator import and_, mul
+from operator import and_, mul, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmill import fixed_values as V
+from snapmill.sources.shared import shared_folder
 
-# The sketch misses no key with more than 3.5 / TRACKED of the rows (0.02 %).
-TRACKED = 16_384
-# Twice as many keys of each input are looked at, those with the most rows.
-MAX_HEAVY = 4_000
+# So many heavy keys are gathered and broadcast; more stay in a table.
+MAX_HEAVY = 8_000
 # Rows of one key and input that are no burden for a task.
 HEAVY_ROWS = 2_000_000
 # A task should join no more combinations of one key's rows than this many times HEAVY_ROWS.
 FAN_OUT = 25
-_MERGERS = 256
 
 _CELL, _COPY = "__cell", "__copy"
 
@@ -49,6 +51,7 @@ class HeavyKeys:
     rows: Mapping[tuple, tuple[int, ...]] = field(default_factory=dict)
     null_rows: bool = False  # the left input has many rows without a complete key
     task_rows: int = HEAVY_ROWS
+    table: DataFrame | None = None  # instead of ``rows`` where there are many: key columns, rows_0, rows_1, ...
 
     def slices(self, key: tuple) -> tuple[int, ...]:
         """Into how many slices each input deals the key: as few as keep rows and combinations bounded."""
@@ -69,6 +72,30 @@ def _complete(keys: Sequence[str]) -> Column:
     return reduce(and_, (F.col(k).isNotNull() for k in keys))
 
 
+def _rows_of(i: int) -> str:
+    return f"rows_{i}"
+
+
+def _is_heavy(inputs: int, heavy_rows: int) -> Column:
+    """More than ``heavy_rows`` rows in an input, or FAN_OUT times as many combinations of rows."""
+    rows = [F.col(_rows_of(i)) for i in range(inputs)]
+    combinations = reduce(mul, (F.greatest(n, F.lit(1)).cast("double") for n in rows))
+    return reduce(or_, (n > heavy_rows for n in rows)) | (combinations > float(FAN_OUT * heavy_rows))
+
+
+def _tagged(inputs: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame:
+    """The keys of all inputs with the input's number and a hash, null where the key is not complete."""
+    key_hash = F.when(_complete(keys), F.xxhash64(*keys)).alias("hash")
+    return reduce(
+        DataFrame.unionByName,
+        (df.select(F.lit(i).alias("input"), key_hash, *keys) for i, df in enumerate(inputs.values())),
+    )
+
+
+def _per_input(inputs: int) -> list[Column]:
+    return [F.count_if(F.col("input") == i).alias(_rows_of(i)) for i in range(inputs)]
+
+
 def find_heavy_keys(
     inputs: Mapping[str, DataFrame],
     keys: Sequence[str] = V.FEATURE_KEYS,
@@ -77,54 +104,28 @@ def find_heavy_keys(
     """Heavy keys of the inputs of a join, left one first, with exact counts.
 
     A key is heavy with more than ``heavy_rows`` rows in an input, or more than ``FAN_OUT`` times
-    as many combinations of rows. One of its counts is then at least a root of that, so the
-    keys with the largest counts of each input are looked at: at most ``2 * MAX_HEAVY`` an input,
-    which is also what the driver gets. Keys below the sketch's resolution (3.5 / TRACKED of an
-    input's rows) can be missed. Runs one job over the key columns, or two when any key comes
-    into question.
+    as many combinations of rows. None is missed, however few of the rows it has. Runs one job
+    over the key columns, or two when any key is heavy. The driver gets at most MAX_HEAVY keys.
     """
-    limit = FAN_OUT * heavy_rows
-    least = min(heavy_rows, int(limit ** (1 / len(inputs))))
-    key_hash = F.when(_complete(keys), F.xxhash64(*keys)).alias("hash")
-    tagged = reduce(
-        DataFrame.unionByName,
-        (df.select(F.lit(i).alias("input"), key_hash, *keys) for i, df in enumerate(inputs.values())),
-    )
-    partial = tagged.groupBy("input", (F.spark_partition_id() % _MERGERS).alias("merger")).agg(
-        F.count_if(F.col("hash").isNull()).alias("null_rows"),
-        F.expr(f"approx_top_k_accumulate(hash, {TRACKED})").alias("sketch"),
-    )
-    merged = partial.groupBy("input").agg(
-        F.sum("null_rows").alias("null_rows"),
-        F.expr(f"approx_top_k_combine(sketch, {TRACKED})").alias("sketch"),
-    )
-    top = F.expr(f"approx_top_k_estimate(sketch, {2 * MAX_HEAVY})")
-    report = merged.select(
-        "input", "null_rows", F.filter(top, lambda t: t["item"].isNotNull() & (t["count"] > least)).alias("top")
-    ).collect()  # one row per input
-
-    estimates: dict[int, list[int]] = {}
-    for r in report:
-        for t in r["top"]:
-            estimates.setdefault(t["item"], [0] * len(inputs))[r["input"]] = t["count"]
-    # Where an input does not list a key, it has at most as many rows of it as the least it lists.
-    floors = {r["input"]: max(least, min((t["count"] for t in r["top"]), default=0) if len(r["top"]) == 2 * MAX_HEAVY else 0) for r in report}
-    suspects = [
-        (item,)
-        for item, counts in estimates.items()
-        if max(counts) > heavy_rows or prod(n or floors.get(i, least) for i, n in enumerate(counts)) > limit
-    ]
-    rows: dict[tuple, tuple[int, ...]] = {}
-    if suspects:
-        suspected = F.broadcast(merged.sparkSession.createDataFrame(suspects, "hash bigint"))
-        per_input = [F.count_if(F.col("input") == i).alias(f"n_{i}") for i in range(len(inputs))]
-        counted = tagged.join(suspected, on="hash").groupBy(*keys).agg(*per_input)
-        for r in counted.collect():  # one row per suspect
-            counts = tuple(r[f"n_{i}"] for i in range(len(inputs)))
-            if max(counts) > heavy_rows or prod(max(1, n) for n in counts) > limit:
-                rows[tuple(r[k] for k in keys)] = counts
-    nulls = next((r["null_rows"] for r in report if r["input"] == 0), 0)
-    return HeavyKeys(rows, nulls > heavy_rows, heavy_rows)
+    tagged, per_input = _tagged(inputs, keys), _per_input(len(inputs))
+    is_heavy = _is_heavy(len(inputs), heavy_rows)
+    thin = tagged.groupBy("hash").agg(*per_input).where(is_heavy | F.col("hash").isNull())
+    found = thin.limit(MAX_HEAVY + 2).collect()
+    nulls = next((r[_rows_of(0)] for r in found if r["hash"] is None), 0) > heavy_rows
+    hashes = [(r["hash"],) for r in found if r["hash"] is not None]
+    if not hashes:
+        return HeavyKeys({}, nulls, heavy_rows)
+    few = len(hashes) <= MAX_HEAVY
+    spark = thin.sparkSession
+    suspected = F.broadcast(spark.createDataFrame(hashes, "hash bigint")) if few else thin.select("hash")
+    # counted again by the key itself: several keys can share a hash
+    counted = tagged.join(suspected, on="hash").groupBy(*keys).agg(*per_input).where(is_heavy)
+    if few:
+        rows = {tuple(r[k] for k in keys): tuple(r[_rows_of(i)] for i in range(len(inputs))) for r in counted.collect()}
+        return HeavyKeys(rows, nulls, heavy_rows)
+    path = shared_folder(spark, "heavy-keys")
+    counted.write.parquet(path)
+    return HeavyKeys({}, nulls, heavy_rows, spark.read.schema(counted.schema).parquet(path))
 
 
 def left_joins(
@@ -140,7 +141,7 @@ def left_joins(
     numbered where they are scanned, so that a task that is run again numbers them alike.
     """
     keys, inputs = list(keys), [left, *rights]
-    if heavy is None or not (heavy.rows or heavy.null_rows):
+    if heavy is None or not (heavy.rows or heavy.table or heavy.null_rows):
         return _join_all(inputs, keys)
     return _join_in_cells(inputs, keys, _cells(left, keys, heavy, len(inputs)))
 
@@ -159,9 +160,26 @@ def _row_of(i: int) -> str:
 
 def _cells(left: DataFrame, keys: list[str], heavy: HeavyKeys, inputs: int) -> DataFrame:
     """Heavy keys with the slices of each input."""
+    if heavy.table is not None:
+        return heavy.table.select(*keys, *_slices(inputs, heavy.task_rows))
     slices = [T.StructField(_slices_of(i), T.LongType()) for i in range(inputs)]
     rows = [(*k, *heavy.slices(k)) for k in heavy.rows]
-    return left.sparkSession.createDataFrame(rows, T.StructType([left.schema[k] for k in keys] + slices))
+    # at most MAX_HEAVY rows
+    return F.broadcast(left.sparkSession.createDataFrame(rows, T.StructType([left.schema[k] for k in keys] + slices)))
+
+
+def _slices(inputs: int, task_rows: int) -> list[Column]:
+    """What ``HeavyKeys.slices`` gives, as columns: the slice size is found bit by bit."""
+    rows = [F.greatest(F.col(_rows_of(i)), F.lit(1)) for i in range(inputs)]
+    bits = F.array(*[F.lit(1 << b).cast("bigint") for b in reversed(range(task_rows.bit_length()))])
+
+    def with_bit(size: Column, bit: Column) -> Column:
+        larger = size + bit
+        combinations = reduce(mul, (F.least(n, larger).cast("double") for n in rows))
+        return F.when((larger <= task_rows) & (combinations <= float(FAN_OUT * task_rows)), larger).otherwise(size)
+
+    size = F.greatest(F.aggregate(bits, F.lit(0).cast("bigint"), with_bit), F.lit(1))
+    return [F.ceil(n / size).cast("bigint").alias(_slices_of(i)) for i, n in enumerate(rows)]
 
 
 def _join_in_cells(inputs: Sequence[DataFrame], keys: list[str], cells: DataFrame) -> DataFrame:
@@ -171,7 +189,7 @@ def _join_in_cells(inputs: Sequence[DataFrame], keys: list[str], cells: DataFram
         before = reduce(mul, counts[:i], F.lit(1))
         after = reduce(mul, counts[i + 1 :], F.lit(1))
         numbered = df.withColumn(_row_of(i), F.monotonically_increasing_id())
-        copies = numbered.join(F.broadcast(cells), on=keys, how="left").withColumn(
+        copies = numbered.join(cells, on=keys, how="left").withColumn(
             _COPY, F.explode(F.sequence(F.lit(0).cast("bigint"), before * after - 1))
         )
         # cells are numbered with the slice of the first input as the highest digit

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from snapmill.operators import features
+from snapmill.operators import features, joins
 from snapmill.operators.joins import HeavyKeys, find_heavy_keys, left_joins
 from tests.helpers import in_order, plan_of
 
@@ -146,3 +146,49 @@ def test_two_joins_take_three_exchanges(spark):
         assert executed.count("SortMergeJoin") == 2
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_thinly_spread_heavy_product_is_found(spark):
+    """Few rows of a key among very many others, in every input: found by its combinations."""
+    sides = {
+        c: spark.range(30_000).select(F.when(F.col("id") < 30, F.lit(-1)).otherwise(F.col("id") + 1_000_000 * i).alias("k"), F.col("id").alias(c))
+        for i, c in enumerate("abc")
+    }
+    heavy = find_heavy_keys(sides, ["k"], heavy_rows=40)
+    assert dict(heavy.rows) == {(-1,): (30, 30, 30)} and min(heavy.slices((-1,))) > 1
+    got = left_joins(sides["a"], [sides["b"], sides["c"]], ["k"], heavy)
+    assert got.count() == 30**3 + 30_000 - 30
+    assert got.where("k = -1").distinct().count() == 30**3
+
+
+def test_more_heavy_keys_than_are_broadcast(spark, monkeypatch):
+    left, right = side(spark, "a", "hot", null_share=0.1), side(spark, "b", "c7", seed=5)
+    inputs = {"l": left, "r": right}
+    few = find_heavy_keys(inputs, KEYS, heavy_rows=4)
+    monkeypatch.setattr(joins, "MAX_HEAVY", 3)
+    many = find_heavy_keys(inputs, KEYS, heavy_rows=4)
+    assert many.table is not None and not many.rows and many.null_rows == few.null_rows
+    assert {tuple(r)[:2]: tuple(r)[2:] for r in many.table.collect()} == dict(few.rows) and len(few.rows) > 3
+    cells = {tuple(r)[:2]: tuple(r)[2:] for r in joins._cells(left, list(KEYS), many, 2).collect()}
+    assert cells == {k: few.slices(k) for k in few.rows}
+    got = left_joins(left, [right], KEYS, many)
+    assert in_order(got) == in_order(left.join(right, list(KEYS), "left"))
+
+
+def test_slices_as_columns(spark):
+    counts = [(1000, 1, 0), (50, 50, 50), (10**9, 3, 2), (1, 1, 1), (10**12, 10**12, 10**12), (101, 100, 99), (0, 7, 2501)]
+    for task_rows in (1, 7, 100, 2_000_000):
+        heavy = HeavyKeys({(i,): n for i, n in enumerate(counts)}, False, task_rows)
+        table = spark.createDataFrame([(i, *n) for i, n in enumerate(counts)], "k int, rows_0 long, rows_1 long, rows_2 long")
+        got = {r[0]: tuple(r)[1:] for r in table.select("k", *joins._slices(3, task_rows)).collect()}
+        assert got == {i: heavy.slices((i,)) for i in range(len(counts))}
+
+
+def test_the_count_moves_hashes_only(spark, tmp_path):
+    """One shuffle, of hashes and counts summed up before it."""
+    path = str(tmp_path / "t")
+    spark.range(1000).selectExpr("concat(id % 10, '') AS k", "current_date() AS d", "repeat('x', 100) AS wide").write.parquet(path)
+    table = spark.read.parquet(path)
+    thin = joins._tagged({"x": table, "y": table}, KEYS).groupBy("hash").agg(*joins._per_input(2))
+    plan = thin._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "partial_count" in plan and "wide" not in plan
