@@ -53,6 +53,9 @@ class HeavyKeys:
     task_rows: int = HEAVY_ROWS
     table: DataFrame | None = None  # instead of ``rows`` where there are many: key columns, rows_0, rows_1, ...
 
+    def __bool__(self) -> bool:
+        return bool(self.rows) or self.table is not None or self.null_rows
+
     def slices(self, key: tuple) -> tuple[int, ...]:
         """Into how many slices each input deals the key: as few as keep rows and combinations bounded."""
         return tuple(-(-max(1, n) // self._slice_rows(self.rows[key])) for n in self.rows[key])
@@ -141,7 +144,7 @@ def left_joins(
     numbered where they are scanned, so that a task that is run again numbers them alike.
     """
     keys, inputs = list(keys), [left, *rights]
-    if heavy is None or not (heavy.rows or heavy.table or heavy.null_rows):
+    if not heavy:
         return _join_all(inputs, keys)
     return _join_in_cells(inputs, keys, _cells(left, keys, heavy, len(inputs)))
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from datetime import date
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapmill import fixed_values as V
@@ -77,7 +77,7 @@ def raw_range(lake: Lake, raw_paths: Mapping[str, str], line_breaks: bool = Fals
 
 
 def refine(lake: Lake, table: str, start: DateLike, end: DateLike) -> Written:
-    """Bronze to silver. Tasks read few months each, so rows are written where they are."""
+    """Bronze to silver. Tasks read few months each, so rows are written where they are, or by bucket."""
     bronze = lake.read_months(BRONZE, table, TABLES[table].bronze_schema, start, end)
     return lake.write_months(REFINERS[table](bronze), SILVER, table, start, end, gather=False)
 
@@ -85,12 +85,15 @@ def refine(lake: Lake, table: str, start: DateLike, end: DateLike) -> Written:
 def publish_features(
     lake: Lake, start: DateLike, end: DateLike, heavy_rows: int = HEAVY_ROWS
 ) -> Written:
-    """Silver to the feature store."""
-    parts = {
-        t.name: lake.read_months(SILVER, t.name, t.silver_schema, start, end)
-        for t in (ATTRIBUTES, CLICKSTREAM, FINANCIALS)
-    }
-    heavy = find_heavy_keys(parts, heavy_rows=heavy_rows)
+    """Silver to the feature store. Bucketed silver tables are joined without a shuffle."""
+    tables = (ATTRIBUTES, CLICKSTREAM, FINANCIALS)
+
+    def stored(by_bucket: bool) -> dict[str, DataFrame]:
+        return {t.name: lake.read_months(SILVER, t.name, t.silver_schema, start, end, by_bucket) for t in tables}
+
+    heavy = find_heavy_keys(stored(by_bucket=False), heavy_rows=heavy_rows)
+    # heavy keys are dealt out of their buckets, which then would only hold up the scan
+    parts = stored(by_bucket=not heavy)
     features = build_features(*parts.values(), heavy=heavy)
     # the join leaves all months in every task
     return lake.write_months(features, GOLD, FEATURE_STORE, start, end, gather=True)

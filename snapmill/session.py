@@ -40,3 +40,12 @@ def compile_wide_stages(spark: SparkSession) -> SparkSession:
     if int(spark.conf.get(key)) > limit:
         spark.conf.set(key, str(limit))
     return spark
+
+
+def join_on_buckets(spark: SparkSession) -> None:
+    """Let joins on several keys use tables bucketed by one of them.
+
+    Equal values of all keys have equal values of that one, so they are in the same bucket. Spark
+    asks for all keys by default, as it fears skew; heavy keys are dealt into cells here.
+    """
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+import zlib
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from datetime import date
 from functools import reduce
 from urllib.parse import quote
@@ -14,7 +16,7 @@ from pyspark.sql import types as T
 from snapmill import fixed_values as V
 from snapmill.functions.calendar import DateLike, month_list
 from snapmill.operators.slicing import snapshot_slice, spine_slice
-from snapmill.session import compile_wide_stages
+from snapmill.session import compile_wide_stages, join_on_buckets
 from snapmill.sources.shared import exists, remove_folder
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
@@ -44,26 +46,84 @@ class Written(dict):
 
 
 class Lake:
-    """Tables below one root folder, which may be any path Spark can read and write."""
+    """Tables below one root folder, which may be any path Spark can read and write.
 
-    def __init__(self, spark: SparkSession, root: str):
+    With ``buckets`` the silver tables are bucketed and sorted by customer, so that joins on
+    customer and snapshot need no shuffle. That costs one shuffle when they are written and pays
+    as soon as they are joined more than once. The number is kept beside the tables; whoever
+    opens the lake later need not give it and cannot change it.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark = compile_wide_stages(spark)
         self.root = root.rstrip("/")
+        self._spec = f"{self.root}/{SILVER}_buckets"
+        self.buckets = self._stored_buckets(buckets)
+
+    def _stored_buckets(self, asked: int | None) -> int | None:
+        if exists(self.spark, self._spec):
+            (stored,) = self.spark.read.schema("buckets int").parquet(self._spec).first()
+        else:
+            if asked and exists(self.spark, f"{self.root}/{SILVER}"):
+                raise ValueError(f"{self.root}: the silver tables are there already, without buckets")
+            stored = asked
+            if asked:
+                self.spark.createDataFrame([(asked,)], "buckets int").coalesce(1).write.parquet(self._spec)
+        if asked and asked != stored:
+            raise ValueError(f"{self.root}: the silver tables have {stored} buckets, not {asked}")
+        if stored:
+            join_on_buckets(self.spark)
+        return stored
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
-    def read(self, layer: str, table: str, schema: T.StructType) -> DataFrame:
-        """All snapshots of a table. The schema is declared, so no file is opened for it."""
+    def read(self, layer: str, table: str, schema: T.StructType, by_bucket: bool = True) -> DataFrame:
+        """All snapshots of a table. The schema is declared, so no file is opened for it.
+
+        A bucketed table is read by one task per bucket where a join or aggregate makes use of that.
+        ``by_bucket=False`` reads its files like any, split by size.
+        """
+        if by_bucket and self._is_bucketed(layer):
+            return self.spark.table(self._registered(layer, table, schema))
         return self.spark.read.schema(schema).parquet(self.path(layer, table))
 
+    def _is_bucketed(self, layer: str) -> bool:
+        return layer == SILVER and self.buckets is not None
+
+    def _registered(self, layer: str, table: str, schema: T.StructType) -> str:
+        """The session's name of a bucketed table, with the months that are stored now.
+
+        Spark knows buckets by the catalog only. The files belong to the lake, so the entry can
+        be made in any session.
+        """
+        path = self.path(layer, table)
+        name = f"snapmill_{layer}_{table}_{zlib.crc32(path.encode()):08x}"
+        if not self.spark.catalog.tableExists(name):
+            months_last = [f for f in schema if f.name != V.SNAPSHOT] + [schema[V.SNAPSHOT]]
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in months_last)
+            location = path.replace("\\", "\\\\").replace("'", "\\'")
+            self.spark.sql(
+                f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({V.SNAPSHOT}) "
+                f"CLUSTERED BY ({V.ENTITY}) SORTED BY ({V.ENTITY}) INTO {self.buckets} BUCKETS LOCATION '{location}'"
+            )
+        if exists(self.spark, path):
+            self.spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+        return name
+
     def read_month(self, layer: str, table: str, schema: T.StructType, month: DateLike) -> DataFrame:
         return snapshot_slice(self.read(layer, table, schema), month)
 
     def read_months(
-        self, layer: str, table: str, schema: T.StructType, start: DateLike, end: DateLike
+        self,
+        layer: str,
+        table: str,
+        schema: T.StructType,
+        start: DateLike,
+        end: DateLike,
+        by_bucket: bool = True,
     ) -> DataFrame:
-        return spine_slice(self.read(layer, table, schema), start, end)
+        return spine_slice(self.read(layer, table, schema, by_bucket), start, end)
 
     def write_months(
         self,
@@ -144,7 +204,11 @@ class Lake:
         kept = F.col(_REASON) == _KEPT
         if left_out:
             out = out.select(_REASON, *[F.when(kept, F.col(c)).alias(c) for c in schema.names])
-        if gather and self.spark.conf.get("spark.sql.adaptive.enabled") == "true":
+        bucketed = self._is_bucketed(layer)
+        if bucketed:
+            # a task holds whole buckets, which are a file a month then; a very large one is cut
+            out = out.hint("rebalance", self.buckets, F.col(V.ENTITY))
+        elif gather and self.spark.conf.get("spark.sql.adaptive.enabled") == "true":
             out = out.hint("rebalance", *[F.col(k) for k in keys])
         # observed after the shuffle: tasks of the last stage count once even when re-run
         seen = Observation(f"{layer}.{table}")
@@ -154,35 +218,48 @@ class Lake:
             F.array_join(F.collect_set(F.when(kept, place)), ",").alias("parts"),
             *[F.count_if(F.col(_REASON) == name).alias(name) for name in left_out],
         )
-        (
-            out.where(kept)
-            .drop(_REASON)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*keys)
-            .parquet(target)
-        )
+        writer = out.where(kept).drop(_REASON).write
+        if bucketed:
+            with self._dynamic_overwrite():
+                writer.insertInto(self._registered(layer, table, schema), overwrite=True)
+        else:
+            writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(target)
         found = seen.get
         written = {tuple(p.split("/")) for p in found["parts"].split(",") if p}
         parts_as_text = {tuple(map(str, p)): p for p in parts}
-        self._empty(target, schema, keys, [p for text, p in parts_as_text.items() if text not in written])
+        self._empty(layer, table, schema, keys, [p for text, p in parts_as_text.items() if text not in written])
         counts = dict.fromkeys(parts, 0)
         if written:
-            stored = self.spark.read.schema(schema).parquet(target).where(_is_one_of(keys, parts))
+            stored = self.read(layer, table, schema).where(_is_one_of(keys, parts))
             for r in stored.groupBy(*keys).count().collect():  # a row per partition asked for
                 counts[tuple(r[k] for k in keys)] = r["count"]
         return counts, {name: found[name] for name in left_out}
 
-    def _empty(self, target: str, schema: T.StructType, keys: Sequence[str], parts: Sequence[tuple]) -> None:
+    @contextmanager
+    def _dynamic_overwrite(self) -> Iterator[None]:
+        """For inserts, which take this from the session alone."""
+        key = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(key)
+        self.spark.conf.set(key, "dynamic")
+        try:
+            yield
+        finally:
+            self.spark.conf.set(key, before)
+
+    def _empty(
+        self, layer: str, table: str, schema: T.StructType, keys: Sequence[str], parts: Sequence[tuple]
+    ) -> None:
         """Clear what an earlier run left of partitions that have no rows any more."""
         if not parts:
             return
-        table = self.spark.read.schema(schema).parquet(target)
-        left_over = table.where(_is_one_of(keys, parts)).select(*keys).distinct()
+        left_over = self.read(layer, table, schema).where(_is_one_of(keys, parts)).select(*keys).distinct()
         nothing = self.spark.createDataFrame([], schema).drop(*keys)
         for row in left_over.collect():  # at most a row per partition asked for
-            folder = "/".join(f"{k}={row[k]}" for k in keys)
-            nothing.write.mode("overwrite").parquet(f"{target}/{folder}")
+            folder = f"{self.path(layer, table)}/" + "/".join(f"{k}={row[k]}" for k in keys)
+            if self._is_bucketed(layer):  # an empty file would have no bucket
+                remove_folder(self.spark, folder)
+            else:
+                nothing.write.mode("overwrite").parquet(folder)
 
     def _quarantine_path(self, table: str, source: str) -> str:
         return f"{self.path(QUARANTINE, table)}/source={quote(source, safe='')}"

@@ -531,4 +531,5 @@ FROM (SELECT COUNT(*) AS n FROM {_raw(_CLICKS)} GROUP BY {_KEYS} HAVING COUNT(*)
         [_labels(_FIRST_OF_MONTH), *(_labels(_LATER, *d) for d in LATER_LABELS)]
     ),
     "backfill_features": _project("*", FEATURES, _FIRST_OF_MONTH),
+    "backfill_features_bucketed": _project("*", FEATURES, _FIRST_OF_MONTH),
 }

@@ -307,7 +307,12 @@ def duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------------------ jobs through the lake
 @contextmanager
 def _landed(
-    spark: SparkSession, sf: str, names, *unneeded: str, dirty: Callable[[DataFrame], DataFrame] | None = None
+    spark: SparkSession,
+    sf: str,
+    names,
+    *unneeded: str,
+    dirty: Callable[[DataFrame], DataFrame] | None = None,
+    buckets: int | None = None,
 ) -> Iterator[tuple[Lake, dict[str, str]]]:
     """Raw CSV files of the named tables, and an empty lake beside them.
 
@@ -321,7 +326,7 @@ def _landed(
         write_raw(rows, path)
         if dirty:
             append_lines(dirty(rows), ",".join(rows.columns), path)
-    yield Lake(spark, f"{root}/lake"), paths
+    yield Lake(spark, f"{root}/lake", buckets), paths
     for folder in ("raw", *(f"lake/{layer}" for layer in unneeded)):
         remove_folder(spark, f"{root}/{folder}")
 
@@ -416,6 +421,14 @@ def backfill_features(spark: SparkSession, sf: str) -> DataFrame:
     return lake.read(GOLD, FEATURE_STORE, FEATURE_STORE_SCHEMA)
 
 
+def backfill_features_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """Feature store from silver tables bucketed by customer."""
+    names = [ATTRIBUTES.name, CLICKSTREAM.name, FINANCIALS.name]
+    with _landed(spark, sf, names, BRONZE, SILVER, buckets=8) as (lake, paths):
+        jobs.backfill(lake, paths, *jobs.raw_range(lake, paths))
+    return lake.read(GOLD, FEATURE_STORE, FEATURE_STORE_SCHEMA)
+
+
 def _silver(name: str) -> Query:
     return lambda spark, sf: refine.REFINERS[name](RAW[name](spark, sf))
 
@@ -482,4 +495,5 @@ QUERIES: dict[str, Query] = {
     "backfill_labels": backfill_labels,
     "label_definitions": label_definitions,
     "backfill_features": backfill_features,
+    "backfill_features_bucketed": backfill_features_bucketed,
 }
