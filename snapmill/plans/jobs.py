@@ -1,13 +1,18 @@
 """Bronze, silver and gold jobs. Each handles any month range in one Spark job.
 
 A single month is the range from that month to itself. Every job returns the rows it wrote
-per month; what ingest left out is ``dropped`` of its result.
+per month; what ingest left out is in ``reasons`` of its result.
+
+``catch_up`` does what ``backfill`` does for months whose raw rows changed, and only for them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import zlib
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,10 +24,25 @@ from snapmill.operators.joins import HEAVY_ROWS, find_heavy_keys
 from snapmill.operators.labels import label_definition, labels_by_definition
 from snapmill.operators.refine import REFINERS
 from snapmill.schemas import ATTRIBUTES, CLICKSTREAM, FINANCIALS, LOANS, TABLES
-from snapmill.sources.lake import BRONZE, FEATURE_STORE, GOLD, LABEL_STORE, SILVER, Lake, Written
+from snapmill.sources.lake import (
+    BRONZE,
+    FEATURE_STORE,
+    GOLD,
+    LABEL_STORE,
+    SILVER,
+    Lake,
+    Written,
+    definition_name,
+)
 from snapmill.sources.raw import FAULT, FAULTS, FILE, LINE, dated, parse_raw, read_raw
 
 UNDATED, OFF_SPINE, OUT_OF_RANGE = "undated", "off_spine", "out_of_range"
+FEATURE_PARTS = (ATTRIBUTES, CLICKSTREAM, FINANCIALS)
+
+#: The mark of a month without rows.
+NOTHING = "0"
+#: Stands for lines that belong to no month where months are keys: a day that begins none.
+NO_MONTH = date(1970, 1, 2)
 
 
 def _misplaced() -> dict[str, Column]:
@@ -35,6 +55,14 @@ def _misplaced() -> dict[str, Column]:
     }
 
 
+def _reason() -> Column:
+    return F.coalesce(*[F.when(condition, F.lit(name)) for name, condition in _misplaced().items()])
+
+
+def _in_range(start: DateLike, end: DateLike) -> Column:
+    return F.col(V.SNAPSHOT).between(F.lit(month_start(start)), F.lit(day(end)))
+
+
 def ingest(
     lake: Lake,
     table: str,
@@ -55,17 +83,17 @@ def ingest(
     few months already, ``gather=False`` saves that.
     """
     lines = dated(parse_raw(lake.spark, TABLES[table], raw_path, line_breaks))
-    misplaced = _misplaced()
-    beyond = ~F.col(V.SNAPSHOT).between(F.lit(month_start(start)), F.lit(day(end)))
-    rows = lines.drop(LINE, FILE)
-    written = lake.write_months(rows, BRONZE, table, start, end, gather, {**misplaced, OUT_OF_RANGE: beyond})
-    reason = F.coalesce(*[F.when(condition, F.lit(name)) for name, condition in misplaced.items()])
-    stray = lines.select(reason.alias("reason"), F.col(LINE).alias("line"), F.col(FILE).alias("file"))
-    any_stray = any(written.reasons[name] for name in misplaced)
-    lake.write_quarantine(stray.where("reason IS NOT NULL") if any_stray else None, table, raw_path)
+    reasons = {**_misplaced(), OUT_OF_RANGE: ~_in_range(start, end)}
+    written = lake.write_months(lines.drop(LINE, FILE), BRONZE, table, start, end, gather, reasons)
+    _quarantine(lake, table, raw_path, lines, any(written.reasons[r] for r in _misplaced()))
     return written
 
 
+def _quarantine(lake: Lake, table: str, raw_path: str, lines: DataFrame, any_stray: bool) -> None:
+    stray = lines.select(_reason().alias("reason"), F.col(LINE).alias("line"), F.col(FILE).alias("file"))
+    lake.write_quarantine(stray.where("reason IS NOT NULL") if any_stray else None, table, raw_path)
+
+
 def raw_range(lake: Lake, raw_paths: Mapping[str, str], line_breaks: bool = False) -> tuple[date, date] | None:
     """First and last date in the raw tables, for jobs over all there is; None without any."""
     ends = []
@@ -86,17 +114,27 @@ def publish_features(
     lake: Lake, start: DateLike, end: DateLike, heavy_rows: int = HEAVY_ROWS
 ) -> Written:
     """Silver to the feature store. Bucketed silver tables are joined without a shuffle."""
-    tables = (ATTRIBUTES, CLICKSTREAM, FINANCIALS)
+    months = month_list(start, end)
+    if not months:
+        raise ValueError(f"no month starts between {start} and {end}")
+    return _publish_features(lake, months, heavy_rows)
 
+
+def _publish_features(lake: Lake, months: Sequence[date], heavy_rows: int = HEAVY_ROWS) -> Written:
     def stored(by_bucket: bool) -> dict[str, DataFrame]:
-        return {t.name: lake.read_months(SILVER, t.name, t.silver_schema, start, end, by_bucket) for t in tables}
+        tables = {t.name: lake.read(SILVER, t.name, t.silver_schema, by_bucket) for t in FEATURE_PARTS}
+        return {name: df.where(_of_months(months)) for name, df in tables.items()}
 
     heavy = find_heavy_keys(stored(by_bucket=False), heavy_rows=heavy_rows)
     # heavy keys are dealt out of their buckets, which then would only hold up the scan
     parts = stored(by_bucket=not heavy)
     features = build_features(*parts.values(), heavy=heavy)
     # the join leaves all months in every task
-    return lake.write_months(features, GOLD, FEATURE_STORE, start, end, gather=True)
+    return lake.replace_months(features, GOLD, FEATURE_STORE, months, gather=True)
+
+
+def _of_months(months: Sequence[date]) -> Column:
+    return F.col(V.SNAPSHOT).isin(*months)
 
 
 def publish_label_definitions(
@@ -107,12 +145,18 @@ def publish_label_definitions(
     The store is partitioned by definition and month. Only the months of the range of the
     definitions given are replaced.
     """
+    return _publish_labels(lake, month_list(start, end), definitions)
+
+
+def _publish_labels(
+    lake: Lake, months: Sequence[date], definitions: Iterable[tuple[int, int]]
+) -> dict[str, Written]:
     definitions = list(dict.fromkeys(definitions))
-    loans = lake.read_months(SILVER, LOANS.name, LOANS.silver_schema, start, end)
+    loans = lake.read(SILVER, LOANS.name, LOANS.silver_schema).where(_of_months(months))
     names = [label_definition(*d) for d in definitions]
     labels = labels_by_definition(loans, definitions)
     # a thin result: few rows per task, so gathering is cheap and avoids tiny files
-    return lake.replace_definitions(labels, LABEL_STORE, names, month_list(start, end), gather=True)
+    return lake.replace_definitions(labels, LABEL_STORE, names, months, gather=True)
 
 
 def publish_labels(
@@ -142,8 +186,127 @@ def backfill(
     for table, path in raw_paths.items():
         report[f"{BRONZE}.{table}"] = ingest(lake, table, path, start, end, gather, line_breaks)
         report[f"{SILVER}.{table}"] = refine(lake, table, start, end)
-    if {ATTRIBUTES.name, CLICKSTREAM.name, FINANCIALS.name} <= raw_paths.keys():
+    if {t.name for t in FEATURE_PARTS} <= raw_paths.keys():
         report[f"{GOLD}.{FEATURE_STORE}"] = publish_features(lake, start, end)
     if LOANS.name in raw_paths:
         report[f"{GOLD}.{LABEL_STORE}"] = publish_labels(lake, start, end, dpd, mob)
     return report
+
+
+# ------------------------------------------------------------------ only what changed
+def _checksum(columns: Sequence[str]) -> Column:
+    """Rows and two sums of their hashes: the same for equal rows in any order.
+
+    A null hashes like nothing, so the numbers between the columns keep them apart.
+    """
+    cells = [c for i, name in enumerate(columns) for c in (F.col(name), F.lit(i))]
+    sums = [F.sum(F.xxhash64(F.lit(seed), *cells).cast("decimal(20,0)")) for seed in (1, 2)]
+    return F.concat_ws(":", F.count(F.lit(1)), *[s.cast("string") for s in sums])
+
+
+def raw_marks(lines: DataFrame, columns: Sequence[str], months: Sequence[date]) -> dict[date, str]:
+    """A checksum of the rows of every month, and of the lines of no month, in one scan."""
+    stray = F.col("reason").isNotNull()
+    keyed = lines.withColumn("reason", _reason()).select(
+        F.when(stray, F.lit(NO_MONTH)).otherwise(F.col(V.SNAPSHOT)).alias("month"),
+        *[F.when(~stray, F.col(c)).alias(c) for c in columns],
+        F.when(stray, F.col(LINE)).alias(LINE),
+    )
+    kept = keyed.where(F.col("month").isin(*months, NO_MONTH))
+    marks = kept.groupBy("month").agg(_checksum([*columns, LINE]).alias("mark"))
+    found = {r["month"]: r["mark"] for r in marks.collect()}  # a row per month of the range
+    return dict.fromkeys([*months, NO_MONTH], NOTHING) | found
+
+
+def _differing(source: Mapping[date, str], own: Mapping[date, str], months: Sequence[date]) -> list[date]:
+    """Months that are not known to be made from the source as it is now."""
+    return [m for m in months if m not in source or source[m] != own.get(m)]
+
+
+def _catch_up_bronze(
+    lake: Lake, table: str, raw_path: str, months: Sequence[date], gather: bool, line_breaks: bool
+) -> Written:
+    lines = dated(parse_raw(lake.spark, TABLES[table], raw_path, line_breaks))
+    columns = TABLES[table].columns
+    stored = lake.marks(BRONZE, table)
+    now = raw_marks(lines, columns, months)
+    changed = _differing(now, stored, months)
+    written = Written({})
+    if changed:
+        # rows of unchanged months are neither stored nor left out: they are there already
+        unchanged = F.coalesce(F.col(V.SNAPSHOT).isin(*(set(months) - set(changed))), F.lit(False))
+        others = lines.where(F.col(FAULT).isNotNull() | ~unchanged).drop(LINE, FILE)
+        reasons = {**_misplaced(), OUT_OF_RANGE: ~_of_months(months)}
+        written = lake.replace_months(others, BRONZE, table, changed, gather, reasons)
+        # from what was stored, should the files have changed meanwhile
+        bronze = lake.read(BRONZE, table, TABLES[table].bronze_schema).where(_of_months(changed))
+        marks = raw_marks(bronze.withColumns({FAULT: F.lit(None).cast("string"), LINE: F.lit(None).cast("string")}), columns, changed)
+        lake.remember(BRONZE, table, {m: marks[m] for m in changed})
+    if now[NO_MONTH] != stored.get(NO_MONTH, NOTHING):
+        _quarantine(lake, table, raw_path, lines, now[NO_MONTH] != NOTHING)
+        lake.remember(BRONZE, table, {NO_MONTH: now[NO_MONTH]})
+    return written
+
+
+def _marked_by_rules(lake: Lake, table: str) -> dict[date, str]:
+    """Marks of bronze with a mark of the table's rules: silver changes with either."""
+    rules = zlib.crc32(repr(TABLES[table]).encode())
+    return {m: f"{mark}@{rules}" for m, mark in lake.marks(BRONZE, table).items() if m != NO_MONTH}
+
+
+def catch_up(
+    lake: Lake,
+    raw_paths: Mapping[str, str],
+    start: DateLike,
+    end: DateLike,
+    definitions: Sequence[tuple[int, int]] = ((V.LABEL_DPD, V.LABEL_MOB),),
+    gather: bool = True,
+    line_breaks: bool = False,
+) -> dict[str, Written]:
+    """``backfill`` for the months whose input changed since they were written.
+
+    Every raw table is scanned once for checksums by month, which do not depend on the order of
+    rows or files. Beside the lake every stored month of every table has the mark of what it was made
+    from: bronze the checksum of its rows, silver bronze's mark and the cleaning rules, gold the
+    marks of the silver tables it reads. A month whose mark differs, or that was written by
+    another job meanwhile, is written again, in one job for all of them; others are not touched.
+    A mark is kept once its month is written, so a run that broke off is taken up where it ended.
+
+    The report has the months written; tables without any have none. Several label ``definitions``
+    are kept up.
+    """
+    months = month_list(start, end)
+    if not months:
+        raise ValueError(f"no month starts between {start} and {end}")
+    report: dict[str, Written] = {}
+    for table, path in raw_paths.items():
+        report[f"{BRONZE}.{table}"] = _catch_up_bronze(lake, table, path, months, gather, line_breaks)
+        source = _marked_by_rules(lake, table)
+        changed = _differing(source, lake.marks(SILVER, table), months)
+        report[f"{SILVER}.{table}"] = Written({})
+        if changed:
+            bronze = lake.read(BRONZE, table, TABLES[table].bronze_schema).where(_of_months(changed))
+            report[f"{SILVER}.{table}"] = lake.replace_months(REFINERS[table](bronze), SILVER, table, changed, gather=False)
+            lake.remember(SILVER, table, {m: source[m] for m in changed})
+
+    if {t.name for t in FEATURE_PARTS} <= raw_paths.keys():
+        parts = [lake.marks(SILVER, t.name) for t in FEATURE_PARTS]
+        source = {m: "|".join(p[m] for p in parts) for m in reduce(and_, (p.keys() for p in parts))}
+        changed = _differing(source, lake.marks(GOLD, FEATURE_STORE), months)
+        report[f"{GOLD}.{FEATURE_STORE}"] = _publish_features(lake, changed) if changed else Written({})
+        lake.remember(GOLD, FEATURE_STORE, {m: source[m] for m in changed})
+
+    if LOANS.name in raw_paths:
+        source = lake.marks(SILVER, LOANS.name)
+        names = {definition_name(LABEL_STORE, label_definition(*d)): d for d in definitions}
+        behind = {name: _differing(source, lake.marks(GOLD, name), months) for name in names}
+        # definitions with the same months to do share a scan
+        for changed in sorted({tuple(c) for c in behind.values() if c}):
+            together = [name for name in names if tuple(behind[name]) == changed]
+            written = _publish_labels(lake, changed, [names[n] for n in together])
+            for name, own in zip(together, written.values()):
+                report[f"{GOLD}.{name}"] = own
+                lake.remember(GOLD, name, {m: source[m] for m in changed})
+        for name in names:
+            report.setdefault(f"{GOLD}.{name}", Written({}))
+    return report

@@ -20,13 +20,15 @@ from snapmill.session import compile_wide_stages, join_on_buckets
 from snapmill.sources.shared import exists, remove_folder
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
-QUARANTINE = "quarantine"
+QUARANTINE, MARKS = "quarantine", "marks"
 FEATURE_STORE, LABEL_STORE = "feature_store", "label_store"
 #: The label store's outer partitions: one per label definition.
 LABEL_DEF = "label_def"
 
 QUARANTINE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("reason", "line", "file", "source")])
 
+MARKS_SCHEMA = T.StructType([T.StructField("mark", T.StringType()), T.StructField("month", T.DateType())])
+
 #: Columns named like this help to tell what is left out and are not written.
 HELPER = "__"
 
@@ -166,6 +168,7 @@ class Lake:
         small file for each. Large months are cut into many pieces, so no task gets a whole
         one; that is done by adaptive execution and without it rows stay where they are.
         """
+        self._forget(layer, table, months)
         counts, reasons = self._replace(df, layer, table, [(m,) for m in months], [V.SNAPSHOT], gather, left_out)
         return Written({m: n for (m,), n in counts.items()}, reasons)
 
@@ -179,6 +182,8 @@ class Lake:
         """
         definitions = list(dict.fromkeys(definitions))
         parts = [(d, m) for d in definitions for m in months]
+        for d in definitions:
+            self._forget(GOLD, definition_name(table, d), months)
         counts, _ = self._replace(df, GOLD, table, parts, [LABEL_DEF, V.SNAPSHOT], gather)
         return {d: Written({m: counts[d, m] for m in months}) for d in definitions}
 
@@ -261,6 +266,32 @@ class Lake:
             else:
                 nothing.write.mode("overwrite").parquet(folder)
 
+    def _marks_path(self, layer: str, table: str) -> str:
+        return f"{self.root}/{MARKS}/{layer}/{table}"
+
+    def marks(self, layer: str, table: str) -> dict[date, str]:
+        """What the stored months were made from, as far as ``remember`` was told since they were last written."""
+        path = self._marks_path(layer, table)
+        if not exists(self.spark, path):
+            return {}
+        return {r["month"]: r["mark"] for r in self.spark.read.schema(MARKS_SCHEMA).parquet(path).collect()}  # a row per month
+
+    def remember(self, layer: str, table: str, marks: Mapping[date, str]) -> None:
+        """Keep a mark for each of these months until they are written again."""
+        if marks:
+            self._write_marks(layer, table, {**self.marks(layer, table), **marks})
+
+    def _forget(self, layer: str, table: str, months: Iterable[date]) -> None:
+        """Before months are written: whatever comes of it, their marks no longer hold."""
+        known = self.marks(layer, table)
+        if not known.keys().isdisjoint(months):
+            self._write_marks(layer, table, {m: mark for m, mark in known.items() if m not in set(months)})
+
+    def _write_marks(self, layer: str, table: str, marks: Mapping[date, str]) -> None:
+        """One small file. Lost half-way it is as if nothing were known, so all is written again."""
+        rows = self.spark.createDataFrame([(mark, m) for m, mark in marks.items()], MARKS_SCHEMA)
+        rows.coalesce(1).write.mode("overwrite").parquet(self._marks_path(layer, table))
+
     def _quarantine_path(self, table: str, source: str) -> str:
         return f"{self.path(QUARANTINE, table)}/source={quote(source, safe='')}"
 
@@ -280,6 +311,11 @@ class Lake:
         return self.spark.read.schema(QUARANTINE_SCHEMA).parquet(path)
 
 
+def definition_name(table: str, definition: str) -> str:
+    """A definition's part of a table, as the lake's marks name it."""
+    return f"{table}/{LABEL_DEF}={definition}"
+
+
 def _is_one_of(keys: Sequence[str], parts: Sequence[tuple]) -> Column:
     """Partition values among the given ones. They are a grid, so one list per key prunes folders."""
     return reduce(Column.__and__, (F.col(k).isin(*{p[i] for p in parts}) for i, k in enumerate(keys)))

@@ -13,6 +13,7 @@ from snapmill.workload.queries import (
     SLICE_MONTH,
     SNAPSHOT_RANGE,
     STORED_MONTH,
+    THINNED_MONTH,
 )
 from snapmill.workload.views import RAW_SQL
 
@@ -527,6 +528,9 @@ FROM (SELECT COUNT(*) AS n FROM {_raw(_CLICKS)} GROUP BY {_KEYS} HAVING COUNT(*)
     "bronze_line_breaks": _with_line_breaks(),
     "silver_month": _project("*", SILVER_CLICKSTREAM, f"snapshot_date = DATE '{STORED_MONTH}'"),
     "backfill_labels": _labels(_FIRST_OF_MONTH),
+    "catch_up_labels": f"""SELECT *, CASE WHEN snapshot_date = DATE '{THINNED_MONTH}' THEN 3 ELSE 1 END AS run
+FROM ({_labels(_FIRST_OF_MONTH)})
+WHERE NOT (snapshot_date = DATE '{THINNED_MONTH}' AND CAST(loan_id AS BIGINT) % 2 = 0)""",
     "label_definitions": "\nUNION ALL ".join(
         [_labels(_FIRST_OF_MONTH), *(_labels(_LATER, *d) for d in LATER_LABELS)]
     ),
