@@ -13,6 +13,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapmill.sources.shared import remove_folder
+
 #: Punctuation and spaces beyond ASCII, read as a space where words are runs of letters.
 OTHER_MARKS = re.compile(
     "[\u0085\u00a0-\u00a2\u00a4-\u00a9\u00ab-\u00af\u00b1-\u00b4\u00b6-\u00b8\u00bb-\u00bf\u00d7\u00f7"
@@ -69,9 +71,11 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
+    """A fresh path in the shared folder, removed when Python exits."""
     ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    atexit.register(remove_folder, spark, path)
+    return path
 
 
 def shared_table(df: DataFrame, name: str) -> DataFrame:
@@ -82,6 +86,48 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def column(name: str, of: str | None = None) -> Column:
+    """A column, or a field of the struct column ``of``, whatever its name holds."""
+    quoted = "`" + name.replace("`", "``") + "`"
+    return F.col(quoted if of is None else f"{of}.{quoted}")
+
+
+def boxed(docs: DataFrame) -> DataFrame:
+    """Each row as the one struct column ``document``, so that no helper column meets a user's."""
+    return docs.select(F.struct(*map(column, docs.columns)).alias("document"))
+
+
+def unboxed(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` from rows with a column ``document``."""
+    return rows.select(*[column(c, "document").alias(c) for c in docs.columns])
+
+
+#: Keys of documents that are broadcast at most; with more the documents are shuffled by key.
+BROADCAST_KEYS = 1_000_000
+
+
+def document_key(of: str | None = None) -> Column:
+    """What tells documents apart: doc_id and a hash of the text. Null ids and null texts are values like others."""
+    return F.struct(column("doc_id", of).alias("doc_id"), F.xxhash64(column("text", of)).alias("text_hash"))
+
+
+def take_out(docs: DataFrame, listed: DataFrame) -> DataFrame:
+    """``docs`` without the documents listed by key (column ``key``, see ``document_key``).
+
+    Where ``stays`` is true one row of the key is left, the first by its JSON; elsewhere none. The
+    list is broadcast if it has BROADCAST_KEYS rows or fewer; the texts stay where they are then.
+    """
+    listed = shared_table(listed.select("key", "stays"), "keys")
+    if listed.count() <= BROADCAST_KEYS:
+        listed = F.broadcast(listed)
+    keyed = boxed(docs).withColumn("key", document_key("document"))
+    once = keyed.join(listed, "key", "left_anti").select("document")
+    again = keyed.join(listed.where("stays"), "key", "left_semi")
+    # combined where the rows are, so a row that is repeated very often is no burden
+    first = again.groupBy("key").agg(F.min_by("document", F.to_json("document")).alias("document"))
+    return unboxed(once.unionByName(first.select("document")), docs)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

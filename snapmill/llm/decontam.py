@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from snapmill.llm.common import OTHER_MARKS, bound_batches, cut, shared_table
+from snapmill.llm.common import OTHER_MARKS, bound_batches, cut, document_key, take_out
 from snapmill.llm.windows import Powers, rolling, span_hashes, spans, text_slices
 
 #: Words of a window; shorter items are one window as a whole.
@@ -249,12 +249,14 @@ class Templates:
         for (row, item, _), windows in lines.items():
             item_id, item_words, forms = self.items[item]
             names: dict = {}
-            agreeing: set = set()
+            agreeing, literal, broken = set(), set(), False
             for loose, width, place, start, form, reading in sorted(windows):
                 words = [(item_words[start + i], read.spelled(place + i)) for i in range(width)]
                 if form == self.SPELLED:
                     if all(a == b for a, b in words):
-                        agreeing.add((width, place))
+                        literal.add((width, place))
+                    continue
+                if broken:
                     continue
                 kinds = forms[form][start : start + width]
                 if not (kinds == readings_of[reading][0][place : place + width]).all():
@@ -267,10 +269,10 @@ class Templates:
                 if consistent([(a, b) for a, b, kind in pairs if kind == NAME_KIND], names):
                     agreeing.add((width, place))
                 elif not loose:
-                    break
-            else:
-                if agreeing:
-                    out[row, item_id] |= agreeing
+                    broken = True
+            counted = literal if broken else literal | agreeing
+            if counted:
+                out[row, item_id] |= counted
         return {k: len(windows) for k, windows in out.items()}
 
 
@@ -307,9 +309,9 @@ def contaminations(
     so an item of one word is in every document with that word. An item without a word or number is
     in none. Null and empty texts of
     either table give no rows. Rows that repeat doc_id and text give equal rows each; items that
-    repeat item_id and text count once. Extra columns are not read. An alignment on which any two
-    windows as first read disagree about a name gives no hit; a window that disagrees with itself about a number
-    or unit does not count.
+    repeat item_id and text count once. Extra columns are not read. On an alignment on which any two
+    windows as first read disagree about a name only windows that are equal as spelled count, which always do; a
+    window that disagrees with itself about a number or unit does not count.
     """
     spark = docs.sparkSession
     bound_batches(spark)
@@ -350,11 +352,10 @@ def contaminations(
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that contain no benchmark item, with all their columns.
 
-    What goes is a list of keys, doc_id and a hash of the text, in the shared folder; Spark
-    broadcasts it only if its files are small.
+    Null and empty texts stay, and all do where the benchmark has no words. Repeated rows stay or go
+    together. Extra columns may have any name and type. No documents give no rows. Keys of what
+    goes are listed in the shared folder; see ``take_out``.
     """
-    key = F.struct(F.col("doc_id"), F.xxhash64("text").alias("text_hash"))
-    found = contaminations(docs.select(key.alias("doc_id"), "text"), benchmark, **options)
-    gone = shared_table(found.select(F.col("doc_id").alias("__key")).distinct(), "contaminated")
-    marked = docs.withColumn("__own", key)
-    return marked.join(gone, F.col("__own") == F.col("__key"), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select(document_key().alias("doc_id"), "text")
+    found = contaminations(keyed, benchmark, **options).select(F.col("doc_id").alias("key"), F.lit(False).alias("stays"))
+    return take_out(docs, found.distinct())

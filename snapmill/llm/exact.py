@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapmill.llm.common import WHITE_SPACE, cut
+from snapmill.llm.common import WHITE_SPACE, cut, take_out
 
 #: Counters of a summary. At most this many candidates reach the driver and are broadcast, and
 #: every digest with 2 / COUNTERS of the rows or more is among them.
@@ -75,6 +75,7 @@ def frequent_values(df: DataFrame, column: str, counters: int = COUNTERS) -> lis
 
 def _with_group(rows: DataFrame) -> DataFrame:
     return rows.select(
+        "key",
         F.col("key.doc_id").alias("doc_id"),
         F.col("winner.doc_id").alias("keep_id"),
         "group_size",
@@ -88,9 +89,14 @@ def exact_groups(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
     Only ``doc_id`` and ``text`` are read, whatever else the table has. Null text counts as
     empty. In a group the row with the most code points in its original text stays, then the one
-    with the smallest doc_id; a null doc_id comes last. Of rows that repeat doc_id and text
-    exactly one is kept. No documents give no rows.
+    with the smallest doc_id; a null doc_id comes last, and of equal ones the text that hashes lowest
+    comes first. Of rows that repeat doc_id and text exactly one is kept. No documents give no rows.
     """
+    return _grouped(docs, counters).drop("key")
+
+
+def _grouped(docs: DataFrame, counters: int) -> DataFrame:
+    """``exact_groups`` with the key that rows of a group are ordered by."""
     table = cut(
         docs.select(
             digest(F.col("text")).alias("digest"),
@@ -98,6 +104,7 @@ def exact_groups(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
                 (-F.char_length(F.coalesce("text", F.lit("")))).alias("fewer"),
                 F.col("doc_id").isNull().alias("unknown"),
                 F.col("doc_id"),
+                F.xxhash64("text").alias("text_hash"),
                 F.monotonically_increasing_id().alias("row"),
             ).alias("key"),
         )
@@ -118,14 +125,15 @@ def exact_groups(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
 
 def drop_exact_copies(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
-    """The documents that stay, with all their columns; one row of each group of equal texts."""
-    kept = exact_groups(docs, counters).where("kept").select(
-        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")
-    )
-    marked = docs.withColumns({"__digest": digest(F.col("text"))})
-    found = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__sha")), "left_semi")
-    # Rows of equal doc_id and digest can be several; the longest text stays, as decided above.
-    order = [F.char_length(F.coalesce("text", F.lit(""))).desc(), F.col("text")]
-    order += [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
-    first = F.row_number().over(Window.partitionBy("doc_id", "__digest").orderBy(*order))
-    return found.withColumn("__n", first).where("__n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that stay, with all their columns: of each group of equal texts the row that
+    ``exact_groups`` keeps.
+
+    Null, empty and blank texts are equal, so one of all of them stays. Of rows that repeat doc_id
+    and text one stays, the first by the JSON of all its columns. Extra columns may have any name and
+    type. No documents give no rows. Keys of what goes are listed in the shared folder; see
+    ``take_out``.
+    """
+    groups = _grouped(docs, counters)
+    key = F.struct("key.doc_id", "key.text_hash").alias("key")
+    by_key = groups.groupBy(key).agg(F.max("kept").alias("stays"), F.count("*").alias("n"))
+    return take_out(docs, by_key.where("NOT stays OR n > 1"))

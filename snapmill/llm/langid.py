@@ -16,10 +16,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapmill.llm.common import bound_batches, cut, held_out
+from snapmill.llm.common import bound_batches, boxed, cut, held_out, unboxed
 
 UNKNOWN = "und"
 #: Buckets that n-grams of 1 to GRAM characters are hashed into.
@@ -222,8 +222,8 @@ def fit(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE, clusters: int =
     )
 
 
-def predict(docs: DataFrame, model: Model, to: str) -> DataFrame:
-    """``docs`` with a struct column ``to``: lang_pred, score, rejected."""
+def predict(docs: DataFrame, model: Model, to: str, text: Column | str = "text") -> DataFrame:
+    """``docs`` with a struct column ``to``: lang_pred, score, rejected of ``text``."""
     bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -233,7 +233,7 @@ def predict(docs: DataFrame, model: Model, to: str) -> DataFrame:
             parts = [shared.value.predict(list(texts.iloc[i : i + 256])) for i in range(0, len(texts), 256)]
             yield pd.concat(parts, ignore_index=True)
 
-    return docs.withColumn(to, run(F.col("text")))
+    return docs.withColumn(to, run(text))
 
 
 def identify(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) -> DataFrame:
@@ -253,6 +253,11 @@ def identify(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) -> DataFra
 
 
 def drop_unknown_languages(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) -> DataFrame:
-    """The documents whose language is not rejected, with all their columns."""
-    found = predict(docs, fit(docs, per_language), "__found")
-    return found.where(~F.col("__found.rejected")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents whose language is not rejected, with all their columns.
+
+    Null texts, texts without a letter and texts far from every language go, and everything does
+    where there is no label to learn from. Repeated rows stay or go together. Extra columns may
+    have any name and type. No documents give no rows.
+    """
+    found = predict(boxed(docs), fit(docs, per_language), "found", F.col("document.text"))
+    return unboxed(found.where(~F.col("found.rejected")), docs)

@@ -16,10 +16,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapmill.llm.common import bound_batches, cut, shared_table
+from snapmill.llm.common import bound_batches, cut, take_out
 from snapmill.llm.components import components
 
 BITS = 64
@@ -335,22 +335,17 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -
     """The documents that stay, with all their columns: of each group the row with the smallest doc_id.
 
     A null doc_id comes last. Of a group's rows with that doc_id the one whose text hashes lowest
-    stays, and of rows that repeat it the first by the other columns. What goes is a list of keys
-    in the shared folder; Spark broadcasts it only if its files are small.
+    stays, and of rows that repeat it the first by the JSON of all columns. Texts without words, null
+    and empty ones, are one group, with all that is near a fingerprint of zero. Extra columns may
+    have any name and type. No documents give no rows. Keys of what goes are listed in the shared
+    folder; see ``take_out``.
     """
     rows, nodes = _grouped(docs, shingle, distance)
     key = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("text_hash"))
     keyed = rows.join(nodes.select("fp", "root"), "fp").select("root", key.alias("key"))
     first = keyed.groupBy("root").agg(F.min("key").alias("first"))
     keys = keyed.groupBy("root", "key").agg(F.count("*").alias("n")).join(first, "root")
-    listed = keys.select("key", (F.col("key") != F.col("first")).alias("gone"), "n").where("gone OR n > 1")
-    listed = shared_table(listed, "near-duplicates").select(F.col("key").alias("__key"), F.col("gone").alias("__gone"))
-    marked = docs.withColumn("text_hash__", F.xxhash64("text"))
-    key = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("text_hash__").alias("text_hash"))
-    marked = marked.withColumn("__own", key)
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    once = marked.join(listed, F.col("__own") == F.col("__key"), "left_anti").select(*columns)
-    again = marked.join(listed.where("NOT __gone"), F.col("__own") == F.col("__key"), "left_semi")
-    order = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")] or [F.lit(0)]
-    again = again.withColumn("__n", F.row_number().over(Window.partitionBy("__own").orderBy(*order)))
-    return once.unionByName(again.where("__n = 1").select(*columns))
+    listed = keys.select(
+        F.struct("key.doc_id", "key.text_hash").alias("key"), (F.col("key") == F.col("first")).alias("stays"), "n"
+    )
+    return take_out(docs, listed.where("NOT stays OR n > 1"))

@@ -25,7 +25,9 @@ def test_placeholders():
         (ITEM, True),
         ("Then we read that " + ITEM.lower().replace("tom", "Tom").replace("anna", "Anna"), True),
         ("So, " + ITEM.replace("3", "17").replace("5", "20").replace("Tom", "Bob").replace("Anna", "Eve"), True),
-        ("So, " + ITEM.replace("Tom", "Bob", 1), False),  # Bob at first, Tom later: no single replacement
+        ("So, " + ITEM.replace("Tom", "Bob", 1), True),  # no single replacement, but words 2 to 20 are equal
+        ("So, " + ITEM.replace("Tom", "Bob", 1).replace("apples", "pears", 1), True),  # as are words 5 to 20
+        ("So, " + ITEM.replace("Tom", "Bob", 1).replace("more", "less"), False),
         ("So, " + ITEM.replace("apples", "pears"), False),
         (ITEM[:40], False),
         ("", False),
@@ -132,3 +134,59 @@ def test_more_readings_take_no_hit_away():
 def test_windows_of_few_literal_words_are_found_as_spelled(item, other):
     texts = [f"We ask. {item} So it goes.", f"We ask. {other} So it goes.", item.lower()]
     assert Templates([(1, item)], 13, 8).hits(texts, Powers()).keys() == {(0, 1), (2, 1)}
+
+
+def by_brute_force(item, text, window=13, literals=8):
+    """Windows of one sentence that hit, by all alignments and windows; both begin with a word in lower case."""
+    names, units = {"Tom", "Anna", "Bob", "Eve"}, {"kg", "miles"}
+
+    def read(words):
+        kinds = ["number" if w.isdigit() else "name" if w in names else "word" for w in words]
+        return [(("unit" if w in units and i and kinds[i - 1] == "number" else k), w) for i, (w, k) in enumerate(zip(words, kinds))]
+
+    ours, theirs = read(item.split()), read(text.split())
+    width, hits = min(window, len(ours)), set()
+    for shift in range(-len(ours), len(theirs)):
+        literal, alike, named, broken = set(), set(), {}, False
+        for at in range(len(theirs) - width + 1):
+            if not 0 <= at - shift <= len(ours) - width:
+                continue
+            pairs = list(zip(ours[at - shift : at - shift + width], theirs[at : at + width]))
+            if all(a[1].lower() == b[1].lower() for a, b in pairs):
+                literal.add(at)
+            if sum(a[0] == "word" for a, _ in pairs) < literals:
+                continue
+            if any(a[0] != b[0] or (a[0] == "word" and a != b) for a, b in pairs):
+                continue
+            if not single_valued((a, b) for a, b in pairs if a[0] in ("number", "unit")):
+                continue
+            if single_valued([*named.items(), *((a, b) for a, b in pairs if a[0] == "name")]):
+                named.update((a, b) for a, b in pairs if a[0] == "name")
+                alike.add(at)
+            else:
+                broken = True
+        hits |= literal if broken else literal | alike
+    return len(hits)
+
+
+def single_valued(pairs):
+    seen = {}
+    return all(seen.setdefault(a, b) == b for a, b in pairs)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_windows_by_brute_force(seed):
+    """Items copied whole or in part, with words, names, numbers and units changed here and there."""
+    odds, found = random.Random(seed), 0
+    pick = lambda: odds.choice(["red", "barn", "went", "over", "old", "seven", "they", "bought", "Tom", "Anna", "3", "5", "kg", "miles"])
+    swap = {"Tom": ["Bob", "Anna"], "Anna": ["Eve", "Tom"], "3": ["7", "5"], "5": ["9"], "kg": ["miles"], "miles": ["kg"]}
+    for _ in range(60):
+        item = ["so", *(pick() for _ in range(odds.randrange(5, 30)))]
+        everywhere = {w: odds.choice(s) for w, s in swap.items() if odds.random() < 0.5}
+        copy = [everywhere.get(w, w) if odds.random() < 0.97 else pick() for w in item]
+        a = odds.randrange(3) * (len(item) > 20)
+        text = " ".join(["then", *(pick() for _ in range(5)), "of", *copy[a : len(copy) - a], "and", *(pick() for _ in range(5))])
+        got = Templates([(1, " ".join(item))], 13, 8).hits([text], Powers()).get((0, 1), 0)
+        assert got == by_brute_force(" ".join(item), text), (item, text)
+        found += got > 0
+    assert 10 < found < 60
