@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import math
 import os
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -26,8 +28,7 @@ from snapmill.llm.windows import Powers, mix, rolling, span_hashes, spans, text_
 #: The lexicon is learned from this many labelled documents of each class at most.
 TOXIC_SAMPLE = 6_000
 CLEAN_SAMPLE = 14_000
-#: Entries of the lexicon at most, and documents of the sample that an entry occurs in at least.
-LEXICON = 500_000
+#: Documents of the sample that an entry of the lexicon occurs in at least; rarer words back off to their beginnings.
 OCCURS = 4
 #: Weight of a shorter beginning's odds against the documents of a longer one.
 PRIOR = 3.0
@@ -35,8 +36,6 @@ PRIOR = 3.0
 SIGN_OF = 1.0
 #: Bytes that word beginnings have; whole words are features too.
 BEGINNINGS = (4, 5, 6, 7)
-#: Words longer than this, letters said again not counted, are taken as they are: keys and links, not words.
-LONGEST = 40
 #: After so many characters a reading lets go of what all its paths have in common.
 SETTLE = 64
 #: Restored spans up to this length are remembered.
@@ -63,6 +62,7 @@ WILD = "*#"
 SEPARATORS = " ._-~*'"
 IS_LEET = np.array([chr(c) in LEET or chr(c) in WILD for c in range(0x250)] + [False])
 IS_SEPARATOR = np.array([chr(c) in SEPARATORS for c in range(0x250)] + [False])
+SEPARATOR_BYTE = IS_SEPARATOR[:256] & (np.arange(256) < 128)
 #: Log odds of the channel: a sign for its letter, a letter said again, a separator put in; and
 #: what it costs to read a sign or separator as the end of a word.
 SIGN, AGAIN, PUT_IN, ENDS = math.log(0.5), math.log(0.25), math.log(0.3), math.log(0.001)
@@ -80,30 +80,84 @@ class Spelling:
         p1 = (one + 1) / (one.sum() + SYMBOLS)
         p2 = (two + 10 * p1) / (two.sum(1, keepdims=True) + 10)
         p3 = (three + 10 * p2[None]) / (three.sum(2, keepdims=True) + 10)
-        self.log = np.log(p3).tolist()
+        self.table = np.log(p3)
+        # One more row, like that of nothing: the last symbol but one where a reading ended in a space.
+        self.log = [*self.table.tolist(), self.table[0].tolist()]
+        self.single = np.log(p1).tolist()
         self.known: dict[str, str] = {}
 
     def restore(self, span: str) -> str:
+        """The likeliest reading of a span; the span itself where that reads like letters at random."""
         found = self.known.get(span)
         if found is None:
-            if len(self.known) > 200_000:
-                self.known.clear()
             found = self._viterbi(span)
+            if not self._is_language(found):
+                found = span
             if len(span) <= REMEMBERED:
-                self.known[span] = found
+                self._know({span: found})
         return found
 
-    def restore_doubled(self, word: str, lexicon: np.ndarray) -> str:
-        """``word``, or its likeliest reading if it is not in the lexicon."""
-        found = self.known.get(word)
-        if found is None:
-            data = np.frombuffer(word.encode(), np.uint8)
-            own = mix(span_hashes(data, np.array([0]), np.array([len(data)]), Powers()))[0]
-            if len(lexicon) and lexicon[np.searchsorted(lexicon, own) % len(lexicon)] == own:
-                found = self.known[word] = word
-            else:
-                found = self.restore(word)
-        return found
+    def _know(self, readings: dict[str, str]) -> None:
+        if len(self.known) + len(readings) > 200_000:
+            self.known.clear()
+        self.known.update(readings)
+
+    def _is_language(self, reading: str) -> bool:
+        """Whether trigrams tell the reading better than the frequencies of its letters do.
+
+        Words do so whatever their length. Keys, links and digests do not.
+        """
+        log, single, a, b, gain = self.log, self.single, 0, 0, 0.0
+        for c in f"{reading} ":
+            s = SYMBOL_AT[min(ord(c), 0x250)]
+            if s or b:
+                gain += log[a][b][s] - single[s]
+            a, b = (b, s) if s else (0, 0)
+        return gain > 0
+
+    def read_doubled(self, words: set[str], lexicon: np.ndarray) -> None:
+        """Get to know words with doubled letters: as they are if in the lexicon, else by their likeliest reading."""
+        fresh = [w for w in words if w not in self.known]
+        if fresh:
+            data = np.frombuffer("\x00".join(fresh).encode(), np.uint8)
+            edges = np.concatenate(([-1], np.flatnonzero(data == 0), [len(data)]))
+            said = is_in(lexicon, mix(span_hashes(data, edges[:-1] + 1, edges[1:], Powers()))).tolist()
+            rest = [w for w, known in zip(fresh, said) if not known]
+            self._know({w: w for w, known in zip(fresh, said) if known} | dict(zip(rest, self._kept_or_dropped(rest))))
+
+    def _kept_or_dropped(self, words: list[str]) -> list[str]:
+        """The readings of words of letters, some said twice in a row, which are kept or dropped.
+
+        The same paths as in ``_viterbi``, for all words at once: after a run of equal letters the last
+        two symbols are its own and the one of the run before, or its own twice.
+        """
+        if not words:
+            return []
+        c = code_points("\x00".join(words) + "\x00")
+        first = np.flatnonzero(np.concatenate(([True], c[1:] != c[:-1])))
+        length, char = np.diff(first, append=len(c)), c[first]
+        is_run = char > 0
+        word = (np.cumsum(~is_run) - ~is_run)[is_run]
+        runs = np.bincount(word, minlength=len(words))
+        place = np.arange(len(word)) - (np.cumsum(runs) - runs)[word]
+        symbol = np.zeros((len(words), runs.max() + 3), np.int64)  # two symbols of nothing in front, one behind
+        symbol[word, place + 2] = SYMBOL_OF[np.minimum(char[is_run], 0x250)]
+        twice = np.zeros((len(words), runs.max() + 1), bool)
+        twice[word, place] = length[is_run] > 1
+        once_score, twice_score = np.zeros(len(words)), np.full(len(words), -np.inf)
+        from_twice = np.zeros((len(words), runs.max() + 1), bool)
+        for k in range(runs.max() + 1):
+            going = k <= runs
+            a, b, s = symbol[:, k], symbol[:, k + 1], symbol[:, k + 2]
+            by_once, by_twice = once_score + self.table[a, b, s], twice_score + self.table[b, b, s]
+            from_twice[:, k] = by_twice > by_once
+            best = np.maximum(by_once, by_twice)
+            again = np.where(twice[:, k], best + self.table[b, s, s], -np.inf)
+            once_score = np.where(going, best + np.where(twice[:, k], AGAIN, 0.0), once_score)
+            twice_score = np.where(going, again, twice_score)
+        said = np.ones(len(char), np.int64)
+        said[is_run] = 1 + from_twice[word, place + 1]
+        return np.repeat(char, said).astype("<u4").tobytes().decode("utf-32-le").split("\x00")[:-1]
 
     def _options(self, c: str, before: str, last: bool) -> list[tuple[str, float]]:
         if c == "!" and last:
@@ -141,10 +195,10 @@ class Spelling:
                         state, total = (a, b), score + cost
                     elif x == " " and b == 0:
                         # Signs behind the end of a word need no reason of their own.
-                        state, total = (0, 0), score + (0.0 if text[-1:] == " " else cost)
+                        state, total = (SYMBOLS, 0), score + (0.0 if a == SYMBOLS else cost)
                     else:
                         s = SYMBOL_AT[min(ord(x), 0x250)]
-                        state, total = ((0, 0) if s == 0 else (b, s)), score + cost + log[a][b][s]
+                        state, total = ((SYMBOLS, 0) if s == 0 else (b, s)), score + cost + log[a][b][s]
                     if state not in now or total > now[state][0]:
                         now[state] = (total, text + x)
             paths, before = now, c
@@ -161,8 +215,29 @@ class Spelling:
         return "".join(settled) + max((score + log[a][b][0], text) for (a, b), (score, text) in paths.items())[1]
 
 
+#: The Spelling of a Python worker, with what it has read so far, and of which model it is.
+_WORKER: dict[str, tuple] = {}
+
+
+def worker_spelling(counts: np.ndarray, model: int) -> Spelling:
+    """One Spelling per Python worker and model, so that tasks share what is read already."""
+    if _WORKER.get("spelling", (None,))[0] != model:
+        _WORKER["spelling"] = (model, Spelling(counts))
+    return _WORKER["spelling"][1]
+
+
+def is_in(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
+    if not len(sorted_values):
+        return np.zeros(values.shape, bool)
+    return sorted_values[np.searchsorted(sorted_values, values) % len(sorted_values)] == values
+
+
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), "<u4")
+
+
 def points(text: str) -> np.ndarray:
-    return np.minimum(np.frombuffer(text.encode("utf-32-le"), "<u4"), 0x250)
+    return np.minimum(code_points(text), 0x250)
 
 
 def joined(texts: list[str | None]) -> str:
@@ -171,8 +246,9 @@ def joined(texts: list[str | None]) -> str:
     return OTHER_MARKS.sub(" ", "".join(t + "\x00" for t in low))
 
 
-def suspicious(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def suspicious(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Spans of characters that may be disguised words, and of which only if they are no known words."""
+    at = np.minimum(chars, 0x250)
     letter, leet = SYMBOL_OF[at] > 0, IS_LEET[at]
     inside = letter | leet
     start, end = spans(inside, np.empty(0, np.int64))
@@ -180,16 +256,11 @@ def suspicious(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     odd, twice = np.zeros(len(at), bool), np.zeros(len(at), bool)
     odd[:-1] = leet[:-1] & letter[1:]
     odd[1:] |= leet[1:] & letter[:-1]
-    odd[2:] |= letter[2:] & (at[2:] == at[1:-1]) & (at[1:-1] == at[:-2])
-    twice[1:] = letter[1:] & (at[1:] == at[:-1])
-    flags, doubled, again, letters = total(odd), total(twice), total(np.append(False, at[1:] == at[:-1])[: len(at)]), total(letter)
-    some = letters[end] > letters[start]
+    odd[2:] |= letter[2:] & (chars[2:] == chars[1:-1]) & (chars[1:-1] == chars[:-2])
+    twice[1:] = letter[1:] & (chars[1:] == chars[:-1])
+    flags, doubled, letters = total(odd), total(twice), total(letter)
     marked = flags[end] > flags[start]
-    distinct = end - start - (again[end] - again[np.minimum(start + 1, len(at))])
-    known = some & (marked | (doubled[end] > doubled[start])) & (distinct <= LONGEST)
-    for i in np.flatnonzero(known & (end - start > LONGEST)).tolist():
-        # One letter said over and over is no word.
-        known[i] = len(set(at[start[i] : end[i]][letter[start[i] : end[i]]].tolist())) > 1
+    known = (letters[end] > letters[start]) & (marked | (doubled[end] > doubled[start]))
     start, end, unsure = start[known], end[known], ~marked[known]
     # Single characters, three or more, with as many separators between each two.
     place = np.flatnonzero(inside)
@@ -214,14 +285,16 @@ def restored(texts: list[str | None], spelling: Spelling, lexicon: np.ndarray |
     With a lexicon (sorted hashes), words with doubled letters that are not in it count as disguised.
     """
     whole = joined(texts)
-    start, end, unsure = suspicious(points(whole))
+    start, end, unsure = suspicious(code_points(whole))
     if lexicon is None:
         start, end, unsure = start[~unsure], end[~unsure], unsure[~unsure]
+    words = [whole[s:e] for s, e in zip(start.tolist(), end.tolist())]
+    if lexicon is not None:
+        spelling.read_doubled({w for w, doubt in zip(words, unsure.tolist()) if doubt}, lexicon)
     out, done = [], 0
-    for s, e, doubt in zip(start.tolist(), end.tolist(), unsure.tolist()):
+    for s, e, word in zip(start.tolist(), end.tolist(), words):
         if s >= done:
-            word = whole[s:e]
-            out += [whole[done:s], spelling.restore_doubled(word, lexicon) if doubt else spelling.restore(word)]
+            out += [whole[done:s], spelling.known.get(word) or spelling.restore(word)]
             done = e
     return "".join([*out, whole[done:]])
 
@@ -230,12 +303,47 @@ WORD_BYTE = np.zeros(256, bool)
 WORD_BYTE[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 
+def rejoined(whole: str, lexicon: np.ndarray, signs: np.ndarray, longest: int, powers: Powers) -> str:
+    """Joined texts without the separators that break words of ``signs`` (sorted hashes) apart.
+
+    Consecutive groups of letters with only separators between them are one word if together they
+    are in ``signs`` and one of them by itself is not in the lexicon. ``longest`` is how many bytes the
+    longest sign has. Of overlapping runs the first, then the longest counts.
+    """
+    data = np.frombuffer(whole.encode(), np.uint8)
+    inside = WORD_BYTE[data]
+    start, end = spans(inside, np.empty(0, np.int64))
+    if len(start) < 2 or not len(signs):
+        return whole
+    unknown = np.concatenate(([0], np.cumsum(~is_in(lexicon, mix(span_hashes(data, start, end, powers))))))
+    others = np.concatenate(([0], np.cumsum(~inside & ~SEPARATOR_BYTE[data])))
+    linked = others[start[1:]] == others[end[:-1]]
+    # Without what lies between, a run of groups is a run of bytes.
+    letters, edges = data[inside], np.concatenate(([0], np.cumsum(end - start)))
+    at, groups, found = np.flatnonzero(linked), 2, {}
+    while len(at):
+        at = at[edges[at + groups] - edges[at] <= longest]
+        maybe = at[unknown[at + groups] > unknown[at]]
+        hits = maybe[is_in(signs, mix(span_hashes(letters, edges[maybe], edges[maybe + groups], powers)))]
+        found.update(dict.fromkeys(hits.tolist(), groups))
+        at = at[at + groups < len(start)]
+        at = at[linked[at + groups - 1]]
+        groups += 1
+    kept, done = np.ones(len(data), bool), 0
+    for first in sorted(found):
+        if first >= done:
+            done = first + found[first]
+            kept[start[first] : end[done - 1]] = inside[start[first] : end[done - 1]]
+    return data[kept].tobytes().decode() if found else whole
+
+
 @dataclass
 class Words:
     """Words of joined texts.
 
-    Distinct pairs of row and word; the hash of each word's occurrence and its row; and for each
-    distinct word the hashes of its features from the shortest beginning to the whole, 0 for none.
+    Distinct pairs of row and word; the hash of each word's occurrence and its row; for each
+    distinct word the hashes of its features from the shortest beginning to the whole, 0 for none;
+    and its bytes.
     """
 
     rows: np.ndarray
@@ -243,6 +351,7 @@ class Words:
     row: np.ndarray
     hash: np.ndarray
     features: np.ndarray
+    size: np.ndarray
 
 
 def read_words(whole: str, powers: Powers) -> Words:
@@ -261,20 +370,34 @@ def read_words(whole: str, powers: Powers) -> Words:
         long = np.flatnonzero(end[at] - start[at] >= n)
         features[k, long] = span_hashes(data, start[at[long]], start[at[long]] + n, powers) + np.uint64(n)
     features[-1] = mix(own[at])
-    return Words(pairs // max(1, len(at)), pairs % max(1, len(at)), row, own, features)
+    return Words(pairs // max(1, len(at)), pairs % max(1, len(at)), row, own, features, end[at] - start[at])
 
 
 @dataclass
 class Model:
-    """The character model; the lexicon (sorted hashes, toxic and all documents); the share of toxic
-    documents; and the weights of the logistic model."""
+    """The character model; the lexicon (sorted hashes, toxic and all documents, bytes of whole words);
+    the share of toxic documents; and the weights of the logistic model."""
 
     counts: np.ndarray
     hashes: np.ndarray
     toxic: np.ndarray
     all: np.ndarray
+    size: np.ndarray
     share: float
     weights: np.ndarray | None = None
+    mark: int = 0
+
+    def __post_init__(self):
+        self.mark = zlib.crc32(self.hashes.tobytes(), zlib.crc32(self.counts.tobytes()))
+        p = (self.toxic + PRIOR * self.share) / (self.all + PRIOR)
+        odds = np.log(np.clip(p, 1e-4, 1 - 1e-4) / (1 - np.clip(p, 1e-4, 1 - 1e-4)))
+        sign = (self.size > 0) & (odds - math.log(self.share / (1 - self.share)) >= SIGN_OF)
+        self.sign_hashes, self.longest = self.hashes[sign], int(self.size[sign].max(initial=0))
+
+    def read(self, texts: list[str | None], spelling: Spelling, powers: Powers) -> Words:
+        """The words of restored texts."""
+        whole = restored(texts, spelling, self.hashes)
+        return read_words(rejoined(whole, self.hashes, self.sign_hashes, self.longest, powers), powers)
 
     def signs(self, words: Words, rows: int, labels: np.ndarray | None = None) -> np.ndarray:
         """By row: sum and maximum of the log odds ratios of its toxic words, and the log of its words.
@@ -302,7 +425,7 @@ class Model:
     def score(self, texts: list[str | None], spelling: Spelling, powers: Powers) -> np.ndarray:
         if self.weights is None:
             return np.zeros(len(texts))
-        found = self.signs(read_words(restored(texts, spelling, self.hashes), powers), len(texts))
+        found = self.signs(self.read(texts, spelling, powers), len(texts))
         return 1 / (1 + np.exp(-np.clip(found @ self.weights, -30, 30)))
 
 
@@ -384,15 +507,17 @@ def _different(sample: DataFrame) -> DataFrame:
                     np.minimum.at(least, words.row[short], mix(words.hash[short] + np.uint64(k)))
                     keys[k] = least
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), *(pa.array(key.view(np.int64)) for key in keys)], ["doc_id", "y", "a", "b", "c"]
+                    [part.column(0), part.column(1), part.column(3), *(pa.array(key.view(np.int64)) for key in keys)],
+                    ["doc_id", "y", "own", "a", "b", "c"],
                 )
 
     kind = sample.schema["doc_id"].dataType.simpleString()
-    rows = cut(sample.select("doc_id", "y", "text").mapInArrow(run, f"doc_id {kind}, y int, a long, b long, c long"))
+    columns = sample.select("doc_id", "y", "text", "own")
+    rows = cut(columns.mapInArrow(run, f"doc_id {kind}, y int, own long, a long, b long, c long"))
     for key in ("a", "b", "c"):
         first = rows.groupBy(key, "y").agg(F.min(F.struct(*rows.columns)).alias("r"))
         rows = first.select("r.*")
-    return cut(rows.select("doc_id", "y"))
+    return rows.select("doc_id", "y", "own").distinct()
 
 
 def fit(docs: DataFrame, labels: DataFrame, sizes: tuple[int, int] = (CLEAN_SAMPLE, TOXIC_SAMPLE)) -> Model:
@@ -400,20 +525,23 @@ def fit(docs: DataFrame, labels: DataFrame, sizes: tuple[int, int] = (CLEAN_SAMP
     spark = docs.sparkSession
     bound_batches(spark)
     counts = character_counts(docs)
-    texts = docs.select("doc_id", "text").where("text IS NOT NULL")
+    # A doc_id may have several texts; a text of it is known by its hash.
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("own")).where("text IS NOT NULL")
     labelled = cut(_labelled(labels))
     natural = {0: 0, 1: 0} | {r.y: r["count"] for r in labelled.groupBy("y").count().collect()}
     sample = cut(_sample(labelled, natural, sizes))
-    chosen = _different(texts.join(F.broadcast(sample), "doc_id").select("doc_id", "y", "text"))  # sum(sizes) ids at most
+    different = _different(texts.join(F.broadcast(sample), "doc_id"))  # sum(sizes) ids at most
+    mixed = F.xxhash64(F.lit("text"), "doc_id", "own")
+    chosen = cut(reduce(DataFrame.unionByName, (different.where(F.col("y") == y).orderBy(mixed).limit(n) for y, n in enumerate(sizes))))
     total = {r.y: r["count"] for r in chosen.groupBy("y").count().collect()}
-    model = Model(counts, np.empty(0, np.uint64), np.empty(0), np.empty(0), 0.5)
     if not total.get(0) or not total.get(1):
-        return model
-    model.share = total[1] / (total[0] + total[1])
+        return Model(counts, np.empty(0, np.uint64), *(np.empty(0) for _ in range(3)), 0.5)
+    share = total[1] / (total[0] + total[1])
     shared = spark.sparkContext.broadcast(counts)
+    mark = zlib.crc32(counts.tobytes())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelling, powers = Spelling(shared.value), Powers()
+        spelling, powers = worker_spelling(shared.value, mark), Powers()
         for batch in batches:
             for part in text_slices(batch, 8 * SLICE):
                 words = read_words(restored(part.column(1).to_pylist(), spelling), powers)
@@ -427,26 +555,31 @@ def fit(docs: DataFrame, labels: DataFrame, sizes: tuple[int, int] = (CLEAN_SAMP
                 fresh[1:] = (row[1:] != row[:-1]) | (hashes[1:] != hashes[:-1])
                 row, hashes = row[fresh], hashes[fresh]
                 values, at = np.unique(hashes, return_index=True)
+                whole = np.argsort(words.features[-1])
+                own = words.features[-1][whole]
+                size = np.where(is_in(own, values), words.size[whole][np.searchsorted(own, values) % max(1, len(own))], 0)
                 toxic = np.add.reduceat(y[row], at) if len(at) else np.empty(0)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(values.view(np.int64)), pa.array(toxic.astype(np.int32)), pa.array(np.diff(at, append=len(hashes)).astype(np.int32))],
-                    ["h", "toxic", "n"],
+                    [pa.array(values.view(np.int64)), pa.array(toxic.astype(np.int32)), pa.array(np.diff(at, append=len(hashes)).astype(np.int32)), pa.array(size.astype(np.int32))],
+                    ["h", "toxic", "n", "size"],
                 )
 
-    labelled = texts.join(F.broadcast(chosen), "doc_id").select("y", "text")
-    rows = labelled.mapInArrow(count, "h long, toxic int, n int").groupBy("h").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
-    best = rows.where(F.col("n") >= OCCURS).orderBy(F.desc("toxic"), F.desc("n"), "h").limit(LEXICON).toArrow()
+    # sum(sizes) texts at most, and each once however often its row is repeated
+    joined_to = texts.join(F.broadcast(chosen), ["doc_id", "own"])
+    labelled = cut(joined_to.groupBy("doc_id", "own").agg(F.min("y").alias("y"), F.min("text").alias("text")).select("y", "text"))
+    rows = labelled.mapInArrow(count, "h long, toxic int, n int, size int").groupBy("h")
+    # the words of a bounded sample
+    best = rows.agg(*[F.sum(c).alias(c) for c in ("toxic", "n")], F.max("size").alias("size")).where(F.col("n") >= OCCURS).toArrow()
     hashes = best["h"].to_numpy().view(np.uint64)
     order = np.argsort(hashes)
-    model.hashes = hashes[order]
-    model.toxic, model.all = (best[c].to_numpy().astype(float)[order] for c in ("toxic", "n"))
+    model = Model(counts, hashes[order], *(best[c].to_numpy().astype(float)[order] for c in ("toxic", "n", "size")), share)
     known = spark.sparkContext.broadcast(model)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelling, powers = Spelling(known.value.counts), Powers()
+        spelling, powers = worker_spelling(known.value.counts, known.value.mark), Powers()
         for batch in batches:
             for part in text_slices(batch, SLICE):
-                words = read_words(restored(part.column(1).to_pylist(), spelling, known.value.hashes), powers)
+                words = known.value.read(part.column(1).to_pylist(), spelling, powers)
                 y = part.column(0).to_numpy(zero_copy_only=False).astype(float)
                 found = known.value.signs(words, part.num_rows, y)
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c) for c in found.T)], ["y", "a", "b", "c", "d"])
@@ -473,7 +606,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, sizes: tuple[int, int] = (CLEAN
 
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        spelling, powers = Spelling(model.value.counts), Powers()
+        spelling, powers = worker_spelling(model.value.counts, model.value.mark), Powers()
         for texts in batches:
             rows, out, start = texts.tolist(), [], 0
             while start < len(rows):

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 import snapmill.llm.toxicity as toxicity_module
-from snapmill.llm.toxicity import SYMBOLS, SYMBOL_OF, Spelling, joined, logistic, points, restored, toxicity
+from snapmill.llm.toxicity import SYMBOL_AT, SYMBOL_OF, SYMBOLS, Spelling, joined, logistic, points, restored, toxicity
 from snapmill.llm.windows import Powers, mix, span_hashes
 
 WORDS = "the of and to in that is was for on with as this from by are they have been would their when there which could people because through before think".split()
@@ -63,6 +63,107 @@ def test_long_runs_are_read_as_a_whole():
             toxicity_module.SETTLE = paths
 
 
+def readings(spelt, span):
+    """All readings of a span with their score under the channel and the trigrams, by brute force."""
+    log, found = spelt.log, {}
+    marks = len(span.rstrip("!"))
+
+    def go(i, before, a, b, score, text):
+        if i == len(span):
+            total = score + log[a][b][0]
+            found[text] = max(found.get(text, -1e9), total)
+            return
+        for x, cost in spelt._options(span[i], before, i >= marks):
+            if not x:
+                go(i + 1, span[i], a, b, score + cost, text)
+            elif x == " " and b == 0:
+                go(i + 1, span[i], 0, 0, score + (0.0 if text[-1:] == " " else cost), text + x)
+            else:
+                s = SYMBOL_AT[min(ord(x), 0x250)]
+                go(i + 1, span[i], *((0, 0) if s == 0 else (b, s)), score + cost + log[a][b][s], text + x)
+
+    go(0, "", 0, 0, 0.0, "")
+    return found
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_readings_by_brute_force(seed):
+    """The likeliest of all readings is taken, for spans of any kind of disguise."""
+    odds, spelt = random.Random(seed), spelling()
+    for _ in range(60):
+        span = "".join(odds.choice("grobnakvilespitde01345@$!*.- ") for _ in range(odds.randrange(2, 8)))
+        every = readings(spelt, span)
+        assert every[spelt._viterbi(span)] >= max(every.values()) - 1e-9
+
+
+def test_doubled_letters_are_read_like_any_span():
+    odds, spelt = random.Random(5), spelling()
+    words = set()
+    while len(words) < 300:
+        word = "".join(c * odds.choice([1, 1, 2]) for c in odds.choice([*WORDS, *BAD, "ßé漢漢漢z", "xqzzx"]) + odds.choice(["", "s", "äö"]))
+        if not any(a == b == c for a, b, c in zip(word, word[1:], word[2:])):
+            words.add(word)
+    for word, own in zip(sorted(words), spelt._kept_or_dropped(sorted(words))):
+        every = readings(spelt, word)
+        assert every[own] >= max(every.values()) - 1e-9
+    assert spelt._kept_or_dropped([]) == []
+
+
+def test_words_of_any_length_and_what_is_no_word():
+    spelt = spelling()
+    long = "v1l3sp1tdund3r0lgr0bn4k" * 4
+    assert restored([f"and {long} that"], spelt) == f"and {'vilespitdunderolgrobnak' * 4} that\x00"
+    for key in ("9f86d081884c7d659a2feaa0c55ad015a3bf4f1b2b0b822cd15d6c15b0f00a08", "xK9qZ2wJ7vX0pQ5zR8" * 5, "www.q7x9z3k5j8w1.xx"):
+        assert restored([f"and {key} that"], spelt) == f"and {key.lower()} that\x00"
+
+
+def test_other_scripts_have_no_doubled_letters_of_their_own():
+    text = "это обычный текст без повторов 漢字かな交じり文"
+    start, _, _ = toxicity_module.suspicious(toxicity_module.code_points(joined([text])))
+    assert len(start) == 0
+
+
+def hashes(*words):
+    return np.sort(mix(np.array([span_hashes(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(w.encode())]), Powers())[0] for w in words])))
+
+
+@pytest.mark.parametrize(
+    "said, meant",
+    [
+        ("gro bnak", "grobnak"), ("vi lesp it", "vilespit"), ("g robnak of vile-spit", "grobnak of vilespit"), ("dun . der _ol", "dunderol"),
+        ("gro, bnak", "gro, bnak"), ("gro\nbnak", "gro\nbnak"), ("gro bnaks", "gro bnaks"), ("the re of the", "the re of the"),
+        ("people of", "people of"), ("grob nakgrob nak", "grob nakgrob nak"), ("", ""),
+    ],
+)
+def test_words_in_short_groups(said, meant):
+    """Groups are one word if that is a sign of toxicity and one of them is no word by itself."""
+    lexicon = hashes(*WORDS, *BAD, "re")
+    found = toxicity_module.rejoined(joined([said, "gro", "bnak"]), lexicon, hashes(*BAD, "there"), 9, Powers())
+    assert found == f"{meant}\x00gro\x00bnak\x00"
+
+
+def test_split_words_count_as_toxic(spark, table):
+    rows, labels = corpus()
+    rows += [(2000 + i, f"people think {w} through before they could") for i, w in enumerate(["grob nak", "vi lespit", "d underol", "gro bnak", "when there"])]
+    found = {r.doc_id: r.predicted for r in toxicity(table(rows), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    assert [found[2000 + i] for i in range(5)] == [1, 1, 1, 1, 0]
+
+
+def test_texts_of_one_id_count_once_each(spark, table, monkeypatch):
+    rows, labels = corpus(200)
+    sizes = []
+    fit = toxicity_module.logistic
+    monkeypatch.setattr(toxicity_module, "logistic", lambda x, y, *a: (sizes.append(len(y)), fit(x, y, *a))[1])
+    doc = next(i for i, _ in labels if zlib.crc32(str(i).encode()) % 5)
+    odds = random.Random(1)
+    many = [(doc, " ".join(odds.choices(WORDS, k=30))) for _ in range(40)]
+    toxicity(table(rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    toxicity(table([*rows, *many, *many * 3]), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert sizes[1] - sizes[0] == 40
+    toxicity(table([*rows, *many]), spark.createDataFrame(labels, "doc_id long, toxic int"), sizes=(50, 20))
+    assert sizes[2] <= 70
+
+
 def disguise(word, odds):
     return odds.choice([word, word.replace("o", "0").replace("i", "1"), " ".join(word), word[:2] + word[2] * 3 + word[3:]])
 
