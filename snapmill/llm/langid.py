@@ -29,6 +29,8 @@ GRAM = 3
 CLUSTERS = 4
 #: The classifier is fitted on this many labelled texts of each language at most.
 TEXTS_PER_LANGUAGE = 1000
+#: And on this many languages, those with the most labelled texts: 65 MB of centroids at most.
+LANGUAGES = 500
 #: A text is rejected when its cosine is at most this share of a low quantile of those in training at its length.
 MARGIN = 0.8
 QUANTILE = 0.02
@@ -155,20 +157,42 @@ def cluster(vectors: np.ndarray, k: int, rounds: int = 20) -> tuple[np.ndarray,
     return centres.astype(np.float32), (vectors @ centres.T).argmax(1)
 
 
-def _sample(train: DataFrame, per_language: int) -> DataFrame:
-    """``per_language`` texts of each language at most, the same whenever it is run."""
-    totals = train.groupBy("lang").count()  # a row for each label
+def _sample(train: DataFrame, per_language: int, languages: int) -> DataFrame:
+    """``per_language`` texts of each language at most, of the most frequent ``languages``; the same whenever it is run."""
+    totals = cut(train.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages))
     mixed = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30))
     share = F.least(F.lit(1.0), F.lit(2.0 * per_language) / F.col("count")) * (1 << 30)
-    few = train.join(F.broadcast(totals), "lang").withColumn("mixed", mixed).where(F.col("mixed") < share)
+    few = train.join(F.broadcast(totals), "lang").withColumn("mixed", mixed).where(F.col("mixed") < share)  # `languages` rows
     order = Window.partitionBy("lang").orderBy("mixed", "doc_id", F.xxhash64("text"))
     return few.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language).select("lang", "text")
 
 
-def fit(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE, clusters: int = CLUSTERS) -> Model:
+def inverse_frequencies(train: DataFrame) -> np.ndarray:
+    """The IDF of every bucket over all texts with a letter; FEATURES + 1 counts reach the driver."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(FEATURES + 1, np.int64)  # the last one counts texts
+        for batch in batches:
+            for text in batch.column(0):
+                seen, _ = counts(text.as_py())
+                total[seen] += 1
+                total[FEATURES] += len(seen) > 0
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
+
+    found = np.zeros(FEATURES + 1)
+    for r in train.select("text").mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        found[r["at"]] = r["n"]
+    return 1 + np.log((1 + found[FEATURES]) / (1 + found[:FEATURES]))
+
+
+def fit(
+    docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE, clusters: int = CLUSTERS, languages: int = LANGUAGES
+) -> Model:
     """Learn from text and lang of rows that are not held out and have both.
 
-    At most ``per_language`` texts of each language are vectorised, and of each a piece per length
+    The IDF is that of all these texts. At most ``per_language`` texts of each of the ``languages``
+    with the most texts are vectorised, and of each a piece per length
     band below its own, which only set bounds; their vectors stay on the executors, one task
     clustering one language. What the driver gets is the IDF of the buckets
     and ``clusters`` centroids per language.
@@ -189,15 +213,10 @@ def fit(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE, clusters: int =
     schema = pa.schema(
         [("lang", pa.string()), ("piece", pa.bool_()), ("seen", pa.list_(pa.int64())), ("n", pa.list_(pa.int64()))]
     )
-    rows = _sample(train.select("doc_id", F.col("lang").cast("string"), "text"), per_language)
+    idf = inverse_frequencies(train)
+    rows = _sample(train.select("doc_id", F.col("lang").cast("string"), "text"), per_language, languages)
     kind = "lang string, piece boolean, seen array<long>, n array<long>"
     rows = cut(rows.mapInArrow(vectorise, kind).where("size(seen) > 0"))
-    whole = rows.where("NOT piece")
-    total = whole.count()
-    idf = np.full(FEATURES, 1 + np.log(1 + total))
-    for r in whole.select(F.explode("seen").alias("at")).groupBy("at").count().collect():  # a row per bucket
-        idf[r.at] = 1 + np.log((1 + total) / (1 + r["count"]))
-
     def centroids(group: pd.DataFrame) -> pd.DataFrame:
         found = [(np.array(s, np.int64), np.array(n)) for s, n in zip(group["seen"], group["n"])]
         piece, band = group["piece"].to_numpy(bool), bands(found)
@@ -241,6 +260,7 @@ def identify(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) -> DataFra
 
     ``score`` is the cosine with the nearest centroid. A null text or one without a letter is
     ``und`` with score 0 and rejected; so is everything when no row has a label to learn from.
+    Of more than ``LANGUAGES`` labels those with the most texts are learned, ties by name.
     Other texts always get a learned language, rejected or not: a rejected one is farther from
     its centroid than its length explains. Lengths of which a language has too few texts have the
     bound of the other languages, or of the nearest length; with fewer than ``BAND_TEXTS`` texts of

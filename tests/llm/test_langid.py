@@ -96,3 +96,19 @@ def test_bounds_have_no_gaps():
     assert np.isfinite(full).all() and np.allclose(full[0], full[1])
     assert np.allclose(full[0][[9, 12, 63]], full[0][[8, 11, 11]]) and np.isclose(full[0][6], full[0][8] / 2)
     assert (langid.filled(np.full((2, 64), np.nan)) == 0).all() and langid.filled(np.empty((0, 64))).shape == (0, 64)
+
+
+def test_idf_is_that_of_all_texts_to_learn_from(table):
+    rows = [(i, t, lang if i % 7 else None) for i, t, lang in corpus(150)] + [(700, None, "aa"), (701, "1 2", "bb"), (702, "zz", None)]
+    learned = [t for i, t, lang in rows if lang and t and zlib.crc32(str(i).encode()) % 5]
+    seen = [set(langid.features(t).tolist()) for t in learned]
+    seen = [s for s in seen if s]
+    want = [1 + np.log((1 + len(seen)) / (1 + sum(b in s for s in seen))) for b in range(langid.FEATURES)]
+    assert np.allclose(langid.fit(table(rows), per_language=5).idf, want)
+
+
+def test_as_many_labels_as_the_limit_are_learned(table):
+    rows = [(i, f"some text of number {i}", f"x{i:05d}") for i in range(400)] + [(1000 + i, t, lang) for i, t, lang in corpus(90)]
+    model = langid.fit(table(rows), languages=3)
+    assert set(model.languages) == set(SYLLABLES)
+    assert len(langid.fit(table(rows), languages=10).languages) <= 3 * langid.CLUSTERS + 7
