@@ -128,6 +128,25 @@ def take_out(docs: DataFrame, listed: DataFrame) -> DataFrame:
     return unboxed(once.unionByName(first.select("document")), docs)
 
 
+def collapsed(docs: DataFrame) -> DataFrame:
+    """doc_id and text of rows that repeat both as one row, with their number ``n``.
+
+    Repeated rows are listed by key first and combined where they are, so one that fills much of the
+    table is no burden for a task; rows that are alone are not moved.
+    """
+    keyed = docs.select("doc_id", "text", document_key().alias("key"))
+    listed = shared_table(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "repeated-rows")
+    several = listed.count()
+    alone = F.lit(1).cast("long").alias("n")
+    if not several:
+        return keyed.select("doc_id", "text", alone)
+    if several <= BROADCAST_KEYS:
+        listed = F.broadcast(listed)
+    once = keyed.join(listed, "key", "left_anti").select("doc_id", "text", alone)
+    first = keyed.join(listed.select("key"), "key").groupBy("key").agg(F.min("text").alias("text"), F.count("*").alias("n"))
+    return once.unionByName(first.select("key.doc_id", "text", "n"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

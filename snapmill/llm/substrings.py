@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapmill.llm.common import bound_batches
+from snapmill.llm.common import bound_batches, collapsed
 from snapmill.llm.windows import Powers, mix, rolling, span_hashes, spans, text_bytes
 
 #: Bytes of text of a chunk and of the share of a bucket. A task holds one chunk or one bucket,
@@ -177,8 +177,9 @@ def repeats(docs: DataFrame, window: int = 13, chunk_bytes: int = CHUNK_BYTES, b
     words that covers it also starts in a document with a smaller doc_id; windows are judged on
     the input. The spans are maximal and in order, the kept words are joined by one space. Null
     text has no words. A null doc_id is neither smaller nor larger than another: nothing is
-    removed there, or because of it. Rows of one doc_id do not precede each other. Only doc_id
-    (an integer) and text are read. No documents give no rows.
+    removed there, or because of it. Rows of one doc_id do not precede each other; rows that repeat
+    doc_id and text are read once and returned as often as they are there. Only doc_id (an integer)
+    and text are read. No documents give no rows.
     """
     if window % 2 == 0:
         raise ValueError("a window has 2 * block - 1 words, an odd number")
@@ -187,11 +188,12 @@ def repeats(docs: DataFrame, window: int = 13, chunk_bytes: int = CHUNK_BYTES, b
     chunks, buckets = (max(1, -(-size // b)) for b in (chunk_bytes, bucket_bytes))
     kind = docs.schema["doc_id"].dataType.simpleString()
     digest = F.xxhash64("text")
-    chunked = docs.select(
+    chunked = collapsed(docs).select(
         F.pmod(F.xxhash64("doc_id", digest), F.lit(chunks)).cast("int").alias("chunk"),
         "doc_id",
         F.coalesce("text", F.lit("")).alias("text"),
         digest.alias("digest"),
+        "n",
     )
 
     def read(rows: pa.Table) -> Chunk:
@@ -286,6 +288,7 @@ def repeats(docs: DataFrame, window: int = 13, chunk_bytes: int = CHUNK_BYTES, b
                 "n_words": pa.array(chunk.words, pa.int64()),
                 "spans": pa.array(found, span),
                 "kept_text": pa.array(kept, pa.string()),
+                "n": chunk.rows["n"],
             }
         )
 
@@ -293,8 +296,11 @@ def repeats(docs: DataFrame, window: int = 13, chunk_bytes: int = CHUNK_BYTES, b
     live = anchors.groupBy("bucket").applyInArrow(answer_anchors, BITS)
     windows = chunked.groupBy("chunk").cogroup(live.groupBy("chunk")).applyInArrow(send_windows, HASHES)
     later = windows.groupBy("bucket").applyInArrow(answer_windows, BITS)
-    return (
+    found = (
         chunked.groupBy("chunk")
         .cogroup(later.groupBy("chunk"))
-        .applyInArrow(remove, f"doc_id {kind}, n_words long, spans array<struct<start: long, end: long>>, kept_text string")
+        .applyInArrow(remove, f"doc_id {kind}, n_words long, spans array<struct<start: long, end: long>>, kept_text string, n long")
     )
+    # as often as the row is repeated
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))
+    return found.withColumn("n", copies).drop("n")

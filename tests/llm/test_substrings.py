@@ -3,6 +3,7 @@ import random
 
 import pytest
 
+from snapmill.llm import common
 from snapmill.llm.substrings import repeats
 
 
@@ -56,3 +57,16 @@ def test_odd_rows(table, odd):
 def test_windows_have_odd_length(odd):
     with pytest.raises(ValueError):
         repeats(odd, window=4)
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 0], ids=["broadcast", "shuffled"])
+def test_rows_that_are_repeated_often(spark, table, limit, monkeypatch):
+    """A third of all rows equal: read once, returned as often as they are there."""
+    monkeypatch.setattr(common, "BROADCAST_KEYS", limit)
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(7, text)] * 100 + [(None, text)] * 50 + [(9, None)] * 5 + [(9, "")] * 3 + [(i, f"a{i} {text} b{i}") for i in range(40)]
+    df = table(rows).repartition(5)
+    assert found(df, window=13) == expected(rows, 13)
+    once = {(r.doc_id, r.text): r.n for r in common.collapsed(df).collect()}
+    assert once == {(i, t): rows.count((i, t)) for i, t in rows} and common.collapsed(df).count() == len(once)
+    assert common.collapsed(table([])).count() == 0
