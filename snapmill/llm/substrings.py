@@ -10,10 +10,18 @@ Documents are dealt into chunks by a hash, and a chunk is read as one array of w
 chunk sends each distinct hash once, however often a passage occurs in it, to the bucket that
 hashes of its range belong to, and gets one bit back for each. So what meets at a bucket for the
 most frequent passage is one entry per chunk. Texts are shuffled once, and only to their chunk.
+
+With many chunks a bucket would get very many very short messages. From RELAY_FROM chunks on messages
+go through relays: a chunk sends one message per range of buckets, a relay holds the messages of a
+group of chunks for a range and sends each bucket of the range one message, and answers go back the
+same way. With the square root of all chunks in a group, and of all buckets in a range, a relay holds about
+as much as a chunk or a bucket, and what any task receives grows with the square root of the input.
 """
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Iterator
 from itertools import compress
 
@@ -29,6 +37,8 @@ from snapmill.llm.windows import Powers, mix, rolling, span_hashes, spans, text_
 #: some ten times that size.
 CHUNK_BYTES = 8 << 20
 BUCKET_BYTES = 16 << 20
+#: Chunks from which messages are relayed.
+RELAY_FROM = 4096
 #: Bits of an anchor's hash that are sent, beside those that its bucket tells; wrong hits are
 #: found out when they are extended.
 ANCHOR_BITS = 38
@@ -38,7 +48,8 @@ SECOND_BASE = 0xC2B2AE3D27D4EB4F
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
-HASHES = "bucket int, chunk int, codes binary, ids binary, counts binary, live binary"
+#: Messages to a bucket, or to the relay of a range of buckets, which get the entries of each bucket in ``parts``.
+HASHES = "bucket int, chunk int, codes binary, ids binary, counts binary, live binary, parts binary"
 BITS = "chunk int, bucket int, bits binary, live binary"
 
 
@@ -162,15 +173,57 @@ def _flags(bits: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
 
 
+def pack_windows(hashes: np.ndarray, second: np.ndarray, ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    """Codes, and the ids of the documents with the lengths of their runs."""
+    run = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1]))) if len(ids) else np.empty(0, np.int64)
+    counts = np.diff(run, append=len(ids)).astype(np.int32)
+    return hashes.tobytes() + second.tobytes(), ids[run].tobytes(), counts.tobytes()
+
+
+def unpack_windows(codes: bytes, ids: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = len(codes) // 12
+    runs = np.repeat(np.frombuffer(ids, np.int64), np.frombuffer(counts, np.int32))
+    return np.frombuffer(codes, np.uint64, n), np.frombuffer(codes, np.uint32, n, 8 * n), runs
+
+
+def pack_parts(buckets: np.ndarray, first: int, span: int) -> bytes:
+    """How many entries each bucket of a range has."""
+    return zlib.compress(np.bincount(buckets - first, minlength=span).astype("<u4").tobytes(), 1)
+
+
+def unpack_parts(parts: bytes) -> np.ndarray:
+    """The bucket within its range of each entry."""
+    sizes = np.frombuffer(zlib.decompress(parts), "<u4").astype(np.int64)
+    return np.repeat(np.arange(len(sizes)), sizes)
+
+
+def relay_order(rows: pa.Table) -> tuple[pa.Table, list[np.ndarray], np.ndarray, np.ndarray]:
+    """The messages a relay holds by chunk, the bucket of each of their entries, the order of all
+    entries by bucket, and the buckets in that order."""
+    rows = rows.sort_by("chunk")
+    own = [unpack_parts(p) for p in rows["parts"].to_pylist()]
+    every = np.concatenate(own)
+    order = np.argsort(every, kind="stable")
+    return rows, own, order, every[order]
+
+
 def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)] if rows else [pa.array([], f.type) for f in schema], schema=schema)
 
 
-HASHES_ARROW = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), *((c, pa.binary()) for c in ("codes", "ids", "counts", "live"))])
+HASHES_ARROW = pa.schema(
+    [("bucket", pa.int32()), ("chunk", pa.int32()), *((c, pa.binary()) for c in ("codes", "ids", "counts", "live", "parts"))]
+)
 BITS_ARROW = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), ("bits", pa.binary()), ("live", pa.binary())])
 
 
-def repeats(docs: DataFrame, window: int = 13, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def repeats(
+    docs: DataFrame,
+    window: int = 13,
+    chunk_bytes: int = CHUNK_BYTES,
+    bucket_bytes: int = BUCKET_BYTES,
+    relay_from: int = RELAY_FROM,
+) -> DataFrame:
     """One row per document: doc_id, n_words, spans (start, end) of words to remove, kept_text.
 
     Words are runs of anything but ASCII white space. A word is removed if a window of ``window``
@@ -186,6 +239,9 @@ def repeats(docs: DataFrame, window: int = 13, chunk_bytes: int = CHUNK_BYTES, b
     bound_batches(docs.sparkSession)
     size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks, buckets = (max(1, -(-size // b)) for b in (chunk_bytes, bucket_bytes))
+    # Chunks of a group and buckets of a range that share a relay; 1 and 1 without relays.
+    relayed = chunks >= relay_from
+    group, span = (math.isqrt(chunks - 1) + 1, math.isqrt(buckets - 1) + 1) if relayed else (1, 1)
     kind = docs.schema["doc_id"].dataType.simpleString()
     digest = F.xxhash64("text")
     chunked = collapsed(docs).select(
@@ -211,15 +267,50 @@ def repeats(docs: DataFrame, window: int = 13, chunk_bytes: int = CHUNK_BYTES, b
 
     def send_anchors(key: tuple, rows: pa.Table) -> pa.Table:
         chunk = read(rows)
-        codes = pack_anchors(chunk)
+        codes, own = pack_anchors(chunk), buckets_of(chunk.anchor, buckets)
         return _table(
             [
-                (b, key[0].as_py(), codes[i:j].tobytes(), None, None, None)
-                for b, i, j in slices(buckets_of(chunk.anchor, buckets))
+                (b, key[0].as_py(), codes[i:j].tobytes(), None, None, None, pack_parts(own[i:j], b * span, span) if relayed else None)
+                for b, i, j in slices(own // span)
             ],
             HASHES_ARROW,
         )
 
+    def relay_anchors(key: tuple, rows: pa.Table) -> pa.Table:
+        rows, _, order, own = relay_order(rows)
+        raw = np.frombuffer(b"".join(rows["codes"].to_pylist()), np.uint8).reshape(-1, ANCHOR_BYTES)[order]
+        return _table(
+            [(key[0].as_py() * span + b, key[1].as_py(), raw[i:j].tobytes(), None, None, None, None) for b, i, j in slices(own)],
+            HASHES_ARROW,
+        )
+
+    def relay_windows(key: tuple, rows: pa.Table) -> pa.Table:
+        rows, _, order, own = relay_order(rows)
+        found = [unpack_windows(r["codes"], r["ids"], r["counts"]) for r in rows.select(["codes", "ids", "counts"]).to_pylist()]
+        every = [np.concatenate(column)[order] for column in zip(*found)]
+        return _table(
+            [
+                (key[0].as_py() * span + b, key[1].as_py(), *pack_windows(*(c[i:j] for c in every)), None, None)
+                for b, i, j in slices(own)
+            ],
+            HASHES_ARROW,
+        )
+
+    def relay_back(key: tuple, rows: pa.Table, replies: pa.Table) -> pa.Table:
+        rows, parts, order, own = relay_order(rows)
+        bits = dict(zip(replies["bucket"].to_pylist(), replies["bits"].to_pylist()))
+        flags = np.empty(len(order), bool)
+        for b, i, j in slices(own):
+            flags[order[i:j]] = _flags(bits[key[0].as_py() * span + b], j - i)
+        edges = np.cumsum([0, *map(len, parts)]).tolist()
+        return _table(
+            [
+                (chunk, key[0].as_py(), _bits(flags[i:j]), live)
+                for chunk, live, i, j in zip(rows["chunk"].to_pylist(), rows["live"].to_pylist(), edges, edges[1:])
+            ],
+            BITS_ARROW,
+        )
+
     def answer_anchors(key: tuple, rows: pa.Table) -> pa.Table:
         blobs = rows["codes"].to_pylist()
         edges = np.cumsum([0] + [len(b) // ANCHOR_BYTES for b in blobs])
@@ -231,25 +322,23 @@ def repeats(docs: DataFrame, window: int = 13, chunk_bytes: int = CHUNK_BYTES, b
 
     def send_windows(key: tuple, rows: pa.Table, replies: pa.Table) -> pa.Table:
         chunk = read(rows)
-        live = bits_by_bucket(buckets_of(chunk.anchor, buckets), replies)
+        live = bits_by_bucket(buckets_of(chunk.anchor, buckets) // span, replies)
         chunk.candidates(live)
-        out = []
-        for b, i, j in slices(buckets_of(chunk.window_hash, buckets)):
-            codes = chunk.window_hash[i:j].tobytes() + chunk.window_second[i:j].tobytes()
-            run = np.flatnonzero(np.diff(chunk.window_least[i:j], prepend=-1))
-            ids = chunk.ids[chunk.window_least[i:j][run]]
-            counts = np.diff(run, append=j - i).astype(np.int32)
-            out.append((b, key[0].as_py(), codes, ids.tobytes(), counts.tobytes(), None if out else _bits(live)))
+        out, own = [], buckets_of(chunk.window_hash, buckets)
+        for b, i, j in slices(own // span):
+            packed = pack_windows(chunk.window_hash[i:j], chunk.window_second[i:j], chunk.ids[chunk.window_least[i:j]])
+            parts = pack_parts(own[i:j], b * span, span) if relayed else None
+            out.append((b, key[0].as_py(), *packed, None if out else _bits(live), parts))
         return _table(out, HASHES_ARROW)
 
     def answer_windows(key: tuple, rows: pa.Table) -> pa.Table:
         hashes, second, ids, edges = [], [], [], [0]
         for row in rows.select(["codes", "ids", "counts"]).to_pylist():
-            n = len(row["codes"]) // 12
-            hashes.append(np.frombuffer(row["codes"], np.uint64, n))
-            second.append(np.frombuffer(row["codes"], np.uint32, n, 8 * n))
-            ids.append(np.repeat(np.frombuffer(row["ids"], np.int64), np.frombuffer(row["counts"], np.int32)))
-            edges.append(edges[-1] + n)
+            h, s, i = unpack_windows(row["codes"], row["ids"], row["counts"])
+            hashes.append(h)
+            second.append(s)
+            ids.append(i)
+            edges.append(edges[-1] + len(h))
         later = preceded(np.concatenate(hashes), np.concatenate(second), np.concatenate(ids))
         return _table(
             [
@@ -265,7 +354,7 @@ def repeats(docs: DataFrame, window: int = 13, chunk_bytes: int = CHUNK_BYTES, b
         if replies.num_rows:
             live = next(b for b in replies["live"].to_pylist() if b is not None)
             chunk.candidates(_flags(live, len(chunk.anchor)))
-            later = bits_by_bucket(buckets_of(chunk.window_hash, buckets), replies)
+            later = bits_by_bucket(buckets_of(chunk.window_hash, buckets) // span, replies)
             which, at = chunk.window_which, chunk.window_at
             gone = at[later[which] | (chunk.ids[chunk.row[at]] > chunk.ids[chunk.window_least[which]])]
             np.add.at(covered, gone, 1)
@@ -281,21 +370,30 @@ def repeats(docs: DataFrame, window: int = 13, chunk_bytes: int = CHUNK_BYTES, b
             else:
                 found.append([])
             kept.append(b" ".join(words).decode())
-        span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        passages = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         return pa.table(
             {
                 "doc_id": chunk.rows["doc_id"],
                 "n_words": pa.array(chunk.words, pa.int64()),
-                "spans": pa.array(found, span),
+                "spans": pa.array(found, passages),
                 "kept_text": pa.array(kept, pa.string()),
                 "n": chunk.rows["n"],
             }
         )
 
+    def answered(messages: DataFrame, relay, answer) -> DataFrame:
+        """The bits of every message, from its bucket, or by the relays to it and back."""
+        if not relayed:
+            return messages.groupBy("bucket").applyInArrow(answer, BITS)
+        relays = messages.groupBy(F.col("bucket").alias("range"), F.expr(f"chunk div {group}").cast("int").alias("of"))
+        replies = relays.applyInArrow(relay, HASHES).groupBy("bucket").applyInArrow(answer, BITS)
+        back = replies.groupBy(F.expr(f"bucket div {span}").cast("int").alias("range"), F.col("chunk").alias("of"))
+        return relays.cogroup(back).applyInArrow(relay_back, BITS)
+
     anchors = chunked.groupBy("chunk").applyInArrow(send_anchors, HASHES)
-    live = anchors.groupBy("bucket").applyInArrow(answer_anchors, BITS)
+    live = answered(anchors, relay_anchors, answer_anchors)
     windows = chunked.groupBy("chunk").cogroup(live.groupBy("chunk")).applyInArrow(send_windows, HASHES)
-    later = windows.groupBy("bucket").applyInArrow(answer_windows, BITS)
+    later = answered(windows, relay_windows, answer_windows)
     found = (
         chunked.groupBy("chunk")
         .cogroup(later.groupBy("chunk"))

@@ -1,7 +1,11 @@
 import hashlib
 import random
+from inspect import signature
 
 import pytest
+from pyspark.accumulators import AccumulatorParam
+from pyspark.sql import GroupedData
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
 from snapmill.llm import common
 from snapmill.llm.substrings import repeats
@@ -34,7 +38,7 @@ def found(df, **options):
     return sorted(out)
 
 
-@pytest.mark.parametrize("sizes", [{}, {"chunk_bytes": 700, "bucket_bytes": 900}])
+@pytest.mark.parametrize("sizes", [{}, {"chunk_bytes": 700, "bucket_bytes": 900}, {"chunk_bytes": 500, "bucket_bytes": 700, "relay_from": 2}])
 @pytest.mark.parametrize("window", [3, 5, 13])
 def test_matches_brute_force(table, window, sizes):
     odds = random.Random(window)
@@ -70,3 +74,39 @@ def test_rows_that_are_repeated_often(spark, table, limit, monkeypatch):
     once = {(r.doc_id, r.text): r.n for r in common.collapsed(df).collect()}
     assert once == {(i, t): rows.count((i, t)) for i, t in rows} and common.collapsed(df).count() == len(once)
     assert common.collapsed(table([])).count() == 0
+
+
+class Most(AccumulatorParam):
+    def zero(self, value):
+        return 0
+
+    def addInPlace(self, a, b):
+        return max(a, b)
+
+
+def test_messages_grow_with_the_square_root(spark, table, monkeypatch):
+    """Rows that any task receives at three numbers of chunks, each four times the last."""
+    odds, most = random.Random(1), {}
+    for chunks in (16, 64, 256):
+        rows = [(i, " ".join(f"w{odds.randrange(10**6)}" for _ in range(40))) for i in range(4 * chunks)]
+        size, counts = sum(len(t) for _, t in rows), spark.sparkContext.accumulator(0, Most())
+
+        def counting(apply, counts=counts):
+            def with_count(self, run, schema):
+                def counted(key, *tables):
+                    counts.add(max([0, *(t.num_rows for t in tables if "text" not in t.column_names)]))
+                    return run(key, *tables)
+
+                one, two = lambda key, a: counted(key, a), lambda key, a, b: counted(key, a, b)
+                return apply(self, one if len(signature(run).parameters) == 2 else two, schema)
+
+            return with_count
+
+        with monkeypatch.context() as patch:
+            for kind in (GroupedData, PandasCogroupedOps):
+                patch.setattr(kind, "applyInArrow", counting(kind.applyInArrow))
+            options = {"chunk_bytes": size // chunks, "bucket_bytes": size // chunks, "relay_from": 2}
+            assert found(table(rows), **options) == expected(rows, 13)
+        most[chunks] = counts.value
+    # the root of the chunks, with some room; without relays it would be all of them
+    assert most[16] <= 2 * 5 and most[64] <= 2 * 9 and most[256] <= 2 * 17
