@@ -15,6 +15,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -38,8 +39,10 @@ SIGN_OF = 1.0
 BEGINNINGS = (4, 5, 6, 7)
 #: After so many characters a reading lets go of what all its paths have in common.
 SETTLE = 64
-#: Restored spans up to this length are remembered.
-REMEMBERED = 200
+#: Places of a trellis that reads many words at once; a longer word is read by itself.
+TRELLIS = 1 << 18
+#: Readings of spans up to this length are remembered, up to this many of each kind.
+REMEMBERED, MEMORY = 200, 150_000
 #: Bytes of text that a task reads at a time; a longer text is taken whole.
 SLICE = 1 << 20
 
@@ -84,7 +87,9 @@ class Spelling:
         # One more row, like that of nothing: the last symbol but one where a reading ended in a space.
         self.log = [*self.table.tolist(), self.table[0].tolist()]
         self.single = np.log(p1).tolist()
+        # Readings so far: of spans that are disguised, and of words with doubled letters.
         self.known: dict[str, str] = {}
+        self.doubled: dict[str, str] = {}
 
     def restore(self, span: str) -> str:
         """The likeliest reading of a span; the span itself where that reads like letters at random."""
@@ -94,13 +99,15 @@ class Spelling:
             if not self._is_language(found):
                 found = span
             if len(span) <= REMEMBERED:
-                self._know({span: found})
+                self._keep(self.known, {span: found})
         return found
 
-    def _know(self, readings: dict[str, str]) -> None:
-        if len(self.known) + len(readings) > 200_000:
-            self.known.clear()
-        self.known.update(readings)
+    @staticmethod
+    def _keep(memory: dict[str, str], readings: dict[str, str]) -> None:
+        """What is forgotten is only read again."""
+        if len(memory) + len(readings) > MEMORY:
+            memory.clear()
+        memory.update(readings)
 
     def _is_language(self, reading: str) -> bool:
         """Whether trigrams tell the reading better than the frequencies of its letters do.
@@ -115,15 +122,25 @@ class Spelling:
             a, b = (b, s) if s else (0, 0)
         return gain > 0
 
-    def read_doubled(self, words: set[str], lexicon: np.ndarray) -> None:
-        """Get to know words with doubled letters: as they are if in the lexicon, else by their likeliest reading."""
-        fresh = [w for w in words if w not in self.known]
-        if fresh:
-            data = np.frombuffer("\x00".join(fresh).encode(), np.uint8)
-            edges = np.concatenate(([-1], np.flatnonzero(data == 0), [len(data)]))
-            said = is_in(lexicon, mix(span_hashes(data, edges[:-1] + 1, edges[1:], Powers()))).tolist()
-            rest = [w for w, known in zip(fresh, said) if not known]
-            self._know({w: w for w, known in zip(fresh, said) if known} | dict(zip(rest, self._kept_or_dropped(rest))))
+    def read_doubled(self, words: set[str], lexicon: np.ndarray) -> dict[str, str]:
+        """Words with doubled letters: as they are if in the lexicon, else by their likeliest reading."""
+        found = {w: self.doubled[w] for w in words if w in self.doubled}
+        fresh = [w for w in words if w not in found]
+        if not fresh:
+            return found
+        data = np.frombuffer("\x00".join(fresh).encode(), np.uint8)
+        edges = np.concatenate(([-1], np.flatnonzero(data == 0), [len(data)]))
+        said = is_in(lexicon, mix(span_hashes(data, edges[:-1] + 1, edges[1:], Powers()))).tolist()
+        read = {w: w for w, known in zip(fresh, said) if known}
+        # Words of like length together: the trellis is as wide as the longest.
+        rest = sorted((w for w, known in zip(fresh, said) if not known), key=len)
+        for size, some in groupby(rest, lambda w: len(w).bit_length()):
+            some = list(some)
+            step = max(1, TRELLIS >> size)
+            for i in range(0, len(some), step):
+                read.update(zip(some[i : i + step], self._kept_or_dropped(some[i : i + step])))
+        self._keep(self.doubled, {w: r for w, r in read.items() if len(w) <= REMEMBERED})
+        return found | read
 
     def _kept_or_dropped(self, words: list[str]) -> list[str]:
         """The readings of words of letters, some said twice in a row, which are kept or dropped.
@@ -251,30 +268,32 @@ def suspicious(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at = np.minimum(chars, 0x250)
     letter, leet = SYMBOL_OF[at] > 0, IS_LEET[at]
     inside = letter | leet
-    start, end = spans(inside, np.empty(0, np.int64))
-    total = lambda marked: np.concatenate(([0], np.cumsum(marked)))
+    every, until = spans(inside, np.empty(0, np.int64))
+    if not len(every):
+        return every, until, np.empty(0, bool)
+    same = chars[1:] == chars[:-1]
     odd, twice = np.zeros(len(at), bool), np.zeros(len(at), bool)
     odd[:-1] = leet[:-1] & letter[1:]
     odd[1:] |= leet[1:] & letter[:-1]
-    odd[2:] |= letter[2:] & (chars[2:] == chars[1:-1]) & (chars[1:-1] == chars[:-2])
-    twice[1:] = letter[1:] & (chars[1:] == chars[:-1])
-    flags, doubled, letters = total(odd), total(twice), total(letter)
-    marked = flags[end] > flags[start]
-    known = (letters[end] > letters[start]) & (marked | (doubled[end] > doubled[start]))
-    start, end, unsure = start[known], end[known], ~marked[known]
+    odd[2:] |= letter[2:] & same[1:] & same[:-1]
+    twice[1:] = letter[1:] & same
+    # Between spans there is nothing that is flagged.
+    marked, doubled, lettered = (np.logical_or.reduceat(flag, every) for flag in (odd, twice, letter))
+    known = lettered & (marked | doubled)
+    start, end, unsure = every[known], until[known], ~marked[known]
     # Single characters, three or more, with as many separators between each two.
-    place = np.flatnonzero(inside)
-    gap = np.diff(place) - 1
-    lone = np.ones(len(place), bool)
-    lone[1:] &= gap > 0
-    lone[:-1] &= gap > 0
-    separators = total(IS_SEPARATOR[at])
-    linked = lone[:-1] & lone[1:] & (separators[place[1:]] - separators[place[:-1] + 1] == gap)
+    gap = every[1:] - until[:-1]
+    lone = until - every == 1
+    separators = np.concatenate(([0], np.cumsum(IS_SEPARATOR[at], dtype=np.int32)))
+    linked = lone[:-1] & lone[1:] & (separators[every[1:]] - separators[until[:-1]] == gap)
     first, last = spans(linked, np.flatnonzero(gap[1:] != gap[:-1]) + 1)
-    s, e = place[first], place[last] + 1
-    more = (last - first >= 2) & (letters[e] > letters[s])
-    start, end = np.concatenate((start, s[more])), np.concatenate((end, e[more]))
-    unsure = np.concatenate((unsure, np.zeros(more.sum(), bool)))
+    more = last - first >= 2
+    first, last = first[more], last[more]
+    letters = np.concatenate(([0], np.cumsum(lettered)))
+    more = letters[last + 1] > letters[first]
+    s, e = every[first[more]], until[last[more]]
+    start, end = np.concatenate((start, s)), np.concatenate((end, e))
+    unsure = np.concatenate((unsure, np.zeros(len(s), bool)))
     order = np.argsort(start, kind="stable")
     return start[order], end[order], unsure[order]
 
@@ -288,14 +307,17 @@ def restored(texts: list[str | None], spelling: Spelling, lexicon: np.ndarray |
     start, end, unsure = suspicious(code_points(whole))
     if lexicon is None:
         start, end, unsure = start[~unsure], end[~unsure], unsure[~unsure]
-    words = [whole[s:e] for s, e in zip(start.tolist(), end.tolist())]
-    if lexicon is not None:
-        spelling.read_doubled({w for w, doubt in zip(words, unsure.tolist()) if doubt}, lexicon)
+    start, end = start.tolist(), end.tolist()
+    words = [whole[s:e] for s, e in zip(start, end)]
+    unsure = unsure.tolist()
+    doubled = {} if lexicon is None else spelling.read_doubled({w for w, doubt in zip(words, unsure) if doubt}, lexicon)
     out, done = [], 0
-    for s, e, word in zip(start.tolist(), end.tolist(), words):
+    for s, e, word, doubt in zip(start, end, words, unsure):
         if s >= done:
-            out += [whole[done:s], spelling.known.get(word) or spelling.restore(word)]
-            done = e
+            reading = doubled[word] if doubt else spelling.restore(word)
+            if reading != word:
+                out += [whole[done:s], reading]
+                done = e
     return "".join([*out, whole[done:]])
 
 
@@ -303,20 +325,21 @@ WORD_BYTE = np.zeros(256, bool)
 WORD_BYTE[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 
-def rejoined(whole: str, lexicon: np.ndarray, signs: np.ndarray, longest: int, powers: Powers) -> str:
-    """Joined texts without the separators that break words of ``signs`` (sorted hashes) apart.
+def rejoined(
+    data: np.ndarray, start: np.ndarray, end: np.ndarray, unknown: np.ndarray, signs: np.ndarray, longest: int, powers: Powers
+) -> np.ndarray | None:
+    """The bytes of joined texts without the separators that break words of ``signs`` (sorted hashes) apart.
 
-    Consecutive groups of letters with only separators between them are one word if together they
-    are in ``signs`` and one of them by itself is not in the lexicon. ``longest`` is how many bytes the
-    longest sign has. Of overlapping runs the first, then the longest counts.
+    ``start`` and ``end`` are those of the groups of letters, ``unknown`` says which are no words by
+    themselves. Consecutive groups with only separators between them are one word if together
+    they are in ``signs`` and one of them is unknown. ``longest`` is how many bytes the longest sign has.
+    Of overlapping runs the first, then the longest counts. None where there is no such run.
     """
-    data = np.frombuffer(whole.encode(), np.uint8)
-    inside = WORD_BYTE[data]
-    start, end = spans(inside, np.empty(0, np.int64))
     if len(start) < 2 or not len(signs):
-        return whole
-    unknown = np.concatenate(([0], np.cumsum(~is_in(lexicon, mix(span_hashes(data, start, end, powers))))))
-    others = np.concatenate(([0], np.cumsum(~inside & ~SEPARATOR_BYTE[data])))
+        return None
+    inside = WORD_BYTE[data]
+    unknown = np.concatenate(([0], np.cumsum(unknown)))
+    others = np.concatenate(([0], np.cumsum(~inside & ~SEPARATOR_BYTE[data], dtype=np.int32)))
     linked = others[start[1:]] == others[end[:-1]]
     # Without what lies between, a run of groups is a run of bytes.
     letters, edges = data[inside], np.concatenate(([0], np.cumsum(end - start)))
@@ -334,7 +357,7 @@ def rejoined(whole: str, lexicon: np.ndarray, signs: np.ndarray, longest: int, p
         if first >= done:
             done = first + found[first]
             kept[start[first] : end[done - 1]] = inside[start[first] : end[done - 1]]
-    return data[kept].tobytes().decode() if found else whole
+    return data[kept] if found else None
 
 
 @dataclass
@@ -354,12 +377,19 @@ class Words:
     size: np.ndarray
 
 
-def read_words(whole: str, powers: Powers) -> Words:
-    data = np.frombuffer(whole.encode(), np.uint8)
+def read_words(
+    data: np.ndarray, powers: Powers, lexicon: np.ndarray | None = None, signs: np.ndarray | None = None, longest: int = 0
+) -> Words:
+    """The words of joined texts (UTF-8); with a lexicon words in groups are put together, see ``rejoined``."""
     start, end = spans(WORD_BYTE[data], np.empty(0, np.int64))
-    row = np.searchsorted(np.flatnonzero(data == 0), start)
     own = span_hashes(data, start, end, powers)
-    _, first, which = np.unique(own, return_index=True, return_inverse=True)
+    values, first, which = np.unique(own, return_index=True, return_inverse=True)
+    if lexicon is not None:
+        unknown = ~is_in(lexicon, mix(values))
+        whole = rejoined(data, start, end, unknown[which], signs, longest, powers)
+        if whole is not None:
+            return read_words(whole, powers)
+    row = np.searchsorted(np.flatnonzero(data == 0), start)
     order = np.argsort(first)
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
@@ -373,6 +403,10 @@ def read_words(whole: str, powers: Powers) -> Words:
     return Words(pairs // max(1, len(at)), pairs % max(1, len(at)), row, own, features, end[at] - start[at])
 
 
+def as_bytes(whole: str) -> np.ndarray:
+    return np.frombuffer(whole.encode(), np.uint8)
+
+
 @dataclass
 class Model:
     """The character model; the lexicon (sorted hashes, toxic and all documents, bytes of whole words);
@@ -396,8 +430,8 @@ class Model:
 
     def read(self, texts: list[str | None], spelling: Spelling, powers: Powers) -> Words:
         """The words of restored texts."""
-        whole = restored(texts, spelling, self.hashes)
-        return read_words(rejoined(whole, self.hashes, self.sign_hashes, self.longest, powers), powers)
+        whole = as_bytes(restored(texts, spelling, self.hashes))
+        return read_words(whole, powers, self.hashes, self.sign_hashes, self.longest)
 
     def signs(self, words: Words, rows: int, labels: np.ndarray | None = None) -> np.ndarray:
         """By row: sum and maximum of the log odds ratios of its toxic words, and the log of its words.
@@ -493,7 +527,7 @@ def _different(sample: DataFrame) -> DataFrame:
         powers = Powers()
         for batch in batches:
             for part in text_slices(batch, SLICE):
-                words = read_words(joined(part.column(2).to_pylist()), powers)
+                words = read_words(as_bytes(joined(part.column(2).to_pylist())), powers)
                 n = part.num_rows
                 keys = np.zeros((3, n), np.uint64)
                 width = 5
@@ -544,7 +578,7 @@ def fit(docs: DataFrame, labels: DataFrame, sizes: tuple[int, int] = (CLEAN_SAMP
         spelling, powers = worker_spelling(shared.value, mark), Powers()
         for batch in batches:
             for part in text_slices(batch, 8 * SLICE):
-                words = read_words(restored(part.column(1).to_pylist(), spelling), powers)
+                words = read_words(as_bytes(restored(part.column(1).to_pylist(), spelling)), powers)
                 y = part.column(0).to_numpy(zero_copy_only=False)
                 hashes = words.features[:, words.which].ravel()
                 row = np.tile(words.rows, len(words.features))
