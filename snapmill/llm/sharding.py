@@ -5,7 +5,8 @@ goes to the shard of the next point clockwise; a shard takes rows up to its capa
 overflows continues clockwise to the next shard with room. Row counts per arc decide everything:
 the driver walks the ring once over those counts, at most ``shards * points`` numbers however
 many rows there are, and says for each arc which ranks go to which shard at which slots. The
-rows themselves are only ranked within their arc and looked up. DataFrame functions throughout.
+rows themselves are only ranked within their arc and looked up; rows that are alike are ranked as one.
+DataFrame functions throughout.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ POINTS = 256
 #: The ring is looked up in this many equal cells, each with the points in it and the next one.
 CELL_BITS = 12
 PLACES = 1 << 32
+#: Copies of a row that one task deals out.
+COPIES = 100_000
 
 
 def _place(*columns: Column) -> Column:
@@ -101,6 +104,16 @@ def _table(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     return spark.range(1).select(F.inline(F.from_json(text, f"array<struct<{schema}>>")))
 
 
+def _dealt_out(alike: DataFrame) -> DataFrame:
+    """Each row ``n`` times, numbered by ``copy`` from 0; very many copies are spread over tasks."""
+    zero, last = F.lit(0).cast("long"), F.col("n") - 1
+    few = alike.where(F.col("n") <= COPIES).withColumn("copy", F.explode(F.sequence(zero, last)))
+    blocks = alike.where(F.col("n") > COPIES).withColumn("block", F.explode(F.sequence(zero, last, F.lit(COPIES).cast("long"))))
+    spread = blocks.repartition("place", "doc_id", "block")
+    many = spread.withColumn("copy", F.explode(F.sequence("block", F.least(F.col("block") + COPIES - 1, last)))).drop("block")
+    return few.unionByName(many)
+
+
 def shard_rows(
     docs: DataFrame, shards: int, points: int = POINTS, slack: float = 0.0, law: str = "rows"
 ) -> DataFrame:
@@ -138,7 +151,9 @@ def shard_rows(
         .withColumn("arc", F.expr("filter(inside, p -> p.place >= place)[0].arc"))
         .drop("cell", "inside")
     )
-    counts = {r.arc: r["count"] for r in placed.groupBy("arc").count().collect()}  # one number per arc
+    # Rows that are alike are one until they are dealt out, so that an arc is no more than its different rows.
+    alike = placed.groupBy("arc", "place", "doc_id", "text_crc32", "size").agg(F.count("*").alias("n"))
+    counts = {r.arc: r["n"] for r in alike.groupBy("arc").agg(F.sum("n").alias("n")).collect()}  # one number per arc
     arcs = sorted(counts.items())
     pieces = walk(arcs, [s for _, s in points_at], capacities(sum(counts.values()), shards, slack))
     by_arc: dict[int, list] = {}
@@ -150,8 +165,11 @@ def shard_rows(
         "arc: int, pieces: array<struct<first: long, n: long, shard: int, slot: long>>",
     )
     order = Window.partitionBy("arc").orderBy("place", F.col("doc_id").asc_nulls_last(), "text_crc32", "size")
+    before = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first = alike.withColumn("first_rank", F.sum("n").over(before) - F.col("n"))
     return (
-        placed.withColumn("rank", F.row_number().over(order).cast("long") - 1)
+        _dealt_out(first)
+        .withColumn("rank", F.col("first_rank") + F.col("copy"))
         .join(F.broadcast(plan), "arc")  # arcs with rows, and a piece more for each overflow
         .withColumn("piece", F.expr("filter(pieces, p -> rank >= p.first AND rank < p.first + p.n)[0]"))
         .select(

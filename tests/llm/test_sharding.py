@@ -1,6 +1,7 @@
 import zlib
 from collections import Counter, defaultdict
 
+from snapmill.llm import sharding
 from snapmill.llm.sharding import capacities, shard_rows, walk
 from tests.helpers import plan_of
 
@@ -57,3 +58,15 @@ def test_walk_matches_one_by_one():
 def test_capacities():
     assert capacities(10, 4, 0) == [3, 3, 2, 2]
     assert capacities(10, 4, 0.1) == [3, 3, 3, 3]
+
+
+def test_rows_that_are_repeated_often(table, monkeypatch):
+    """Ranked as one row and dealt out by several tasks, with the same result."""
+    df = table([(7, "same text")] * 400 + [(None, None)] * 150 + [(i, str(i)) for i in range(100)]).repartition(3)
+    whole = sorted(map(repr, shard_rows(df, 6).collect()))
+    check(df, 6)
+    monkeypatch.setattr(sharding, "COPIES", 30)
+    check(df, 6)
+    assert sorted(map(repr, shard_rows(df, 6).collect())) == whole
+    _, counts = check(df, 6)
+    assert max(counts) - min(counts) <= 1
