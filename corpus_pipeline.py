@@ -1,4 +1,9 @@
-"""From raw documents to packed training sequences, in stages that each write a table."""
+"""From raw documents to packed training sequences, in stages that each write a table.
+
+All stages but the last return the columns they got, whatever their names and types, and read only
+doc_id and text (the first also lang). Empty tables give empty tables. The tables between stages lie in
+the shared folder and are removed when Python exits.
+"""
 
 from __future__ import annotations
 
@@ -15,27 +20,43 @@ from snapmill.llm.simhash import drop_near_duplicates
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a letter or far from every language of the corpus."""
+    """Drop documents without a letter, null texts included, or far from every language of the corpus.
+
+    Rows that are repeated stay or go together.
+    """
     return drop_unknown_languages(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of equal texts."""
+    """Keep one document of each group of equal texts: the longest as written, then the smallest doc_id.
+
+    A null doc_id comes last, null text counts as empty, and of rows that repeat both one stays.
+    """
     return drop_exact_copies(docs)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group linked by fingerprints of 4-word shingles within 4 bits."""
+    """Keep one document of each group linked by fingerprints of 4-word shingles within 4 bits.
+
+    That with the smallest doc_id stays, null coming last, then the text that hashes lowest; of rows that
+    repeat both one stays. Texts without words are one group.
+    """
     return drop_near_duplicates(docs, shingle=4, distance=4)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that contain a benchmark item, re-parameterised or not."""
+    """Drop documents that contain a benchmark item, re-parameterised or not.
+
+    Null and empty texts stay; rows that are repeated stay or go together.
+    """
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack what is left into sequences of 2048 tokens."""
+    """Pack what is left into sequences of 2048 tokens, repeated rows as often as they are there.
+
+    A null text is a single id 0; of gaps that are equally good the tighter is filled.
+    """
     return pack(docs, capacity=2048)
 
 
