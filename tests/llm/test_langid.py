@@ -112,3 +112,32 @@ def test_as_many_labels_as_the_limit_are_learned(table):
     model = langid.fit(table(rows), languages=3)
     assert set(model.languages) == set(SYLLABLES)
     assert len(langid.fit(table(rows), languages=10).languages) <= 3 * langid.CLUSTERS + 7
+
+
+def test_predictions_by_brute_force(table):
+    """Every text against every centroid, one n-gram at a time."""
+    rows = corpus(150) + [(900, "karo the éauoui", None), (901, "12", None), (902, None, None), (903, "Zz ÉAU", None)]
+    model = langid.fit(table(rows))
+    found = {r.doc_id: r for r in langid.predict(table(rows), model, "p").collect()}
+    for i, text, _ in rows:
+        grams = {}
+        for g in langid.features(text).tolist():
+            grams[g] = grams.get(g, 0) + 1
+        weights = {g: n * model.idf[g] for g, n in grams.items()}
+        norm = sum(w * w for w in weights.values()) ** 0.5
+        cosines = [sum(w / norm * float(c[g]) for g, w in weights.items()) for c in model.centroids] if weights else []
+        p = found[i].p
+        if not weights:
+            assert (p.lang_pred, p.score, p.rejected) == ("und", 0.0, True)
+            continue
+        best = max(cosines)
+        near = {lang for lang, c in zip(model.languages, cosines) if c > best - 1e-5}
+        assert p.lang_pred in near and abs(p.score - best) < 1e-4
+
+
+def test_n_grams_by_brute_force():
+    """Buckets are those of the n-grams of the text, whatever is between its letters."""
+    for a, b in (("Ab c", "ab, C!"), ("été", "ÉTÉ"), ("x  y", "x\ny")):
+        assert sorted(langid.features(a).tolist()) == sorted(langid.features(b).tolist())
+    text = " ab cd "
+    assert len(langid.features("ab cd")) == sum(len(text) - n + 1 for n in (1, 2, 3))
