@@ -32,9 +32,10 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 GONE, OPEN, EDGE = 0, 1, 2
 
 
-def line_key(line: Column) -> Column:
-    """The line without ASCII white space at its ends, A to Z in lower case."""
-    return F.translate(F.btrim(line, F.lit(WHITE_SPACE)), UPPER, UPPER.lower())
+def line_keys(text: Column) -> Column:
+    """The key of every line: without ASCII white space at its ends, A to Z in lower case."""
+    lines = F.split(F.translate(_whole(text), UPPER, UPPER.lower()), "\n", -1)
+    return F.transform(lines, lambda line: F.btrim(line, F.lit(WHITE_SPACE)))
 
 
 def _whole(text: Column) -> Column:
@@ -47,8 +48,8 @@ def _text_hash() -> Column:
 
 
 def _long_lines(docs: DataFrame, least: int) -> DataFrame:
-    lines = docs.select("doc_id", _text_hash(), F.posexplode(F.split(_whole(F.col("text")), "\n", -1)).alias("position", "line"))
-    keys = lines.select("doc_id", "text_hash", "position", line_key(F.col("line")).alias("line_key"))
+    # Keys are made before the lines are rows: an expression of a row is evaluated again by each that uses it.
+    keys = docs.select("doc_id", _text_hash(), F.posexplode(line_keys(F.col("text"))).alias("position", "line_key"))
     return keys.where(F.char_length("line_key") >= least).select(
         F.xxhash64("line_key").alias("hash"),
         F.xxhash64(F.lit(1), "line_key").alias("hash2"),
@@ -130,7 +131,7 @@ def _key(*columns: str) -> Column:
 def keep_bitmaps(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """One row per document: doc_id, text_hash, n_lines, n_dropped, keep_bitmap.
 
-    Lines end at a line feed. A line whose key, see ``line_key``, has ``least`` code points and
+    Lines end at a line feed. A line whose key, see ``line_keys``, has ``least`` code points and
     occurs in several documents stays in that with the smallest doc_id, as often as it is there,
     and goes from all others. ``keep_bitmap`` has one bit per line, the first as the highest of its
     byte, 1 for a line that stays, compressed by zlib. Null and empty texts are one empty line,
