@@ -9,7 +9,7 @@ per month; what ingest left out is in ``reasons`` of its result.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Collection, Iterable, Mapping, Sequence
 from datetime import date
 from functools import reduce
 from operator import and_
@@ -41,7 +41,7 @@ FEATURE_PARTS = (ATTRIBUTES, CLICKSTREAM, FINANCIALS)
 
 #: The mark of a month without rows.
 NOTHING = "0"
-#: Stands for lines that belong to no month where months are keys: a day that begins none.
+#: Stands for the lines in quarantine where months are keys: a day that begins none.
 NO_MONTH = date(1970, 1, 2)
 
 
@@ -71,13 +71,15 @@ def ingest(
     end: DateLike,
     gather: bool = True,
     line_breaks: bool = False,
+    quarantine: Collection[str] = FAULTS,
 ) -> Written:
     """Raw CSV to bronze: one scan for all months, columns kept as text.
 
     What is not stored is counted by reason, in ``reasons`` of the result: lines with an open
     quote, too few or too many fields, rows without a date, between months or out of range.
-    All but the last kind are put in quarantine, by raw source, which scans the file a
-    second time; files without any are scanned once. ``line_breaks`` is that of ``parse_raw``.
+    Lines left out for a reason in ``quarantine``, any but the last, are kept in a table of their own,
+    by raw source, which takes a second scan of files that have any. ``line_breaks`` is that of
+    ``parse_raw``.
 
     Raw files that mix months are gathered, which shuffles them once. Where every file holds
     few months already, ``gather=False`` saves that.
@@ -85,13 +87,15 @@ def ingest(
     lines = dated(parse_raw(lake.spark, TABLES[table], raw_path, line_breaks))
     reasons = {**_misplaced(), OUT_OF_RANGE: ~_in_range(start, end)}
     written = lake.write_months(lines.drop(LINE, FILE), BRONZE, table, start, end, gather, reasons)
-    _quarantine(lake, table, raw_path, lines, any(written.reasons[r] for r in _misplaced()))
+    _quarantine(lake, table, raw_path, lines, quarantine, any(written.reasons[r] for r in quarantine))
     return written
 
 
-def _quarantine(lake: Lake, table: str, raw_path: str, lines: DataFrame, any_stray: bool) -> None:
+def _quarantine(
+    lake: Lake, table: str, raw_path: str, lines: DataFrame, reasons: Collection[str], any_stray: bool
+) -> None:
     stray = lines.select(_reason().alias("reason"), F.col(LINE).alias("line"), F.col(FILE).alias("file"))
-    lake.write_quarantine(stray.where("reason IS NOT NULL") if any_stray else None, table, raw_path)
+    lake.write_quarantine(stray.where(F.col("reason").isin(*reasons)) if any_stray else None, table, raw_path)
 
 
 def raw_range(lake: Lake, raw_paths: Mapping[str, str], line_breaks: bool = False) -> tuple[date, date] | None:
@@ -176,15 +180,16 @@ def backfill(
     mob: int = V.LABEL_MOB,
     gather: bool = True,
     line_breaks: bool = False,
+    quarantine: Collection[str] = FAULTS,
 ) -> dict[str, Written]:
     """All layers of the given raw tables over the range; stores whose inputs are there.
 
-    ``gather`` and ``line_breaks`` are those of ``ingest``. What it dropped is in the bronze
-    entries of the report.
+    ``gather``, ``line_breaks`` and ``quarantine`` are those of ``ingest``. What it dropped is in the
+    bronze entries of the report.
     """
     report: dict[str, Written] = {}
     for table, path in raw_paths.items():
-        report[f"{BRONZE}.{table}"] = ingest(lake, table, path, start, end, gather, line_breaks)
+        report[f"{BRONZE}.{table}"] = ingest(lake, table, path, start, end, gather, line_breaks, quarantine)
         report[f"{SILVER}.{table}"] = refine(lake, table, start, end)
     if {t.name for t in FEATURE_PARTS} <= raw_paths.keys():
         report[f"{GOLD}.{FEATURE_STORE}"] = publish_features(lake, start, end)
@@ -204,16 +209,19 @@ def _checksum(columns: Sequence[str]) -> Column:
     return F.concat_ws(":", F.count(F.lit(1)), *[s.cast("string") for s in sums])
 
 
-def raw_marks(lines: DataFrame, columns: Sequence[str], months: Sequence[date]) -> dict[date, str]:
-    """A checksum of the rows of every month, and of the lines of no month, in one scan."""
-    stray = F.col("reason").isNotNull()
+def raw_marks(
+    lines: DataFrame, columns: Sequence[str], months: Sequence[date], quarantine: Collection[str] = FAULTS
+) -> dict[date, str]:
+    """A checksum of the rows of every month, and of the lines to quarantine, in one scan."""
+    kept = F.col("reason").isNull()
+    stray = F.col("reason").isin(*quarantine)
     keyed = lines.withColumn("reason", _reason()).select(
-        F.when(stray, F.lit(NO_MONTH)).otherwise(F.col(V.SNAPSHOT)).alias("month"),
-        *[F.when(~stray, F.col(c)).alias(c) for c in columns],
+        F.when(stray, F.lit(NO_MONTH)).when(kept, F.col(V.SNAPSHOT)).alias("month"),
+        *[F.when(kept, F.col(c)).alias(c) for c in columns],
         F.when(stray, F.col(LINE)).alias(LINE),
     )
-    kept = keyed.where(F.col("month").isin(*months, NO_MONTH))
-    marks = kept.groupBy("month").agg(_checksum([*columns, LINE]).alias("mark"))
+    wanted = keyed.where(F.col("month").isin(*months, NO_MONTH))
+    marks = wanted.groupBy("month").agg(_checksum([*columns, LINE]).alias("mark"))
     found = {r["month"]: r["mark"] for r in marks.collect()}  # a row per month of the range
     return dict.fromkeys([*months, NO_MONTH], NOTHING) | found
 
@@ -224,12 +232,18 @@ def _differing(source: Mapping[date, str], own: Mapping[date, str], months: Sequ
 
 
 def _catch_up_bronze(
-    lake: Lake, table: str, raw_path: str, months: Sequence[date], gather: bool, line_breaks: bool
+    lake: Lake,
+    table: str,
+    raw_path: str,
+    months: Sequence[date],
+    gather: bool,
+    line_breaks: bool,
+    quarantine: Collection[str],
 ) -> Written:
     lines = dated(parse_raw(lake.spark, TABLES[table], raw_path, line_breaks))
     columns = TABLES[table].columns
     stored = lake.marks(BRONZE, table)
-    now = raw_marks(lines, columns, months)
+    now = raw_marks(lines, columns, months, quarantine)
     changed = _differing(now, stored, months)
     written = Written({})
     if changed:
@@ -243,7 +257,7 @@ def _catch_up_bronze(
         marks = raw_marks(bronze.withColumns({FAULT: F.lit(None).cast("string"), LINE: F.lit(None).cast("string")}), columns, changed)
         lake.remember(BRONZE, table, {m: marks[m] for m in changed})
     if now[NO_MONTH] != stored.get(NO_MONTH, NOTHING):
-        _quarantine(lake, table, raw_path, lines, now[NO_MONTH] != NOTHING)
+        _quarantine(lake, table, raw_path, lines, quarantine, now[NO_MONTH] != NOTHING)
         lake.remember(BRONZE, table, {NO_MONTH: now[NO_MONTH]})
     return written
 
@@ -262,6 +276,7 @@ def catch_up(
     definitions: Sequence[tuple[int, int]] = ((V.LABEL_DPD, V.LABEL_MOB),),
     gather: bool = True,
     line_breaks: bool = False,
+    quarantine: Collection[str] = FAULTS,
 ) -> dict[str, Written]:
     """``backfill`` for the months whose input changed since they were written.
 
@@ -280,7 +295,7 @@ def catch_up(
         raise ValueError(f"no month starts between {start} and {end}")
     report: dict[str, Written] = {}
     for table, path in raw_paths.items():
-        report[f"{BRONZE}.{table}"] = _catch_up_bronze(lake, table, path, months, gather, line_breaks)
+        report[f"{BRONZE}.{table}"] = _catch_up_bronze(lake, table, path, months, gather, line_breaks, quarantine)
         source = _marked_by_rules(lake, table)
         changed = _differing(source, lake.marks(SILVER, table), months)
         report[f"{SILVER}.{table}"] = Written({})

@@ -304,7 +304,7 @@ class Lake:
             remove_folder(self.spark, path)
 
     def read_quarantine(self, table: str) -> DataFrame:
-        """Lines that no month of a table could take, as reason, line, file, source; maybe none."""
+        """Raw lines of a table that were put aside, as reason, line, file, source; maybe none."""
         path = self.path(QUARANTINE, table)
         if not exists(self.spark, path):
             return self.spark.createDataFrame([], QUARANTINE_SCHEMA)

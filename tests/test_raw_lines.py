@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from snapmill.plans import jobs
 from snapmill.schemas import ATTRIBUTES
 from snapmill.sources.lake import BRONZE, QUARANTINE, Lake
-from snapmill.sources.raw import FAULT, LINE, append_lines, parse_raw, read_raw
+from snapmill.sources.raw import FAULT, FAULTS, LINE, append_lines, parse_raw, read_raw
 from tests.helpers import column, in_order
 
 HEADER = "Customer_ID,Name,Age,SSN,Occupation,snapshot_date"
@@ -93,7 +93,8 @@ def test_ingest_counts_and_quarantines(spark, lake, tmp_path):
         tmp_path, *LINES.values(), "u,B,30,1,Doctor,soon", "m,B,30,1,Doctor,2023-01-15", "f,B,30,1,Doctor,2024-01-01", "x,B,30,1,Doctor,2024-01-15"
     )
     for gather in (True, False):
-        written = jobs.ingest(lake, "attributes", path, JAN, JAN, gather=gather)
+        every = (*FAULTS, jobs.UNDATED, jobs.OFF_SPINE)
+        written = jobs.ingest(lake, "attributes", path, JAN, JAN, gather=gather, quarantine=every)
         assert written == {JAN: 1} and written.dropped == 12
         assert written.reasons == {
             "open_quote": 3, "too_few_fields": 2, "too_many_fields": 2, "undated": 2, "off_spine": 2, "out_of_range": 1,
@@ -104,6 +105,9 @@ def test_ingest_counts_and_quarantines(spark, lake, tmp_path):
         assert sorted((r.reason, r.line) for r in held.collect()) == sorted(want)
         assert {r.source for r in held.collect()} == {path} and all("raw.csv" in r.file for r in held.collect())
     assert spark.read.parquet(lake.path(BRONZE, "attributes")).columns == ATTRIBUTES.bronze_schema.names
+    again = jobs.ingest(lake, "attributes", path, JAN, JAN)  # by default only what is malformed is kept
+    assert again.reasons == written.reasons
+    assert sorted(column(lake.read_quarantine("attributes"), "reason")) == sorted(r for r in REASONS.values() if r)
 
 
 def test_quarantine_follows_its_source(spark, lake, tmp_path):
@@ -122,7 +126,7 @@ def test_only_clean_files_are_scanned_once(spark, lake, tmp_path, monkeypatch):
     write = Lake.write_quarantine
     monkeypatch.setattr(Lake, "write_quarantine", lambda self, lines, *a: (calls.append(lines is not None), write(self, lines, *a)))
     jobs.ingest(lake, "attributes", file(tmp_path, LINES["good"]), JAN, JAN)
-    jobs.ingest(lake, "attributes", file(tmp_path, LINES["good"], "f,B,30,1,Doctor,2024-01-01"), JAN, JAN)
+    jobs.ingest(lake, "attributes", file(tmp_path, LINES["good"], LINES["empties"], "f,B,30,1,Doctor,2024-01-01"), JAN, JAN)
     jobs.ingest(lake, "attributes", file(tmp_path, LINES["few"]), JAN, JAN)
     assert calls == [False, False, True]
 
