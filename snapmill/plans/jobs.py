@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapmill import fixed_values as V
-from snapmill.functions.calendar import DateLike, day, month_list, month_start
+from snapmill.functions.calendar import DateLike, day, month_start
 from snapmill.operators.features import build_features
 from snapmill.operators.joins import HEAVY_ROWS, find_heavy_keys
 from snapmill.operators.labels import label_definition, labels_by_definition
@@ -33,6 +33,7 @@ from snapmill.sources.lake import (
     Lake,
     Written,
     definition_name,
+    months_between,
 )
 from snapmill.sources.raw import FAULT, FAULTS, FILE, LINE, dated, parse_raw, read_raw
 
@@ -67,14 +68,15 @@ def ingest(
     lake: Lake,
     table: str,
     raw_path: str,
-    start: DateLike,
-    end: DateLike,
+    start: DateLike | None = None,
+    end: DateLike | None = None,
     gather: bool = True,
     line_breaks: bool = False,
     quarantine: Collection[str] = FAULTS,
 ) -> Written:
     """Raw CSV to bronze: one scan for all months, columns kept as text.
 
+    Without a range the table becomes what the files hold, months of an earlier run included.
     What is not stored is counted by reason, in ``reasons`` of the result: lines with an open
     quote, too few or too many fields, rows without a date, between months or out of range.
     Lines left out for a reason in ``quarantine``, any but the last, are kept in a table of their own,
@@ -85,7 +87,8 @@ def ingest(
     few months already, ``gather=False`` saves that.
     """
     lines = dated(parse_raw(lake.spark, TABLES[table], raw_path, line_breaks))
-    reasons = {**_misplaced(), OUT_OF_RANGE: ~_in_range(start, end)}
+    beyond = F.lit(False) if months_between(start, end) is None else ~_in_range(start, end)
+    reasons = {**_misplaced(), OUT_OF_RANGE: beyond}
     written = lake.write_months(lines.drop(LINE, FILE), BRONZE, table, start, end, gather, reasons)
     _quarantine(lake, table, raw_path, lines, quarantine, any(written.reasons[r] for r in quarantine))
     return written
@@ -108,23 +111,20 @@ def raw_range(lake: Lake, raw_paths: Mapping[str, str], line_breaks: bool = Fals
     return (min(e["first"] for e in ends), max(e["last"] for e in ends)) if ends else None
 
 
-def refine(lake: Lake, table: str, start: DateLike, end: DateLike) -> Written:
-    """Bronze to silver. Tasks read few months each, so rows are written where they are, or by bucket."""
+def refine(lake: Lake, table: str, start: DateLike | None = None, end: DateLike | None = None) -> Written:
+    """Bronze to silver, of all months without a range. Tasks read few months each, so rows are written where they are, or by bucket."""
     bronze = lake.read_months(BRONZE, table, TABLES[table].bronze_schema, start, end)
     return lake.write_months(REFINERS[table](bronze), SILVER, table, start, end, gather=False)
 
 
 def publish_features(
-    lake: Lake, start: DateLike, end: DateLike, heavy_rows: int = HEAVY_ROWS
+    lake: Lake, start: DateLike | None = None, end: DateLike | None = None, heavy_rows: int = HEAVY_ROWS
 ) -> Written:
-    """Silver to the feature store. Bucketed silver tables are joined without a shuffle."""
-    months = month_list(start, end)
-    if not months:
-        raise ValueError(f"no month starts between {start} and {end}")
-    return _publish_features(lake, months, heavy_rows)
+    """Silver to the feature store, all months without a range. Bucketed silver tables are joined without a shuffle."""
+    return _publish_features(lake, months_between(start, end), heavy_rows)
 
 
-def _publish_features(lake: Lake, months: Sequence[date], heavy_rows: int = HEAVY_ROWS) -> Written:
+def _publish_features(lake: Lake, months: Sequence[date] | None, heavy_rows: int = HEAVY_ROWS) -> Written:
     def stored(by_bucket: bool) -> dict[str, DataFrame]:
         tables = {t.name: lake.read(SILVER, t.name, t.silver_schema, by_bucket) for t in FEATURE_PARTS}
         return {name: df.where(_of_months(months)) for name, df in tables.items()}
@@ -137,8 +137,8 @@ def _publish_features(lake: Lake, months: Sequence[date], heavy_rows: int = HEAV
     return lake.replace_months(features, GOLD, FEATURE_STORE, months, gather=True)
 
 
-def _of_months(months: Sequence[date]) -> Column:
-    return F.col(V.SNAPSHOT).isin(*months)
+def _of_months(months: Sequence[date] | None) -> Column:
+    return F.lit(True) if months is None else F.col(V.SNAPSHOT).isin(*months)
 
 
 def publish_label_definitions(
@@ -149,7 +149,7 @@ def publish_label_definitions(
     The store is partitioned by definition and month. Only the months of the range of the
     definitions given are replaced.
     """
-    return _publish_labels(lake, month_list(start, end), definitions)
+    return _publish_labels(lake, months_between(start, end), definitions)
 
 
 def _publish_labels(
@@ -174,8 +174,8 @@ def publish_labels(
 def backfill(
     lake: Lake,
     raw_paths: Mapping[str, str],
-    start: DateLike,
-    end: DateLike,
+    start: DateLike | None = None,
+    end: DateLike | None = None,
     dpd: int = V.LABEL_DPD,
     mob: int = V.LABEL_MOB,
     gather: bool = True,
@@ -184,6 +184,8 @@ def backfill(
 ) -> dict[str, Written]:
     """All layers of the given raw tables over the range; stores whose inputs are there.
 
+    Without a range all tables and the feature store become what the raw files hold; labels are
+    published for the months the loans have.
     ``gather``, ``line_breaks`` and ``quarantine`` are those of ``ingest``. What it dropped is in the
     bronze entries of the report.
     """
@@ -194,7 +196,9 @@ def backfill(
     if {t.name for t in FEATURE_PARTS} <= raw_paths.keys():
         report[f"{GOLD}.{FEATURE_STORE}"] = publish_features(lake, start, end)
     if LOANS.name in raw_paths:
-        report[f"{GOLD}.{LABEL_STORE}"] = publish_labels(lake, start, end, dpd, mob)
+        months = list(report[f"{SILVER}.{LOANS.name}"])
+        if months:
+            (report[f"{GOLD}.{LABEL_STORE}"],) = _publish_labels(lake, months, [(dpd, mob)]).values()
     return report
 
 
@@ -290,9 +294,7 @@ def catch_up(
     The report has the months written; tables without any have none. Several label ``definitions``
     are kept up.
     """
-    months = month_list(start, end)
-    if not months:
-        raise ValueError(f"no month starts between {start} and {end}")
+    months = months_between(start, end)
     report: dict[str, Written] = {}
     for table, path in raw_paths.items():
         report[f"{BRONZE}.{table}"] = _catch_up_bronze(lake, table, path, months, gather, line_breaks, quarantine)

@@ -35,6 +35,18 @@ HELPER = "__"
 _REASON, _KEPT = f"{HELPER}reason", "kept"
 
 
+def months_between(start: DateLike | None, end: DateLike | None) -> list[date] | None:
+    """The months of a range, which must have some; None without a range."""
+    if start is None and end is None:
+        return None
+    if start is None or end is None:
+        raise ValueError("a range has both a start and an end")
+    months = month_list(start, end)
+    if not months:
+        raise ValueError(f"no month starts between {start} and {end}")
+    return months
+
+
 class Written(dict):
     """Rows written per month; ``reasons`` has the rows left out by reason, ``dropped`` all of them."""
 
@@ -121,39 +133,39 @@ class Lake:
         layer: str,
         table: str,
         schema: T.StructType,
-        start: DateLike,
-        end: DateLike,
+        start: DateLike | None,
+        end: DateLike | None,
         by_bucket: bool = True,
     ) -> DataFrame:
-        return spine_slice(self.read(layer, table, schema, by_bucket), start, end)
+        """The months of a range, or all without one."""
+        rows = self.read(layer, table, schema, by_bucket)
+        return rows if months_between(start, end) is None else spine_slice(rows, start, end)
 
     def write_months(
         self,
         df: DataFrame,
         layer: str,
         table: str,
-        start: DateLike,
-        end: DateLike,
+        start: DateLike | None,
+        end: DateLike | None,
         gather: bool,
         left_out: Mapping[str, Column] | None = None,
     ) -> Written:
-        """``replace_months`` for all months of a range."""
-        months = month_list(start, end)
-        if not months:
-            raise ValueError(f"no month starts between {start} and {end}")
-        return self.replace_months(df, layer, table, months, gather, left_out)
+        """``replace_months`` for all months of a range, or for all there are without one."""
+        return self.replace_months(df, layer, table, months_between(start, end), gather, left_out)
 
     def replace_months(
         self,
         df: DataFrame,
         layer: str,
         table: str,
-        months: Sequence[date],
+        months: Sequence[date] | None,
         gather: bool,
         left_out: Mapping[str, Column] | None = None,
     ) -> Written:
         """Replace the snapshots of these months by the rows of ``df``, in one job.
 
+        Without ``months`` the whole table is replaced; which months there are is seen while writing.
         Returns the rows written per month and how many were left out. Other months are left
         alone; months without rows end up empty, so a re-run gives the same table.
         ``left_out`` maps reasons to conditions; a row counts for the first that holds and is not
@@ -169,7 +181,8 @@ class Lake:
         one; that is done by adaptive execution and without it rows stay where they are.
         """
         self._forget(layer, table, months)
-        counts, reasons = self._replace(df, layer, table, [(m,) for m in months], [V.SNAPSHOT], gather, left_out)
+        parts = None if months is None else [(m,) for m in months]
+        counts, reasons = self._replace(df, layer, table, parts, [V.SNAPSHOT], gather, left_out)
         return Written({m: n for (m,), n in counts.items()}, reasons)
 
     def replace_definitions(
@@ -181,10 +194,9 @@ class Lake:
         definitions; see ``replace_months``.
         """
         definitions = list(dict.fromkeys(definitions))
-        parts = [(d, m) for d in definitions for m in months]
         for d in definitions:
             self._forget(GOLD, definition_name(table, d), months)
-        counts, _ = self._replace(df, GOLD, table, parts, [LABEL_DEF, V.SNAPSHOT], gather)
+        counts, _ = self._replace(df, GOLD, table, [(d, m) for d in definitions for m in months], [LABEL_DEF, V.SNAPSHOT], gather)
         return {d: Written({m: counts[d, m] for m in months}) for d in definitions}
 
     def _replace(
@@ -192,12 +204,15 @@ class Lake:
         df: DataFrame,
         layer: str,
         table: str,
-        parts: Sequence[tuple],
+        parts: Sequence[tuple] | None,
         keys: Sequence[str],
         gather: bool,
         left_out: Mapping[str, Column] | None = None,
     ) -> tuple[dict[tuple, int], dict[str, int]]:
-        """Replace the given partitions, tuples of values of ``keys``. Rows per partition, rows left out by reason."""
+        """Replace the given partitions, tuples of values of ``keys``, or all without any given.
+
+        Returns rows per partition and rows left out by reason.
+        """
         target = self.path(layer, table)
         data = [f for f in df.schema if f.name not in keys and not f.name.startswith(HELPER)]
         schema = T.StructType(data + [df.schema[k] for k in keys])
@@ -231,13 +246,17 @@ class Lake:
             writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(target)
         found = seen.get
         written = {tuple(p.split("/")) for p in found["parts"].split(",") if p}
-        parts_as_text = {tuple(map(str, p)): p for p in parts}
-        self._empty(layer, table, schema, keys, [p for text, p in parts_as_text.items() if text not in written])
-        counts = dict.fromkeys(parts, 0)
-        if written:
-            stored = self.read(layer, table, schema).where(_is_one_of(keys, parts))
-            for r in stored.groupBy(*keys).count().collect():  # a row per partition asked for
-                counts[tuple(r[k] for k in keys)] = r["count"]
+        stored = self.read(layer, table, schema)
+        if parts is not None:
+            stored = stored.where(_is_one_of(keys, parts))
+        counts = dict.fromkeys(parts or [], 0)
+        for r in stored.groupBy(*keys).count().collect():  # a row per partition
+            part = tuple(r[k] for k in keys)
+            if tuple(map(str, part)) in written:
+                counts[part] = r["count"]
+            else:  # left by an earlier run
+                counts[part] = 0
+                self._empty(layer, table, schema, dict(zip(keys, part)))
         return counts, {name: found[name] for name in left_out}
 
     @contextmanager
@@ -251,20 +270,14 @@ class Lake:
         finally:
             self.spark.conf.set(key, before)
 
-    def _empty(
-        self, layer: str, table: str, schema: T.StructType, keys: Sequence[str], parts: Sequence[tuple]
-    ) -> None:
-        """Clear what an earlier run left of partitions that have no rows any more."""
-        if not parts:
-            return
-        left_over = self.read(layer, table, schema).where(_is_one_of(keys, parts)).select(*keys).distinct()
-        nothing = self.spark.createDataFrame([], schema).drop(*keys)
-        for row in left_over.collect():  # at most a row per partition asked for
-            folder = f"{self.path(layer, table)}/" + "/".join(f"{k}={row[k]}" for k in keys)
-            if self._is_bucketed(layer):  # an empty file would have no bucket
-                remove_folder(self.spark, folder)
-            else:
-                nothing.write.mode("overwrite").parquet(folder)
+    def _empty(self, layer: str, table: str, schema: T.StructType, part: Mapping[str, object]) -> None:
+        """Clear a partition that has no rows any more."""
+        folder = f"{self.path(layer, table)}/" + "/".join(f"{k}={v}" for k, v in part.items())
+        if self._is_bucketed(layer):  # an empty file would have no bucket
+            remove_folder(self.spark, folder)
+        else:
+            nothing = self.spark.createDataFrame([], schema).drop(*part)
+            nothing.write.mode("overwrite").parquet(folder)
 
     def _marks_path(self, layer: str, table: str) -> str:
         return f"{self.root}/{MARKS}/{layer}/{table}"
@@ -281,11 +294,12 @@ class Lake:
         if marks:
             self._write_marks(layer, table, {**self.marks(layer, table), **marks})
 
-    def _forget(self, layer: str, table: str, months: Iterable[date]) -> None:
-        """Before months are written: whatever comes of it, their marks no longer hold."""
+    def _forget(self, layer: str, table: str, months: Iterable[date] | None) -> None:
+        """Before months, or all, are written: whatever comes of it, their marks no longer hold."""
         known = self.marks(layer, table)
-        if not known.keys().isdisjoint(months):
-            self._write_marks(layer, table, {m: mark for m, mark in known.items() if m not in set(months)})
+        gone = set(known if months is None else months)
+        if not known.keys().isdisjoint(gone):
+            self._write_marks(layer, table, {m: mark for m, mark in known.items() if m not in gone})
 
     def _write_marks(self, layer: str, table: str, marks: Mapping[date, str]) -> None:
         """One small file. Lost half-way it is as if nothing were known, so all is written again."""

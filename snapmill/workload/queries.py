@@ -338,7 +338,7 @@ def _range_of(name: str) -> tuple[DateLike, DateLike]:
 
 def _bronze(spark: SparkSession, sf: str, name: str) -> DataFrame:
     with _landed(spark, sf, [name]) as (lake, paths):
-        jobs.ingest(lake, name, paths[name], *jobs.raw_range(lake, paths))
+        jobs.ingest(lake, name, paths[name])
     return lake.read(BRONZE, name, TABLES[name].bronze_schema).select(*TABLES[name].columns)
 
 
@@ -384,8 +384,7 @@ def bronze_line_breaks(spark: SparkSession, sf: str) -> DataFrame:
     """Bronze attributes from files whose values hold quoted line breaks."""
     dirty = partial(dirty_lines, line_breaks=True)
     with _landed(spark, sf, [ATTRIBUTES.name], QUARANTINE, dirty=dirty) as (lake, paths):
-        months = jobs.raw_range(lake, paths, line_breaks=True)
-        jobs.ingest(lake, ATTRIBUTES.name, paths[ATTRIBUTES.name], *months, line_breaks=True)
+        jobs.ingest(lake, ATTRIBUTES.name, paths[ATTRIBUTES.name], line_breaks=True)
     return lake.read(BRONZE, ATTRIBUTES.name, ATTRIBUTES.bronze_schema)
 
 
@@ -401,16 +400,16 @@ def silver_month(spark: SparkSession, sf: str) -> DataFrame:
 def backfill_labels(spark: SparkSession, sf: str) -> DataFrame:
     """Label store after raw to bronze to silver to gold."""
     with _landed(spark, sf, [LOANS.name], BRONZE, SILVER) as (lake, paths):
-        jobs.backfill(lake, paths, *jobs.raw_range(lake, paths))
+        jobs.backfill(lake, paths)
     return lake.read(GOLD, LABEL_STORE, LABEL_STORE_SCHEMA)
 
 
 def label_definitions(spark: SparkSession, sf: str) -> DataFrame:
     """Label store with one definition over all months, and two more published over later months."""
     with _landed(spark, sf, [LOANS.name], BRONZE, SILVER) as (lake, paths):
-        months = jobs.raw_range(lake, paths)
-        jobs.backfill(lake, paths, *months)
-        jobs.publish_label_definitions(lake, LATER_LABELS_FROM, months[1], LATER_LABELS)
+        report = jobs.backfill(lake, paths)
+        last = max(report[f"{SILVER}.{LOANS.name}"])
+        jobs.publish_label_definitions(lake, LATER_LABELS_FROM, last, LATER_LABELS)
     return lake.read(GOLD, LABEL_STORE, LABEL_STORE_SCHEMA)
 
 
@@ -432,7 +431,7 @@ def backfill_features(spark: SparkSession, sf: str) -> DataFrame:
     """Feature store after raw to bronze to silver to gold."""
     names = [ATTRIBUTES.name, CLICKSTREAM.name, FINANCIALS.name]
     with _landed(spark, sf, names, BRONZE, SILVER) as (lake, paths):
-        jobs.backfill(lake, paths, *jobs.raw_range(lake, paths))
+        jobs.backfill(lake, paths)
     return lake.read(GOLD, FEATURE_STORE, FEATURE_STORE_SCHEMA)
 
 
@@ -440,7 +439,7 @@ def backfill_features_bucketed(spark: SparkSession, sf: str) -> DataFrame:
     """Feature store from silver tables bucketed by customer."""
     names = [ATTRIBUTES.name, CLICKSTREAM.name, FINANCIALS.name]
     with _landed(spark, sf, names, BRONZE, SILVER, buckets=8) as (lake, paths):
-        jobs.backfill(lake, paths, *jobs.raw_range(lake, paths))
+        jobs.backfill(lake, paths)
     return lake.read(GOLD, FEATURE_STORE, FEATURE_STORE_SCHEMA)
 
 

@@ -234,3 +234,31 @@ def test_loans_bronze_stays_text(spark, lake, tmp_path):
     path = land(raw(spark, "loan_daily", {"loan_id": "1", "tenure": "x_", "snapshot_date": "2023-01-01"}), tmp_path)
     jobs.ingest(lake, "loan_daily", path, JAN, JAN)
     assert column(bronze(lake, LOANS), "tenure") == ["x_"]
+
+
+def test_without_a_range_the_table_becomes_what_the_files_hold(spark, lake, tmp_path):
+    jobs.ingest(lake, "attributes", land(people(spark, *PEOPLE, *OFF_SPINE), tmp_path), *RANGE)
+    path = land(people(spark, ("z", "2023-01-01"), ("y", "2024-05-01"), *OFF_SPINE), tmp_path, "newer")
+    written = jobs.ingest(lake, "attributes", path)
+    assert written == {JAN: 1, MAR: 0, date(2022, 12, 1): 1, date(2023, 4, 1): 1, date(2024, 5, 1): 1}
+    assert written.reasons["out_of_range"] == 0 and written.dropped == 3
+    assert sorted(column(bronze(lake), "Customer_ID")) == ["f", "g", "y", "z"]
+    assert sum(jobs.refine(lake, "attributes").values()) == 4
+
+
+def test_backfill_without_a_range(spark, tmp_path):
+    rows = [{"loan_id": f"{m}", "Customer_ID": "a", "installment_num": "6", "snapshot_date": f"2023-0{m}-01"} for m in (1, 3)]
+    paths = {
+        "loan_daily": land(raw(spark, "loan_daily", *rows), tmp_path, "loans"),
+        **{n: land(raw(spark, n, {"Customer_ID": "a", "snapshot_date": "2023-03-01"}), tmp_path, n) for n in ("attributes", "clickstream", "financials")},
+    }
+    open_range, ranged = Lake(spark, str(tmp_path / "open")), Lake(spark, str(tmp_path / "ranged"))
+    report, want = jobs.backfill(open_range, paths), jobs.backfill(ranged, paths, *RANGE)
+    assert {k: {m: n for m, n in w.items() if n} for k, w in want.items()} == {k: dict(w) for k, w in report.items()}
+    for layer, name, schema in ((GOLD, FEATURE_STORE, FEATURE_STORE_SCHEMA), (GOLD, LABEL_STORE, LABEL_STORE_SCHEMA)):
+        assert in_order(open_range.read(layer, name, schema)) == in_order(ranged.read(layer, name, schema))
+
+
+def test_half_a_range_is_refused(spark, lake, tmp_path):
+    with pytest.raises(ValueError, match="both"):
+        jobs.ingest(lake, "attributes", land(people(spark, *PEOPLE), tmp_path), JAN)
