@@ -56,12 +56,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 BATCH_BYTES = 8 << 20
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Have Arrow batches hold BATCH_BYTES at most, or what the session says if that is less."""
+def bound_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
+    """Have Arrow batches hold ``size`` bytes at most, or what the session says if that is less."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     now = spark.conf.get(key).rstrip("b")
-    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
-        spark.conf.set(key, str(BATCH_BYTES))
+    if not now.isdigit() or not 0 < int(now) <= size:
+        spark.conf.set(key, str(size))
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -92,23 +92,21 @@ def column(name: str, of: str | None = None) -> Column:
     return F.col(quoted if of is None else f"{of}.{quoted}")
 
 
-def boxed(docs: DataFrame) -> DataFrame:
-    """Each row as the one struct column ``document``, so that no helper column meets a user's."""
-    return docs.select(F.struct(*map(column, docs.columns)).alias("document"))
-
-
-def unboxed(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """The columns of ``docs`` from rows with a column ``document``."""
-    return rows.select(*[column(c, "document").alias(c) for c in docs.columns])
+def free_name(name: str, df: DataFrame) -> str:
+    """A name that no column of ``df`` has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 #: Keys of documents that are broadcast at most; with more the documents are shuffled by key.
 BROADCAST_KEYS = 1_000_000
 
 
-def document_key(of: str | None = None) -> Column:
+def document_key() -> Column:
     """What tells documents apart: doc_id and a hash of the text. Null ids and null texts are values like others."""
-    return F.struct(column("doc_id", of).alias("doc_id"), F.xxhash64(column("text", of)).alias("text_hash"))
+    return F.struct(F.col("doc_id"), F.xxhash64("text").alias("text_hash"))
 
 
 def take_out(docs: DataFrame, listed: DataFrame) -> DataFrame:
@@ -118,14 +116,19 @@ def take_out(docs: DataFrame, listed: DataFrame) -> DataFrame:
     list is broadcast if it has BROADCAST_KEYS rows or fewer; the texts stay where they are then.
     """
     listed = shared_table(listed.select("key", "stays"), "keys")
-    if listed.count() <= BROADCAST_KEYS:
+    numbers = {r["stays"]: r["count"] for r in listed.groupBy("stays").count().collect()}  # two rows
+    key, columns = free_name("key", docs), [column(c) for c in docs.columns]
+    listed = listed.withColumnRenamed("key", key)
+    if sum(numbers.values()) <= BROADCAST_KEYS:
         listed = F.broadcast(listed)
-    keyed = boxed(docs).withColumn("key", document_key("document"))
-    once = keyed.join(listed, "key", "left_anti").select("document")
-    again = keyed.join(listed.where("stays"), "key", "left_semi")
+    keyed = docs.withColumn(key, document_key())
+    once = keyed.join(listed, key, "left_anti").select(*columns)
+    if not numbers.get(True):
+        return once
+    again = keyed.join(listed.where("stays"), key, "left_semi").select(key, F.struct(*columns).alias("document"))
     # combined where the rows are, so a row that is repeated very often is no burden
-    first = again.groupBy("key").agg(F.min_by("document", F.to_json("document")).alias("document"))
-    return unboxed(once.unionByName(first.select("document")), docs)
+    first = again.groupBy(key).agg(F.min_by("document", F.to_json("document")).alias("document"))
+    return once.unionByName(first.select(*[column(c, "document").alias(c) for c in docs.columns]))
 
 
 def collapsed(docs: DataFrame) -> DataFrame:

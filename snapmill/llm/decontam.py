@@ -2,11 +2,12 @@
 
 Words are made canonical first: numbers, names and units become typed placeholders, everything
 else its lower-case form. A title-case word that begins a sentence may be a name or not, so it is
-tried as both, on either side; windows are also compared as spelled, whatever case and marks are. Every window of canonical words of a benchmark item is a template. A
+tried as both, on either side. Every window of canonical words of a benchmark item is a template. A
 document window with the same template is a hit if its slots agree: each number or unit of the
 item stands for one value of the document within the window, each name along the whole alignment
-of document and item; several may stand for the same value. So a question is caught with its numbers and names exchanged, and text that only
-shares a frame is not. Templates are matched by hash, then literally.
+of document and item; several may stand for the same value. So a question is caught with its numbers
+and names exchanged, and text that only shares a frame is not. Windows that are equal as spelled,
+whatever their case and marks, are hits by themselves. Templates are matched by hash, then literally.
 
 The benchmark is read in blocks of bounded size. Each block is broadcast and looked up in one pass
 over the documents, so a benchmark of any size needs more passes, never a larger broadcast.

@@ -16,10 +16,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapmill.llm.common import bound_batches, boxed, cut, held_out, unboxed
+from snapmill.llm.common import bound_batches, column, cut, free_name, held_out
 
 UNKNOWN = "und"
 #: Buckets that n-grams of 1 to GRAM characters are hashed into.
@@ -241,8 +241,8 @@ def fit(
     )
 
 
-def predict(docs: DataFrame, model: Model, to: str, text: Column | str = "text") -> DataFrame:
-    """``docs`` with a struct column ``to``: lang_pred, score, rejected of ``text``."""
+def predict(docs: DataFrame, model: Model, to: str) -> DataFrame:
+    """``docs`` with a struct column ``to``: lang_pred, score, rejected."""
     bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -252,7 +252,7 @@ def predict(docs: DataFrame, model: Model, to: str, text: Column | str = "text")
             parts = [shared.value.predict(list(texts.iloc[i : i + 256])) for i in range(0, len(texts), 256)]
             yield pd.concat(parts, ignore_index=True)
 
-    return docs.withColumn(to, run(text))
+    return docs.withColumn(to, run(F.col("text")))
 
 
 def identify(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) -> DataFrame:
@@ -279,5 +279,6 @@ def drop_unknown_languages(docs: DataFrame, per_language: int = TEXTS_PER_LANGUA
     where there is no label to learn from. Repeated rows stay or go together. Extra columns may
     have any name and type. No documents give no rows.
     """
-    found = predict(boxed(docs), fit(docs, per_language), "found", F.col("document.text"))
-    return unboxed(found.where(~F.col("found.rejected")), docs)
+    to = free_name("found", docs)
+    found = predict(docs, fit(docs, per_language), to)
+    return found.where(~F.col(f"{to}.rejected")).select(*map(column, docs.columns))
