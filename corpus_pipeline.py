@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapmill.llm.common import shared_table, ship_code
+from snapmill.llm.common import bound_batches, shared_table, ship_code
 from snapmill.llm.decontam import drop_contaminated
 from snapmill.llm.exact import drop_exact_copies
 from snapmill.llm.langid import drop_unknown_languages
@@ -19,11 +19,16 @@ from snapmill.llm.packing import pack
 from snapmill.llm.simhash import drop_near_duplicates
 
 
+#: Bytes of an Arrow batch: all stages run in the same executors and Python workers, whose memory adds up.
+BATCH_BYTES = 2 << 20
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a letter, null texts included, or far from every language of the corpus.
 
     Rows that are repeated stay or go together.
     """
+    bound_batches(spark, BATCH_BYTES)
     return drop_unknown_languages(docs)
 
 
@@ -32,6 +37,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null doc_id comes last, null text counts as empty, and of rows that repeat both one stays.
     """
+    bound_batches(spark, BATCH_BYTES)
     return drop_exact_copies(docs)
 
 
@@ -41,6 +47,7 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     That with the smallest doc_id stays, null coming last, then the text that hashes lowest; of rows that
     repeat both one stays. Texts without words are one group.
     """
+    bound_batches(spark, BATCH_BYTES)
     return drop_near_duplicates(docs, shingle=4, distance=4)
 
 
@@ -49,6 +56,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Null and empty texts stay; rows that are repeated stay or go together.
     """
+    bound_batches(spark, BATCH_BYTES)
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -57,6 +65,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null text is a single id 0; of gaps that are equally good the tighter is filled.
     """
+    bound_batches(spark, BATCH_BYTES)
     return pack(docs, capacity=2048)
 
 

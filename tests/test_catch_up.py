@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from snapmill.plans import jobs
 from snapmill.schemas import ATTRIBUTES, CLICKSTREAM, FEATURE_STORE_SCHEMA, FINANCIALS, LABEL_STORE_SCHEMA, LOANS, TABLES
-from snapmill.sources.lake import BRONZE, FEATURE_STORE, GOLD, LABEL_STORE, SILVER, Lake
+from snapmill.sources.lake import FEATURE_STORE, GOLD, LABEL_STORE, SILVER, Lake
 from snapmill.sources.raw import append_lines, write_raw
 from tests.helpers import column, in_order, raw
 
