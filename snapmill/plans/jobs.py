@@ -90,15 +90,19 @@ def ingest(
     beyond = F.lit(False) if months_between(start, end) is None else ~_in_range(start, end)
     reasons = {**_misplaced(), OUT_OF_RANGE: beyond}
     written = lake.write_months(lines.drop(LINE, FILE), BRONZE, table, start, end, gather, reasons)
-    _quarantine(lake, table, raw_path, lines, quarantine, any(written.reasons[r] for r in quarantine))
+    _quarantine(lake, table, raw_path, line_breaks, quarantine, any(written.reasons[r] for r in quarantine))
     return written
 
 
 def _quarantine(
-    lake: Lake, table: str, raw_path: str, lines: DataFrame, reasons: Collection[str], any_stray: bool
+    lake: Lake, table: str, raw_path: str, line_breaks: bool, reasons: Collection[str], any_stray: bool
 ) -> None:
+    if not any_stray:
+        lake.write_quarantine(None, table, raw_path)
+        return
+    lines = dated(parse_raw(lake.spark, TABLES[table], raw_path, line_breaks, suspects=set(reasons) <= set(FAULTS)))
     stray = lines.select(_reason().alias("reason"), F.col(LINE).alias("line"), F.col(FILE).alias("file"))
-    lake.write_quarantine(stray.where(F.col("reason").isin(*reasons)) if any_stray else None, table, raw_path)
+    lake.write_quarantine(stray.where(F.col("reason").isin(*reasons)), table, raw_path)
 
 
 def raw_range(lake: Lake, raw_paths: Mapping[str, str], line_breaks: bool = False) -> tuple[date, date] | None:
@@ -206,27 +210,35 @@ def backfill(
 def _checksum(columns: Sequence[str]) -> Column:
     """Rows and two sums of their hashes: the same for equal rows in any order.
 
-    A null hashes like nothing, so the numbers between the columns keep them apart.
+    A null hashes like nothing, so the numbers between the columns keep them apart. Hashes are summed
+    in three parts of up to 22 bits, as longs, which costs a fraction of a sum of decimals.
     """
     cells = [c for i, name in enumerate(columns) for c in (F.col(name), F.lit(i))]
-    sums = [F.sum(F.xxhash64(F.lit(seed), *cells).cast("decimal(20,0)")) for seed in (1, 2)]
-    return F.concat_ws(":", F.count(F.lit(1)), *[s.cast("string") for s in sums])
+
+    def total(seed: int) -> Column:
+        own, low = F.xxhash64(F.lit(seed), *cells), F.lit((1 << 21) - 1)
+        parts = F.shiftright(own, 42), F.shiftright(own, 21).bitwiseAND(low), own.bitwiseAND(low)
+        high, middle, rest = (F.sum(p).cast("decimal(20,0)") for p in parts)
+        by = F.lit(1 << 21).cast("decimal(7,0)")
+        return (high * by + middle) * by + rest
+
+    return F.concat_ws(":", F.count(F.lit(1)), *[total(seed).cast("string") for seed in (1, 2)])
 
 
 def raw_marks(
     lines: DataFrame, columns: Sequence[str], months: Sequence[date], quarantine: Collection[str] = FAULTS
 ) -> dict[date, str]:
     """A checksum of the rows of every month, and of the lines to quarantine, in one scan."""
-    kept = F.col("reason").isNull()
+    kept = F.col("reason").isNull() & _of_months(months)
     stray = F.col("reason").isin(*quarantine)
+    # all other lines are a group of their own: as a condition on the scan this would be worked out twice
     keyed = lines.withColumn("reason", _reason()).select(
         F.when(stray, F.lit(NO_MONTH)).when(kept, F.col(V.SNAPSHOT)).alias("month"),
         *[F.when(kept, F.col(c)).alias(c) for c in columns],
         F.when(stray, F.col(LINE)).alias(LINE),
     )
-    wanted = keyed.where(F.col("month").isin(*months, NO_MONTH))
-    marks = wanted.groupBy("month").agg(_checksum([*columns, LINE]).alias("mark"))
-    found = {r["month"]: r["mark"] for r in marks.collect()}  # a row per month of the range
+    marks = keyed.groupBy("month").agg(_checksum([*columns, LINE]).alias("mark"))
+    found = {r["month"]: r["mark"] for r in marks.collect() if r["month"]}  # a row per month of the range
     return dict.fromkeys([*months, NO_MONTH], NOTHING) | found
 
 
@@ -261,7 +273,7 @@ def _catch_up_bronze(
         marks = raw_marks(bronze.withColumns({FAULT: F.lit(None).cast("string"), LINE: F.lit(None).cast("string")}), columns, changed)
         lake.remember(BRONZE, table, {m: marks[m] for m in changed})
     if now[NO_MONTH] != stored.get(NO_MONTH, NOTHING):
-        _quarantine(lake, table, raw_path, lines, quarantine, now[NO_MONTH] != NOTHING)
+        _quarantine(lake, table, raw_path, line_breaks, quarantine, now[NO_MONTH] != NOTHING)
         lake.remember(BRONZE, table, {NO_MONTH: now[NO_MONTH]})
     return written
 

@@ -40,7 +40,9 @@ def _fields(line: Column) -> Column:
     return F.size(F.split(bare, ",", -1))
 
 
-def parse_raw(spark: SparkSession, table: SnapshotTable, path: str, line_breaks: bool = False) -> DataFrame:
+def parse_raw(
+    spark: SparkSession, table: SnapshotTable, path: str, line_breaks: bool = False, suspects: bool = False
+) -> DataFrame:
     """All lines of a raw table: its columns as text, and FAULT, LINE and FILE.
 
     Columns are found by header name, whatever their order; that reads one line. Files whose
@@ -53,22 +55,33 @@ def parse_raw(spark: SparkSession, table: SnapshotTable, path: str, line_breaks:
     to its value, and a file, which cannot be split then, is streamed by one task. A quote that
     is never closed takes following lines along; such a record, known by a value that holds
     a line's worth of delimiters after a line break or by its number of fields, is at fault as a whole.
+
+    ``suspects`` is for whoever wants the lines at fault only: lines without a quote that have as
+    many delimiters as the header are left out before they are parsed. Records are all read.
     """
     header = _header(spark, table, path)
-    parse_one = _parse_records if line_breaks else _parse_lines
-    return parse_one(spark, header, path).select(*map(_quoted, table.columns), FAULT, LINE, FILE)
+    lines = _parse_records(spark, header, path) if line_breaks else _parse_lines(spark, header, path, suspects)
+    return lines.select(*map(_quoted, table.columns), FAULT, LINE, FILE)
 
 
-def _parse_lines(spark: SparkSession, header: list[str], path: str) -> DataFrame:
+def _parse_lines(spark: SparkSession, header: list[str], path: str, suspects: bool) -> DataFrame:
     reader = spark.read.options(**_WHOLE_LINES, sep="\n")
     (title,) = reader.csv(path).columns
     rows = reader.options(enforceSchema=False).schema(T.StructType([T.StructField(title, T.StringType())])).csv(path)
     lines = rows.select(F.col(_quoted(title)).alias(LINE), F.col("_metadata.file_path").alias(FILE))
     schema = ", ".join(f"{_quoted(c)} string" for c in [*header, _CORRUPT])
-    read = lines.withColumn("row", F.from_csv(LINE, schema, {**_QUOTING, "columnNameOfCorruptRecord": _CORRUPT}))
     line = F.col(LINE)
+    if suspects:
+        delimiters = F.char_length(line) - F.char_length(F.replace(line, F.lit(","), F.lit("")))
+        lines = lines.where(line.contains('"') | (delimiters != len(header) - 1))
     quotes = F.char_length(line) - F.char_length(F.replace(line, F.lit('"'), F.lit("")))
-    fault = F.when(quotes % 2 == 1, OPEN_QUOTE).when(
+    read = F.struct(
+        F.from_csv(line, schema, {**_QUOTING, "columnNameOfCorruptRecord": _CORRUPT}).alias("row"), (quotes % 2 == 1).alias("odd")
+    )
+    # Conditions on what was read stay behind an explode. Pushed down to the scan they would parse every
+    # line again for each of their parts.
+    read = lines.select(LINE, FILE, F.explode(F.array(read)).alias("read")).select(LINE, FILE, "read.*")
+    fault = F.when(F.col("odd"), OPEN_QUOTE).when(
         F.col(f"row.{_CORRUPT}").isNotNull(), F.when(_fields(line) < len(header), TOO_FEW).otherwise(TOO_MANY)
     )
     return read.withColumn(FAULT, fault).select("row.*", FAULT, LINE, FILE)

@@ -347,11 +347,13 @@ def bronze_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
     def report(name: str) -> DataFrame:
         rows = _bronze(spark, sf, name)
-        filled = reduce(lambda a, b: a + b, (F.count(c) for c in rows.columns))
-        return rows.groupBy(F.lit(name).alias("source"), V.SNAPSHOT).agg(
-            F.count(F.lit(1)).alias("row_count"),
-            F.count_distinct(V.ENTITY).alias("entities"),
-            filled.alias("cells"),
+        filled = reduce(lambda a, b: a + b, (F.col(c).isNotNull().cast("int") for c in rows.columns))
+        # by entity first, with two numbers in a group whatever the columns
+        by_entity = rows.groupBy(V.SNAPSHOT, V.ENTITY).agg(F.count(F.lit(1)).alias("n"), F.sum(filled).alias("cells"))
+        return by_entity.groupBy(F.lit(name).alias("source"), V.SNAPSHOT).agg(
+            F.sum("n").alias("row_count"),
+            F.count(V.ENTITY).alias("entities"),
+            F.sum("cells").alias("cells"),
         )
 
     return reduce(DataFrame.unionByName, map(report, TABLES))

@@ -185,12 +185,14 @@ def dirty_lines(rows: DataFrame, line_breaks: bool) -> DataFrame:
     Open quotes are those of a quoted line break, that is two lines, and of a quote that is never
     closed; the latter are left out with ``line_breaks``.
     """
+    kind = F.pmod(F.col(V.ENTITY).cast("long"), F.lit(DIRTY_EVERY))
+    # before any line is made: most rows have no kind
+    rows = rows.where(kind.isin(TOO_MANY_AT, TOO_FEW_AT, OPEN_QUOTE_AT, LINE_BREAK_AT))
     line = F.to_csv(F.struct(*rows.columns), {"escape": '"'})
     broken = F.to_csv(
         F.struct(*[F.concat(c, F.lit("\nof two lines")).alias(c) if c == V.ENTITY else F.col(c) for c in rows.columns]),
         {"escape": '"'},
     )
-    kind = F.pmod(F.col(V.ENTITY).cast("long"), F.lit(DIRTY_EVERY))
     text = F.when(kind == TOO_MANY_AT, F.concat(line, F.lit(",x")))
     text = text.when(kind == TOO_FEW_AT, F.concat_ws(",", V.ENTITY, F.lit("x")))
     text = text.when(kind == LINE_BREAK_AT, broken)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from snapmill.plans import jobs
 from snapmill.schemas import ATTRIBUTES, CLICKSTREAM, FEATURE_STORE_SCHEMA, FINANCIALS, LABEL_STORE_SCHEMA, LOANS, TABLES
 from snapmill.sources.lake import FEATURE_STORE, GOLD, LABEL_STORE, SILVER, Lake
-from snapmill.sources.raw import append_lines, write_raw
+from snapmill.sources.raw import FAULT, LINE, append_lines, write_raw
 from tests.helpers import column, in_order, raw
 
 JAN, FEB, MAR = (date(2023, m, 1) for m in (1, 2, 3))
@@ -195,3 +195,14 @@ def test_bucketed_lakes_catch_up_too(spark, tmp_path):
         assert report == {"bronze.attributes": {FEB: 2}, "silver.attributes": {FEB: 2}, f"gold.{FEATURE_STORE}": {FEB: 2}}
     finally:
         spark.conf.set(key, before)
+
+
+def test_marks_are_sums_of_hashes(spark):
+    rows = raw(spark, "attributes", *[{"Customer_ID": str(i), "Age": "1" * (i % 7) or None, "snapshot_date": f"2023-0{1 + i % 3}-01"} for i in range(300)])
+    lines = rows.withColumns({"snapshot_date": F.col("snapshot_date").cast("date"), FAULT: F.lit(None).cast("string"), LINE: F.lit("x")})
+    cells = [c for i, name in enumerate([*rows.columns, None]) for c in (F.col(name) if name else F.lit(None).cast("string"), F.lit(i))]
+    seen = lines.select("snapshot_date", *[F.xxhash64(F.lit(seed), *cells).alias(f"h{seed}") for seed in (1, 2)]).collect()
+    want = {m: [r for r in seen if r.snapshot_date == m] for m in (JAN, FEB)}
+    found = jobs.raw_marks(lines, rows.columns, [JAN, FEB])
+    assert found.pop(jobs.NO_MONTH) == jobs.NOTHING
+    assert found == {m: f"{len(some)}:{sum(r.h1 for r in some)}:{sum(r.h2 for r in some)}" for m, some in want.items()}

@@ -146,3 +146,17 @@ def test_lines_are_appended_as_they_are(spark, tmp_path):
     lines = ['a,"open', '  spaced "" ', "back\\slash\\"]
     append_lines(spark.createDataFrame([(x,) for x in lines], "line string").coalesce(1), HEADER, path)
     assert sorted(r[LINE] for r in parse_raw(spark, ATTRIBUTES, path).collect()) == sorted(lines)
+
+
+def test_conditions_do_not_parse_again(spark, tmp_path):
+    lines = parse_raw(spark, ATTRIBUTES, file(tmp_path, *LINES.values()))
+    kept = lines.where(F.col(FAULT).isin(*FAULTS) | F.col("Age").isNull())
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("from_csv(") == 1
+
+
+def test_suspects_are_all_lines_at_fault(spark, tmp_path):
+    path = file(tmp_path, *LINES.values(), "plain,B,30,1,Doctor,2023-01-01", " ", ",,,,,", ",,,,,,")
+    every, some = (parse_raw(spark, ATTRIBUTES, path, suspects=s).select(LINE, FAULT) for s in (False, True))
+    at_fault = F.col(FAULT).isNotNull()
+    assert in_order(some.where(at_fault)) == in_order(every.where(at_fault))
+    assert {LINES["empties"], "plain,B,30,1,Doctor,2023-01-01"}.isdisjoint(column(some, LINE))
