@@ -7,6 +7,8 @@ from snapmill.plans import jobs
 from snapmill.schemas import ATTRIBUTES, LOANS
 from snapmill.sources.lake import SILVER, Lake
 from snapmill.sources.raw import write_raw
+from snapmill.workload.queries import per_month
+from snapmill.workload.views import dirty_lines
 from tests.helpers import plan_of, raw
 
 
@@ -58,3 +60,22 @@ def test_value_counts_is_a_top_k(lake):
     plan = plan_of(profile.value_counts(people, "Occupation", limit=20))
     assert "TakeOrderedAndProject" in plan and "partial_count" in plan
     assert "ReadSchema: struct<Occupation:string>" in plan
+
+
+def test_dirty_lines_are_made_of_rows_that_have_any(spark):
+    rows = raw(spark, ATTRIBUTES.name, *[{"Customer_ID": str(i), "Name": "a"} for i in (*range(6), 51, 53)], {"Name": "b"})
+    lines = dirty_lines(rows, line_breaks=False)
+    assert lines.count() == 2 + 1 + 2 + 2  # too many fields, too few, an open quote, a line break, which makes two
+    conditions = [x for x in lines._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in x]
+    assert any(" IN (1,2,3,4)" in c for c in conditions)
+
+
+def test_report_counts_in_two_steps(spark):
+    rows = raw(spark, ATTRIBUTES.name, *[{"Customer_ID": c, "Age": a, "snapshot_date": m} for c, a, m in (
+        ("a", "1", "2023-01-01"), ("a", None, "2023-01-01"), (None, "2", "2023-01-01"), ("b", None, "2023-02-01"), (None, None, "2023-03-01"), ("c", None, None),
+    )])
+    report = per_month(rows, "attributes")
+    found = {r.snapshot_date: (r.source, r.row_count, r.entities, r.cells) for r in report.collect()}
+    name = "attributes"
+    assert found == {"2023-01-01": (name, 3, 1, 7), "2023-02-01": (name, 1, 1, 2), "2023-03-01": (name, 1, 0, 1), None: (name, 1, 1, 1)}
+    assert "distinct" not in plan_of(report)
