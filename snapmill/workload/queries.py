@@ -342,21 +342,19 @@ def _bronze(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return lake.read(BRONZE, name, TABLES[name].bronze_schema).select(*TABLES[name].columns)
 
 
-def bronze_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows, entities and filled-in cells per bronze table and month."""
+def per_month(rows: DataFrame, name: str) -> DataFrame:
+    """Rows, entities and filled-in cells of a table by month."""
+    filled = reduce(lambda a, b: a + b, (F.col(c).isNotNull().cast("int") for c in rows.columns))
+    # by entity first, with two numbers in a group whatever the columns
+    by_entity = rows.groupBy(V.SNAPSHOT, V.ENTITY).agg(F.count(F.lit(1)).alias("n"), F.sum(filled).alias("cells"))
+    return by_entity.groupBy(F.lit(name).alias("source"), V.SNAPSHOT).agg(
+        F.sum("n").alias("row_count"), F.count(V.ENTITY).alias("entities"), F.sum("cells").alias("cells")
+    )
 
-    def report(name: str) -> DataFrame:
-        rows = _bronze(spark, sf, name)
-        filled = reduce(lambda a, b: a + b, (F.col(c).isNotNull().cast("int") for c in rows.columns))
-        # by entity first, with two numbers in a group whatever the columns
-        by_entity = rows.groupBy(V.SNAPSHOT, V.ENTITY).agg(F.count(F.lit(1)).alias("n"), F.sum(filled).alias("cells"))
-        return by_entity.groupBy(F.lit(name).alias("source"), V.SNAPSHOT).agg(
-            F.sum("n").alias("row_count"),
-            F.count(V.ENTITY).alias("entities"),
-            F.sum("cells").alias("cells"),
-        )
 
-    return reduce(DataFrame.unionByName, map(report, TABLES))
+def bronze_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows, entities and filled-in cells per bronze table and month."""
+    return reduce(DataFrame.unionByName, [per_month(_bronze(spark, sf, name), name) for name in TABLES])
 
 
 def bronze_attributes(spark: SparkSession, sf: str) -> DataFrame:
