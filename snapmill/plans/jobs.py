@@ -86,10 +86,10 @@ def ingest(
     Raw files that mix months are gathered, which shuffles them once. Where every file holds
     few months already, ``gather=False`` saves that.
     """
-    lines = dated(parse_raw(lake.spark, TABLES[table], raw_path, line_breaks))
+    lines = dated(parse_raw(lake.spark, TABLES[table], raw_path, line_breaks, files=False))
     beyond = F.lit(False) if months_between(start, end) is None else ~_in_range(start, end)
     reasons = {**_misplaced(), OUT_OF_RANGE: beyond}
-    written = lake.write_months(lines.drop(LINE, FILE), BRONZE, table, start, end, gather, reasons)
+    written = lake.write_months(lines.drop(LINE), BRONZE, table, start, end, gather, reasons)
     _quarantine(lake, table, raw_path, line_breaks, quarantine, any(written.reasons[r] for r in quarantine))
     return written
 
@@ -100,11 +100,16 @@ def _quarantine(
     if not any_stray:
         lake.write_quarantine(None, table, raw_path)
         return
-    lines = dated(parse_raw(lake.spark, TABLES[table], raw_path, line_breaks, suspects=set(reasons) <= set(FAULTS)))
+    lines = _may_be_stray(lake, table, raw_path, line_breaks, reasons)
     stray = lines.select(_reason().alias("reason"), F.col(LINE).alias("line"), F.col(FILE).alias("file"))
     lake.write_quarantine(stray.where(F.col("reason").isin(*reasons)), table, raw_path)
 
 
+def _may_be_stray(lake: Lake, table: str, raw_path: str, line_breaks: bool, reasons: Collection[str]) -> DataFrame:
+    """All raw lines that are left out for these reasons, and others."""
+    return dated(parse_raw(lake.spark, TABLES[table], raw_path, line_breaks, suspects=set(reasons) <= set(FAULTS)))
+
+
 def raw_range(lake: Lake, raw_paths: Mapping[str, str], line_breaks: bool = False) -> tuple[date, date] | None:
     """First and last date in the raw tables, for jobs over all there is; None without any."""
     ends = []
@@ -256,22 +261,28 @@ def _catch_up_bronze(
     line_breaks: bool,
     quarantine: Collection[str],
 ) -> Written:
-    lines = dated(parse_raw(lake.spark, TABLES[table], raw_path, line_breaks))
+    lines = dated(parse_raw(lake.spark, TABLES[table], raw_path, line_breaks, files=False))
     columns = TABLES[table].columns
     stored = lake.marks(BRONZE, table)
-    now = raw_marks(lines, columns, months, quarantine)
+    # without a mark to compare with every month is written, whatever a scan would find
+    compared = not stored.keys().isdisjoint(months)
+    now = raw_marks(lines, columns, months, quarantine) if compared else {}
     changed = _differing(now, stored, months)
     written = Written({})
     if changed:
         # rows of unchanged months are neither stored nor left out: they are there already
         unchanged = F.coalesce(F.col(V.SNAPSHOT).isin(*(set(months) - set(changed))), F.lit(False))
-        others = lines.where(F.col(FAULT).isNotNull() | ~unchanged).drop(LINE, FILE)
+        others = lines.where(F.col(FAULT).isNotNull() | ~unchanged).drop(LINE)
         reasons = {**_misplaced(), OUT_OF_RANGE: ~_of_months(months)}
         written = lake.replace_months(others, BRONZE, table, changed, gather, reasons)
         # from what was stored, should the files have changed meanwhile
         bronze = lake.read(BRONZE, table, TABLES[table].bronze_schema).where(_of_months(changed))
         marks = raw_marks(bronze.withColumns({FAULT: F.lit(None).cast("string"), LINE: F.lit(None).cast("string")}), columns, changed)
         lake.remember(BRONZE, table, {m: marks[m] for m in changed})
+    if not compared:
+        now = {NO_MONTH: NOTHING}
+        if any(written.reasons[r] for r in quarantine):
+            now = raw_marks(_may_be_stray(lake, table, raw_path, line_breaks, quarantine), columns, [], quarantine)
     if now[NO_MONTH] != stored.get(NO_MONTH, NOTHING):
         _quarantine(lake, table, raw_path, line_breaks, quarantine, now[NO_MONTH] != NOTHING)
         lake.remember(BRONZE, table, {NO_MONTH: now[NO_MONTH]})
@@ -297,8 +308,8 @@ def catch_up(
     """``backfill`` for the months whose input changed since they were written.
 
     Every raw table is scanned once for checksums by month, which do not depend on the order of
-    rows or files. Beside the lake every stored month of every table has the mark of what it was made
-    from: bronze the checksum of its rows, silver bronze's mark and the cleaning rules, gold the
+    rows or files, unless no month has one to compare with. Beside the lake
+    every stored month of every table has the mark of what it was made from: bronze the checksum of its rows, silver bronze's mark and the cleaning rules, gold the
     marks of the silver tables it reads. A month whose mark differs, or that was written by
     another job meanwhile, is written again, in one job for all of them; others are not touched.
     A mark is kept once its month is written, so a run that broke off is taken up where it ended.

@@ -41,7 +41,7 @@ def _fields(line: Column) -> Column:
 
 
 def parse_raw(
-    spark: SparkSession, table: SnapshotTable, path: str, line_breaks: bool = False, suspects: bool = False
+    spark: SparkSession, table: SnapshotTable, path: str, line_breaks: bool = False, suspects: bool = False, files: bool = True
 ) -> DataFrame:
     """All lines of a raw table: its columns as text, and FAULT, LINE and FILE.
 
@@ -58,36 +58,55 @@ def parse_raw(
 
     ``suspects`` is for whoever wants the lines at fault only: lines without a quote that have as
     many delimiters as the header are left out before they are parsed. Records are all read.
+    Without ``files`` there is no FILE: a scan that knows its files adds them to every row, wanted or not.
     """
     header = _header(spark, table, path)
-    lines = _parse_records(spark, header, path) if line_breaks else _parse_lines(spark, header, path, suspects)
-    return lines.select(*map(_quoted, table.columns), FAULT, LINE, FILE)
+    lines = _parse_records(spark, header, path, files) if line_breaks else _parse_lines(spark, header, path, suspects, files)
+    return lines.select(*map(_quoted, table.columns), FAULT, LINE, *_file(files))
 
 
-def _parse_lines(spark: SparkSession, header: list[str], path: str, suspects: bool) -> DataFrame:
+def _file(files: bool) -> list[str]:
+    return [FILE] if files else []
+
+
+def read_lines(spark: SparkSession, path: str, files: bool = False) -> DataFrame:
+    """The lines below the headers as they are, as LINE, and if asked for their FILE."""
     reader = spark.read.options(**_WHOLE_LINES, sep="\n")
     (title,) = reader.csv(path).columns
     rows = reader.options(enforceSchema=False).schema(T.StructType([T.StructField(title, T.StringType())])).csv(path)
-    lines = rows.select(F.col(_quoted(title)).alias(LINE), F.col("_metadata.file_path").alias(FILE))
+    return rows.select(F.col(_quoted(title)).alias(LINE), *[F.col("_metadata.file_path").alias(f) for f in _file(files)])
+
+
+def _parse_lines(spark: SparkSession, header: list[str], path: str, suspects: bool, files: bool) -> DataFrame:
+    lines = read_lines(spark, path, files)
     schema = ", ".join(f"{_quoted(c)} string" for c in [*header, _CORRUPT])
     line = F.col(LINE)
     if suspects:
         delimiters = F.char_length(line) - F.char_length(F.replace(line, F.lit(","), F.lit("")))
         lines = lines.where(line.contains('"') | (delimiters != len(header) - 1))
-    quotes = F.char_length(line) - F.char_length(F.replace(line, F.lit('"'), F.lit("")))
+    quoted = line.contains('"')
     read = F.struct(
-        F.from_csv(line, schema, {**_QUOTING, "columnNameOfCorruptRecord": _CORRUPT}).alias("row"), (quotes % 2 == 1).alias("odd")
+        # no quote, no need of a parser: one delimiter more than there should be ends the search for more
+        F.when(~quoted, F.split(line, ",", len(header) + 1)).alias("plain"),
+        F.when(quoted, F.from_csv(line, schema, {**_QUOTING, "columnNameOfCorruptRecord": _CORRUPT})).alias("row"),
     )
     # Conditions on what was read stay behind an explode. Pushed down to the scan they would parse every
     # line again for each of their parts.
-    read = lines.select(LINE, FILE, F.explode(F.array(read)).alias("read")).select(LINE, FILE, "read.*")
-    fault = F.when(F.col("odd"), OPEN_QUOTE).when(
-        F.col(f"row.{_CORRUPT}").isNotNull(), F.when(_fields(line) < len(header), TOO_FEW).otherwise(TOO_MANY)
+    read = lines.select("*", F.explode(F.array(read)).alias("read")).select(*lines.columns, "read.*")
+    plain, quotes = F.col("plain"), F.char_length(line) - F.char_length(F.replace(line, F.lit('"'), F.lit("")))
+    fault = (
+        F.when(plain.isNotNull(), F.when(F.size(plain) < len(header), TOO_FEW).when(F.size(plain) > len(header), TOO_MANY))
+        .when(quotes % 2 == 1, OPEN_QUOTE)
+        .when(F.col(f"row.{_CORRUPT}").isNotNull(), F.when(_fields(line) < len(header), TOO_FEW).otherwise(TOO_MANY))
     )
-    return read.withColumn(FAULT, fault).select("row.*", FAULT, LINE, FILE)
+    values = [
+        F.when(plain.isNotNull(), F.nullif(F.get(plain, F.lit(i)), F.lit(""))).otherwise(F.col(f"row.{_quoted(c)}")).alias(c)
+        for i, c in enumerate(header)
+    ]
+    return read.select(*values, fault.alias(FAULT), *lines.columns)
 
 
-def _parse_records(spark: SparkSession, header: list[str], path: str) -> DataFrame:
+def _parse_records(spark: SparkSession, header: list[str], path: str, files: bool) -> DataFrame:
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _CORRUPT]])
     options = {"header": True, "enforceSchema": False, "multiLine": True, "columnNameOfCorruptRecord": _CORRUPT}
     read = spark.read.schema(schema).options(**_QUOTING, **options).csv(path)
@@ -98,12 +117,12 @@ def _parse_records(spark: SparkSession, header: list[str], path: str) -> DataFra
         corrupt.isNotNull(), F.when(_fields(corrupt) < len(header), TOO_FEW).otherwise(TOO_MANY)
     )
     text = F.coalesce(corrupt, F.to_csv(F.struct(*[F.col(_quoted(c)) for c in header]), _QUOTING))
-    return read.withColumns({FAULT: fault, LINE: text, FILE: F.col("_metadata.file_path")})
+    return read.withColumns({FAULT: fault, LINE: text, **{f: F.col("_metadata.file_path") for f in _file(files)}})
 
 
 def read_raw(spark: SparkSession, table: SnapshotTable, path: str, line_breaks: bool = False) -> DataFrame:
     """The rows of a raw table as text, in the table's column order, without lines at fault."""
-    lines = parse_raw(spark, table, path, line_breaks)
+    lines = parse_raw(spark, table, path, line_breaks, files=False)
     return lines.where(F.col(FAULT).isNull()).select(*map(_quoted, table.columns))
 
 

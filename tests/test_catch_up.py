@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from snapmill.plans import jobs
 from snapmill.schemas import ATTRIBUTES, CLICKSTREAM, FEATURE_STORE_SCHEMA, FINANCIALS, LABEL_STORE_SCHEMA, LOANS, TABLES
 from snapmill.sources.lake import FEATURE_STORE, GOLD, LABEL_STORE, SILVER, Lake
-from snapmill.sources.raw import FAULT, LINE, append_lines, write_raw
+from snapmill.sources.raw import FAULT, LINE, append_lines, read_lines, read_raw, write_raw
+from snapmill.workload import queries
 from tests.helpers import column, in_order, raw
 
 JAN, FEB, MAR = (date(2023, m, 1) for m in (1, 2, 3))
@@ -79,6 +80,34 @@ def test_first_run_is_a_backfill_and_the_second_writes_nothing(spark, lake, tmp_
     assert files(lake) == before
 
 
+def test_without_marks_there_is_nothing_to_compare_with(spark, lake, tmp_path, monkeypatch):
+    calls, marks = [], jobs.raw_marks
+    monkeypatch.setattr(jobs, "raw_marks", lambda lines, columns, months, *a: (calls.append(list(months)), marks(lines, columns, months, *a))[1])
+    clean, stray = land(spark, tmp_path, "attributes"), land(spark, tmp_path, "clickstream")
+    append_lines(spark.createDataFrame([("few,B",)], "line string"), ",".join(CLICKSTREAM.columns), stray["clickstream"])
+    jobs.catch_up(lake, clean, JAN, MAR)
+    assert calls == [[JAN, FEB, MAR]]  # of what was stored
+    jobs.catch_up(lake, stray, JAN, MAR)
+    assert calls[1:] == [[JAN, FEB, MAR], []]  # and of what may be at fault, for the quarantine
+    assert column(lake.read_quarantine("clickstream"), "line") == ["few,B"]
+    before = files(lake)
+    assert written(jobs.catch_up(lake, {**clean, **stray}, JAN, MAR)) == {} and files(lake) == before
+    assert calls[3:] == [[JAN, FEB, MAR]] * 2
+
+
+def test_raw_loans_lose_rows_of_one_month_only(spark, tmp_path):
+    month, other = queries.THINNED_MONTH, "1997-06-01"
+    rows = [("2", month), ("3", month), ("4", other), ("5", None), ("6", "1997-05-02"), (None, month)]
+    loans = [{"loan_id": i, "Customer_ID": f'"{i}", c', "loan_start_date": month, "snapshot_date": d} for i, d in rows]
+    path = str(tmp_path / "raw" / LOANS.name)
+    write_raw(raw(spark, LOANS.name, *loans), path)
+    landed = sorted(column(read_lines(spark, path), LINE))
+    thinned = queries._thinned(spark, path)
+    assert sorted(column(read_lines(spark, thinned), LINE)) == [x for x in landed if not x.startswith("2,")]
+    assert in_order(read_raw(spark, LOANS, thinned)) == in_order(raw(spark, LOANS.name, *loans[1:]))
+    assert not os.path.exists(path)
+
+
 def test_order_of_rows_and_files_does_not_matter(spark, lake, tmp_path):
     paths = land(spark, tmp_path, "financials")
     jobs.catch_up(lake, paths, JAN, MAR)

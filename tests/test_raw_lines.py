@@ -1,5 +1,6 @@
 """Lines of raw files that are no rows: found, counted by reason, quarantined, never changed."""
 
+import random
 from datetime import date
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from snapmill.plans import jobs
 from snapmill.schemas import ATTRIBUTES
 from snapmill.sources.lake import BRONZE, QUARANTINE, Lake
-from snapmill.sources.raw import FAULT, FAULTS, LINE, append_lines, parse_raw, read_raw
+from snapmill.sources.raw import FAULT, FAULTS, FILE, LINE, append_lines, parse_raw, read_lines, read_raw
 from tests.helpers import column, in_order
 
 HEADER = "Customer_ID,Name,Age,SSN,Occupation,snapshot_date"
@@ -160,3 +161,42 @@ def test_suspects_are_all_lines_at_fault(spark, tmp_path):
     at_fault = F.col(FAULT).isNotNull()
     assert in_order(some.where(at_fault)) == in_order(every.where(at_fault))
     assert {LINES["empties"], "plain,B,30,1,Doctor,2023-01-01"}.isdisjoint(column(some, LINE))
+
+
+PIECES = [
+    *[","] * 8, "a", "b c", " ", "\t", "\x00", "\x01", "\x0b", "\x1c", "\x7f", "\u0085", "\u2028", "\ufeff", "\\", "'", "#", "é",
+    "日本", "😀", "x" * 50, "2023-01-01", '"', '""', '"a,b"', "|", ";",
+]
+
+
+def test_lines_are_read_as_the_parser_reads_them(spark, tmp_path):
+    """Lines without a quote are split, not parsed; that must not show."""
+    pick, columns = random.Random(3), HEADER.split(",")
+    some = ["".join(pick.choices(PIECES, k=pick.randint(1, 16))) for _ in range(5000)]
+    plain = [p for p in PIECES if p != "," and '"' not in p]
+    some += [",".join("".join(pick.choices(plain, k=pick.randint(0, 3))) for _ in columns) for _ in range(2000)]
+    lines = parse_raw(spark, ATTRIBUTES, file(tmp_path, *some))
+    schema = ", ".join(f"{c} string" for c in [*columns, "bad"])
+    parsed = F.from_csv(LINE, schema, {"escape": '"', "columnNameOfCorruptRecord": "bad"})
+    both = lines.select("*", parsed.alias("p"), (F.length(F.regexp_replace(LINE, '[^"]', "")) % 2 == 1).alias("odd")).collect()
+    assert len(both) > 6000 and {r[FAULT] for r in both} == {None, *FAULTS}
+    for r in both:
+        assert [r[c] for c in columns] == [r.p[c] for c in columns], r[LINE]
+        assert (r[FAULT] == "open_quote") == r.odd and (r[FAULT] is None) == (not r.odd and r.p.bad is None), r[LINE]
+
+
+def test_only_lines_with_quotes_need_the_parser(spark, tmp_path):
+    """It holds 20,480 fields at most and then fails the job; commas alone are no matter for it."""
+    path = file(tmp_path, "few,B", "many" + "," * 30_000, "good,B,30,1,Doctor,2023-01-01")
+    assert faults(spark, path) == {"few": "too_few_fields", "many": "too_many_fields", "good": None}
+
+
+def test_files_are_named_only_if_asked_for(spark, tmp_path):
+    path = file(tmp_path, *LINES.values())
+    for line_breaks in (False, True):
+        with_files, without = (parse_raw(spark, ATTRIBUTES, path, line_breaks, files=f) for f in (True, False))
+        assert in_order(with_files.drop(FILE)) == in_order(without)
+        assert all(r[FILE].endswith("raw.csv") for r in with_files.collect())
+        rows = read_raw(spark, ATTRIBUTES, path, line_breaks)
+        assert "file_path" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted(column(read_lines(spark, path), LINE)) == sorted(LINES.values())
